@@ -40,27 +40,42 @@ def split_menu_code(title: Column) -> Column:
     )
 
 
+_LONGEST_FIRST = sorted(SIZE_TOKENS, key=len, reverse=True)
+_ANY_SIZE = "|".join(re.escape(t) for t in _LONGEST_FIRST)
+# A size in front must leave a rest; one at the back must follow a name. The lazy head makes
+# the longest size word win at the back, the order of alternatives does so in front.
+_FRONT = rf"(?i)^({_ANY_SIZE})\b[\s-]*(?=[^\s-])"
+_BACK = rf"(?is)^(.*?[^\s(-])[\s(-]*\b({_ANY_SIZE})\)?$"
+
+
 def split_size(title: Column) -> Column:
     """Struct (size, residual); size is NULL when the title names none.
 
     Leading inches win, then the longest size word, at the front before the back.
     """
     text = strip(title)
-    pair = lambda size, residual: F.struct(size.alias("size"), residual.alias("residual"))
+    words = F.create_map(*[F.lit(part) for t in _LONGEST_FIRST for part in (t.lower(), t)])
+    ranks = F.create_map(*[part for i, t in enumerate(_LONGEST_FIRST) for part in (F.lit(t.lower()), F.lit(i))])
     inches = F.regexp_extract(text, INCHES, 1)
-    inch_rest = F.regexp_replace(F.regexp_replace(text, INCHES, ""), "^[ –-]+|[ –-]+$", "")
-    chain = F.when(inches != "", pair(F.concat(inches, F.lit('"')), inch_rest))
-    any_token = "|".join(re.escape(t) for t in SIZE_TOKENS)
-    chain = chain.when(~text.rlike(rf"(?i)\b(?:{any_token})\b"), pair(F.lit(None).cast("string"), text))
-    for token in sorted(SIZE_TOKENS, key=len, reverse=True):
-        word = re.escape(token)
-        front = rf"(?i)^{word}\b[\s-]*"
-        back = rf"(?i)[\s(-]*\b{word}\)?$"
-        after_front = strip(F.regexp_replace(text, front, ""))
-        before_back = strip(F.regexp_replace(text, back, ""))
-        chain = chain.when(text.rlike(front) & (after_front != ""), pair(F.lit(token), after_front))
-        chain = chain.when(text.rlike(back) & (before_back != ""), pair(F.lit(token), before_back))
-    return chain.otherwise(pair(F.lit(None).cast("string"), text))
+    front = F.lower(F.regexp_extract(text, _FRONT, 1))
+    back = F.lower(F.regexp_extract(text, _BACK, 2))
+    rank = lambda word: F.coalesce(F.try_element_at(ranks, word), F.lit(len(_LONGEST_FIRST)))
+    pair = lambda size, residual: F.struct(size.alias("size"), residual.alias("residual"))
+    return (
+        F.when(
+            inches != "",
+            pair(
+                F.concat(inches, F.lit('"')),
+                F.regexp_replace(F.regexp_replace(text, INCHES, ""), "^[ –-]+|[ –-]+$", ""),
+            ),
+        )
+        .when(
+            (front != "") & (rank(front) <= rank(back)),
+            pair(F.try_element_at(words, front), strip(F.regexp_replace(text, _FRONT, ""))),
+        )
+        .when(back != "", pair(F.try_element_at(words, back), strip(F.regexp_extract(text, _BACK, 1))))
+        .otherwise(pair(F.lit(None).cast("string"), text))
+    )
 
 
 def size_order(size: Column) -> Column:

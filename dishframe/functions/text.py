@@ -5,8 +5,10 @@ Every function maps a Column to a Column and stays inside generated code.
 
 from __future__ import annotations
 
+import html
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # (?U) gives \s the Unicode meaning, which also covers no-break spaces.
@@ -125,10 +127,6 @@ def unescape(text: Column) -> Column:
 
 def unescape_all(text: Column) -> Column:
     """Decode the full HTML entity set, in Arrow batches; use where rare entities matter."""
-    import html
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decode(values: pd.Series) -> pd.Series:
         return values.map(html.unescape, na_action="ignore")

@@ -6,6 +6,8 @@ inside the row: one projection, no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import MONEY, cents, dollars
@@ -72,7 +74,7 @@ def _option(o: Column, *more: Column) -> Column:
 def build_groups(raw: Column) -> Column:
     """Standard modifier groups, two levels, cents as dollars."""
     inner = lambda o: F.transform(
-        modifiers(o["nestedExtrasList"]), lambda g: _group(g, F.transform(g["options"], _option))
+        modifiers(o["nestedExtrasList"]), lambda g: _group(g, F.transform(g["options"], lambda o: _option(o)))
     )
     return F.transform(
         modifiers(raw),
@@ -156,34 +158,40 @@ def option_rows(groups: Column) -> Column:
 def option_index(rows: Column) -> Column:
     """One entry per (group, name): the first row fixes required, parent and price.
 
+    `rows` should be a plain column: it is read once per entry.
+
     available_when lists the parents in order, repeats included; price_by_parent keeps the
     last price of each parent.
     """
     key = lambda r: F.struct(r["group"].alias("group"), r["name"].alias("name"))
 
-    def entry(k: Column) -> Column:
-        same = F.filter(rows, lambda r: (r["group"] == k["group"]) & (r["name"] == k["name"]))
+    def parent_prices(nested: Column) -> Column:
+        last = lambda p: F.element_at(F.filter(nested, lambda r: r["parent_option"] == p), -1)["price"]
+        return F.transform(
+            F.array_distinct(nested["parent_option"]), lambda p: F.struct(p.alias("parent"), last(p).alias("price"))
+        )
+
+    def entry(same: Column) -> Column:
         first = F.element_at(same, 1)
         nested = F.filter(same, lambda r: r["parent_option"].isNotNull())
-        parents = F.transform(nested, lambda r: r["parent_option"])
-        prices = F.transform(
-            F.array_distinct(parents),
-            lambda p: F.struct(
-                p.alias("parent"), F.element_at(F.filter(nested, lambda r: r["parent_option"] == p), -1)["price"].alias("price")
-            ),
-        )
-        some = F.size(nested) > 0
+        some = F.exists(same, lambda r: r["parent_option"].isNotNull())
         return F.struct(
-            k["name"].alias("name"),
-            k["group"].alias("group"),
+            first["name"].alias("name"),
+            first["group"].alias("group"),
             first["required"].alias("required"),
             first["parent_group"].alias("parent_group"),
             F.when(first["parent_group"].isNull(), first["price"]).alias("price"),
-            F.when(some, parents).alias("available_when"),
-            F.when(some, F.map_from_entries(prices)).alias("price_by_parent"),
+            F.when(some, nested["parent_option"]).alias("available_when"),
+            F.when(some, F.map_from_entries(_let(nested, parent_prices))).alias("price_by_parent"),
         )
 
-    return F.transform(F.array_distinct(F.transform(rows, key)), entry)
+    same_key = lambda k: F.filter(rows, lambda r: (r["group"] == k["group"]) & (r["name"] == k["name"]))
+    return F.transform(F.transform(F.array_distinct(F.transform(rows, key)), same_key), entry)
+
+
+def _let(value: Column, body) -> Column:
+    """Bind a value once inside an expression."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def dietary_badges(index: Column, item_text: Column) -> Column:
@@ -217,37 +225,46 @@ def structure_signature(groups: Column) -> Column:
 def parse_item_pages(pages: DataFrame, page: str = "item_page") -> DataFrame:
     """Standard items from item pages; rows without a page are dropped."""
     p = F.col(page)
-    raw = p["optionLists"]
-    return (
-        pages.filter(p.isNotNull())
-        .withColumn("groups", build_groups(raw))
-        .withColumn("cross_sell", cross_sells(raw))
-        .withColumn("title", F.coalesce(present(p["itemHeader"]["name"]), F.col("name"), F.lit("")))
-        .withColumn("ingredients_or_description", F.coalesce(p["itemHeader"]["description"], F.lit("")))
-        .withColumn("_bounds", required_bounds(F.col("groups")))
-        .withColumn("_base", cents(p["itemHeader"]["unitAmount"]))
-        .withColumn("price_min", (F.col("_base") + F.col("_bounds.low")).cast(MONEY))
-        .withColumn("price_max", (F.col("_base") + F.col("_bounds.high")).cast(MONEY))
-        .withColumn("price", dollars(F.col("price_min")))
-        .withColumn("section", or_default(F.col("section"), "Uncategorized"))
-        .withColumn("option_index", option_index(option_rows(F.col("groups"))))
-        .withColumn(
-            "dietary_badges",
-            dietary_badges(F.col("option_index"), F.concat_ws(" ", "title", "ingredients_or_description")),
-        )
-        .drop("_bounds", "_base", page)
+    keep = [c for c in pages.columns if c not in (page, "name", "section")]
+    built = pages.filter(p.isNotNull()).select(
+        *keep,
+        or_default(F.col("section"), "Uncategorized").alias("section"),
+        F.coalesce(present(p["itemHeader"]["name"]), F.col("name"), F.lit("")).alias("title"),
+        F.coalesce(p["itemHeader"]["description"], F.lit("")).alias("ingredients_or_description"),
+        cents(p["itemHeader"]["unitAmount"]).alias("_base"),
+        build_groups(p["optionLists"]).alias("groups"),
+        cross_sells(p["optionLists"]).alias("cross_sell"),
+    )
+    walked = built.select(
+        "*", required_bounds(F.col("groups")).alias("_bounds"), option_rows(F.col("groups")).alias("_rows")
+    )
+    indexed = walked.select(
+        "*",
+        (F.col("_base") + F.col("_bounds.low")).cast(MONEY).alias("price_min"),
+        (F.col("_base") + F.col("_bounds.high")).cast(MONEY).alias("price_max"),
+        option_index(F.col("_rows")).alias("option_index"),
+    ).drop("_base", "_bounds", "_rows")
+    text = F.concat_ws(" ", "title", "ingredients_or_description")
+    return indexed.select(
+        "*", dollars(F.col("price_min")).alias("price"), dietary_badges(F.col("option_index"), text).alias("dietary_badges")
     )
 
 
-def badge_counts(items: DataFrame) -> DataFrame:
+def unnest(items: DataFrame, keys: Sequence[str], array: str) -> DataFrame:
+    """Rows of a computed struct array.
+
+    The outer form keeps Spark from adding a size test on the array, which would be pushed
+    below and evaluate the whole tree a second time.
+    """
     return (
-        items.select(F.explode("dietary_badges.tag").alias("tag"))
-        .groupBy("tag")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("tag")
+        items.select(*keys, F.explode_outer(array).alias("_e")).filter(F.col("_e").isNotNull()).select(*keys, "_e.*")
     )
 
 
+def badge_counts(items: DataFrame) -> DataFrame:
+    return unnest(items, [], "dietary_badges").groupBy("tag").agg(F.count(F.lit(1)).alias("n")).orderBy("tag")
+
+
 def nested_option_count(groups: Column) -> Column:
     """How many options carry groups of their own."""
     per_group = F.transform(groups, lambda g: F.size(F.filter(g["options"], lambda o: F.size(o["nested"]) > 0)))

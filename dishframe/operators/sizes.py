@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from difflib import SequenceMatcher
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import MONEY, dollars
@@ -15,14 +17,11 @@ SIMILARITY = 0.80
 
 
 def with_size(items: DataFrame, title: str = "title") -> DataFrame:
-    """Add size, residual and the case-free residual key."""
-    return (
-        items.withColumn("_split", split_size(F.col(title)))
-        .withColumn("size", F.col("_split.size"))
-        .withColumn("residual", F.col("_split.residual"))
-        .withColumn("residual_key", F.lower("residual"))
-        .drop("_split")
-    )
+    """Add size, residual and the case-free residual key.
+
+    inline() of a one-element array evaluates the split once, wherever the columns are used.
+    """
+    return items.select("*", F.inline(F.array(split_size(F.col(title))))).withColumn("residual_key", F.lower("residual"))
 
 
 def size_groups(sized: DataFrame, section: Sequence[str], position: str = "pos", signature: Column | None = None) -> DataFrame:
@@ -225,10 +224,6 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
 
 def match_ratio(a: Column, b: Column) -> Column:
     """difflib's match ratio of two short texts, in Arrow batches."""
-    from difflib import SequenceMatcher
-
-    import pandas as pd
-
     @F.pandas_udf("double")
     def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(left, right)], dtype="float64")

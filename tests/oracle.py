@@ -78,7 +78,7 @@ def main() -> int:
             else:
                 problem, n = None, len(query(spark, folder).collect())
         except Exception as error:  # report and go on to the next query
-            problem, n = f"{type(error).__name__}: {str(error)[:1500]}", -1
+            problem, n = f"{type(error).__name__}: {str(error).splitlines()[0][:500]}", -1
         bad += problem is not None
         mark = "ok  " if problem is None else "FAIL"
         print(f"{mark} {name:28s} rows={n:<8} {time.time() - start:6.2f}s {'' if name in sql else '(rows only)'}", flush=True)
