@@ -176,16 +176,12 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
     pairs are formed, and none is lost.
     """
     share = threshold / (2 - threshold)
-    chars = F.filter(F.split("residual_key", ""), lambda c: c != "")
-    grams = lone.select(*section, "residual_key", F.explode(chars).alias("_c")).groupBy(
-        *section, "residual_key", "_c"
-    ).agg(F.count(F.lit(1)).cast("int").alias("_k"))
-    grams = grams.select(*section, "residual_key", "_c", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("_k"))
-    weight = grams.groupBy("_c", "_k").agg(F.count(F.lit(1)).alias("_df"))
+    letters = _grams(lone, section, 1)
+    weight = letters.groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
     ordered = (
-        salted_lookup(grams, weight, ["_c", "_k"], ["residual_key"], "inner")
+        salted_lookup(letters, weight, ["_g"], ["residual_key"], "inner")
         .groupBy(*section, "residual_key")
-        .agg(F.array_sort(F.collect_list(F.struct("_df", "_c", "_k"))).alias("_grams"))
+        .agg(F.array_sort(F.collect_list(F.struct("_df", "_g"))).alias("_grams"))
     )
     size = F.size("_grams")
     prefix = size - F.ceil(F.lit(share) * size - F.lit(1e-9)).cast("int") + 1
@@ -193,10 +189,10 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
         *section,
         F.col("residual_key").alias("k"),
         size.alias("n"),
-        F.posexplode(F.slice("_grams", F.lit(1), prefix)).alias("i", "_g"),
-    ).select(*section, "k", "n", "i", "_g._c", "_g._k")
+        F.posexplode(F.slice("_grams", F.lit(1), prefix)).alias("i", "_p"),
+    ).select(*section, "k", "n", "i", "_p._g")
     a, b = keyed.alias("a"), keyed.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*section, "_c", "_k"]]
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*section, "_g"]]
     longer, shorter = F.greatest("a.n", "b.n"), F.least("a.n", "b.n")
     met = F.col("a.k") < F.col("b.k")
     fits = shorter >= F.lit(share) * longer - F.lit(1e-9)
@@ -207,9 +203,26 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
     for c in same:
         condition = condition & c
     pairs = a.join(b, condition).select(*[F.col(f"a.{s}") for s in section], "a.k", F.col("b.k").alias("k2")).distinct()
-    first = lone.select(*section, F.col("residual_key").alias("k"), F.col("title").alias("title_a"), F.col("pos").alias("pos_a"))
-    second = lone.select(*section, F.col("residual_key").alias("k2"), F.col("title").alias("title_b"), F.col("pos").alias("pos_b"))
-    full = pairs.join(first, [*section, "k"]).join(second, [*section, "k2"])
+    bags = (
+        _grams(lone, section, 2)
+        .groupBy(*section, "residual_key")
+        .agg(F.collect_list("_g").alias("_pairs"))
+        .join(ordered.select(*section, "residual_key", F.col("_grams")["_g"].alias("_letters")), [*section, "residual_key"], "right")
+    )
+    facts = lone.join(bags, [*section, "residual_key"])
+    side = lambda key, tag: facts.select(
+        *section, F.col("residual_key").alias(key),
+        *[F.col(c).alias(f"{n}_{tag}") for c, n in (("title", "title"), ("pos", "pos"), ("_pairs", "_pairs"), ("_letters", "_letters"))],
+    )
+    full = pairs.join(side("k", "a"), [*section, "k"]).join(side("k2", "b"), [*section, "k2"])
+    # Exact bounds before any Python: shared characters, then shared neighbours. The M matched
+    # characters lie in at most |a| + |b| - 2M + 1 runs and keep all neighbours but one per run.
+    total = F.length("k") + F.length("k2")
+    shared = lambda c: F.coalesce(F.size(F.array_intersect(f"{c}_a", f"{c}_b")), F.lit(0))
+    full = full.filter(
+        (2 * shared("_letters") >= F.lit(threshold) * total - F.lit(1e-9))
+        & (shared("_pairs") >= F.lit(1.5 * threshold - 1) * total - F.lit(1 + 1e-9))
+    )
     swap = F.col("pos_a") > F.col("pos_b")
     either = lambda x, y, name: F.when(swap, F.col(y)).otherwise(F.col(x)).alias(name)
     oriented = full.select(
@@ -222,6 +235,20 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
     )
 
 
+def _grams(lone: DataFrame, section: Sequence[str], width: int) -> DataFrame:
+    """(section, residual_key, _g): substrings of a width with a running number for repeats."""
+    starts = F.sequence(F.lit(1), F.length("residual_key") - width + 1)
+    counted = (
+        lone.filter(F.length("residual_key") >= width)
+        .select(*section, "residual_key", F.explode(starts).alias("_i"))
+        .groupBy(*section, "residual_key", F.substr("residual_key", F.col("_i"), F.lit(width)).alias("_s"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return counted.select(
+        *section, "residual_key", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_k"), "_s"
+    ).select(*section, "residual_key", F.concat("_s", F.col("_k").cast("string")).alias("_g"))
+
+
 def match_ratio(a: Column, b: Column) -> Column:
     """difflib's match ratio of two short texts, in Arrow batches."""
     @F.pandas_udf("double")
