@@ -26,17 +26,6 @@ def visible_lines(html: Column) -> Column:
     return F.filter(lines, lambda line: line != "")
 
 
-def distinct_lines(lines: Column) -> Column:
-    """Lines without later repeats, ignoring case; the first spelling stays.
-
-    array_distinct keeps first elements, and array_position finds the first spelling of each.
-    """
-    lowered = F.transform(lines, F.lower)
-    return F.transform(
-        F.array_distinct(lowered), lambda key: F.element_at(lines, F.array_position(lowered, key).cast("int"))
-    )
-
-
 def inner_text(html: Column, element: str) -> Column:
     """Text of the first such element, '' when absent."""
     return collapse(plain(F.regexp_extract(html, rf"(?is)<{element}\b[^>]*>(.*?)</{element}\s*>", 1), " "))

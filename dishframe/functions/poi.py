@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
-from dishframe.functions.text import join_present, present, split_tokens, strip
+from dishframe.functions.text import join_present, let, present, split_tokens, strip
 
 # Tag values that mark a place selling food to walk-in customers.
 FOOD_AMENITIES = ("restaurant", "fast_food", "bar", "biergarten", "cafe", "pub", "ice_cream", "canteen")
@@ -66,10 +66,9 @@ def tag_map(pairs: Column, key: str = "_k", value: str = "_v") -> Column:
             ).otherwise(own(p)),
         )
     )
-    keys = F.transform(entries, lambda e: e["k"])
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), e["k"]),
+    rest = lambda es, i: F.slice(es, i + 2, F.greatest(F.size(es) - i - 1, F.lit(0)))
+    last = let(
+        entries, lambda es: F.filter(es, lambda e, i: ~F.exists(rest(es, i), lambda later: later["k"] == e["k"]))
     )
     return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
 

@@ -38,6 +38,11 @@ COMMON_ENTITIES = {
 }
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate a value once and use it several times, also inside inner lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(text: Column) -> Column:
     """Drop leading and trailing whitespace of any kind."""
     return F.regexp_replace(text, _EDGE_SPACE, "")

@@ -14,12 +14,12 @@ def absolute_differences(a: Column, b: Column) -> Column:
 def region_sums(differences: Column, inside, tolerances: Mapping[str, float]) -> Column:
     """Struct (n, total, exact, <tolerance name>...) over the positions for which `inside(i)` holds."""
     kept = F.filter(F.transform(differences, lambda d, i: F.when(inside(i), d)), lambda d: d.isNotNull())
-    count = lambda test: F.size(F.filter(kept, test)).cast("bigint")
+    within = lambda limit: F.size(F.filter(kept, lambda d: d <= limit)).cast("bigint")
     return F.struct(
         F.size(kept).cast("bigint").alias("n"),
         F.aggregate(kept, F.lit(0.0), lambda acc, d: acc + d).alias("total"),
-        count(lambda d: d == 0).alias("exact"),
-        *[count(lambda d, t=t: d <= t).alias(name) for name, t in tolerances.items()],
+        within(0.0).alias("exact"),
+        *[within(limit).alias(name) for name, limit in tolerances.items()],
     )
 
 

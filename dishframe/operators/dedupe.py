@@ -41,6 +41,12 @@ def content_sources(
     ).select("kept", order, source)
 
 
+def line_dedupe(lines: DataFrame, page: Sequence[str], line: str = "line", position: str = "line_no") -> DataFrame:
+    """Lines of each page without later repeats, ignoring case; the first spelling stays."""
+    keyed = lines.withColumn("_key", F.lower(line))
+    return keep_first(keyed, [*page, "_key"], [position]).drop("_key")
+
+
 def item_dedupe(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Exact dedupe on (name, description, price as JSON), first kept."""
     price = F.coalesce(F.to_json(F.struct("price")), F.lit("null"))

@@ -25,7 +25,7 @@ def distinct_links(links: DataFrame, key: Sequence[str], link: str = "link", pos
 def provider_links(pages: DataFrame, key: Sequence[str], markup: str = "html") -> DataFrame:
     """Decoded links to ordering providers, distinct in order; row-local."""
     found = F.transform(html.links(F.col(markup)), urls.unquote)
-    kept = F.array_distinct(F.filter(found, urls.is_provider_link))
+    kept = F.array_distinct(F.filter(found, lambda link: urls.is_provider_link(link)))
     return pages.select(*key, F.posexplode(kept).alias("pos", "link"))
 
 

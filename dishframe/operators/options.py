@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import MONEY, cents, dollars
 from dishframe.functions.sizes import rename_variant_group
-from dishframe.functions.text import or_default, present
+from dishframe.functions.text import let, or_default, present
 
 MODIFIER = "extra_option"
 CROSS_SELL = "item"
@@ -182,18 +182,13 @@ def option_index(rows: Column) -> Column:
             first["parent_group"].alias("parent_group"),
             F.when(first["parent_group"].isNull(), first["price"]).alias("price"),
             F.when(some, nested["parent_option"]).alias("available_when"),
-            F.when(some, F.map_from_entries(_let(nested, parent_prices))).alias("price_by_parent"),
+            F.when(some, F.map_from_entries(let(nested, parent_prices))).alias("price_by_parent"),
         )
 
     same_key = lambda k: F.filter(rows, lambda r: (r["group"] == k["group"]) & (r["name"] == k["name"]))
     return F.transform(F.transform(F.array_distinct(F.transform(rows, key)), same_key), entry)
 
 
-def _let(value: Column, body) -> Column:
-    """Bind a value once inside an expression."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def dietary_badges(index: Column, item_text: Column) -> Column:
     """(tag, label, matches): options that fit a tag, or no matches when only the item text fits."""
     badge = lambda tag, label, pattern: F.struct(

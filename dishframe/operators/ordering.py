@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dishframe.functions.text import slug
+from dishframe.functions.text import let, slug
 from dishframe.operators.skew import CHUNK, HEAVY_ROWS, carry_forward, row_numbers, salted_lookup, with_context
 
 # Date forms that mark a review line.
@@ -28,12 +28,17 @@ def is_review_line(line: Column) -> Column:
 
 def review_snippets(lines: Column, before: int = 2, after: int = 4, shortest: int = 45, longest: int = 900, limit: int = 30) -> Column:
     """Context of every signal line of one page, distinct, cut to length, the first `limit`."""
-    window = lambda i: F.array_join(
-        F.slice(lines, F.greatest(i - before, F.lit(0)) + 1, F.least(i, F.lit(before)) + after + 1), " "
+    around = lambda ls, i: F.array_join(
+        F.slice(ls, F.greatest(i - before, F.lit(0)) + 1, F.least(i, F.lit(before)) + after + 1), " "
     )
-    spots = F.filter(
-        F.transform(lines, lambda line, i: F.when(is_review_line(line), F.struct(i.alias("i"), window(i).alias("w")))),
-        lambda s: s.isNotNull() & (F.length(s["w"]) >= shortest),
+    spots = let(
+        lines,
+        lambda ls: F.filter(
+            F.transform(
+                ls, lambda line, i: F.when(is_review_line(line), F.struct(i.alias("i"), around(ls, i).alias("w")))
+            ),
+            lambda s: s.isNotNull() & (F.length(s["w"]) >= shortest),
+        ),
     )
     # A window longer than the cut never equals a stored snippet, so it is never a repeat.
     keyed = F.array_distinct(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions import html
-from dishframe.functions.text import collapse
+from dishframe.functions.text import collapse, let
 from dishframe.operators.jsonwalk import json_objects, structured_ratings
 from dishframe.operators.ordering import review_snippets
 
@@ -23,21 +23,24 @@ def pattern_hits(text: Column, pattern: str, before: int, after: int, limit: int
     Splitting on the pattern gives the text between matches, whose lengths add up to the
     match offsets. The context reaches `before` characters back and `after` ahead of the start.
     """
-    found = F.slice(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), 1, limit)
-    values = F.slice(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), 1, limit)
-    between = F.slice(F.split(text, pattern, -1), 1, limit)
+    cut = lambda parts: F.slice(parts, 1, limit)
+    split_up = F.struct(
+        cut(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("found"),
+        cut(F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).alias("values"),
+        cut(F.split(text, pattern, -1)).alias("between"),
+    )
     length_of = lambda parts, n: F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda acc, p: acc + F.length(p))
 
-    def hit(value: Column, i: Column) -> Column:
-        start = length_of(between, i + 1) + length_of(found, i)
-        first = F.greatest(start - before, F.lit(0))
-        return F.struct(
-            value.alias("value"),
-            start.alias("start"),
-            collapse(F.substr(text, first + 1, start + after - first)).alias("context"),
-        )
+    def hits(s: Column) -> Column:
+        start = lambda i: length_of(s["between"], i + 1) + length_of(s["found"], i)
+        return F.transform(s["values"], lambda v, i: F.struct(v.alias("value"), start(i).alias("start")))
+
+    def with_context(h: Column) -> Column:
+        first = F.greatest(h["start"] - before, F.lit(0))
+        context = collapse(F.substr(text, first + 1, h["start"] + after - first))
+        return F.struct(h["value"].alias("value"), h["start"].alias("start"), context.alias("context"))
 
-    return F.transform(values, hit)
+    return F.transform(let(split_up, hits), with_context)
 
 
 def line_of(text: Column, start: Column) -> Column:

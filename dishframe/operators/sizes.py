@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import MONEY, dollars
+from dishframe.functions.text import let
 from dishframe.functions.sizes import size_order, split_size
 from dishframe.operators.folding import keep_first
 from dishframe.operators.skew import HEAVY_ROWS, salted_lookup
@@ -130,9 +131,11 @@ def merged_documents(sized: DataFrame, section: Sequence[str], position: str = "
             lambda a, b: F.when(F.struct(a["o"], a["p"]) < F.struct(b["o"], b["p"]), F.lit(-1)).otherwise(F.lit(1)),
         ),
     )
-    first_per_group = lambda cross: F.transform(
-        F.array_distinct(F.transform(cross, lambda c: c["group"])),
-        lambda g: F.element_at(F.filter(cross, lambda c: c["group"] == g), 1),
+    first_per_group = lambda cross: let(
+        cross,
+        lambda cs: F.transform(
+            F.array_distinct(cs["group"]), lambda g: F.element_at(F.filter(cs, lambda c: c["group"] == g), 1)
+        ),
     )
     return (
         groups.join(listed, keys)

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dishframe import schemas
 from dishframe.functions import price as money
 from dishframe.functions import sizes as size_fn
-from dishframe.functions.text import or_default, present
 from dishframe.operators import folding, options, required, sizes
 from dishframe.operators.skew import k_extremes
 from dishframe.plans.tables import Catalog, table
@@ -641,6 +640,3 @@ def near_miss(spark, sf):
     return sizes.near_misses(sizes.lone_residuals(sizes.with_size(pages), ["section"]), ["section"]).select(
         "section", "title_a", "title_b", F.round("ratio", 6).alias("ratio")
     )
-
-
-__all__ = ["catalog", "or_default", "present"]

@@ -199,8 +199,6 @@ def coverage_gap(spark, sf):
     return gaps.select("p_brand", shown("present").alias("present_in"), shown("missing").alias("missing_from"))
 
 
-DOC_KEY = "lower(text) first line"
-
 ALIGNED_SQL = """
 item AS (SELECT regexp_replace(regexp_replace(regexp_replace(lower(trim(string_split(text, chr(10))[1])), '&', 'and', 'g'), '[^a-z0-9/ ]+', '', 'g'), ' +', ' ', 'g') AS key,
   source AS model, doc_id, lang, n_chars FROM documents),
