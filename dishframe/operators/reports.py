@@ -32,10 +32,10 @@ def markdown_table(rows: DataFrame, order: Sequence[str], columns: dict[str, str
     return head.unionByName(body)
 
 
-def consensus_line(row: str = "") -> Column:
+def consensus_line() -> Column:
     """Report cells of a consensus row: number, average with label, confidence, votes, title, url."""
     votes = F.concat_ws("/", "high", "medium", "low", "none")
-    average = F.coalesce(F.format_string("%.2f", "avg_score"), F.lit(""))
+    average = F.coalesce(F.bround("avg_score", 2).cast("decimal(3,2)").cast("string"), F.lit(""))
     return table_row(
         F.col("index"), F.concat(average, F.lit(" "), "average_usefulness"), F.col("confidence"), votes,
         F.col("title"), F.col("url"),

@@ -59,7 +59,7 @@ def source_priority(rows: DataFrame, keys: Sequence[str], source: str, captured:
     """One row per key: best-ranked source, then the freshest capture."""
     pairs = [F.lit(part) for pair in ranks.items() for part in pair]
     rank = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(source)), F.lit(len(ranks) + 1))
-    fresh = -F.unix_micros(captured)
+    fresh = -F.unix_micros(F.col(captured).cast("timestamp"))
     return keep_first(rows.withColumn("source_rank", rank), keys, ["source_rank", fresh.alias("_fresh"), tie])
 
 

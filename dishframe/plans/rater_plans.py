@@ -68,20 +68,13 @@ def clean_judgments(spark, sf):
 
 
 @catalog.query(
-    f"""WITH {VOTES_SQL} SELECT index, '| ' || index || ' | ' || CASE WHEN avg_score IS NULL THEN '' ELSE printf('%.1f', avg_score) END || ' ' || average_usefulness
+    f"""WITH {VOTES_SQL} SELECT index, '| ' || index || ' | ' || CASE WHEN avg_score IS NULL THEN '' ELSE printf('%.2f', avg_score) END || ' ' || average_usefulness
       || ' | ' || confidence || ' | ' || high || '/' || medium || '/' || low || '/' || none || ' | ' || title || ' | ' || url || ' |' AS line FROM
-      (SELECT * REPLACE (round(avg_score, 1) AS avg_score) FROM consensus)"""
+      (SELECT * REPLACE (round_even(avg_score, 2) AS avg_score) FROM consensus)"""
 )
 def consensus_report(spark, sf):
     rows = raters.consensus(canonical(spark, sf), raters.first_votes(judgments(spark, sf)))
-    votes = F.concat_ws("/", "high", "medium", "low", "none")
-    average = F.coalesce(F.round("avg_score", 1).cast("decimal(3,1)").cast("string"), F.lit(""))
-    return rows.select(
-        "index",
-        reports.table_row(
-            F.col("index"), F.concat(average, F.lit(" "), "average_usefulness"), F.col("confidence"), votes, F.col("title"), F.col("url")
-        ).alias("line"),
-    )
+    return rows.select("index", reports.consensus_line().alias("line"))
 
 
 @catalog.query(

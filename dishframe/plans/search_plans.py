@@ -29,7 +29,7 @@ def exclude_filter(spark, sf):
 
 
 PLACES_SQL = """place AS (SELECT s_suppkey, s_name, 42 + s_acctbal / 20000 AS lat, -83 - s_nationkey / 50.0 AS lon FROM supplier),
-rated AS (SELECT user_id AS s_suppkey, round(avg(value), 2) AS rating FROM events GROUP BY user_id),
+rated AS (SELECT user_id AS s_suppkey, sum(round(value * 100)::BIGINT)::BIGINT / (100.0 * count(*))::DOUBLE AS rating FROM events GROUP BY user_id),
 located AS (SELECT *, 12742.0 * asin(sqrt(pow(sin(radians(lat - 42.2) / 2), 2) + cos(radians(42.2)) * cos(radians(lat)) * pow(sin(radians(lon + 83.2) / 2), 2))) AS km FROM place)"""
 
 
@@ -37,7 +37,9 @@ def _result_rows(spark, sf):
     places = table(spark, sf, "supplier").select(
         "s_suppkey", "s_name", (F.lit(42) + F.col("s_acctbal") / 20000).alias("lat"), (F.lit(-83) - F.col("s_nationkey") / F.lit(50.0)).alias("lon")
     )
-    ratings = table(spark, sf, "events").groupBy(F.col("user_id").alias("s_suppkey")).agg(F.round(F.avg("value"), 2).alias("rating"))
+    ratings = table(spark, sf, "events").groupBy(F.col("user_id").alias("s_suppkey")).agg(
+        (F.sum(F.round(F.col("value") * 100).cast("bigint")) / (F.lit(100.0) * F.count(F.lit(1)))).alias("rating")
+    )
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("s_suppkey"), "l_extendedprice")
     return search.result_rows(items, places, ratings, "s_suppkey", ["l_orderkey", "l_linenumber", "l_partkey"], LAT, LON)
 
@@ -73,16 +75,14 @@ def source_priority(spark, sf):
 
 
 @catalog.query(
-    """SELECT user_id, round(sum(rating * votes) / sum(votes), 6) AS composite_rating, sum(votes)::BIGINT AS total_votes, count(*) AS n_providers
-    FROM (SELECT user_id, event_type, 1 + avg(value) / 100 AS rating, count(*) AS votes FROM events GROUP BY ALL) GROUP BY user_id"""
+    """SELECT user_id, sum(rating * votes)::BIGINT / sum(votes)::BIGINT AS composite_rating, sum(votes)::BIGINT AS total_votes, count(*) AS n_providers
+    FROM (SELECT user_id, event_type, floor(max(value))::BIGINT AS rating, count(*) AS votes FROM events GROUP BY ALL) GROUP BY user_id"""
 )
 def composite_rating(spark, sf):
     providers = table(spark, sf, "events").groupBy("user_id", "event_type").agg(
-        (F.lit(1) + F.avg("value") / 100).alias("rating"), F.count(F.lit(1)).alias("votes")
-    )
-    return search.composite_rating(providers, ["user_id"], "rating", "votes").withColumn(
-        "composite_rating", F.round("composite_rating", 6)
+        F.floor(F.max("value")).alias("rating"), F.count(F.lit(1)).alias("votes")
     )
+    return search.composite_rating(providers, ["user_id"], "rating", "votes")
 
 
 @catalog.query(
@@ -109,11 +109,11 @@ def alias_lookup(spark, sf):
 
 
 @catalog.query(
-    """SELECT * FROM (SELECT source, count(*) FILTER (regexp_matches(text, '(?i)contact')) AS n_wanted, count(*) FILTER (regexp_matches(text, 'ATENRE')) AS n_unwanted
+    """SELECT * FROM (SELECT source, count(*) FILTER (regexp_matches(text, '(?i)review|rating')) AS n_wanted, count(*) FILTER (regexp_matches(text, '@[a-z]')) AS n_unwanted
       FROM documents GROUP BY source) WHERE n_wanted > 0 AND n_unwanted = 0"""
 )
 def phrase_filter(spark, sf):
-    return search.phrase_filter(table(spark, sf, "documents"), ["source"], "text", "(?i)contact", "ATENRE")
+    return search.phrase_filter(table(spark, sf, "documents"), ["source"], "text", "(?i)review|rating", "@[a-z]")
 
 
 @catalog.query(
@@ -134,10 +134,10 @@ def price_outliers(spark, sf):
 
 
 @catalog.query(
-    """SELECT user_id, round(count(*) FILTER (event_type = 'view') / nullif(count(*) FILTER (event_type = 'signup'), 0), 6) AS photo_ratio FROM events GROUP BY user_id"""
+    """SELECT user_id, count(*) FILTER (event_type = 'view') / nullif(count(*) FILTER (event_type = 'signup'), 0) AS photo_ratio FROM events GROUP BY user_id"""
 )
 def photo_ratio(spark, sf):
     places = table(spark, sf, "events").groupBy("user_id").agg(
         F.count_if(F.col("event_type") == "view").alias("photos"), F.count_if(F.col("event_type") == "signup").alias("reviews")
     )
-    return search.photo_ratio(places, "photos", "reviews").select("user_id", F.round("photo_ratio", 6).alias("photo_ratio"))
+    return search.photo_ratio(places, "photos", "reviews").select("user_id", "photo_ratio")
