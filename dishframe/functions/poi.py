@@ -134,7 +134,13 @@ def _pick_tier(certain: Column, likely: Column, text: Column) -> Column:
         F.array_sort(F.array_distinct(reasons)).alias("reasons"),
         text.alias("searched_text"),
     )
-    return F.when(F.size(certain) > 0, result("high", certain)).when(F.size(likely) > 0, result("likely", likely))
+    tiers = F.struct(certain.alias("certain"), likely.alias("likely"))
+    return let(
+        tiers,
+        lambda t: F.when(F.size(t["certain"]) > 0, result("high", t["certain"])).when(
+            F.size(t["likely"]) > 0, result("likely", t["likely"])
+        ),
+    )
 
 
 SEARCH_FIELDS = ("name", "brand", "operator", "official_name", "website", "url", "contact:website")

@@ -13,7 +13,8 @@ from pyspark.sql import Column, functions as F
 
 # (?U) gives \s the Unicode meaning, which also covers no-break spaces.
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
-_SPACE_RUN = r"(?U)\s+"
+# Runs that differ from one plain space: replacing only these leaves most of a text alone.
+_ODD_SPACE = r"(?U) ?[\s&&[^ ]]\s*| \s+"
 
 # Words that carry no identity in a restaurant name.
 NAME_STOPWORDS = ("a", "an", "and", "bar", "grill", "mexican", "of", "restaurant", "taqueria", "the")
@@ -50,7 +51,7 @@ def strip(text: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """One space per whitespace run, none at the edges."""
-    return strip(F.regexp_replace(text, _SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(text, _ODD_SPACE, " "))
 
 
 def drop_control(text: Column) -> Column:
@@ -224,7 +225,7 @@ def message_text(content: Column, parts: Column) -> Column:
 
 def json_preview(document: Column, limit: int) -> Column:
     """Whitespace-collapsed JSON cut to a display length."""
-    return F.substring(F.regexp_replace(F.to_json(document), _SPACE_RUN, " "), 1, limit)
+    return F.substring(F.regexp_replace(F.to_json(document), _ODD_SPACE, " "), 1, limit)
 
 
 def jsonish(text: Column) -> Column:

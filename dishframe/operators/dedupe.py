@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.text import collapse
 from dishframe.operators.folding import keep_first, keep_last
+from dishframe.session import settle
 from dishframe.operators.skew import HEAVY_ROWS, row_numbers, salted_lookup
 
 
 def content_hash(text: Column) -> Column:
-    """SHA-256 of the whitespace-collapsed lower-case text."""
-    return F.sha2(F.lower(collapse(text)), 256)
+    """SHA-256 of the whitespace-collapsed lower-case text; a missing text counts as empty.
+
+    Not nullable, so no join adds a null test that would hash every text a second time.
+    """
+    return F.coalesce(F.sha2(F.lower(collapse(F.coalesce(text, F.lit("")))), 256), F.lit(""))
 
 
 def markup_hash(markup: Column) -> Column:
@@ -31,9 +35,10 @@ def content_sources(
 ) -> DataFrame:
     """Every occurrence with the first one it repeats: the long form of a source list.
 
-    A content copied into a third of all pages stays spread over many tasks.
+    A content copied into a third of all pages stays spread over many tasks. The texts are read
+    and hashed once; what follows works on the settled (position, source, hash) table.
     """
-    keyed = df.select(order, source, key.alias("content_key"))
+    keyed = settle(df.select(order, source, key.alias("content_key")))
     groups = keyed.groupBy("content_key").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("_n"))
     return salted_lookup(
         keyed, groups.select("content_key", "kept"), ["content_key"], [order], "inner",

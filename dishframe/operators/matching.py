@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.text import NAME_STOPWORDS, name_tokens
-from dishframe.operators.skew import HEAVY_ROWS, heavy_keys, salt_of
+from dishframe.operators.skew import HEAVY_ROWS, heavy_keys, replicate, salt_rows
 
 
 def token_matches(
@@ -20,7 +20,6 @@ def token_matches(
     haystack: Column,
     stopwords: Sequence[str] = NAME_STOPWORDS,
     min_rows: int = HEAVY_ROWS,
-    salts: int = 64,
 ) -> DataFrame:
     """(place, page) pairs accepted by the rule, with the shared tokens.
 
@@ -34,13 +33,8 @@ def token_matches(
     right = texts.select(page, "_hay", F.explode(name_tokens(F.col("_hay"), stopwords)).alias("_t"))
     counts = right.groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
     heavy = F.broadcast(heavy_keys(counts, ["_t"], "_n", min_rows))
-    salted = right.join(heavy, "_t", "left").withColumn(
-        "_salt", F.when(F.col("_heavy"), salt_of([page], salts)).otherwise(F.lit(0))
-    ).drop("_heavy")
-    spread = left.join(heavy, "_t", "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("_heavy")
+    salted = salt_rows(right, heavy, ["_t"], [page])
+    spread = replicate(left, heavy, ["_t"])
     in_city = F.coalesce((F.col("_city") != "") & F.contains("_hay", F.col("_city")), F.lit(False))
     met = spread.join(salted, ["_t", "_salt"])
     # Without the city a pair needs two tokens, so one-token names can be dropped at once.

@@ -79,6 +79,11 @@ def with_routes(features: DataFrame, tags: str = "tags") -> DataFrame:
     )
 
 
+def matched(records: DataFrame, keys: Sequence[str], match: Column) -> DataFrame:
+    """Records with a match, its fields as columns; the match is evaluated once per record."""
+    return records.select(*keys, F.inline(F.array_compact(F.array(match))))
+
+
 def feature_counters(features: DataFrame) -> DataFrame:
     """All extraction counters in one pass over (type, tags, missing_node_refs, lat)."""
     t = F.col("tags")

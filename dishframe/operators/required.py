@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import MONEY, dollars, price_value
-from dishframe.operators.skew import k_extremes
+from dishframe.operators.skew import k_sums
 
 # How equal prices of a required group count: 'once', or 'times' the number of picks.
 EQUAL_PRICE_MODES = ("once", "times")
@@ -21,10 +21,11 @@ def priced_groups(
     spread: Sequence[str] = ("option_pos",),
     group: str = "group_pos",
     price: str = "price",
+    most: int | None = None,
 ) -> DataFrame:
     """Per required group with at least one priced option: bounds, counts and its addition to the price.
 
-    `pick` is NULL for a group that does not bind.
+    `pick` is NULL for a group that does not bind; `most` is an upper bound of it, if one is known.
     """
     if mode not in EQUAL_PRICE_MODES:
         raise ValueError(f"equal-price mode must be one of {EQUAL_PRICE_MODES}")
@@ -36,7 +37,7 @@ def priced_groups(
         F.count(F.lit(1)).alias("n_options"),
         F.max("_pick").alias("pick"),
     )
-    sums = k_extremes(priced, keys, price, F.col("_pick"), spread).select(*keys, F.col("low").alias("cheapest"))
+    sums = k_sums(priced, keys, price, F.col("_pick"), "cheapest", most=most, spread=spread)
     equal = F.col("floor") * (F.lit(1) if mode == "once" else F.col("pick"))
     return (
         shape.join(sums, keys)

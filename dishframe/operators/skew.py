@@ -118,15 +118,38 @@ def with_context(
 
 
 def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """The keys worth salting: at most HEAVY_KEYS rows, so always small enough to broadcast."""
+    """The keys worth salting and their number of salts: one per min_rows rows.
+
+    At most HEAVY_KEYS rows come out, so the result is always small enough to broadcast.
+    """
     return (
         counts.filter(F.col(rows) > min_rows)
         .orderBy(F.desc(rows))
         .limit(HEAVY_KEYS)
-        .select(*keys, F.lit(True).alias("_heavy"))
+        .select(*keys, F.ceil(F.col(rows) / F.lit(min_rows)).cast("int").alias("_salts"))
     )
 
 
+def salt_rows(rows: DataFrame, heavy: DataFrame, keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
+    """Add _salt: spread over the salts of a heavy key, and over SALTS for a NULL key that matches nothing."""
+    unknown = F.lit(False)
+    for key in keys:
+        unknown = unknown | F.col(key).isNull()
+    mixed = F.xxhash64(*spread)
+    salt = (
+        F.when(F.col("_salts").isNotNull(), F.pmod(mixed, F.col("_salts")))
+        .when(unknown, F.pmod(mixed, F.lit(SALTS)))
+        .otherwise(F.lit(0))
+    )
+    return rows.join(heavy, list(keys), "left").withColumn("_salt", salt.cast("int")).drop("_salts")
+
+
+def replicate(lookup: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One copy of a lookup row per salt of its key."""
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return lookup.join(heavy, list(keys), "left").withColumn("_salt", F.explode(salts)).drop("_salts")
+
+
 def salted_lookup(
     rows: DataFrame,
     lookup: DataFrame,
@@ -135,7 +158,6 @@ def salted_lookup(
     how: str = "left",
     counts: DataFrame | None = None,
     min_rows: int = HEAVY_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join rows to a lookup unique on keys, spreading the rows of heavy and of NULL keys.
 
@@ -144,55 +166,42 @@ def salted_lookup(
     keys = list(keys)
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if counts is None else counts
     heavy = F.broadcast(heavy_keys(counts, keys, "_n", min_rows))
-    unknown = F.lit(False)
-    for key in keys:
-        unknown = unknown | F.col(key).isNull()
-    left = (
-        rows.join(heavy, keys, "left")
-        .withColumn("_salt", F.when(F.col("_heavy") | unknown, salt_of(spread, salts)).otherwise(F.lit(0)))
-        .drop("_heavy")
-    )
-    right = (
-        lookup.join(heavy, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_heavy")
-    )
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    left = salt_rows(rows, heavy, keys, spread)
+    return left.join(replicate(lookup, heavy, keys), [*keys, "_salt"], how).drop("_salt")
 
 
-def k_extremes(
+def k_sums(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     k: Column,
-    spread: Sequence[str],
-    low: str = "low",
-    high: str = "high",
-    salts: int = 16,
+    name: str,
+    descending: bool = False,
+    most: int | None = None,
+    spread: Sequence[str] = (),
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Sums of the k smallest and of the k largest values per group; all when fewer than k.
+    """Sum of the k smallest (or largest) values per group; of all when there are fewer.
 
-    A first cut per salt leaves at most 2k rows per salt for the final ranking.
+    With `most`, an upper bound of k, Spark keeps that many rows per group and map task before
+    the exchange; a larger k is an error. Without it a first cut runs per salt.
     """
     keys = list(keys)
-
-    def ranked(frame: DataFrame, by: list[str]) -> DataFrame:
-        return frame.withColumn(
-            "_up", F.row_number().over(Window.partitionBy(*by).orderBy(F.col(value).asc(), *spread))
-        ).withColumn("_down", F.row_number().over(Window.partitionBy(*by).orderBy(F.col(value).desc(), *spread)))
-
-    cut = (F.col("_up") <= F.col("_k")) | (F.col("_down") <= F.col("_k"))
-    staged = df.withColumn("_k", k).withColumn("_salt", salt_of(spread, salts))
-    first = ranked(staged, [*keys, "_salt"]).filter(cut).drop("_up", "_down")
-    return (
-        ranked(first, keys)
-        .filter(cut)
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.when(F.col("_up") <= F.col("_k"), F.col(value))).alias(low),
-            F.sum(F.when(F.col("_down") <= F.col("_k"), F.col(value))).alias(high),
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    staged = df.select(*keys, value, k.alias("_k"), *[c for c in spread if c not in (*keys, value)])
+    if most is not None:
+        bounded = F.when(F.col("_k") <= most, F.col("_k")).otherwise(
+            F.raise_error(F.lit(f"more than {most} picks")).cast("int")
         )
-    )
+        limited = staged.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter(
+            F.col("_r") <= most
+        )
+        kept = limited.filter(F.col("_r") <= bounded)
+    else:
+        salted = staged.withColumn("_salt", salt_of(spread, salts))
+        first = Window.partitionBy(*keys, "_salt").orderBy(order)
+        cut = salted.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= F.col("_k"))
+        kept = cut.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter(
+            F.col("_r") <= F.col("_k")
+        )
+    return kept.groupBy(*keys).agg(F.sum(value).alias(name))

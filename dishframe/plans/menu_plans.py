@@ -8,8 +8,8 @@ from dishframe import schemas
 from dishframe.functions import price as money
 from dishframe.functions import sizes as size_fn
 from dishframe.operators import folding, options, required, sizes
-from dishframe.operators.skew import k_extremes
-from dishframe.plans.tables import Catalog, table
+from dishframe.operators.skew import k_sums
+from dishframe.plans.tables import Catalog, spread, table
 
 catalog = Catalog()
 
@@ -237,8 +237,10 @@ def price_bounds(spark, sf):
     lines = table(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("R", "A")).select(
         "l_orderkey", "l_returnflag", "l_extendedprice", "l_linenumber", "l_partkey"
     )
-    sums = k_extremes(lines, ["l_orderkey", "l_returnflag"], "l_extendedprice", F.lit(2), ["l_linenumber", "l_partkey"])
-    return sums.select("l_orderkey", "l_returnflag", F.round("low", 2).alias("low"), F.round("high", 2).alias("high"))
+    keys = ["l_orderkey", "l_returnflag"]
+    low = k_sums(lines, keys, "l_extendedprice", F.lit(2), "low", most=2)
+    high = k_sums(lines, keys, "l_extendedprice", F.lit(2), "high", descending=True, most=2)
+    return low.join(high, keys).select(*keys, F.round("low", 2).alias("low"), F.round("high", 2).alias("high"))
 
 
 def item_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -287,7 +289,7 @@ def item_pages(spark: SparkSession, sf: str) -> DataFrame:
         "Goes with", "item", F.lit(True), F.lit(0), F.array(option(F.lit("Soup"), size * 10, none), option(F.col("p_type"), size * 20, none))
     )
     tree = F.array(sizes_group, toppings, cross).cast(schemas.OPTION_LISTS)
-    return table(spark, sf, "part").select(
+    return spread(table(spark, sf, "part")).select(
         F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("section"), F.col("p_name").alias("name"),
         F.struct(
             F.struct(
@@ -408,7 +410,7 @@ def cross_sell(spark, sf):
 def modifier_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Lines as options: the order is the item, the return flag the group."""
     flag = F.col("l_returnflag")
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem")).select(
         "l_orderkey",
         flag.alias("group_pos"),
         F.concat(F.lit("Group "), flag).alias("group_name"),
@@ -443,7 +445,7 @@ def _resolved(groups: DataFrame) -> DataFrame:
 @catalog.query(_resolved_sql("lo"))
 def equal_price_once(spark, sf):
     pick = money.required_count(F.col("rule_text"))
-    return _resolved(required.priced_groups(modifier_rows(spark, sf), ["l_orderkey"], pick, "once"))
+    return _resolved(required.priced_groups(modifier_rows(spark, sf), ["l_orderkey"], pick, "once", most=2))
 
 
 @catalog.query(_resolved_sql("lo * pick"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from dishframe.functions import html, urls
 from dishframe.functions import text as tx
 from dishframe.operators import arrays, dedupe, jsonwalk, links, matching, ordering, reports, signals
-from dishframe.plans.tables import Catalog, table
+from dishframe.plans.tables import Catalog, spread, table
 from dishframe.sources import files
 
 catalog = Catalog()
@@ -29,7 +29,7 @@ page_line AS (SELECT page_id, unnest(lines) AS line, (unnest(generate_series(1,
 
 
 def page_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages").select("page_id", "html")).select(
         "page_id", F.posexplode(html.visible_lines(F.col("html"))).alias("line_no", "line")
     )
 
@@ -211,7 +211,7 @@ NUMBER = r"(?i)([0-9][0-9,]*)\s+([a-z]+)"
 )
 def signal_values(spark, sf):
     hits = signals.pattern_hits(F.col("text"), NUMBER, 180, 260, 25)
-    return table(spark, sf, "documents").select("doc_id", F.posexplode(hits).alias("pos", "h")).select("doc_id", "pos", "h.*")
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(hits).alias("pos", "h")).select("doc_id", "pos", "h.*")
 
 
 DOC_LINES_SQL = r"""doc_line AS (SELECT doc_id, lines, unnest(lines) AS line, unnest(generate_series(1, len(lines))) AS i FROM (
@@ -230,7 +230,7 @@ def _doc_lines() -> Column:
     SELECT doc_id, (rn - 1)::INT AS pos, left(line, 800) AS line FROM ranked WHERE rn <= 80"""
 )
 def review_lines(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.posexplode(signals.review_lines(_doc_lines())).alias("pos", "line"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(signals.review_lines(_doc_lines())).alias("pos", "line"))
 
 
 @catalog.query(
@@ -243,7 +243,7 @@ def review_lines(spark, sf):
 )
 def review_snippets(spark, sf):
     found = ordering.review_snippets(_doc_lines())
-    return table(spark, sf, "documents").select("doc_id", F.posexplode(found).alias("pos", "snippet"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(found).alias("pos", "snippet"))
 
 
 @catalog.query(
@@ -253,11 +253,11 @@ def review_snippets(spark, sf):
     FROM pages JOIN texts USING (page_id)"""
 )
 def page_signals(spark, sf):
-    found = signals.page_signals(table(spark, sf, "pages")).select(
+    found = signals.page_signals(spread(table(spark, sf, "pages"))).select(
         "page_id", "html_chars", "text_chars", F.size("count_candidates").alias("n_counts")
     )
     text = F.array_join(html.visible_lines(F.col("html")), "\n")
-    menuish = table(spark, sf, "pages").select("page_id", urls.looks_like_menu(text).alias("looks_menuish"))
+    menuish = spread(table(spark, sf, "pages")).select("page_id", urls.looks_like_menu(text).alias("looks_menuish"))
     return found.join(menuish, "page_id")
 
 
@@ -356,14 +356,14 @@ KEYED_SQL = r"keyed AS (SELECT doc_id, source, lang, sha256(lower(trim(regexp_re
     FROM keyed GROUP BY content_key"""
 )
 def content_dedupe(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
     keyed = documents.withColumn("key", dedupe.content_hash(F.col("text"))).drop("text")
     return dedupe.content_groups(keyed, F.col("key"), "doc_id").drop("key")
 
 
 @catalog.query(f"WITH {KEYED_SQL} SELECT min(doc_id) OVER (PARTITION BY content_key) AS kept, doc_id, source FROM keyed")
 def content_sources(spark, sf):
-    documents = table(spark, sf, "documents")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
     return dedupe.content_sources(documents, dedupe.content_hash(F.col("text")), "doc_id", "source")
 
 

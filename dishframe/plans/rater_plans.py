@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dishframe.functions import price as money
 from dishframe.functions import text as tx
 from dishframe.operators import comparison, raters, reports
-from dishframe.plans.tables import Catalog, table
+from dishframe.plans.tables import Catalog, spread, table
 
 catalog = Catalog()
 
@@ -227,7 +227,7 @@ def disagreement(spark, sf):
 
 def _pipe_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as pipe rows: every sentence end becomes a cell border."""
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents").select("source", "doc_id", "text")).select(
         F.col("source").alias("model"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
     ).select("model", "doc_id", "line_no", F.replace("raw", F.lit(". "), F.lit(" | ")).alias("line"))
 

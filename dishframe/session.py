@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: each can be changed on a live session.
 SQL_SETTINGS = {
@@ -37,8 +36,14 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "8
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a scratch folder only where none is named."""
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = os.path.join(tempfile.mkdtemp(prefix="spark-", dir="/tmp"), "checkpoints")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return named or context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a slim intermediate table to the checkpoint folder, so later steps read it, not its sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
