@@ -120,14 +120,14 @@ def ld_menu_items(menus: DataFrame, key: Sequence[str], menu: str = "menu") -> D
 
 def model_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, model, line_no, line) of rater output files; the model is named by a comment or the file."""
-    whole = spark.read.option("wholetext", True).text(path).select(file_name().alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(file_name().alias("file"), "value")
     named = F.coalesce(present(F.regexp_extract("value", MODEL_COMMENT, 1)), file_stem(F.col("file")))
     return whole.select("file", named.alias("model"), F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line_no", "line"))
 
 
 def saved_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(page_id, html) of saved pages, one row per file."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(file_stem(file_name()).alias("page_id"), F.col("value").alias("html"))
 
 
