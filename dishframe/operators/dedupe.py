@@ -39,11 +39,8 @@ def content_sources(
     and hashed once; what follows works on the settled (position, source, hash) table.
     """
     keyed = settle(df.select(order, source, key.alias("content_key")))
-    groups = keyed.groupBy("content_key").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("_n"))
-    return salted_lookup(
-        keyed, groups.select("content_key", "kept"), ["content_key"], [order], "inner",
-        counts=groups.select("content_key", "_n"), min_rows=min_rows,
-    ).select("kept", order, source)
+    first = keyed.groupBy("content_key").agg(F.min(order).alias("kept"))
+    return salted_lookup(keyed, first, ["content_key"], [order], "inner", min_rows).select("kept", order, source)
 
 
 def line_dedupe(lines: DataFrame, page: Sequence[str], line: str = "line", position: str = "line_no") -> DataFrame:

@@ -82,7 +82,15 @@ def section_order(
 
 
 def badge_flag(
-    items: DataFrame, badges: DataFrame | None, menu: Sequence[str], item: str, card_text: str, phrase: str, label: str
+    items: DataFrame,
+    badges: DataFrame | None,
+    menu: Sequence[str],
+    item: str,
+    card_text: str,
+    phrase: str,
+    label: str,
+    spread: Sequence[str],
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Label from a badge table where there is one, else from the phrase on any card of the item."""
     if badges is None:
@@ -91,7 +99,7 @@ def badge_flag(
         marked = badges
     marked = marked.filter(F.col(item).isNotNull()).select(*menu, item).distinct().withColumn("_marked", F.lit(True))
     return (
-        items.join(marked, [*menu, item], "left")
+        salted_lookup(items, marked, [*menu, item], spread, min_rows=min_rows)
         .withColumn("special", F.when(F.col("_marked"), F.lit(label)))
         .drop("_marked")
     )

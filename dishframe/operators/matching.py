@@ -31,8 +31,7 @@ def token_matches(
     left = names.select(place, "_city", F.size("_tokens").alias("_n"), F.explode("_tokens").alias("_t"))
     texts = pages.select(page, F.lower(haystack).alias("_hay"))
     right = texts.select(page, "_hay", F.explode(name_tokens(F.col("_hay"), stopwords)).alias("_t"))
-    counts = right.groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
-    heavy = F.broadcast(heavy_keys(counts, ["_t"], "_n", min_rows))
+    heavy = heavy_keys(right, ["_t"], min_rows)
     salted = salt_rows(right, heavy, ["_t"], [page])
     spread = replicate(left, heavy, ["_t"])
     in_city = F.coalesce((F.col("_city") != "") & F.contains("_hay", F.col("_city")), F.lit(False))

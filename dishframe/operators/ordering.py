@@ -118,9 +118,9 @@ def unique_slugs(
 ) -> DataFrame:
     """Slug per row; every later row with a used slug gets the digest appended."""
     staged = rows.withColumn("_slug", slug(F.col(title), fallback=fallback)).withColumn("_digest", digest)
-    first = staged.groupBy("_slug").agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = staged.groupBy("_slug").agg(F.min(position).alias("_first"))
     return (
-        salted_lookup(staged, first.drop("_n"), ["_slug"], [position], "inner", counts=first.select("_slug", "_n"), min_rows=min_rows)
+        salted_lookup(staged, first, ["_slug"], [position], "inner", min_rows)
         .withColumn(
             "slug",
             F.when(F.col(position) == F.col("_first"), F.col("_slug")).otherwise(F.concat_ws("-", "_slug", "_digest")),

@@ -77,10 +77,8 @@ def recent_or_older(
 ) -> DataFrame:
     """Photos up to two years old; for a place without any, those up to four years old."""
     aged = photos.withColumn("age_days", age_days).filter(F.col("age_days") <= older)
-    state = aged.groupBy(*place).agg(F.bool_or(F.col("age_days") <= recent).alias("_fresh"), F.count(F.lit(1)).alias("_n"))
-    known = salted_lookup(
-        aged, state.drop("_n"), place, spread, "inner", counts=state.select(*place, "_n"), min_rows=min_rows
-    )
+    state = aged.groupBy(*place).agg(F.bool_or(F.col("age_days") <= recent).alias("_fresh"))
+    known = salted_lookup(aged, state, place, spread, "inner", min_rows)
     return known.filter(~F.col("_fresh") | (F.col("age_days") <= recent)).drop("_fresh")
 
 
@@ -114,12 +112,8 @@ def price_outliers(
     items: DataFrame, category: Sequence[str], price: str, spread: Sequence[str], z: float, min_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """Items whose price lies z standard deviations from their category's mean."""
-    stats = items.groupBy(*category).agg(
-        F.avg(price).alias("mean"), F.stddev_pop(price).alias("deviation"), F.count(F.lit(1)).alias("_n")
-    )
-    joined = salted_lookup(
-        items, stats.drop("_n"), category, spread, "inner", counts=stats.select(*category, "_n"), min_rows=min_rows
-    )
+    stats = items.groupBy(*category).agg(F.avg(price).alias("mean"), F.stddev_pop(price).alias("deviation"))
+    joined = salted_lookup(items, stats, category, spread, "inner", min_rows)
     return joined.withColumn("z", (F.col(price) - F.col("mean")) / F.nullif(F.col("deviation"), F.lit(0.0))).filter(
         F.abs("z") >= z
     )

@@ -61,9 +61,7 @@ def size_options(
     keys = [*section, "residual_key"]
     members = sized.filter(F.col("size").isNotNull())
     floors = groups.select(*keys, "floor", "shared_structure")
-    return salted_lookup(
-        members, floors, keys, spread, "inner", counts=groups.select(*keys, F.col("n_members").alias("_n")), min_rows=min_rows
-    ).withColumn("delta", (F.coalesce("price_min", F.lit(0).cast(MONEY)) - F.col("floor")).cast(MONEY))
+    return salted_lookup(members, floors, keys, spread, "inner", min_rows).withColumn("delta", (F.coalesce("price_min", F.lit(0).cast(MONEY)) - F.col("floor")).cast(MONEY))
 
 
 def unmerged(
@@ -72,9 +70,7 @@ def unmerged(
     """Items that stay as they are: without a size, or the only one with their residual."""
     keys = [*section, "residual_key"]
     merged = groups.select(*keys, F.lit(True).alias("_merged"))
-    looked_up = salted_lookup(
-        sized, merged, keys, spread, counts=groups.select(*keys, F.col("n_members").alias("_n")), min_rows=min_rows
-    )
+    looked_up = salted_lookup(sized, merged, keys, spread, min_rows=min_rows)
     return looked_up.filter(F.col("size").isNull() | F.col("_merged").isNull()).drop("_merged")
 
 

@@ -15,6 +15,7 @@ CHUNK = 65536
 SALTS = 64
 # No key outside the N heaviest can hold more than 1/N of the rows, so N rows are enough.
 HEAVY_KEYS = 1000
+SKETCH_ITEMS = 10_000
 HEAVY_ROWS = 1_000_000
 
 
@@ -117,37 +118,41 @@ def with_context(
     )
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """The keys worth salting and their number of salts: one per min_rows rows.
+def heavy_keys(rows: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Hashes of the keys worth salting and their number of salts: one per min_rows rows.
 
-    At most HEAVY_KEYS rows come out, so the result is always small enough to broadcast.
+    A frequent-items sketch finds them in one pass without a shuffle by key. It holds at most
+    HEAVY_KEYS keys, so the result is always small enough to broadcast, and it cannot miss a
+    key with more than a thousandth of the rows. An error in it costs balance, never a row.
     """
+    sketch = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(HEAVY_KEYS), F.lit(SKETCH_ITEMS))
     return (
-        counts.filter(F.col(rows) > min_rows)
-        .orderBy(F.desc(rows))
-        .limit(HEAVY_KEYS)
-        .select(*keys, F.ceil(F.col(rows) / F.lit(min_rows)).cast("int").alias("_salts"))
+        rows.agg(sketch.alias("_top"))
+        .select(F.inline("_top"))
+        .filter(F.col("count") > min_rows)
+        .select(F.col("item").alias("_key_hash"), F.ceil(F.col("count") / F.lit(min_rows)).cast("int").alias("_salts"))
     )
 
 
 def salt_rows(rows: DataFrame, heavy: DataFrame, keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
-    """Add _salt: spread over the salts of a heavy key, and over SALTS for a NULL key that matches nothing."""
-    unknown = F.lit(False)
-    for key in keys:
-        unknown = unknown | F.col(key).isNull()
-    mixed = F.xxhash64(*spread)
-    salt = (
-        F.when(F.col("_salts").isNotNull(), F.pmod(mixed, F.col("_salts")))
-        .when(unknown, F.pmod(mixed, F.lit(SALTS)))
-        .otherwise(F.lit(0))
+    """Add _salt: rows of a heavy key, or of a heavy NULL, are spread by the hash of other columns."""
+    return (
+        rows.withColumn("_key_hash", F.xxhash64(*keys))
+        .join(F.broadcast(heavy), "_key_hash", "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).cast("int"))
+        .drop("_key_hash", "_salts")
     )
-    return rows.join(heavy, list(keys), "left").withColumn("_salt", salt.cast("int")).drop("_salts")
 
 
 def replicate(lookup: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One copy of a lookup row per salt of its key."""
     salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    return lookup.join(heavy, list(keys), "left").withColumn("_salt", F.explode(salts)).drop("_salts")
+    return (
+        lookup.withColumn("_key_hash", F.xxhash64(*keys))
+        .join(F.broadcast(heavy), "_key_hash", "left")
+        .withColumn("_salt", F.explode(salts))
+        .drop("_key_hash", "_salts")
+    )
 
 
 def salted_lookup(
@@ -156,16 +161,11 @@ def salted_lookup(
     keys: Sequence[str],
     spread: Sequence[str],
     how: str = "left",
-    counts: DataFrame | None = None,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Join rows to a lookup unique on keys, spreading the rows of heavy and of NULL keys.
-
-    `counts` may bring known row counts as column _n; else they are counted first.
-    """
+    """Join rows to a lookup unique on keys, with the rows of heavy keys spread over many tasks."""
     keys = list(keys)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if counts is None else counts
-    heavy = F.broadcast(heavy_keys(counts, keys, "_n", min_rows))
+    heavy = heavy_keys(rows, keys, min_rows)
     left = salt_rows(rows, heavy, keys, spread)
     return left.join(replicate(lookup, heavy, keys), [*keys, "_salt"], how).drop("_salt")
 

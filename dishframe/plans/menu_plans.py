@@ -165,7 +165,7 @@ def badge_fallback(spark, sf):
         "button_text",
         F.when((F.col("section") == "signup") & (F.col("value") > 50), "Add Best Seller").otherwise("Add"),
     )
-    return folding.badge_flag(cards, None, ["user_id"], "item", "button_text", "Best Seller", "best seller").select(
+    return folding.badge_flag(cards, None, ["user_id"], "item", "button_text", "Best Seller", "best seller", ["event_id"]).select(
         "event_id", "special"
     )
 
