@@ -12,7 +12,12 @@ _AMOUNT = r"\$?\s*(\d+(?:\.\d{1,2})?)"
 
 
 def _to_money(digits: Column) -> Column:
-    return F.replace(digits, F.lit(","), F.lit("")).try_cast(MONEY)
+    return _number(F.replace(digits, F.lit(","), F.lit("")), MONEY)
+
+
+def _number(digits: Column, kind: str) -> Column:
+    """Cast of matched digits; no match stays NULL, as a failing cast of '' costs an exception per row."""
+    return present(digits).try_cast(kind)
 
 
 def price_value(text: Column) -> Column:
@@ -41,7 +46,7 @@ def dollars(amount: Column) -> Column:
 def normalize_price(text: Column) -> Column:
     """First number as '$x.xx', else the stripped text."""
     bare = strip(text)
-    amount = F.regexp_extract(bare, _AMOUNT, 1).try_cast(MONEY)
+    amount = _number(F.regexp_extract(bare, _AMOUNT, 1), MONEY)
     return F.coalesce(dollars(amount), bare)
 
 
@@ -82,7 +87,7 @@ def price_slot(top: Column, bottom: Column, prefer: str = "top") -> Column:
 def required_count(rule: Column) -> Column:
     """How many options a rule text demands; NULL for an optional or unknown rule."""
     text = F.lower(rule)
-    number = F.regexp_extract(text, r"\d+", 0).try_cast("int")
+    number = _number(F.regexp_extract(text, r"\d+", 0), "int")
     return (
         F.when(F.contains(text, F.lit("optional")), F.lit(None).cast("int"))
         .when(number.isNotNull(), number)
@@ -123,9 +128,9 @@ def price_unless_sold_out(price: Column, sold_out: Column) -> Column:
 
 def popularity(card_text: Column) -> Column:
     """Struct (featured_rank, like_percent, like_review_count, is_popular) read from a card's lines."""
-    rank = F.regexp_extract(card_text, r"(?m)^#(\d+) most liked$", 1).try_cast("int")
-    percent = F.regexp_extract(card_text, r"(\d+)%\s*\((\d+)\)", 1).try_cast("int")
-    votes = F.regexp_extract(card_text, r"(\d+)%\s*\((\d+)\)", 2).try_cast("int")
+    rank = _number(F.regexp_extract(card_text, r"(?m)^#(\d+) most liked$", 1), "int")
+    percent = _number(F.regexp_extract(card_text, r"(\d+)%\s*\((\d+)\)", 1), "int")
+    votes = _number(F.regexp_extract(card_text, r"(\d+)%\s*\((\d+)\)", 2), "int")
     return F.struct(
         rank.alias("featured_rank"),
         percent.alias("like_percent"),

@@ -80,7 +80,7 @@ def split_size(title: Column) -> Column:
 
 def size_order(size: Column) -> Column:
     """Sortable struct: inches ascending, then the vocabulary rank, then the text."""
-    inches = F.regexp_extract(size, r'^(\d+)"$', 1).try_cast("int")
+    inches = present(F.regexp_extract(size, r'^(\d+)"$', 1)).try_cast("int")
     ranks = F.create_map(*[p for i, t in enumerate(SIZE_TOKENS) for p in (F.lit(t.lower()), F.lit(i))])
     rank = F.coalesce(F.try_element_at(ranks, F.lower(size)), F.lit(UNKNOWN_SIZE_RANK))
     return F.struct(

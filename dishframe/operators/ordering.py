@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dishframe.functions.text import let, slug
+from dishframe.functions.price import looks_like_price, price_slot, tidy_price
+from dishframe.functions.text import collapse, join_present, let, slug
+from dishframe.operators.folding import keep_first
 from dishframe.operators.skew import CHUNK, HEAVY_ROWS, carry_forward, row_numbers, salted_lookup, with_context
 
 # Date forms that mark a review line.
@@ -88,6 +90,35 @@ def attach_orphan_prices(
     ).withColumn("resolved_price", F.coalesce("_price", "_first_orphan")).drop("_price", "_first_orphan")
 
 
+def menu_page_items(rows: DataFrame, keys: Sequence[str], position: str, width: int = CHUNK) -> DataFrame:
+    """Items of printed menu pages: (title, description, price).
+
+    rows carries title, description, price_top and price_bottom. The top slot is read first; a
+    slot text that is no price joins the description, and an untitled price goes to the last
+    titled row that has none.
+    """
+    shown = collapse(price_slot(F.col("price_top"), F.col("price_bottom")))
+    own = F.when(looks_like_price(F.col("_shown")), tidy_price(F.col("_shown")))
+    staged = rows.select(
+        *keys, position, collapse(F.coalesce("title", F.lit(""))).alias("title"),
+        F.coalesce("description", F.lit("")).alias("description"), shown.alias("_shown"),
+    ).withColumn("_own", own)
+    priced = attach_orphan_prices(
+        staged, keys, position, F.col("title") != "", F.col("_own"), F.col("_own"), width
+    )
+    extra = F.when(F.col("_own").isNull(), F.col("_shown"))
+    return priced.select(
+        *keys, position, "title",
+        collapse(join_present(" ", F.col("description"), extra)).alias("description"),
+        F.coalesce("resolved_price", F.lit("")).alias("price"),
+    )
+
+
+def first_section(sections: DataFrame, keys: Sequence[str], title: str, wanted: str, position: str) -> DataFrame:
+    """First section with the wanted title per key."""
+    return keep_first(sections.filter(F.col(title) == wanted), keys, [position])
+
+
 def reading_order(
     blocks: DataFrame,
     page: Sequence[str],

@@ -96,7 +96,7 @@ def section_order(spark, sf):
 )
 def prefer_flagged_join(spark, sf):
     flagged = F.col("l_returnflag") == "R"
-    cards = table(spark, sf, "lineitem").select(
+    cards = spread(table(spark, sf, "lineitem")).select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_orderkey").cast("string").alias("name"),
         flagged.alias("in_featured_carousel"),
@@ -234,7 +234,7 @@ def price_range(spark, sf):
     FROM required GROUP BY ALL"""
 )
 def price_bounds(spark, sf):
-    lines = table(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("R", "A")).select(
+    lines = spread(table(spark, sf, "lineitem")).filter(F.col("l_returnflag").isin("R", "A")).select(
         "l_orderkey", "l_returnflag", "l_extendedprice", "l_linenumber", "l_partkey"
     )
     keys = ["l_orderkey", "l_returnflag"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from dishframe.functions import html, urls
+from dishframe.functions import html, price, urls
 from dishframe.functions import text as tx
 from dishframe.operators import arrays, dedupe, jsonwalk, links, matching, ordering, reports, signals
 from dishframe.plans.tables import Catalog, spread, table
@@ -449,7 +449,7 @@ def orphan_attach(spark, sf):
       row_number() OVER (PARTITION BY l_orderkey ORDER BY column_no, l_quantity, l_suppkey, l_partkey, l_linenumber) AS block_no FROM placed"""
 )
 def reading_order(spark, sf):
-    blocks = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity")
+    blocks = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity")
     return ordering.reading_order(
         blocks, ["l_orderkey"], "l_suppkey", "l_quantity", F.lit(50), ["l_suppkey", "l_partkey", "l_linenumber"]
     ).drop("l_quantity")
@@ -492,6 +492,89 @@ def result_blocks(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", block.alias("block"), title.alias("block_title"))
 
 
+PRINTED_SQL = """printed AS (SELECT user_id, event_id, CASE WHEN event_type IN ('signup', 'view') THEN event_type || ' ' || event_id ELSE '' END AS title,
+  CASE event_type WHEN 'signup' THEN '' WHEN 'view' THEN 'served hot' WHEN 'purchase' THEN '$' || printf('%.2f', value) WHEN 'click' THEN 'call us' ELSE '' END AS shown,
+  CASE WHEN event_type = 'view' AND value > 20 THEN 'nice' ELSE '' END AS description FROM events)"""
+
+
+@catalog.query(
+    f"""WITH {PRINTED_SQL}, owned AS (SELECT *, max(CASE WHEN title <> '' THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id) AS owner FROM printed),
+      orphan AS (SELECT user_id, owner, arg_min(shown, event_id) AS shown FROM owned WHERE title = '' AND contains(shown, '$') AND owner IS NOT NULL GROUP BY ALL)
+    SELECT p.user_id, p.event_id, p.title, trim(p.description || ' ' || p.shown) AS description, coalesce(o.shown, '') AS price
+    FROM printed p LEFT JOIN orphan o ON p.user_id = o.user_id AND p.event_id = o.owner WHERE p.title <> ''"""
+)
+def menu_page_items(spark, sf):
+    kind = F.col("event_type")
+    amount = F.concat(F.lit("$ "), F.col("value").cast("decimal(12,2)").cast("string"))
+    rows = table(spark, sf, "events").select(
+        "user_id", "event_id",
+        F.when(kind.isin("signup", "view"), F.concat_ws("  ", kind, F.col("event_id").cast("string"))).otherwise("").alias("title"),
+        F.when((kind == "view") & (F.col("value") > 20), "nice").otherwise("").alias("description"),
+        F.when(kind == "view", "served  hot").when(kind == "click", "call us").otherwise("").alias("price_top"),
+        F.when(kind == "purchase", amount).otherwise("").alias("price_bottom"),
+    )
+    return ordering.menu_page_items(rows, ["user_id"], "event_id")
+
+
+@catalog.query(
+    """SELECT source, arg_min(doc_id, doc_id) AS doc_id, arg_min(n_chars, doc_id) AS n_chars FROM documents WHERE lang = 'de' GROUP BY source"""
+)
+def first_section(spark, sf):
+    sections = table(spark, sf, "documents").select("source", F.col("lang").alias("title"), "doc_id", "n_chars")
+    return ordering.first_section(sections, ["source"], "title", "de", "doc_id").drop("title")
+
+
+@catalog.query(
+    r"""SELECT doc_id FROM documents WHERE source = 'src1' OR (source = 'src3' AND contains(text, 'the of'))
+      OR (source = 'src4' AND regexp_matches(text, '(?i)(\$\d|taco|burrito|enchilada|fajita|quesadilla|nacho|chimichanga|menu|lunch|dinner|appetizer|dessert|drink|margarita|salsa|guacamole)'))"""
+)
+def included_pages(spark, sf):
+    pages = table(spark, sf, "documents").select(
+        "doc_id", "source", "text", F.concat(F.lit("https://GrubHub.com/restaurant/"), F.col("doc_id").cast("string")).alias("url")
+    )
+    return links.included_pages(pages, "src1", "src3", "the of", "src4", ["grubhub.com/restaurant"]).select("doc_id")
+
+
+@catalog.query(
+    """SELECT doc_id, chr(10) || repeat('=', 60) || chr(10) || 'Source: ' || source || chr(10) || 'URL: ' || lang || chr(10) || 'Title: ' || n_chars || chr(10)
+      || repeat('=', 60) || chr(10) || chr(10) || text AS block FROM documents"""
+)
+def source_blocks(spark, sf):
+    block = reports.source_block(F.col("source"), F.col("lang"), F.col("n_chars").cast("string"), F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", block.alias("block"))
+
+
+@catalog.query(
+    """SELECT n_regionkey AS "group", string_agg(n_name, chr(10) || chr(10) || chr(10) ORDER BY n_nationkey DESC) AS text FROM nation GROUP BY n_regionkey"""
+)
+def grouped_text(spark, sf):
+    """Nations as texts of a fixed region dimension: the dimension bounds the length."""
+    nations = table(spark, sf, "nation")
+    groups = nations.select(F.col("n_regionkey").alias("group"), (-F.col("n_nationkey")).alias("pos"), F.col("n_name").alias("key"))
+    texts = nations.select(F.col("n_name").alias("key"), F.concat(F.lit("  "), "n_name", F.lit(" ")).alias("text"))
+    return reports.grouped_text(texts, groups, "key")
+
+
+@catalog.query(
+    """SELECT p_partkey, CASE WHEN p_size > 25 THEN p_name ELSE p_brand || chr(10) || chr(10) || p_type END AS message,
+      left('{"a":"' || p_name || '","b":' || p_size || '}', 20) AS preview, CASE WHEN p_size > 10 THEN p_type ELSE p_brand END AS top_price,
+      CASE WHEN p_size > 40 THEN p_type ELSE p_brand END AS bottom_price, CASE WHEN p_size < 5 THEN p_brand ELSE p_name END AS first_text FROM part"""
+)
+def text_choices(spark, sf):
+    size = F.col("p_size")
+    part = lambda c: F.struct(F.col(c).alias("text"))
+    parts = F.when(size <= 25, F.array(part("p_brand"), F.struct(F.lit("").alias("text")), part("p_type")))
+    top, bottom = F.when(size > 10, F.col("p_type")).otherwise(""), F.when(size <= 40, F.col("p_brand"))
+    return table(spark, sf, "part").select(
+        "p_partkey",
+        tx.message_text(F.concat(F.lit(" "), F.col("p_name")), parts).alias("message"),
+        tx.json_preview(F.struct(F.col("p_name").alias("a"), size.alias("b")), 20).alias("preview"),
+        price.price_slot(top, bottom).alias("top_price"),
+        price.price_slot(F.col("p_type"), bottom, prefer="bottom").alias("bottom_price"),
+        tx.first_text(F.when(size < 5, F.lit("  ")).otherwise(F.col("p_name")), F.col("p_brand")).alias("first_text"),
+    )
+
+
 # --- matching and arrays ------------------------------------------------------------------------
 
 
