@@ -7,7 +7,7 @@ partitions the documents.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -21,6 +21,9 @@ PRICE_KEYS = ("price", "displayPrice", "unitAmount", "basePrice", "finalPrice")
 CONTAINER_NAMES = ("menu", "doordash", "popular items", "reviews", "featured items", "restaurant info")
 
 
+ROWS_PER_BATCH = 20_000
+
+
 def _objects(root: object, graph_only: bool) -> Iterator[tuple[str, dict]]:
     """(path, object) in document order, with an explicit stack instead of recursion."""
     stack: list[tuple[str, object]] = [("", root)]
@@ -37,62 +40,68 @@ def _objects(root: object, graph_only: bool) -> Iterator[tuple[str, dict]]:
             stack.extend((f"{path}[{i}]", v) for i, v in reversed(list(enumerate(node))))
 
 
-def json_objects(documents: DataFrame, key: str, document: str, graph_only: bool = False) -> DataFrame:
-    """(key, n, path, object) for every JSON object; `graph_only` descends through '@graph' alone."""
+def _expand(documents: DataFrame, key: str, document: str, fields: str, rows_of: Callable) -> DataFrame:
+    """(key, *fields) rows of every parsable document; broken and missing documents give none."""
+    names = [key, *(field.split()[0] for field in fields.split(", "))]
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            out: list[tuple] = []
             for row_key, text in zip(batch[key], batch[document]):
-                if text is None:
-                    continue
                 try:
                     root = json.loads(text)
-                except ValueError:
+                except (TypeError, ValueError):
                     continue
-                for n, (path, node) in enumerate(_objects(root, graph_only)):
-                    out.append((row_key, n, path, json.dumps(node, ensure_ascii=False, sort_keys=True)))
-            yield pd.DataFrame(out, columns=[key, "n", "path", "object"])
+                out.extend((row_key, *row) for row in rows_of(root))
+                if len(out) >= ROWS_PER_BATCH:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            yield pd.DataFrame(out, columns=names)
 
     key_type = documents.schema[key].dataType.simpleString()
-    return documents.select(key, document).mapInPandas(walk, f"{key} {key_type}, n int, path string, object string")
+    return documents.select(key, document).mapInPandas(expand, f"{key} {key_type}, {fields}")
+
+
+def json_objects(documents: DataFrame, key: str, document: str, graph_only: bool = False) -> DataFrame:
+    """(key, n, path, object) for every JSON object; `graph_only` descends through '@graph' alone."""
+
+    def rows_of(root: object) -> Iterator[tuple]:
+        for n, (path, node) in enumerate(_objects(root, graph_only)):
+            yield n, path, json.dumps(node, ensure_ascii=False, sort_keys=True)
+
+    return _expand(documents, key, document, "n int, path string, object string", rows_of)
 
 
 def _texts(row: dict, keys: Sequence[str]) -> str:
     return next((row[k].strip() for k in keys if isinstance(row.get(k), str) and row[k].strip()), "")
 
 
+def _item(node: dict) -> tuple | None:
+    """(name, description, price as JSON) of an object that looks like a menu item."""
+    if not any(k in node for k in (*DESCRIPTION_KEYS, *PRICE_KEYS)):
+        return None
+    name = _texts(node, NAME_KEYS)
+    if not name or name.lower() in CONTAINER_NAMES:
+        return None
+    price = next((node[k] for k in PRICE_KEYS if node.get(k) not in (None, "")), None)
+    shown = None if price is None else json.dumps(price, ensure_ascii=False, sort_keys=True)
+    return name, _texts(node, DESCRIPTION_KEYS), shown
+
+
 def json_items(documents: DataFrame, key: str, document: str) -> DataFrame:
     """Menu items found anywhere in a document: a name with a description or a price.
 
     price is JSON text; containers such as 'Menu' are left out.
     """
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row_key, text in zip(batch[key], batch[document]):
-                if text is None:
-                    continue
-                try:
-                    root = json.loads(text)
-                except ValueError:
-                    continue
-                for n, (path, node) in enumerate(_objects(root, False)):
-                    if not any(k in node for k in (*DESCRIPTION_KEYS, *PRICE_KEYS)):
-                        continue
-                    name = _texts(node, NAME_KEYS)
-                    if not name or name.lower() in CONTAINER_NAMES:
-                        continue
-                    price = next((node[k] for k in PRICE_KEYS if node.get(k) not in (None, "")), None)
-                    shown = None if price is None else json.dumps(price, ensure_ascii=False, sort_keys=True)
-                    out.append((row_key, n, path, name, _texts(node, DESCRIPTION_KEYS), shown))
-            yield pd.DataFrame(out, columns=[key, "n", "source_path", "name", "description", "price"])
+    def rows_of(root: object) -> Iterator[tuple]:
+        for n, (path, node) in enumerate(_objects(root, False)):
+            item = _item(node)
+            if item is not None:
+                yield n, path, *item
 
-    key_type = documents.schema[key].dataType.simpleString()
-    return documents.select(key, document).mapInPandas(
-        walk, f"{key} {key_type}, n int, source_path string, name string, description string, price string"
-    )
+    fields = "n int, source_path string, name string, description string, price string"
+    return _expand(documents, key, document, fields, rows_of)
 
 
 def structured_ratings(objects: DataFrame, key: Sequence[str]) -> DataFrame:

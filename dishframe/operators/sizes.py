@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dishframe.functions.price import MONEY, dollars
 from dishframe.functions.text import let
 from dishframe.functions.sizes import size_order, split_size
-from dishframe.operators.folding import keep_first
 from dishframe.operators.skew import HEAVY_ROWS, salted_lookup
 
 SIMILARITY = 0.80
@@ -46,11 +45,10 @@ def size_groups(sized: DataFrame, section: Sequence[str], position: str = "pos",
             F.min(shape).alias("_low"),
             F.max(shape).alias("_high"),
             F.min(position).alias("first_pos"),
-            F.approx_count_distinct("size").alias("_sizes"),
         )
         .filter(F.col("n_members") >= 2)
         .withColumn("shared_structure", F.col("_low") == F.col("_high"))
-        .drop("_low", "_high", "_sizes")
+        .drop("_low", "_high")
     )
 
 
@@ -256,8 +254,3 @@ def match_ratio(a: Column, b: Column) -> Column:
 
     return ratio(a, b)
 
-
-__all__ = [
-    "keep_first", "lone_residuals", "match_ratio", "merged_documents", "near_misses", "normalized_items",
-    "size_groups", "size_options", "unmerged", "with_size",
-]

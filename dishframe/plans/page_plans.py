@@ -132,7 +132,7 @@ def _shop_pages(spark: SparkSession, sf: str) -> DataFrame:
         anchor(F.lit("https://elsewhere.example/")), anchor(F.concat(F.lit("https://www.GrubHub.com/restaurant/"), key)),
         F.lit('<form action="https://order.online/x"></form></body></html>'),
     )
-    return table(spark, sf, "supplier").select("s_suppkey", page.alias("html"))
+    return spread(table(spark, sf, "supplier")).select("s_suppkey", page.alias("html"))
 
 
 @catalog.query(
@@ -327,7 +327,7 @@ def json_items(spark, sf):
         F.lit('{"data":{"name":"Menu","description":"c","items":['), F.to_json(dish), F.lit(","), F.to_json(side), F.lit("]}}")
     )
     key = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-    documents = table(spark, sf, "lineitem").select(key.alias("k"), whole.alias("document"))
+    documents = spread(table(spark, sf, "lineitem")).select(key.alias("k"), whole.alias("document"))
     part = lambda i: F.element_at(F.split("k", "-"), i)
     return jsonwalk.json_items(documents, "k", "document").select(
         part(1).cast("bigint").alias("l_orderkey"), part(2).cast("int").alias("l_linenumber"), part(3).cast("bigint").alias("l_partkey"),
@@ -340,7 +340,7 @@ def json_props(spark, sf):
     fenced = F.concat(F.lit("```json\n"), "props", F.lit("\n```"))
     chatty = F.concat(F.lit("Sure: "), "props", F.lit(" done"))
     reply = F.when(F.col("event_type") == "view", fenced).when(F.col("event_type") == "click", chatty).otherwise(F.col("props"))
-    documents = table(spark, sf, "events").select("event_id", tx.jsonish(reply).alias("document"))
+    documents = spread(table(spark, sf, "events")).select("event_id", tx.jsonish(reply).alias("document"))
     return jsonwalk.json_objects(documents, "event_id", "document").select(
         "event_id", "n", "path", F.get_json_object("object", "$.k").cast("bigint").alias("k")
     )

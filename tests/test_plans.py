@@ -5,9 +5,16 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
+PLANS = {}
 
 
 def plan(spark, name):
+    if name not in PLANS:
+        PLANS[name] = build(spark, name)
+    return PLANS[name]
+
+
+def build(spark, name):
     return entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
@@ -31,7 +38,7 @@ def test_top_k_is_cut_before_the_exchange(spark, name):
 def test_filters_and_columns_reach_the_scan(spark):
     shown = plan(spark, "exclude_filter")
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in shown
-    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag" in plan(spark, "price_bounds") or "In(l_returnflag" in plan(spark, "price_bounds")
+    assert "PushedFilters: [In(l_returnflag" in plan(spark, "price_bounds")
 
 
 def test_python_runs_only_where_it_must(spark):
