@@ -7,6 +7,7 @@ are heavy and leave all others alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -118,41 +119,37 @@ def with_context(
     )
 
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Hashes of the keys worth salting and their number of salts: one per min_rows rows.
+def heavy_keys(rows: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> dict[int, int]:
+    """Hashes of the keys worth salting, each with its number of salts: one per min_rows rows.
 
     A frequent-items sketch finds them in one pass without a shuffle by key. It holds at most
-    HEAVY_KEYS keys, so the result is always small enough to broadcast, and it cannot miss a
-    key with more than a thousandth of the rows. An error in it costs balance, never a row.
+    HEAVY_KEYS keys and cannot miss one with more than a thousandth of the rows. The pairs are
+    fetched once, as both sides of a join must agree on them and two runs of a sketch may not.
     """
     sketch = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(HEAVY_KEYS), F.lit(SKETCH_ITEMS))
-    return (
-        rows.agg(sketch.alias("_top"))
-        .select(F.inline("_top"))
-        .filter(F.col("count") > min_rows)
-        .select(F.col("item").alias("_key_hash"), F.ceil(F.col("count") / F.lit(min_rows)).cast("int").alias("_salts"))
-    )
+    top = rows.agg(sketch.alias("top")).first()["top"] or []
+    return {t["item"]: math.ceil(t["count"] / min_rows) for t in top if t["count"] > min_rows}
+
+
+def _with_salts(df: DataFrame, heavy: dict[int, int], keys: Sequence[str]) -> DataFrame:
+    table = df.sparkSession.createDataFrame(list(heavy.items()), "_key_hash bigint, _salts int")
+    return df.withColumn("_key_hash", F.xxhash64(*keys)).join(F.broadcast(table), "_key_hash", "left").drop("_key_hash")
 
 
-def salt_rows(rows: DataFrame, heavy: DataFrame, keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
+def salt_rows(rows: DataFrame, heavy: dict[int, int], keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
     """Add _salt: rows of a heavy key, or of a heavy NULL, are spread by the hash of other columns."""
-    return (
-        rows.withColumn("_key_hash", F.xxhash64(*keys))
-        .join(F.broadcast(heavy), "_key_hash", "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).cast("int"))
-        .drop("_key_hash", "_salts")
-    )
+    if not heavy:
+        return rows.withColumn("_salt", F.lit(0))
+    salt = F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).cast("int")
+    return _with_salts(rows, heavy, keys).withColumn("_salt", salt).drop("_salts")
 
 
-def replicate(lookup: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
+def replicate(lookup: DataFrame, heavy: dict[int, int], keys: Sequence[str]) -> DataFrame:
     """One copy of a lookup row per salt of its key."""
+    if not heavy:
+        return lookup.withColumn("_salt", F.lit(0))
     salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    return (
-        lookup.withColumn("_key_hash", F.xxhash64(*keys))
-        .join(F.broadcast(heavy), "_key_hash", "left")
-        .withColumn("_salt", F.explode(salts))
-        .drop("_key_hash", "_salts")
-    )
+    return _with_salts(lookup, heavy, keys).withColumn("_salt", F.explode(salts)).drop("_salts")
 
 
 def salted_lookup(
@@ -166,6 +163,8 @@ def salted_lookup(
     """Join rows to a lookup unique on keys, with the rows of heavy keys spread over many tasks."""
     keys = list(keys)
     heavy = heavy_keys(rows, keys, min_rows)
+    if not heavy:
+        return rows.join(lookup, keys, how)
     left = salt_rows(rows, heavy, keys, spread)
     return left.join(replicate(lookup, heavy, keys), [*keys, "_salt"], how).drop("_salt")
 
