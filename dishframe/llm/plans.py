@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dishframe.llm import quality_rules, url_filters
+from dishframe.llm import packing, quality_rules, token_counts, url_filters
 from dishframe.plans.tables import Catalog, table
 
 catalog = Catalog()
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed public tokenizer files are; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 @catalog.query()
 def op2_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"))
@@ -22,3 +29,13 @@ def op6_url_filters(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", F.nullif(number, F.lit("")).cast("bigint").alias("label_key"))
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("label_key"), (1 - F.col("quality")).alias("bad"))
     return url_filters.judge(pages, labels)
+
+
+@catalog.query()
+def op9_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@catalog.query()
+def op10_token_counts(spark, sf):
+    return token_counts.count_tokens(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
