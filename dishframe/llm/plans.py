@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dishframe.llm import packing, quality_rules, token_counts, url_filters
+from dishframe.llm import packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
+from dishframe.llm.common import remainder
 from dishframe.plans.tables import Catalog, table
 
 catalog = Catalog()
@@ -22,6 +23,13 @@ def op2_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"))
 
 
+@catalog.query()
+def op5_toxicity(spark, sf):
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    scored = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"), training=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @catalog.query()
 def op6_url_filters(spark, sf):
     # The number in a page's path names the document it shows; that document's label is the page's.
@@ -31,6 +39,11 @@ def op6_url_filters(spark, sf):
     return url_filters.judge(pages, labels)
 
 
+@catalog.query()
+def op7_quality_classifier(spark, sf):
+    return quality_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @catalog.query()
 def op9_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
