@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dishframe.llm import packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
+from dishframe.llm import decontamination, licenses, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
 from dishframe.llm.common import remainder
 from dishframe.plans.tables import Catalog, table
 
@@ -23,6 +23,11 @@ def op2_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"))
 
 
+@catalog.query()
+def op3_decontamination(spark, sf):
+    return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @catalog.query()
 def op5_toxicity(spark, sf):
     held_out = remainder(F.col("doc_id"), 4) == 2
@@ -44,6 +49,14 @@ def op7_quality_classifier(spark, sf):
     return quality_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@catalog.query()
+def op8_licenses(spark, sf):
+    # The documents have no paths of their own: source, language and hundred stand for the directories.
+    path = F.concat_ws("/", "source", "lang", (F.col("doc_id") / 100).cast("bigint").cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = table(spark, sf, "documents").select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+    return licenses.scan(files).withColumnRenamed("file_id", "doc_id")
+
+
 @catalog.query()
 def op9_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))

@@ -95,7 +95,7 @@ def references(
     """Per language: class counts, common words with their places, and their counts with all others last.
 
     Counted over all documents. What reaches the driver is bounded: the references of at most
-    max_languages languages (those of most words), of common_words words each.
+    max_languages languages (those of most documents), of common_words words each.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,6 +104,7 @@ def references(
 
         def out() -> Iterator[pa.RecordBatch]:
             rows = [(lang, 0, w, n) for lang, c in held.items() for w, n in c.items()]
+            rows += [(lang, 2, b"", sum(c.values())) for lang, c in held.items()]
             rows += [(lang, 1, str(i).encode(), int(n)) for lang, c in classes.items() for i, n in enumerate(c)]
             held.clear()
             classes.clear()
@@ -121,26 +122,30 @@ def references(
                     yield from out()
         yield from out()
 
+    lang = F.coalesce("lang", F.lit("")).alias("lang")
+    most = [r.lang for r in docs.select(lang).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
     counted = (
-        docs.select(F.coalesce("lang", F.lit("")).alias("lang"), text_bytes(F.col("text")).alias("data"))
+        docs.select(lang, text_bytes(F.col("text")).alias("data"))
+        .filter(F.col("lang").isin(most))
         .mapInArrow(count, "lang string, kind int, key binary, n long")
         .groupBy("lang", "kind", "key")
         .agg(F.sum("n").alias("n"))
     )
     by_count = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    top = counted.withColumn("place", F.row_number().over(by_count)).filter((F.col("place") <= max(common_words, N_CLASSES)))
+    top = counted.withColumn("place", F.row_number().over(by_count)).filter(F.col("place") <= max(common_words, N_CLASSES))
     found: dict[str, tuple[np.ndarray, list]] = {}
-    total = counted.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("words")).orderBy(F.desc("words"), "lang").limit(max_languages)
-    sums = {r.lang: r.words for r in total.collect()}
-    for r in top.join(total.select("lang"), "lang", "left_semi").collect():
+    sums: dict[str, int] = {}
+    for r in top.collect():
         classes, common = found.setdefault(r.lang, (np.zeros(N_CLASSES), []))
-        if r.kind == 1:
+        if r.kind == 2:
+            sums[r.lang] = r.n
+        elif r.kind == 1:
             classes[int(bytes(r.key))] = r.n
         elif r.place <= common_words:
             common.append((r.place, bytes(r.key), r.n))
     out = {}
     for lang, (classes, common) in found.items():
-        if sums[lang] >= min_reference_words:
+        if sums.get(lang, 0) >= min_reference_words:
             common.sort()
             counts = [n for _, _, n in common]
             out[lang] = (classes, {w: i for i, (_, w, _) in enumerate(common)}, np.array([*counts, sums[lang] - sum(counts)], float))
