@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dishframe.llm import decontamination, licenses, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
+from dishframe.llm import decontamination, licenses, near_duplicates, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
 from dishframe.llm.common import remainder
 from dishframe.plans.tables import Catalog, table
 
@@ -18,6 +18,11 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@catalog.query()
+def op1_ngram_jaccard_join(spark, sf):
+    return near_duplicates.join(table(spark, sf, "documents"))
+
+
 @catalog.query()
 def op2_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"))
