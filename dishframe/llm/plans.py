@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dishframe.llm import decontamination, licenses, near_duplicates, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
+from dishframe.llm import decontamination, language_model, licenses, near_duplicates, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
 from dishframe.llm.common import remainder
 from dishframe.plans.tables import Catalog, table
 
@@ -33,6 +33,13 @@ def op3_decontamination(spark, sf):
     return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@catalog.query()
+def op4_language_model(spark, sf):
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scored = language_model.score(table(spark, sf, "documents"), training=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @catalog.query()
 def op5_toxicity(spark, sf):
     held_out = remainder(F.col("doc_id"), 4) == 2
