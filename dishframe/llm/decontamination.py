@@ -134,3 +134,9 @@ def contaminated(
         .agg(best.alias("best"))
         .select("doc_id", "item_id", (-F.col("best.back")).alias("doc_start"), F.col("best.score").alias("score"))
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of docs, all columns, in which no benchmark item was found."""
+    found = written(contaminated(docs, benchmark, **options).select("doc_id").distinct())
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)

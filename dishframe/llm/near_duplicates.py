@@ -234,3 +234,15 @@ def join(
     rows = signed.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     own = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return rows.join(of_node, "set_key", "left").select("doc_id", own.alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs, all columns, that are the least id of their group; a repeated row stays once."""
+    decided = written(join(docs, **options))
+    dropped = written(decided.filter("doc_id != class_id").select("doc_id").distinct())
+    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    repeated = written(decided.filter("doc_id = class_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once)

@@ -20,10 +20,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from dishframe.llm.common import text_bytes, written
 from dishframe.llm.labelled import sample, with_label
@@ -76,7 +78,8 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
             weight = [float(ratio[buckets(d, grams)].sum()) for d in batch.column(at).to_pylist()]
             yield batch.remove_column(at).append_column("weight", pa.array(weight, pa.float64()))
 
-    return docs.mapInArrow(rows, ", ".join([f"{n} {t}" for n, t in docs.dtypes if n != "data"] + ["weight double"]))
+    schema = StructType([f for f in docs.schema.fields if f.name != "data"]).add("weight", "double")
+    return docs.mapInArrow(rows, schema)
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
@@ -109,19 +112,50 @@ def kth_greatest(keys: DataFrame, k: int) -> float:
     return low if low is not None else float("-inf")
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, smoothing: float = 1.0, seed: int = 7) -> DataFrame:
-    """doc_id, weight, key (weight with Gumbel noise) and kept for every document; labels: doc_id, quality."""
-    slim = docs.select("doc_id", text_bytes(F.col("text")).alias("data"))
+@dataclass(frozen=True)
+class Resampler:
+    """The log ratio of each bucket and the least key that is sampled."""
+
+    ratio: np.ndarray
+    least: float
+    seed: int
+
+    def keyed(self, docs: DataFrame) -> DataFrame:
+        """docs without data, with weight, and key: the weight with Gumbel noise drawn from the id."""
+        uniform = (F.pmod(F.xxhash64("doc_id", F.lit(self.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+        return weigh(docs, self.ratio).withColumn("key", F.col("weight") - F.log(-F.log(uniform)))
+
+
+def _slim(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", text_bytes(F.col("text")).alias("data"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, smoothing: float = 1.0, seed: int = 7) -> tuple[Resampler, DataFrame]:
+    """The fitted sampler, and doc_id, weight, key of every document as a written table."""
+    slim = _slim(docs)
     labelled = with_label(slim, sample(labels.select("doc_id", "quality"), "quality", max_labelled))
     target, raw = histogram(labelled.filter("quality > 0")), histogram(slim)
     ratio = np.log((target + smoothing) / (target + smoothing).sum()) - np.log((raw + smoothing) / (raw + smoothing).sum())
-    known = weigh(labelled.select("quality", "data"), ratio).collect()
+    known = weigh(labelled.select("quality", "data"), ratio).collect()  # bounded by max_labelled
     good = np.array([r.weight for r in known if r.quality > 0])
     bad = np.array([r.weight for r in known if r.quality <= 0])
-    cut = best_cut(good, bad) if len(good) and len(bad) else None
-    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    keyed = written(weigh(slim, ratio if cut is not None else np.zeros(BUCKETS)).withColumn("key", F.col("weight") - F.log(-F.log(uniform))))
-    if cut is None:
-        return keyed.withColumn("kept", F.lit(True))
+    if not len(good) or not len(bad):
+        everyone = Resampler(np.zeros(BUCKETS), float("-inf"), seed)
+        return everyone, written(everyone.keyed(slim))
+    cut = best_cut(good, bad)
+    keyed = written(Resampler(ratio, cut, seed).keyed(slim))
     k = keyed.filter(F.col("weight") >= cut).count()
-    return keyed.withColumn("kept", F.col("key") >= kth_greatest(keyed, k))
+    return Resampler(ratio, kth_greatest(keyed, k), seed), keyed
+
+
+def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """doc_id, weight, key (weight with Gumbel noise) and kept for every document; labels: doc_id, quality."""
+    sampler, keyed = fit(docs, labels, **options)
+    return keyed.withColumn("kept", F.col("key") >= sampler.least)
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of docs, all columns, that are sampled; keys are computed again where rows are read, without a join."""
+    sampler, _ = fit(docs, labels, **options)
+    bare = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", text_bytes(F.col("text")).alias("data"))
+    return sampler.keyed(bare).filter(F.col("key") >= sampler.least).select("row.*")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -158,41 +159,60 @@ SCHEMA = (
 )
 
 
-def judge(
-    docs: DataFrame,
-    max_char_distance: float = 0.26,
-    max_word_distance: float = 0.48,
-    min_chars: int = 200,
-    min_words: int = 50,
-    **reference_options,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Rules:
+    """The references with the limits and guards of the distance rules."""
+
+    known: dict
+    max_char_distance: float = 0.26
+    max_word_distance: float = 0.48
+    min_chars: int = 200
+    min_words: int = 50
+
+    def verdict(self, lang: str, data: bytes) -> tuple:
+        """The columns of SCHEMA after the id, for one text."""
+        tokens, chars, symbols, lines, repeats = base_counts(data)
+        n = len(tokens)
+        failed = n < 50 or 100 * repeats > 50 * n
+        by_char = by_word = None
+        if lang in self.known:
+            classes, places, common = self.known[lang]
+            if chars >= self.min_chars:
+                by_char = distance(class_counts(data).astype(float), classes)
+            if n >= self.min_words:
+                seen = np.zeros(len(places) + 1)
+                for w, k in Counter(tokens).items():
+                    seen[places.get(w, -1)] += k
+                by_word = distance(seen, common)
+        bad = (by_char or 0.0) > self.max_char_distance or (by_word or 0.0) > self.max_word_distance
+        return n, chars, symbols, lines, repeats, failed, not failed and not bad, by_char, by_word
+
+
+def judge(docs: DataFrame, reference_options: dict | None = None, **limits) -> DataFrame:
     """One row per document: base counts, distances (null where a guard holds) and the verdict."""
-    known = references(docs, **reference_options)
+    rules = Rules(references(docs, **(reference_options or {})), **limits)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc_id, lang, data in zip(*(c.to_pylist() for c in batch.columns)):
-                tokens, chars, symbols, lines, repeats = base_counts(data)
-                n = len(tokens)
-                failed = n < 50 or 100 * repeats > 50 * n
-                by_char = by_word = None
-                if lang in known:
-                    classes, places, common = known[lang]
-                    if chars >= min_chars:
-                        by_char = distance(class_counts(data).astype(float), classes)
-                    if n >= min_words:
-                        seen = np.zeros(len(places) + 1)
-                        for w, k in Counter(tokens).items():
-                            seen[places.get(w, -1)] += k
-                        by_word = distance(seen, common)
-                bad = (by_char or 0.0) > max_char_distance or (by_word or 0.0) > max_word_distance
-                out.append((doc_id, n, chars, symbols, lines, repeats, failed, not failed and not bad, by_char, by_word))
-            if out:
-                columns = list(zip(*out))
+            if batch.num_rows:
+                ids, langs, texts = (c.to_pylist() for c in batch.columns)
+                columns = [ids, *zip(*(rules.verdict(lang, data) for lang, data in zip(langs, texts)))]
                 kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 2
                 names = [field.split()[0] for field in SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     slim = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), text_bytes(F.col("text")).alias("data"))
     return slim.mapInArrow(rows, SCHEMA)
+
+
+def kept_documents(docs: DataFrame, reference_options: dict | None = None, **limits) -> DataFrame:
+    """The rows of docs, all columns, that the rules keep; decided where they are read, without a join."""
+    rules = Rules(references(docs, **(reference_options or {})), **limits)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+            kept = [rules.verdict(lang or "", (text or "").encode())[6] for lang, text in zip(langs, texts)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)
