@@ -50,3 +50,19 @@ def per_batch(df: DataFrame, rows: Callable[[dict], dict], schema: str) -> DataF
                 yield pa.RecordBatch.from_pydict(rows(batch.to_pydict()))
 
     return df.mapInArrow(run, schema)
+
+
+def commonest(counts: DataFrame, column: str, bound: int) -> DataFrame:
+    """The rows of greatest count, at most `bound` of them: all rows above a level of the count.
+
+    The level is found from the number of rows in bins of the count's logarithm, so neither a task nor
+    the driver gets more rows than the bound, however many partitions there are.
+    """
+    level = F.floor(F.log2(column) * 16)
+    room, least = bound, None
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.level
+    return counts.filter(level >= least) if least is not None else counts.limit(0)
