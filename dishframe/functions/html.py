@@ -7,11 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from dishframe.functions.text import collapse, present, unescape
+from dishframe.functions.text import collapse, first, present, unescape
 
 _HIDDEN = r"(?is)<(script|style|noscript|svg)\b[^>]*>.*?</\1\s*>"
 _COMMENT = r"(?s)<!--.*?-->"
 _TAG = r"(?s)<[^>]*>"
+# An attribute's value in double, single or no quotes.
+_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_TARGET = r"(?is)<(?:a\b[^>]*?(?<![\w-])href|form\b[^>]*?(?<![\w-])action)\s*=\s*"
+
+
+def _value_of(text: Column, start: str) -> Column:
+    """The value after the first match of `start`."""
+    return F.concat(*[F.regexp_extract(text, start + _VALUE, group) for group in (1, 2, 3)])
 
 
 def plain(html: Column, gap: str) -> Column:
@@ -37,20 +45,20 @@ def title(html: Column) -> Column:
 
 def meta_description(html: Column) -> Column:
     tag = F.regexp_extract(html, r'(?is)<meta\b[^>]*\bname\s*=\s*["\']description["\'][^>]*>', 0)
-    return unescape(F.regexp_extract(tag, r'(?is)\bcontent\s*=\s*"([^"]*)"', 1))
+    return unescape(attribute(tag, "content"))
 
 
-def headings(html: Column, limit: int = 60) -> Column:
-    """Texts of the first h1 to h3 elements."""
+def headings(html: Column, limit: int | None = None) -> Column:
+    """Texts of the h1 to h3 elements; with a limit, of the first."""
     raw = F.regexp_extract_all(html, F.lit(r"(?is)<h[1-3]\b[^>]*>(.*?)</h[1-3]\s*>"), F.lit(1))
     texts = F.filter(F.transform(raw, lambda h: collapse(plain(h, " "))), lambda t: t != "")
-    return F.slice(texts, 1, limit)
+    return first(texts, limit)
 
 
 def links(html: Column) -> Column:
     """Targets of anchors and forms in document order."""
-    tags = F.regexp_extract_all(html, F.lit(r'(?is)<(?:a|form)\b[^>]*?\b(?:href|action)\s*=\s*"([^"]*)"'), F.lit(1))
-    return F.filter(F.transform(tags, unescape), lambda u: u != "")
+    tags = F.regexp_extract_all(html, F.lit(_TARGET + _VALUE), F.lit(0))
+    return F.filter(F.transform(tags, lambda t: unescape(_value_of(t, _TARGET))), lambda u: u != "")
 
 
 def scripts(html: Column) -> Column:
@@ -67,7 +75,8 @@ def scripts(html: Column) -> Column:
 
 
 def attribute(attributes: Column, name: str) -> Column:
-    return F.regexp_extract(attributes, rf'(?is)\b{name}\s*=\s*"([^"]*)"', 1)
+    """Value of an attribute, '' when absent."""
+    return _value_of(attributes, rf"(?is)(?<![\w-]){name}\s*=\s*")
 
 
 def json_or_null(body: Column) -> Column:

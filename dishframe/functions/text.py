@@ -5,10 +5,9 @@ Every function maps a Column to a Column and stays inside generated code.
 
 from __future__ import annotations
 
-import html
 from collections.abc import Mapping, Sequence
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # (?U) gives \s the Unicode meaning, which also covers no-break spaces.
@@ -19,24 +18,10 @@ _ODD_SPACE = r"(?U) ?[\s&&[^ ]]\s*| \s+"
 # Words that carry no identity in a restaurant name.
 NAME_STOPWORDS = ("a", "an", "and", "bar", "grill", "mexican", "of", "restaurant", "taqueria", "the")
 
-# The named HTML entities seen in menu text; the ampersand is decoded last.
-COMMON_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&#x27;": "'",
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&middot;": "·",
-    "&copy;": "©",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&rsquo;": "’",
-    "&eacute;": "é",
-    "&ntilde;": "ñ",
-    "&amp;": "&",
-}
+# Names of HTML entities, the common ones first as a map literal is searched in order.
+_FIRST = ("amp;", "quot;", "lt;", "gt;", "nbsp;", "apos;", "copy;", "middot;", "ndash;", "mdash;", "rsquo;", "eacute;")
+_NAMED = {name: html5[name] for name in (*_FIRST, *sorted(n for n in html5 if n.endswith(";")))}
+_ENTITY = r"^(#[0-9]{1,7};|#[xX][0-9A-Fa-f]{1,6};|[A-Za-z][A-Za-z0-9]*;)"
 
 
 def let(value: Column, body) -> Column:
@@ -44,6 +29,11 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def first(items: Column, limit: int | None) -> Column:
+    """The first elements of an array; all without a limit."""
+    return items if limit is None else F.slice(items, 1, limit)
+
+
 def strip(text: Column) -> Column:
     """Drop leading and trailing whitespace of any kind."""
     return F.regexp_replace(text, _EDGE_SPACE, "")
@@ -125,19 +115,32 @@ def model_slug(model: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Decode the entities that occur in menu text, without leaving the JVM."""
-    for entity, plain in COMMON_ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
+    """Decode every named and numeric HTML entity once, without leaving the JVM.
 
-
-def unescape_all(text: Column) -> Column:
-    """Decode the full HTML entity set, in Arrow batches; use where rare entities matter."""
-    @F.pandas_udf("string")
-    def decode(values: pd.Series) -> pd.Series:
-        return values.map(html.unescape, na_action="ignore")
-
-    return decode(text)
+    A name needs its semicolon; a name or number that means no character stays as it is.
+    """
+    named = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in _NAMED.items())), F.lit("\x01"), F.lit("\x02"))
+
+    def character(code: Column) -> Column:
+        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+        # The bytes of a UTF-32 code unit; an invalid code takes a valid one's place, unused.
+        safe = F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(32))), 8, "0")
+        return F.when(valid, F.decode(F.unhex(safe), "UTF-32"))
+
+    def decoded(part: Column) -> Column:
+        entity = F.regexp_extract(part, _ENTITY, 1)
+        digits = F.regexp_extract(entity, "[0-9A-Fa-f]+", 0)
+        number = F.when(F.rlike(entity, F.lit("^#[xX]")), F.conv(digits, 16, 10)).otherwise(digits)
+        plain = F.when(entity.startswith("#"), character(number.try_cast("bigint"))).otherwise(named[entity])
+        return F.when((entity != "") & plain.isNotNull(), F.concat(plain, F.substr(part, F.length(entity) + 1))).otherwise(
+            F.concat(F.lit("&"), part)
+        )
+
+    def whole(t: Column) -> Column:
+        parts = lambda p: F.concat(F.element_at(p, 1), F.array_join(F.transform(F.slice(p, 2, 1 << 30), decoded), ""))
+        return F.when(F.contains(t, F.lit("&")), let(F.split(t, "&"), parts)).otherwise(t)
+
+    return let(text, whole)
 
 
 def _squash(text: Column, keep: str) -> Column:

@@ -67,14 +67,34 @@ def same_site(url: Column, base: Column) -> Column:
     return site(url) == site(base)
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its '.' and '..' segments resolved."""
+    def step(held: Column, part: Column) -> Column:
+        return (
+            F.when(part == "..", F.slice(held, F.lit(1), F.greatest(F.size(held) - 1, F.lit(1))))
+            .when(part == ".", held)
+            .otherwise(F.concat(held, F.array(part)))
+        )
+
+    parts = F.split(path, "/")
+    closed = F.when(F.rlike(path, F.lit(r"/\.\.?$")), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    kept = F.concat(F.aggregate(parts, F.array().cast("array<string>"), step), closed)
+    return F.when(F.rlike(path, F.lit(r"(^|/)\.\.?(/|$)")), F.array_join(kept, "/")).otherwise(path)
+
+
 def resolve(base: Column, link: Column) -> Column:
-    """Absolute form of a link that is absolute, root-relative or relative to the page's folder."""
+    """Absolute form of a link found on a page: as a browser reads it, dot segments resolved."""
     root = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
-    folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/(?:[^?#]*/)?)?", 0)
+    folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/(?:[^?#]*/)?)?", 1)
+    path, rest = F.regexp_extract(link, "^[^?#]*", 0), F.regexp_extract(link, "(?s)^[^?#]*(.*)$", 1)
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("/"), F.concat(root, link))
-        .otherwise(F.concat(folder, link))
+        .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^[^:]*:", 0), link))
+        .when(link.startswith("/"), F.concat(root, without_dots(path), rest))
+        .when(link.startswith("?"), F.concat(F.regexp_extract(base, "^[^?#]*", 0), link))
+        .when(link.startswith("#"), F.concat(F.regexp_extract(base, "^[^#]*", 0), link))
+        .when(link == "", base)
+        .otherwise(F.concat(root, without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), path)), rest))
     )
 
 

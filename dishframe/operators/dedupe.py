@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.text import collapse
 from dishframe.operators.folding import keep_first, keep_last
-from dishframe.session import settle
-from dishframe.operators.skew import HEAVY_ROWS, row_numbers, salted_lookup
+from dishframe.operators.skew import Heavy, row_numbers, salted_lookup
 
 
 def content_hash(text: Column) -> Column:
@@ -31,16 +30,16 @@ def content_groups(df: DataFrame, key: Column, order: str) -> DataFrame:
 
 
 def content_sources(
-    df: DataFrame, key: Column, order: str, source: str, min_rows: int = HEAVY_ROWS
+    df: DataFrame, key: Column, order: str, source: str, heavy: Heavy = None
 ) -> DataFrame:
     """Every occurrence with the first one it repeats: the long form of a source list.
 
-    A content copied into a third of all pages stays spread over many tasks. The texts are read
-    and hashed once; what follows works on the settled (position, source, hash) table.
+    The first occurrences combine before their exchange; the join's large partitions are split by
+    adaptive execution, so a content copied into a third of all pages stays spread over many tasks.
     """
-    keyed = settle(df.select(order, source, key.alias("content_key")))
+    keyed = df.select(order, source, key.alias("content_key"))
     first = keyed.groupBy("content_key").agg(F.min(order).alias("kept"))
-    return salted_lookup(keyed, first, ["content_key"], [order], "inner", min_rows).select("kept", order, source)
+    return salted_lookup(keyed, first, ["content_key"], [order], "inner", heavy).select("kept", order, source)
 
 
 def line_dedupe(lines: DataFrame, page: Sequence[str], line: str = "line", position: str = "line_no") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dishframe.functions.text import or_default, present
-from dishframe.operators.skew import HEAVY_ROWS, salted_lookup
+from dishframe.operators.skew import Heavy, salted_lookup
 
 
 def clean_cards(
@@ -37,7 +37,7 @@ def rollup_fold(
     spread: Sequence[str],
     section: str = "section",
     special: str = "special",
-    min_rows: int = HEAVY_ROWS,
+    heavy: Heavy = None,
 ) -> DataFrame:
     """Cards outside the rollup; those whose item also occurs in the rollup get the label."""
     in_rollup = F.col(section).eqNullSafe(F.lit(rollup))
@@ -49,7 +49,7 @@ def rollup_fold(
     )
     rest = cards.filter(~in_rollup)
     return (
-        salted_lookup(rest, listed, [*menu, item], spread, min_rows=min_rows)
+        salted_lookup(rest, listed, [*menu, item], spread, heavy=heavy)
         .withColumn(special, F.when(F.col("_listed"), F.lit(label)))
         .drop("_listed")
     )
@@ -90,7 +90,7 @@ def badge_flag(
     phrase: str,
     label: str,
     spread: Sequence[str],
-    min_rows: int = HEAVY_ROWS,
+    heavy: Heavy = None,
 ) -> DataFrame:
     """Label from a badge table where there is one, else from the phrase on any card of the item."""
     if badges is None:
@@ -99,7 +99,7 @@ def badge_flag(
         marked = badges
     marked = marked.filter(F.col(item).isNotNull()).select(*menu, item).distinct().withColumn("_marked", F.lit(True))
     return (
-        salted_lookup(items, marked, [*menu, item], spread, min_rows=min_rows)
+        salted_lookup(items, marked, [*menu, item], spread, heavy=heavy)
         .withColumn("special", F.when(F.col("_marked"), F.lit(label)))
         .drop("_marked")
     )
@@ -125,7 +125,7 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str])
 
 
 def enrich_by_name(
-    items: DataFrame, ratings: DataFrame, menu: Sequence[str], name: str, spread: Sequence[str], min_rows: int = HEAVY_ROWS
+    items: DataFrame, ratings: DataFrame, menu: Sequence[str], name: str, spread: Sequence[str], heavy: Heavy = None
 ) -> DataFrame:
     """Optional rating fields joined onto menu items by name.
 
@@ -136,7 +136,7 @@ def enrich_by_name(
         [*menu, name],
         [F.when(F.col("in_featured_carousel"), 0).otherwise(1), "pos"],
     ).drop("pos")
-    joined = salted_lookup(items, cards, [*menu, name], spread, min_rows=min_rows)
+    joined = salted_lookup(items, cards, [*menu, name], spread, heavy=heavy)
     featured = F.col("in_featured_carousel")
     return (
         joined.withColumn("special", F.when(featured, F.lit("featured item")))

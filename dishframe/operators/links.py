@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dishframe.functions import html, urls
+from dishframe.functions.text import first
 from dishframe.operators.folding import keep_first
 
 
@@ -29,12 +30,12 @@ def provider_links(pages: DataFrame, key: Sequence[str], markup: str = "html") -
     return pages.select(*key, F.posexplode(kept).alias("pos", "link"))
 
 
-def own_site_links(pages: DataFrame, key: Sequence[str], markup: str = "html", url: str = "url", limit: int = 14) -> DataFrame:
-    """The page itself and its useful same-site links, distinct, the first `limit`; row-local."""
+def own_site_links(pages: DataFrame, key: Sequence[str], markup: str = "html", url: str = "url", limit: int | None = None) -> DataFrame:
+    """The page itself and its useful same-site links, distinct; with a limit the first of them. Row-local."""
     base = F.col(url)
     targets = F.transform(html.links(F.col(markup)), lambda link: urls.resolve(base, link))
     useful = F.filter(targets, lambda t: urls.same_site(t, base) & urls.is_useful_link(t))
-    kept = F.slice(F.array_distinct(F.concat(F.array(base), useful)), 1, limit)
+    kept = first(F.array_distinct(F.concat(F.array(base), useful)), limit)
     return pages.select(*key, F.posexplode(kept).alias("pos", "link"))
 
 

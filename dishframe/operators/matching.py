@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dishframe.functions.text import NAME_STOPWORDS, name_tokens
-from dishframe.operators.skew import HEAVY_ROWS, heavy_keys, replicate, salt_rows
+
+
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def phrases(text: Column, longest: int) -> Column:
+    """Distinct runs of 1 to `longest` words of a text."""
+    def runs(words: Column) -> Column:
+        each = [
+            F.transform(
+                F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>")),
+                lambda i, n=n: F.array_join(F.slice(words, i, n), " "),
+            )
+            for n in range(1, longest + 1)
+        ]
+        return F.array_distinct(F.concat(*each))
+
+    return F.element_at(F.transform(F.array(words_of(text)), runs), 1)
 
 
 def token_matches(
@@ -19,36 +37,48 @@ def token_matches(
     city: Column,
     haystack: Column,
     stopwords: Sequence[str] = NAME_STOPWORDS,
-    min_rows: int = HEAVY_ROWS,
+    city_words: int = 3,
 ) -> DataFrame:
     """(place, page) pairs accepted by the rule, with the shared tokens.
 
-    Accept when the city occurs in the page text and at least one token is shared, or when the
-    name has two tokens and two are shared. Both need a shared token, so pairs meet on tokens;
-    a token on very many pages is salted over the page side and replicated on the place side.
+    Accept when the city occurs in the page text (as whole words, at most city_words of them: more
+    are an error) and at least one token is shared, or when the name has two tokens and two are
+    shared. The first rule is a join on (city, token). For the second a pair must meet on one of
+    the name's tokens other than its commonest. Only ids and tokens are shuffled, and words that
+    are in every name belong into the stopwords.
     """
-    names = places.select(place, F.lower(city).alias("_city"), name_tokens(name, stopwords).alias("_tokens"))
-    left = names.select(place, "_city", F.size("_tokens").alias("_n"), F.explode("_tokens").alias("_t"))
-    texts = pages.select(page, F.lower(haystack).alias("_hay"))
-    right = texts.select(page, "_hay", F.explode(name_tokens(F.col("_hay"), stopwords)).alias("_t"))
-    heavy = heavy_keys(right, ["_t"], min_rows)
-    salted = salt_rows(right, heavy, ["_t"], [page])
-    spread = replicate(left, heavy, ["_t"])
-    in_city = F.coalesce((F.col("_city") != "") & F.contains("_hay", F.col("_city")), F.lit(False))
-    met = spread.join(salted, ["_t", "_salt"])
-    # Without the city a pair needs two tokens, so one-token names can be dropped at once.
-    met = met.withColumn("city_match", in_city).filter(F.col("city_match") | (F.col("_n") >= 2))
-    pairs = met.groupBy(place, page).agg(
-        F.bool_or("city_match").alias("city_match"),
-        F.max("_n").alias("_n"),
-        F.count(F.lit(1)).alias("overlap"),
-        # At most one entry per token of a name.
-        F.array_join(F.array_sort(F.collect_set("_t")), ", ").alias("shared_tokens"),
+    city_phrase = F.array_join(words_of(city), " ")
+    too_long = F.raise_error(F.lit(f"a city of more than {city_words} words")).cast("string")
+    names = places.select(
+        place,
+        F.when(F.size(words_of(city)) > city_words, too_long).otherwise(city_phrase).alias("_city"),
+        name_tokens(name, stopwords).alias("_tokens"),
+    )
+    mine = names.select(place, "_city", F.size("_tokens").alias("_n"), F.explode("_tokens").alias("_t"))
+    theirs = pages.select(page, F.explode(name_tokens(haystack, stopwords)).alias("_t"))
+    cities = names.select("_city").filter("_city <> ''").distinct()
+    in_page = pages.select(page, F.explode(phrases(haystack, city_words)).alias("_city")).join(cities, "_city")
+    by_city = theirs.join(in_page, page).join(mine.drop("_n"), ["_city", "_t"]).select(place, page, F.lit(True).alias("city_match"))
+    spread = theirs.groupBy("_t").agg(F.count(F.lit(1)).alias("_df"))
+    rarity = Window.partitionBy(place).orderBy("_df", "_t")
+    rare = mine.filter("_n >= 2").join(spread, "_t").withColumn("_r", F.row_number().over(rarity)).filter(
+        F.col("_r") < F.col("_n")
+    )
+    by_tokens = rare.join(theirs, "_t").select(place, page, F.lit(False).alias("city_match"))
+    candidates = by_city.union(by_tokens).groupBy(place, page).agg(F.bool_or("city_match").alias("city_match"))
+    pairs = (
+        candidates.join(mine, place)
+        .join(theirs, [page, "_t"])
+        .groupBy(place, page)
+        .agg(
+            F.bool_or("city_match").alias("city_match"),
+            F.max("_n").alias("_n"),
+            F.count(F.lit(1)).alias("overlap"),
+            # At most one entry per token of a name.
+            F.array_join(F.array_sort(F.collect_set("_t")), ", ").alias("shared_tokens"),
+        )
     )
+    reason = F.when(F.col("city_match"), F.lit("city match plus token overlap: ")).otherwise(F.lit("name token overlap: "))
     return pairs.filter(F.col("city_match") | ((F.col("_n") >= 2) & (F.col("overlap") >= 2))).withColumn(
-        "reason",
-        F.concat(
-            F.when(F.col("city_match"), F.lit("city match plus token overlap: ")).otherwise(F.lit("name token overlap: ")),
-            "shared_tokens",
-        ),
+        "reason", F.concat(reason, "shared_tokens")
     ).drop("_n")

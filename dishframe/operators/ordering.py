@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import looks_like_price, price_slot, tidy_price
-from dishframe.functions.text import collapse, join_present, let, slug
+from dishframe.functions.text import collapse, first, join_present, let, slug
 from dishframe.operators.folding import keep_first
-from dishframe.operators.skew import CHUNK, HEAVY_ROWS, carry_forward, row_numbers, salted_lookup, with_context
+from dishframe.operators.skew import CHUNK, Heavy, carry_forward, row_numbers, salted_lookup, with_context
 
 # Date forms that mark a review line.
 REVIEW_DATE = (
@@ -28,8 +28,8 @@ def is_review_line(line: Column) -> Column:
     )
 
 
-def review_snippets(lines: Column, before: int = 2, after: int = 4, shortest: int = 45, longest: int = 900, limit: int = 30) -> Column:
-    """Context of every signal line of one page, distinct, cut to length, the first `limit`."""
+def review_snippets(lines: Column, before: int = 2, after: int = 4, shortest: int = 45, longest: int | None = None, limit: int | None = None) -> Column:
+    """Context of every signal line of one page, distinct; the caller may cut length and number."""
     around = lambda ls, i: F.array_join(
         F.slice(ls, F.greatest(i - before, F.lit(0)) + 1, F.least(i, F.lit(before)) + after + 1), " "
     )
@@ -44,9 +44,9 @@ def review_snippets(lines: Column, before: int = 2, after: int = 4, shortest: in
     )
     # A window longer than the cut never equals a stored snippet, so it is never a repeat.
     keyed = F.array_distinct(
-        F.transform(spots, lambda s: F.struct(s["w"].alias("w"), F.when(F.length(s["w"]) > longest, s["i"]).alias("i")))
+        F.transform(spots, lambda s: F.struct(s["w"].alias("w"), (F.lit(None).cast("int") if longest is None else F.when(F.length(s["w"]) > longest, s["i"])).alias("i")))
     )
-    return F.slice(F.transform(keyed, lambda s: F.substring(s["w"], 1, longest)), 1, limit)
+    return first(F.transform(keyed, lambda s: s["w"] if longest is None else F.substring(s["w"], 1, longest)), limit)
 
 
 def context_rows(
@@ -115,10 +115,18 @@ def menu_page_items(rows: DataFrame, keys: Sequence[str], position: str, width:
 
 
 def first_section(sections: DataFrame, keys: Sequence[str], title: str, wanted: str, position: str) -> DataFrame:
-    """First section with the wanted title per key."""
+    """First section with the wanted title per key; keys without one have no row (see section_or_error)."""
     return keep_first(sections.filter(F.col(title) == wanted), keys, [position])
 
 
+def section_or_error(sections: DataFrame, keys: Sequence[str], title: str, wanted: str, position: str) -> DataFrame:
+    """As first_section, but a key without the wanted section is an error."""
+    found = first_section(sections, keys, title, wanted, position).withColumn("_found", F.lit(True))
+    missing = F.raise_error(F.concat(F.lit(f"section {wanted!r} not found: "), F.to_json(F.struct(*keys)))).cast("boolean")
+    checked = sections.select(*keys).distinct().join(found, list(keys), "left").withColumn("_found", F.coalesce("_found", missing))
+    return checked.filter("_found").drop("_found").select(*sections.columns)
+
+
 def reading_order(
     blocks: DataFrame,
     page: Sequence[str],
@@ -145,13 +153,13 @@ def reading_order(
 
 
 def unique_slugs(
-    rows: DataFrame, title: str, position: str, digest: Column, fallback: Column, min_rows: int = HEAVY_ROWS
+    rows: DataFrame, title: str, position: str, digest: Column, fallback: Column, heavy: Heavy = None
 ) -> DataFrame:
     """Slug per row; every later row with a used slug gets the digest appended."""
     staged = rows.withColumn("_slug", slug(F.col(title), fallback=fallback)).withColumn("_digest", digest)
     first = staged.groupBy("_slug").agg(F.min(position).alias("_first"))
     return (
-        salted_lookup(staged, first, ["_slug"], [position], "inner", min_rows)
+        salted_lookup(staged, first, ["_slug"], [position], "inner", heavy)
         .withColumn(
             "slug",
             F.when(F.col(position) == F.col("_first"), F.col("_slug")).otherwise(F.concat_ws("-", "_slug", "_digest")),

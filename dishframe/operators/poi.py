@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions import poi
 from dishframe.functions.text import display_label, present
-from dishframe.operators.skew import HEAVY_ROWS, salted_lookup
+from dishframe.operators.skew import Heavy, salted_lookup
 
 
 def resolve_refs(
@@ -16,7 +16,7 @@ def resolve_refs(
     nodes: DataFrame,
     ref: str = "ref",
     spread: Sequence[str] = ("way_id", "pos"),
-    min_rows: int = HEAVY_ROWS,
+    heavy: Heavy = None,
 ) -> DataFrame:
     """Left join of way references to node coordinates; a node shared by very many ways is salted.
 
@@ -25,7 +25,7 @@ def resolve_refs(
     """
     known = nodes.withColumn("_known", F.lit(True))
     return (
-        salted_lookup(refs, known, [ref], spread, min_rows=min_rows)
+        salted_lookup(refs, known, [ref], spread, heavy=heavy)
         .withColumn("missing", F.col("_known").isNull())
         .drop("_known")
     )

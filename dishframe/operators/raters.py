@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.text import or_default, strip
 from dishframe.operators.folding import keep_first
-from dishframe.operators.skew import HEAVY_ROWS, salted_lookup
+from dishframe.operators.skew import Heavy, salted_lookup
 
 # Usefulness labels and their scores.
 SCORES = {"none": 0, "low": 1, "medium": 2, "high": 3}
@@ -34,11 +34,11 @@ def first_votes(judgments: DataFrame, run: Sequence[str] = (), order: Sequence[C
     return first.withColumn("usefulness", label).withColumn("score", score_of(label)).filter(F.col("score").isNotNull())
 
 
-def clean_judgments(judgments: DataFrame, canonical: DataFrame, run: Sequence[str] = (), min_rows: int = HEAVY_ROWS) -> DataFrame:
+def clean_judgments(judgments: DataFrame, canonical: DataFrame, run: Sequence[str] = (), heavy: Heavy = None) -> DataFrame:
     """Valid votes on known results; title and url come from the canonical row."""
     votes = first_votes(judgments, run).drop("title", "url")
     known = canonical.select(*run, F.col("index").cast("bigint").alias("index"), "title", "url")
-    return salted_lookup(votes, known, [*run, "index"], ["model"], "inner", min_rows=min_rows)
+    return salted_lookup(votes, known, [*run, "index"], ["model"], "inner", heavy=heavy)
 
 
 def vote_counts(votes: DataFrame, run: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.text import dish_key, name_tokens
 from dishframe.operators.folding import keep_first
-from dishframe.operators.skew import HEAVY_ROWS, salted_lookup
+from dishframe.operators.skew import Heavy, salted_lookup
 
 EARTH_KM = 6371.0
 
@@ -46,13 +46,13 @@ def haversine_km(lat: Column, lon: Column, to_lat: Column, to_lon: Column) -> Co
 
 def result_rows(
     items: DataFrame, places: DataFrame, ratings: DataFrame, place: str, spread: Sequence[str], lat: float, lon: float,
-    min_rows: int = HEAVY_ROWS,
+    heavy: Heavy = None,
 ) -> DataFrame:
     """Dish rows with place, rating and distance. places and ratings are unique on the place."""
     facts = places.join(ratings, place, "left").withColumn(
         "distance_km", haversine_km(F.lit(lat), F.lit(lon), F.col("lat"), F.col("lon"))
     )
-    return salted_lookup(items, facts, [place], spread, "inner", min_rows=min_rows)
+    return salted_lookup(items, facts, [place], spread, "inner", heavy=heavy)
 
 
 def source_priority(rows: DataFrame, keys: Sequence[str], source: str, captured: str, ranks: Mapping[str, int], tie: str) -> DataFrame:
@@ -73,18 +73,18 @@ def composite_rating(ratings: DataFrame, place: Sequence[str], rating: str, vote
 
 def recent_or_older(
     photos: DataFrame, place: Sequence[str], age_days: Column, spread: Sequence[str], recent: int = 730, older: int = 1461,
-    min_rows: int = HEAVY_ROWS,
+    heavy: Heavy = None,
 ) -> DataFrame:
     """Photos up to two years old; for a place without any, those up to four years old."""
     aged = photos.withColumn("age_days", age_days).filter(F.col("age_days") <= older)
     state = aged.groupBy(*place).agg(F.bool_or(F.col("age_days") <= recent).alias("_fresh"))
-    known = salted_lookup(aged, state, place, spread, "inner", min_rows)
+    known = salted_lookup(aged, state, place, spread, "inner", heavy)
     return known.filter(~F.col("_fresh") | (F.col("age_days") <= recent)).drop("_fresh")
 
 
-def alias_lookup(items: DataFrame, aliases: DataFrame, key: str, spread: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame:
+def alias_lookup(items: DataFrame, aliases: DataFrame, key: str, spread: Sequence[str], heavy: Heavy = None) -> DataFrame:
     """Canonical dish of each key from an alias table (key, canonical); unknown keys stay."""
-    return salted_lookup(items, aliases, [key], spread, min_rows=min_rows).withColumn(
+    return salted_lookup(items, aliases, [key], spread, heavy=heavy).withColumn(
         "canonical", F.coalesce("canonical", F.col(key))
     )
 
@@ -109,11 +109,11 @@ def place_histogram(rows: DataFrame, place: Sequence[str], low: float, high: flo
 
 
 def price_outliers(
-    items: DataFrame, category: Sequence[str], price: str, spread: Sequence[str], z: float, min_rows: int = HEAVY_ROWS
+    items: DataFrame, category: Sequence[str], price: str, spread: Sequence[str], z: float, heavy: Heavy = None
 ) -> DataFrame:
     """Items whose price lies z standard deviations from their category's mean."""
     stats = items.groupBy(*category).agg(F.avg(price).alias("mean"), F.stddev_pop(price).alias("deviation"))
-    joined = salted_lookup(items, stats, category, spread, "inner", min_rows)
+    joined = salted_lookup(items, stats, category, spread, "inner", heavy)
     return joined.withColumn("z", (F.col(price) - F.col("mean")) / F.nullif(F.col("deviation"), F.lit(0.0))).filter(
         F.abs("z") >= z
     )

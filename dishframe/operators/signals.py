@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions import html
-from dishframe.functions.text import collapse, let
+from dishframe.functions.text import collapse, first, let
+from dishframe.functions.urls import looks_like_menu
 from dishframe.operators.jsonwalk import json_objects, structured_ratings
 from dishframe.operators.ordering import review_snippets
 
@@ -17,13 +18,13 @@ COUNT = r"(?i)\b(\d[\d,]*)\s+(reviews?|ratings?)\b"
 REVIEWISH = r"(?i)review|rating|stars?|customer|google|yelp|tripadvisor|facebook|doordash|grubhub|uber"
 
 
-def pattern_hits(text: Column, pattern: str, before: int, after: int, limit: int, group: int = 1) -> Column:
-    """Array of (value, start, context) of the first matches of a pattern.
+def pattern_hits(text: Column, pattern: str, before: int, after: int, limit: int | None = None, group: int = 1) -> Column:
+    """Array of (value, start, context) of the matches of a pattern; with a limit, of the first.
 
     Splitting on the pattern gives the text between matches, whose lengths add up to the
     match offsets. The context reaches `before` characters back and `after` ahead of the start.
     """
-    cut = lambda parts: F.slice(parts, 1, limit)
+    cut = lambda parts: first(parts, limit)
     split_up = F.struct(
         cut(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("found"),
         cut(F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).alias("values"),
@@ -50,34 +51,37 @@ def line_of(text: Column, start: Column) -> Column:
     return F.trim(F.concat(before, after))
 
 
-def review_lines(lines: Column, longest: int = 800, limit: int = 80) -> Column:
-    """Distinct lines with a review word, cut to a display length."""
+def review_lines(lines: Column, longest: int | None = None, limit: int | None = None) -> Column:
+    """Distinct lines with a review word; the caller may cut them to a display length and number."""
     keyed = F.array_distinct(
         F.filter(
             F.transform(
                 lines,
                 lambda line, i: F.when(
-                    line.rlike(REVIEWISH), F.struct(line.alias("l"), F.when(F.length(line) > longest, i).alias("i"))
+                    line.rlike(REVIEWISH), F.struct(line.alias("l"), (F.lit(None).cast("int") if longest is None else F.when(F.length(line) > longest, i)).alias("i"))
                 ),
             ),
             lambda s: s.isNotNull(),
         )
     )
-    return F.slice(F.transform(keyed, lambda s: F.substring(s["l"], 1, longest)), 1, limit)
+    return first(F.transform(keyed, lambda s: s["l"] if longest is None else F.substring(s["l"], 1, longest)), limit)
 
 
 def page_signals(pages: DataFrame, markup: str = "html") -> DataFrame:
-    """Per page: title, sizes, rating and count candidates, review lines, snippets. No shuffle."""
+    """Per page: title, sizes, rating and count candidates, review lines, snippets, menu words, number
+    of JSON scripts. One scan, no shuffle."""
     return (
         pages.withColumn("lines", html.visible_lines(F.col(markup)))
         .withColumn("_text", F.array_join("lines", "\n"))
         .withColumn("title", html.title(F.col(markup)))
         .withColumn("html_chars", F.length(markup).cast("bigint"))
         .withColumn("text_chars", F.length("_text").cast("bigint"))
-        .withColumn("rating_candidates", pattern_hits(F.col("_text"), RATING, 180, 260, 25))
-        .withColumn("count_candidates", pattern_hits(F.col("_text"), COUNT, 180, 260, 25))
+        .withColumn("rating_candidates", pattern_hits(F.col("_text"), RATING, 180, 260))
+        .withColumn("count_candidates", pattern_hits(F.col("_text"), COUNT, 180, 260))
         .withColumn("review_lines", review_lines(F.col("lines")))
         .withColumn("review_snippets", review_snippets(F.col("lines")))
+        .withColumn("looks_menuish", looks_like_menu(F.col("_text")))
+        .withColumn("json_script_count", F.size(F.filter(html.scripts(F.col(markup)), lambda s: html.json_or_null(s["body"]).isNotNull())))
         .drop("_text", "lines", markup)
     )
 
@@ -136,7 +140,7 @@ def source_summary(signals: DataFrame, source: str = "source") -> DataFrame:
     )
 
 
-def first_candidates(signals: DataFrame, source: str, page: str, kind: str = "rating_candidates", limit: int = 5) -> DataFrame:
+def first_candidates(signals: DataFrame, source: str, page: str, kind: str, limit: int) -> DataFrame:
     """First candidates of every page as rows of its source."""
     return signals.select(source, page, F.posexplode(F.slice(kind, 1, limit)).alias("pos", "_h")).select(
         source, page, "pos", "_h.value", "_h.context"

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from difflib import SequenceMatcher
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import MONEY, dollars
 from dishframe.functions.text import let
 from dishframe.functions.sizes import size_order, split_size
-from dishframe.operators.skew import HEAVY_ROWS, salted_lookup
+from dishframe.operators.skew import Heavy, salted_lookup
 
 SIMILARITY = 0.80
 
@@ -53,22 +51,22 @@ def size_groups(sized: DataFrame, section: Sequence[str], position: str = "pos",
 
 
 def size_options(
-    sized: DataFrame, groups: DataFrame, section: Sequence[str], spread: Sequence[str], min_rows: int = HEAVY_ROWS
+    sized: DataFrame, groups: DataFrame, section: Sequence[str], spread: Sequence[str], heavy: Heavy = None
 ) -> DataFrame:
     """Members of merged items: each size with its price above the group's floor."""
     keys = [*section, "residual_key"]
     members = sized.filter(F.col("size").isNotNull())
     floors = groups.select(*keys, "floor", "shared_structure")
-    return salted_lookup(members, floors, keys, spread, "inner", min_rows).withColumn("delta", (F.coalesce("price_min", F.lit(0).cast(MONEY)) - F.col("floor")).cast(MONEY))
+    return salted_lookup(members, floors, keys, spread, "inner", heavy).withColumn("delta", (F.coalesce("price_min", F.lit(0).cast(MONEY)) - F.col("floor")).cast(MONEY))
 
 
 def unmerged(
-    sized: DataFrame, groups: DataFrame, section: Sequence[str], spread: Sequence[str], min_rows: int = HEAVY_ROWS
+    sized: DataFrame, groups: DataFrame, section: Sequence[str], spread: Sequence[str], heavy: Heavy = None
 ) -> DataFrame:
     """Items that stay as they are: without a size, or the only one with their residual."""
     keys = [*section, "residual_key"]
     merged = groups.select(*keys, F.lit(True).alias("_merged"))
-    looked_up = salted_lookup(sized, merged, keys, spread, min_rows=min_rows)
+    looked_up = salted_lookup(sized, merged, keys, spread, heavy=heavy)
     return looked_up.filter(F.col("size").isNull() | F.col("_merged").isNull()).drop("_merged")
 
 
@@ -165,92 +163,47 @@ def lone_residuals(sized: DataFrame, section: Sequence[str]) -> DataFrame:
 
 
 def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMILARITY) -> DataFrame:
-    """Pairs of lone residuals of a section whose match ratio reaches the threshold.
+    """Pairs of lone residuals of a section whose edit similarity, 1 - edits / longer length, reaches the threshold.
 
-    ratio = 2M/(|a|+|b|) cannot exceed twice the shared characters over the total length. So
-    a pair shares at least ceil(t/(2-t)*|a|) characters (counted with repeats), and must meet
-    on one of the first |a| - that + 1 of them in a common order, rarest first. Only such
-    pairs are formed, and none is lost.
+    A partner of a text of length n is at most n / t long, so at most k = (1 - t) / t * n edits lie
+    between them, and each edit touches two of the text's letter pairs. Hence a pair must share one
+    of the first 2k + 1 letter pairs of either text in a common order, rarest first: only texts that
+    meet there, and whose lengths fit, are compared, and none is lost.
     """
-    share = threshold / (2 - threshold)
-    letters = _grams(lone, section, 1)
-    weight = letters.groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
-    ordered = (
-        salted_lookup(letters, weight, ["_g"], ["residual_key"], "inner")
-        .groupBy(*section, "residual_key")
+    if not 0.75 <= threshold <= 1:
+        raise ValueError("below 0.75 short texts can be similar without a common letter pair")
+    pairs_of = _letter_pairs(F.col("residual_key"))
+    keyed = lone.filter(F.length("residual_key") >= 3).select(*section, "residual_key", "title", "pos", pairs_of.alias("_grams"))
+    weight = keyed.select(F.explode("_grams").alias("_g")).groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
+    size = F.length("residual_key")
+    edits = F.floor((1 - threshold) / threshold * size + F.lit(1e-9)).cast("int")
+    facts = F.struct(F.col("residual_key").alias("k"), "title", "pos")
+    prefix = (
+        keyed.select(*section, facts.alias("f"), (2 * edits + 1).alias("_most"), F.explode("_grams").alias("_g"))
+        .join(weight, "_g")
+        .groupBy(*section, "f", "_most")
         .agg(F.array_sort(F.collect_list(F.struct("_df", "_g"))).alias("_grams"))
+        .select(*section, "f", F.explode(F.slice("_grams", F.lit(1), F.col("_most"))).alias("_p"))
+        .select(*section, "f", F.col("_p._g").alias("_g"))
     )
-    size = F.size("_grams")
-    prefix = size - F.ceil(F.lit(share) * size - F.lit(1e-9)).cast("int") + 1
-    keyed = ordered.select(
-        *section,
-        F.col("residual_key").alias("k"),
-        size.alias("n"),
-        F.posexplode(F.slice("_grams", F.lit(1), prefix)).alias("i", "_p"),
-    ).select(*section, "k", "n", "i", "_p._g")
-    a, b = keyed.alias("a"), keyed.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*section, "_g"]]
-    longer, shorter = F.greatest("a.n", "b.n"), F.least("a.n", "b.n")
-    met = F.col("a.k") < F.col("b.k")
-    fits = shorter >= F.lit(share) * longer - F.lit(1e-9)
-    # Characters still to come after the meeting place bound what the pair can share.
-    room = F.lit(1) + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) - 1 + F.least("a.i", "b.i")
-    enough = 2 * room >= F.lit(threshold) * (F.col("a.n") + F.col("b.n")) - F.lit(1e-9)
-    condition = met & fits & enough
-    for c in same:
-        condition = condition & c
-    pairs = a.join(b, condition).select(*[F.col(f"a.{s}") for s in section], "a.k", F.col("b.k").alias("k2")).distinct()
-    bags = (
-        _grams(lone, section, 2)
-        .groupBy(*section, "residual_key")
-        .agg(F.collect_list("_g").alias("_pairs"))
-        .join(ordered.select(*section, "residual_key", F.col("_grams")["_g"].alias("_letters")), [*section, "residual_key"], "right")
-    )
-    facts = lone.join(bags, [*section, "residual_key"])
-    side = lambda key, tag: facts.select(
-        *section, F.col("residual_key").alias(key),
-        *[F.col(c).alias(f"{n}_{tag}") for c, n in (("title", "title"), ("pos", "pos"), ("_pairs", "_pairs"), ("_letters", "_letters"))],
-    )
-    full = pairs.join(side("k", "a"), [*section, "k"]).join(side("k2", "b"), [*section, "k2"])
-    # Exact bounds before any Python: shared characters, then shared neighbours. The M matched
-    # characters lie in at most |a| + |b| - 2M + 1 runs and keep all neighbours but one per run.
-    total = F.length("k") + F.length("k2")
-    shared = lambda c: F.coalesce(F.size(F.array_intersect(f"{c}_a", f"{c}_b")), F.lit(0))
-    full = full.filter(
-        (2 * shared("_letters") >= F.lit(threshold) * total - F.lit(1e-9))
-        & (shared("_pairs") >= F.lit(1.5 * threshold - 1) * total - F.lit(1 + 1e-9))
-    )
-    swap = F.col("pos_a") > F.col("pos_b")
-    either = lambda x, y, name: F.when(swap, F.col(y)).otherwise(F.col(x)).alias(name)
-    oriented = full.select(
-        *section,
-        either("k", "k2", "residual_a"), either("k2", "k", "residual_b"),
-        either("title_a", "title_b", "title_a"), either("title_b", "title_a", "title_b"),
-    )
-    return oriented.withColumn("ratio", match_ratio(F.col("residual_a"), F.col("residual_b"))).filter(
-        F.col("ratio") >= threshold
+    a, b = prefix.withColumnRenamed("f", "a"), prefix.withColumnRenamed("f", "b")
+    longer, shorter = F.greatest(F.length("a.k"), F.length("b.k")), F.least(F.length("a.k"), F.length("b.k"))
+    met = a.join(b, [*section, "_g"]).filter((F.col("a.pos") < F.col("b.pos")) & (shorter >= F.lit(threshold) * longer - F.lit(1e-9)))
+    return (
+        met.select(*section, "a", "b")
+        .distinct()
+        .select(
+            *section, F.col("a.k").alias("residual_a"), F.col("b.k").alias("residual_b"), F.col("a.title").alias("title_a"),
+            F.col("b.title").alias("title_b"), (1 - F.levenshtein("a.k", "b.k") / longer).alias("ratio"),
+        )
+        .filter(F.col("ratio") >= threshold - 1e-9)
     )
 
 
-def _grams(lone: DataFrame, section: Sequence[str], width: int) -> DataFrame:
-    """(section, residual_key, _g): substrings of a width with a running number for repeats."""
-    starts = F.sequence(F.lit(1), F.length("residual_key") - width + 1)
-    counted = (
-        lone.filter(F.length("residual_key") >= width)
-        .select(*section, "residual_key", F.explode(starts).alias("_i"))
-        .groupBy(*section, "residual_key", F.substr("residual_key", F.col("_i"), F.lit(width)).alias("_s"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+def _letter_pairs(text: Column) -> Column:
+    """The letter pairs of a text, repeats numbered."""
+    found = F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substr(text, i, F.lit(2)))
+    numbered = lambda all: F.transform(
+        all, lambda g, i: F.concat(g, F.size(F.filter(F.slice(all, F.lit(1), i), lambda o: o == g)).cast("string"))
     )
-    return counted.select(
-        *section, "residual_key", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_k"), "_s"
-    ).select(*section, "residual_key", F.concat("_s", F.col("_k").cast("string")).alias("_g"))
-
-
-def match_ratio(a: Column, b: Column) -> Column:
-    """difflib's match ratio of two short texts, in Arrow batches."""
-    @F.pandas_udf("double")
-    def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(left, right)], dtype="float64")
-
-    return ratio(a, b)
-
+    return let(found, numbered)

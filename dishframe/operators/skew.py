@@ -8,7 +8,7 @@ are heavy and leave all others alone.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -19,6 +19,9 @@ HEAVY_KEYS = 1000
 SKETCH_ITEMS = 10_000
 HEAVY_ROWS = 1_000_000
 
+# Hash of a heavy key -> number of salts, as heavy_keys() finds them; None: join plainly.
+Heavy = Mapping[int, int] | None
+
 
 def chunk_of(position: Column, width: int = CHUNK) -> Column:
     return F.floor(position / F.lit(width))
@@ -131,12 +134,12 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS)
     return {t["item"]: math.ceil(t["count"] / min_rows) for t in top if t["count"] > min_rows}
 
 
-def _with_salts(df: DataFrame, heavy: dict[int, int], keys: Sequence[str]) -> DataFrame:
+def _with_salts(df: DataFrame, heavy: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
     table = df.sparkSession.createDataFrame(list(heavy.items()), "_key_hash bigint, _salts int")
     return df.withColumn("_key_hash", F.xxhash64(*keys)).join(F.broadcast(table), "_key_hash", "left").drop("_key_hash")
 
 
-def salt_rows(rows: DataFrame, heavy: dict[int, int], keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
+def salt_rows(rows: DataFrame, heavy: Mapping[int, int], keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
     """Add _salt: rows of a heavy key, or of a heavy NULL, are spread by the hash of other columns."""
     if not heavy:
         return rows.withColumn("_salt", F.lit(0))
@@ -144,7 +147,7 @@ def salt_rows(rows: DataFrame, heavy: dict[int, int], keys: Sequence[str], sprea
     return _with_salts(rows, heavy, keys).withColumn("_salt", salt).drop("_salts")
 
 
-def replicate(lookup: DataFrame, heavy: dict[int, int], keys: Sequence[str]) -> DataFrame:
+def replicate(lookup: DataFrame, heavy: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
     """One copy of a lookup row per salt of its key."""
     if not heavy:
         return lookup.withColumn("_salt", F.lit(0))
@@ -158,11 +161,14 @@ def salted_lookup(
     keys: Sequence[str],
     spread: Sequence[str],
     how: str = "left",
-    min_rows: int = HEAVY_ROWS,
+    heavy: Heavy = None,
 ) -> DataFrame:
-    """Join rows to a lookup unique on keys, with the rows of heavy keys spread over many tasks."""
+    """Join rows to a lookup unique on keys.
+
+    Skew is left to adaptive execution, which splits large partitions of rows in left and inner
+    joins. A caller that knows its heavy keys (heavy_keys) may give them: their rows are salted.
+    """
     keys = list(keys)
-    heavy = heavy_keys(rows, keys, min_rows)
     if not heavy:
         return rows.join(lookup, keys, how)
     left = salt_rows(rows, heavy, keys, spread)

@@ -9,7 +9,7 @@ from dishframe.functions import price as money
 from dishframe.functions import sizes as size_fn
 from dishframe.operators import folding, options, required, sizes
 from dishframe.operators.skew import k_sums
-from dishframe.plans.tables import Catalog, spread, table
+from dishframe.plans.tables import Catalog, table
 
 catalog = Catalog()
 
@@ -96,7 +96,7 @@ def section_order(spark, sf):
 )
 def prefer_flagged_join(spark, sf):
     flagged = F.col("l_returnflag") == "R"
-    cards = spread(table(spark, sf, "lineitem")).select(
+    cards = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_orderkey").cast("string").alias("name"),
         flagged.alias("in_featured_carousel"),
@@ -234,7 +234,7 @@ def price_range(spark, sf):
     FROM required GROUP BY ALL"""
 )
 def price_bounds(spark, sf):
-    lines = spread(table(spark, sf, "lineitem")).filter(F.col("l_returnflag").isin("R", "A")).select(
+    lines = table(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("R", "A")).select(
         "l_orderkey", "l_returnflag", "l_extendedprice", "l_linenumber", "l_partkey"
     )
     keys = ["l_orderkey", "l_returnflag"]
@@ -289,7 +289,7 @@ def item_pages(spark: SparkSession, sf: str) -> DataFrame:
         "Goes with", "item", F.lit(True), F.lit(0), F.array(option(F.lit("Soup"), size * 10, none), option(F.col("p_type"), size * 20, none))
     )
     tree = F.array(sizes_group, toppings, cross).cast(schemas.OPTION_LISTS)
-    return spread(table(spark, sf, "part")).select(
+    return table(spark, sf, "part").select(
         F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("section"), F.col("p_name").alias("name"),
         F.struct(
             F.struct(
@@ -410,7 +410,7 @@ def cross_sell(spark, sf):
 def modifier_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Lines as options: the order is the item, the return flag the group."""
     flag = F.col("l_returnflag")
-    return spread(table(spark, sf, "lineitem")).select(
+    return table(spark, sf, "lineitem").select(
         "l_orderkey",
         flag.alias("group_pos"),
         F.concat(F.lit("Group "), flag).alias("group_name"),
@@ -629,9 +629,16 @@ def variant_groups(spark, sf):
     )
 
 
-@catalog.query()
+@catalog.query(
+    r"""WITH title AS (SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS section,
+        trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages),
+      lone AS (SELECT section, lower(t) AS k, min(page_id) AS pos, max('Large ' || t) AS title FROM title GROUP BY section, lower(t) HAVING count(*) = 1)
+    SELECT a.section, a.title AS title_a, b.title AS title_b, round(1 - levenshtein(a.k, b.k) / greatest(length(a.k), length(b.k)), 6) AS ratio
+    FROM lone a JOIN lone b ON a.section = b.section AND a.pos < b.pos AND length(a.k) >= 3 AND length(b.k) >= 3
+    WHERE 1 - levenshtein(a.k, b.k) / greatest(length(a.k), length(b.k)) >= 0.8 - 1e-9"""
+)
 def near_miss(spark, sf):
-    """Page titles as sized dishes of a section named after the page's language; ratio by difflib."""
+    """Page titles as sized dishes of a section named after the page's language; ratio by edits."""
     from dishframe.functions import html
 
     pages = table(spark, sf, "pages").select(

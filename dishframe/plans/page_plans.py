@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from dishframe.functions import html, price, urls
 from dishframe.functions import text as tx
 from dishframe.operators import arrays, dedupe, jsonwalk, links, matching, ordering, reports, signals
-from dishframe.plans.tables import Catalog, spread, table
+from dishframe.plans.tables import Catalog, table
 from dishframe.sources import files
 
 catalog = Catalog()
@@ -29,7 +29,7 @@ page_line AS (SELECT page_id, unnest(lines) AS line, (unnest(generate_series(1,
 
 
 def page_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "pages").select("page_id", "html")).select(
+    return table(spark, sf, "pages").select("page_id", "html").select(
         "page_id", F.posexplode(html.visible_lines(F.col("html"))).alias("line_no", "line")
     )
 
@@ -132,7 +132,7 @@ def _shop_pages(spark: SparkSession, sf: str) -> DataFrame:
         anchor(F.lit("https://elsewhere.example/")), anchor(F.concat(F.lit("https://www.GrubHub.com/restaurant/"), key)),
         F.lit('<form action="https://order.online/x"></form></body></html>'),
     )
-    return spread(table(spark, sf, "supplier")).select("s_suppkey", page.alias("html"))
+    return table(spark, sf, "supplier").select("s_suppkey", page.alias("html"))
 
 
 @catalog.query(
@@ -211,7 +211,7 @@ NUMBER = r"(?i)([0-9][0-9,]*)\s+([a-z]+)"
 )
 def signal_values(spark, sf):
     hits = signals.pattern_hits(F.col("text"), NUMBER, 180, 260, 25)
-    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(hits).alias("pos", "h")).select("doc_id", "pos", "h.*")
+    return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", F.posexplode(hits).alias("pos", "h")).select("doc_id", "pos", "h.*")
 
 
 DOC_LINES_SQL = r"""doc_line AS (SELECT doc_id, lines, unnest(lines) AS line, unnest(generate_series(1, len(lines))) AS i FROM (
@@ -230,7 +230,7 @@ def _doc_lines() -> Column:
     SELECT doc_id, (rn - 1)::INT AS pos, left(line, 800) AS line FROM ranked WHERE rn <= 80"""
 )
 def review_lines(spark, sf):
-    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(signals.review_lines(_doc_lines())).alias("pos", "line"))
+    return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", F.posexplode(signals.review_lines(_doc_lines(), 800, 80)).alias("pos", "line"))
 
 
 @catalog.query(
@@ -242,8 +242,8 @@ def review_lines(spark, sf):
     SELECT doc_id, (rn - 1)::INT AS pos, left(w, 900) AS snippet FROM ranked WHERE rn <= 30"""
 )
 def review_snippets(spark, sf):
-    found = ordering.review_snippets(_doc_lines())
-    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(found).alias("pos", "snippet"))
+    found = ordering.review_snippets(_doc_lines(), longest=900, limit=30)
+    return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", F.posexplode(found).alias("pos", "snippet"))
 
 
 @catalog.query(
@@ -253,20 +253,17 @@ def review_snippets(spark, sf):
     FROM pages JOIN texts USING (page_id)"""
 )
 def page_signals(spark, sf):
-    found = signals.page_signals(spread(table(spark, sf, "pages"))).select(
-        "page_id", "html_chars", "text_chars", F.size("count_candidates").alias("n_counts")
+    return signals.page_signals(table(spark, sf, "pages")).select(
+        "page_id", "html_chars", "text_chars", F.size("count_candidates").alias("n_counts"), "looks_menuish"
     )
-    text = F.array_join(html.visible_lines(F.col("html")), "\n")
-    menuish = spread(table(spark, sf, "pages")).select("page_id", urls.looks_like_menu(text).alias("looks_menuish"))
-    return found.join(menuish, "page_id")
 
 
 @catalog.query(
-    r"""WITH found AS (SELECT source, least(len(regexp_extract_all(text, '(?i)([0-9][0-9,]*)\s+([a-z]+)')), 25) AS n FROM documents)
+    r"""WITH found AS (SELECT source, len(regexp_extract_all(text, '(?i)([0-9][0-9,]*)\s+([a-z]+)')) AS n FROM documents)
     SELECT source, count(*) AS n_pages, sum(n)::BIGINT AS n_ratings, sum(least(n, 5))::BIGINT AS n_best_ratings FROM found GROUP BY source"""
 )
 def source_summary(spark, sf):
-    hits = signals.pattern_hits(F.col("text"), NUMBER, 180, 260, 25)
+    hits = signals.pattern_hits(F.col("text"), NUMBER, 180, 260)
     none = F.array().cast("array<string>")
     pages = table(spark, sf, "documents").select(
         "source", hits.alias("rating_candidates"), none.alias("count_candidates"), none.alias("review_snippets")
@@ -327,7 +324,7 @@ def json_items(spark, sf):
         F.lit('{"data":{"name":"Menu","description":"c","items":['), F.to_json(dish), F.lit(","), F.to_json(side), F.lit("]}}")
     )
     key = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-    documents = spread(table(spark, sf, "lineitem")).select(key.alias("k"), whole.alias("document"))
+    documents = table(spark, sf, "lineitem").select(key.alias("k"), whole.alias("document"))
     part = lambda i: F.element_at(F.split("k", "-"), i)
     return jsonwalk.json_items(documents, "k", "document").select(
         part(1).cast("bigint").alias("l_orderkey"), part(2).cast("int").alias("l_linenumber"), part(3).cast("bigint").alias("l_partkey"),
@@ -340,7 +337,7 @@ def json_props(spark, sf):
     fenced = F.concat(F.lit("```json\n"), "props", F.lit("\n```"))
     chatty = F.concat(F.lit("Sure: "), "props", F.lit(" done"))
     reply = F.when(F.col("event_type") == "view", fenced).when(F.col("event_type") == "click", chatty).otherwise(F.col("props"))
-    documents = spread(table(spark, sf, "events")).select("event_id", tx.jsonish(reply).alias("document"))
+    documents = table(spark, sf, "events").select("event_id", tx.jsonish(reply).alias("document"))
     return jsonwalk.json_objects(documents, "event_id", "document").select(
         "event_id", "n", "path", F.get_json_object("object", "$.k").cast("bigint").alias("k")
     )
@@ -356,14 +353,14 @@ KEYED_SQL = r"keyed AS (SELECT doc_id, source, lang, sha256(lower(trim(regexp_re
     FROM keyed GROUP BY content_key"""
 )
 def content_dedupe(spark, sf):
-    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
     keyed = documents.withColumn("key", dedupe.content_hash(F.col("text"))).drop("text")
     return dedupe.content_groups(keyed, F.col("key"), "doc_id").drop("key")
 
 
 @catalog.query(f"WITH {KEYED_SQL} SELECT min(doc_id) OVER (PARTITION BY content_key) AS kept, doc_id, source FROM keyed")
 def content_sources(spark, sf):
-    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "source", "text")
     return dedupe.content_sources(documents, dedupe.content_hash(F.col("text")), "doc_id", "source")
 
 
@@ -449,7 +446,7 @@ def orphan_attach(spark, sf):
       row_number() OVER (PARTITION BY l_orderkey ORDER BY column_no, l_quantity, l_suppkey, l_partkey, l_linenumber) AS block_no FROM placed"""
 )
 def reading_order(spark, sf):
-    blocks = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity")
+    blocks = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity")
     return ordering.reading_order(
         blocks, ["l_orderkey"], "l_suppkey", "l_quantity", F.lit(50), ["l_suppkey", "l_partkey", "l_linenumber"]
     ).drop("l_quantity")
@@ -579,23 +576,29 @@ def text_choices(spark, sf):
 
 
 @catalog.query(
-    """WITH place AS (SELECT s_suppkey, lower(n_name) AS city, list_filter(list_distinct(regexp_extract_all(lower(s_name), '[a-z0-9]+')), lambda t: length(t) > 2) AS tokens
+    """WITH place AS (SELECT s_suppkey, lower(n_name) AS city, list_filter(list_distinct(regexp_extract_all(lower(s_name || ' lot' || (s_suppkey * 3)), '[a-z0-9]+')), lambda t: length(t) > 2 AND t <> 'supplier') AS tokens
         FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-      page AS (SELECT c_custkey, lower(c_name || ' ' || n_name || CASE WHEN c_acctbal < 500 THEN ' supplier' ELSE '' END) AS hay FROM customer JOIN nation ON c_nationkey = n_nationkey),
+      page AS (SELECT c_custkey, lower(c_name || ' ' || n_name || ' lot' || (c_custkey * CASE WHEN c_acctbal < 500 THEN 3 ELSE 5 END)) AS hay FROM customer JOIN nation ON c_nationkey = n_nationkey),
       pt AS (SELECT s_suppkey, city, len(tokens) AS n, unnest(tokens) AS t FROM place),
-      ct AS (SELECT c_custkey, hay, unnest(list_filter(list_distinct(regexp_extract_all(hay, '[a-z0-9]+')), lambda t: length(t) > 2)) AS t FROM page),
+      ct AS (SELECT c_custkey, hay, unnest(list_filter(list_distinct(regexp_extract_all(hay, '[a-z0-9]+')), lambda t: length(t) > 2 AND t <> 'supplier')) AS t FROM page),
       met AS (SELECT s_suppkey, c_custkey, bool_or(contains(hay, city)) AS city_match, max(n) AS n, count(*) AS overlap, string_agg(t, ', ' ORDER BY t) AS shared_tokens
         FROM pt JOIN ct USING (t) GROUP BY ALL)
     SELECT s_suppkey, c_custkey, city_match, overlap, shared_tokens, CASE WHEN city_match THEN 'city match plus token overlap: ' ELSE 'name token overlap: ' END || shared_tokens AS reason
     FROM met WHERE city_match OR (n >= 2 AND overlap >= 2)"""
 )
 def token_match(spark, sf):
+    """Suppliers and customers meet on numbers and lots; the word that is in every name is a stopword."""
     nations = table(spark, sf, "nation")
-    places = table(spark, sf, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_name", "n_name")
+    lot = lambda key, times: F.concat(F.lit("lot"), (F.col(key) * times).cast("string"))
+    places = table(spark, sf, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "s_suppkey", F.concat_ws(" ", "s_name", lot("s_suppkey", 3)).alias("s_name"), "n_name"
+    )
     pages = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.concat_ws(" ", "c_name", "n_name", F.when(F.col("c_acctbal") < 500, "supplier")).alias("hay")
+        "c_custkey", F.concat_ws(" ", "c_name", "n_name", F.when(F.col("c_acctbal") < 500, lot("c_custkey", 3)).otherwise(lot("c_custkey", 5))).alias("hay")
+    )
+    return matching.token_matches(
+        places, pages, "s_suppkey", "c_custkey", F.col("s_name"), F.col("n_name"), F.col("hay"), [*tx.NAME_STOPWORDS, "supplier"]
     )
-    return matching.token_matches(places, pages, "s_suppkey", "c_custkey", F.col("s_name"), F.col("n_name"), F.col("hay"))
 
 
 def _vector_pairs(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dishframe.functions import poi as fn
 from dishframe.functions.text import present, split_tokens
 from dishframe.operators import poi
-from dishframe.plans.tables import Catalog, spread, table
+from dishframe.plans.tables import Catalog, table
 
 catalog = Catalog()
 
@@ -79,7 +79,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
         ),
         lambda t: t["_v"].isNotNull(),
     )
-    return spread(table(spark, sf, "part")).select(
+    return table(spark, sf, "part").select(
         F.col("p_partkey").alias("id"),
         F.when(size > 25, "way").otherwise("node").alias("type"),
         F.when(size > 1, F.col("p_retailprice")).alias("lat"),
@@ -223,7 +223,7 @@ WEAK = {"number": r"[0-9]{2}", "shouting": r"[A-Z]{6}"}
 )
 def tiered_match(spark, sf):
     match = fn.tiered_match(F.col("text"), STRONG, WEAK, {"lang=es": F.col("lang") == "es"})
-    documents = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "text")
     return poi.matched(documents, ["doc_id"], match).select(
         "doc_id", "confidence", F.array_join("reasons", "; ").alias("reasons")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dishframe.functions import price as money
 from dishframe.functions import text as tx
 from dishframe.operators import comparison, raters, reports
-from dishframe.plans.tables import Catalog, spread, table
+from dishframe.plans.tables import Catalog, table
 
 catalog = Catalog()
 
@@ -15,7 +15,7 @@ VOTES_SQL = """
 judgment AS (SELECT event_id % 97 AS index, user_id AS model, event_id AS pos, CASE event_type WHEN 'view' THEN 'none' WHEN 'click' THEN ' Low '
     WHEN 'signup' THEN 'MEDIUM' WHEN 'purchase' THEN 'high' ELSE 'broken' END AS usefulness FROM events),
 first_vote AS (SELECT index, model, pos, lower(trim(usefulness)) AS usefulness FROM (SELECT *, row_number() OVER (PARTITION BY model, index ORDER BY pos) AS rn
-    FROM judgment) WHERE rn = 1 AND index < 90),
+    FROM judgment) WHERE rn = 1),
 vote AS (SELECT *, CASE usefulness WHEN 'none' THEN 0 WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 END AS score
     FROM first_vote WHERE usefulness IN ('none', 'low', 'medium', 'high')),
 canonical AS (SELECT p_size::BIGINT * 2 - 2 AS index, 'title ' || p_size AS title, 'http://x/' || p_size AS url FROM part GROUP BY p_size),
@@ -36,12 +36,10 @@ def judgments(spark: SparkSession, sf: str) -> DataFrame:
         F.when(kind == "view", "none").when(kind == "click", " Low ").when(kind == "signup", "MEDIUM")
         .when(kind == "purchase", "high").otherwise("broken")
     )
-    rows = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         (F.col("event_id") % 97).alias("index"), F.col("user_id").alias("model"), F.col("event_id").alias("pos"),
         label.alias("usefulness"),
     )
-    # Indexes beyond the results are unknown to the canonical list.
-    return rows.filter("index < 90")
 
 
 def canonical(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,7 +225,7 @@ def disagreement(spark, sf):
 
 def _pipe_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as pipe rows: every sentence end becomes a cell border."""
-    return spread(table(spark, sf, "documents").select("source", "doc_id", "text")).select(
+    return table(spark, sf, "documents").select("source", "doc_id", "text").select(
         F.col("source").alias("model"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
     ).select("model", "doc_id", "line_no", F.replace("raw", F.lit(". "), F.lit(" | ")).alias("line"))
 

@@ -13,12 +13,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan of fewer splits than cores before costly row work; a large scan stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 class Catalog:
     """Named queries with the SQL that must give the same rows."""
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings only: each can be changed on a live session.
 SQL_SETTINGS = {
@@ -26,6 +24,9 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "8
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # A single small file is read by all cores.
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "64k")
     )
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
@@ -35,15 +36,14 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "8
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a scratch folder only where none is named."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    return named or context.getCheckpointDir()
+    """The shared folder named by spark.checkpoint.dir.
 
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write a slim intermediate table to the checkpoint folder, so later steps read it, not its sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    Where none is named, a session that runs in one process gets a scratch folder; on a cluster that
+    is an error, as executors do not share the driver's disk.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"/tmp/spark-{spark.sparkContext.applicationId}"

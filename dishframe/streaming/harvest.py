@@ -7,16 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from dishframe.operators.dedupe import latest_wins
-from dishframe.session import checkpoint_dir
 
 
 def accumulate(
-    spark: SparkSession, incoming: str, schema: str, keys: Sequence[str], order: Sequence[str], target: str, name: str
+    spark: SparkSession, incoming: str, schema: str, keys: Sequence[str], order: Sequence[str], target: str, checkpoint: str
 ) -> None:
     """Fold every waiting file into the table at `target`, each batch as one new version folder.
 
     A batch that is run again rewrites its own version from the one before, so a restart
-    neither loses nor doubles a snapshot.
+    neither loses nor doubles a snapshot. `checkpoint` is the stream's own folder beside the target:
+    both must be where a restarted driver finds them.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -28,7 +28,7 @@ def accumulate(
         spark.readStream.schema(schema)
         .json(incoming)
         .writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

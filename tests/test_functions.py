@@ -1,6 +1,8 @@
 """Scalar functions on written-out cases."""
 
+import html as html_module
 from decimal import Decimal
+from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
@@ -37,8 +39,24 @@ def test_dish_keys(spark):
 
 
 def test_entities(spark):
-    assert values(spark, text.unescape, ["Chips &amp; Salsa &amp;lt;"]) == ["Chips & Salsa &lt;"]
-    assert values(spark, text.unescape_all, ["a &hellip; &#8364;", None]) == ["a … €", None]
+    cases = ["Chips &amp; Salsa &amp;lt;", "a &hellip; &#8364;&#x1F600;", "caf&#233; &euro;5 & more &nosuch; &", "&notin;&lt;b&gt;", "none", ""]
+    assert values(spark, text.unescape, cases) == [html_module.unescape(c) for c in cases]
+    assert values(spark, text.unescape, [None, "&#0; &#xD800;"]) == [None, "&#0; &#xD800;"]
+
+
+def test_links_in_any_quoting(spark):
+    page = """<a href="/a?x=1&amp;y=2">1</a><a class=z href='b.html'>2</a><A HREF=c>3</A><form data-action="no" action='/f'></form>
+      <a data-href="no">4</a><a href="">5</a>"""
+    assert values(spark, html.links, [page]) == [["/a?x=1&y=2", "b.html", "c", "/f"]]
+
+
+def test_resolve_as_urljoin(spark):
+    bases = ["https://h", "https://h/", "https://h/a/b", "https://h/a/b/?q=1#f"]
+    found = ["x", "/x/y?z=1", "//cdn.example/y", "?q=1", "../z", "#f", "./x", "../../../up", "a/./b/../c/", "..", "", "mailto:a@b", "http://o/p", "a?b=../c"]
+    pairs = [(b, l) for b in bases for l in found]
+    got = spark.createDataFrame(pairs, "b string, l string").select("b", "l", urls.resolve(F.col("b"), F.col("l")).alias("r")).collect()
+    wanted = {(b, l): urljoin(b, l) for b, l in pairs}
+    assert [(r.b, r.l, r.r) for r in got if r.r != wanted[r.b, r.l]] == []
 
 
 def test_jsonish(spark):

@@ -2,14 +2,13 @@
 
 import random
 from decimal import Decimal
-from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
 from dishframe import schemas
 from dishframe.functions import price
 from dishframe.operators import comparison, dedupe, folding, jsonwalk, links, matching, options, ordering, poi, raters, reports
-from dishframe.operators import required, signals, sizes
+from dishframe.operators import required, signals, sizes, skew
 
 
 def rows(df, *order):
@@ -40,7 +39,7 @@ def test_fold_keeps_every_real_card(spark):
     rng = random.Random(3)
     cards = [(i, rng.choice(["Popular", "A", "B"]), str(rng.randrange(30))) for i in range(300)]
     df = spark.createDataFrame(cards, "pos int, section string, item string")
-    folded = folding.rollup_fold(df, [], "item", "Popular", "x", ["pos"], min_rows=5)
+    folded = folding.rollup_fold(df, [], "item", "Popular", "x", ["pos"], heavy=skew.heavy_keys(df.filter("section <> 'Popular'"), ["item"], min_rows=5))
     popular = {c[2] for c in cards if c[1] == "Popular"}
     want = sorted((c[0], "x" if c[2] in popular else None) for c in cards if c[1] != "Popular")
     assert rows(folded.select("pos", "special"), "pos") == want
@@ -217,15 +216,25 @@ def test_merged_documents(spark):
     assert got["Thin"].merged_from == ["Small Thin", "Large Thin"] and len(got["Thin"].cross_sell) == 1
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def test_near_misses_match_brute_force(spark):
     rng = random.Random(5)
     words = ["side of rice", "beans", "or papas", "deep dish", "thin crust", "(8oz)", "combo", "taco", "tacos", "grande"]
     titles = {"Large " + " ".join(rng.sample(words, rng.randint(1, 3))) for _ in range(60)} | {"Large ab", "Large abc", "Large a", "Large aaaa", "Large aaaaa"}
+    titles |= {t[:k] + rng.choice("xyz") + t[k + rng.randint(0, 2):] for t in sorted(titles) for k in [rng.randrange(7, len(t) + 1)]}
     items = sized(spark, sorted(titles))
     lone = sizes.lone_residuals(items, ["section"])
     order = [r.residual_key for r in lone.orderBy("pos").collect()]
     want = {
-        (a, b) for i, a in enumerate(order) for b in order[i + 1:] if SequenceMatcher(None, a, b).ratio() >= 0.80
+        (a, b) for i, a in enumerate(order) for b in order[i + 1:] if len(a) > 2 and len(b) > 2 and 1 - edits(a, b) / max(len(a), len(b)) >= 0.80 - 1e-9
     }
     got = sizes.near_misses(lone, ["section"])
     assert {(r.residual_a, r.residual_b) for r in got.collect()} == want and len(want) > 10
@@ -312,7 +321,7 @@ def test_reading_order(spark):
 def test_review_snippets_match_the_loop(spark):
     rng = random.Random(9)
     lines = [rng.choice(["short", "Great review of the place with many more words", "rated it", "x" * 400, "3 days ago"]) for _ in range(60)]
-    got = spark.createDataFrame([(lines,)], "l array<string>").select(ordering.review_snippets(F.col("l"))).collect()[0][0]
+    got = spark.createDataFrame([(lines,)], "l array<string>").select(ordering.review_snippets(F.col("l"), longest=900, limit=30)).collect()[0][0]
     want = []
     for i, line in enumerate(lines):
         if not any(w in line for w in ("review", "rated", "ago")):
@@ -352,14 +361,14 @@ def test_token_matches_with_hot_tokens(spark):
             in_city = bool(city) and city.lower() in hay.lower()
             if (in_city and shared) or (len(mine) >= 2 and len(shared) >= 2):
                 want.add((i, j, ", ".join(sorted(shared))))
-    got = matching.token_matches(left, right, "p", "g", F.col("name"), F.col("city"), F.col("hay"), min_rows=5)
+    got = matching.token_matches(left, right, "p", "g", F.col("name"), F.col("city"), F.col("hay"))
     assert {(r.p, r.g, r.shared_tokens) for r in got.collect()} == want
 
 
 def test_content_sources_with_a_dominant_copy(spark):
     data = [(i, f"s{i % 4}", "Same  text" if i % 3 else f"text {i}") for i in range(120)]
     df = spark.createDataFrame(data, "id int, source string, text string")
-    got = dedupe.content_sources(df, dedupe.content_hash(F.col("text")), "id", "source", min_rows=10)
+    got = dedupe.content_sources(df, dedupe.content_hash(F.col("text")), "id", "source")
     first = {}
     for i, _, t in data:
         first.setdefault(" ".join(t.split()).lower(), i)

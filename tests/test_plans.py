@@ -1,11 +1,15 @@
 """Plan shapes that matter at scale."""
 
+from importlib import import_module
+
 import pytest
 
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 PLANS = {}
+# The library's own queries; those of optional modules have tests of their own.
+NAMES = {n for name in entry.PLANS for n in import_module(f"dishframe.plans.{name}").catalog.queries}
 
 
 def plan(spark, name):
@@ -23,7 +27,7 @@ def test_row_local_queries_do_not_shuffle_by_key(spark, name):
     assert "hashpartitioning" not in plan(spark, name)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"grouped_text"}))
+@pytest.mark.parametrize("name", sorted(NAMES))
 def test_no_cross_join(spark, name):
     shown = plan(spark, name)
     assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
@@ -42,5 +46,18 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_python_runs_only_where_it_must(spark):
-    uses = {n for n in entry.queries() if "Pandas" in plan(spark, n) or "ArrowEvalPython" in plan(spark, n)}
-    assert uses == {"near_miss", "json_items", "json_props", "structured_ratings", "graph_ratings"}
+    uses = {n for n in NAMES if "Pandas" in plan(spark, n) or "ArrowEvalPython" in plan(spark, n)}
+    assert uses == {"json_items", "json_props", "structured_ratings", "graph_ratings"}
+
+
+@pytest.mark.parametrize("name", ["ordered_ref_join", "rollup_fold_by_id", "prefer_flagged_join", "reading_order", "token_match", "near_miss", "content_sources"])
+def test_no_data_job_while_a_query_is_built(spark, name):
+    group = f"build-{name}"
+    spark.sparkContext.setJobGroup(group, "building")
+    entry.queries()[name](spark, FOLDER)
+    spark.sparkContext.setJobGroup("other", "")
+    status = spark.sparkContext.statusTracker()
+    for job in status.getJobIdsForGroup(group):
+        stages = [status.getStageInfo(s) for s in status.getJobInfo(job).stageIds]
+        # Reading a Parquet footer is a job of one task.
+        assert all(s is None or s.numTasks <= 1 for s in stages) and len(stages) == 1

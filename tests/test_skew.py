@@ -52,7 +52,8 @@ def test_salted_lookup(spark):
     rows = table(spark).withColumn("g", F.when(F.col("v") > 1, F.col("g")))
     lookup = spark.createDataFrame([("hot", 1), ("a", 2), ("zz", 3)], "g string, x int")
     for how in ("left", "inner"):
-        assert same(skew.salted_lookup(rows, lookup, ["g"], ["id"], how, min_rows=10), rows.join(lookup, "g", how))
+        for heavy in (None, skew.heavy_keys(rows, ["g"], min_rows=10)):
+            assert same(skew.salted_lookup(rows, lookup, ["g"], ["id"], how, heavy), rows.join(lookup, "g", how))
 
 
 def test_heavy_rows_are_spread(spark):

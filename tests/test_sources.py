@@ -1,7 +1,6 @@
 """Readers and writers on small files, and the incremental harvest."""
 
 import json
-import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -165,9 +164,11 @@ def test_incremental_harvest(spark, tmp_path):
     incoming, target = tmp_path / "in", tmp_path / "out"
     incoming.mkdir()
     schema = "item_id string, step int, name string"
-    # A stream's progress outlives the test run, so each run needs a stream of its own.
-    stream = f"harvest-{uuid.uuid4()}"
-    run = lambda: accumulate(spark, str(incoming), schema, ["item_id"], ["step"], str(target), stream)
+    stream = str(tmp_path / "progress")
+
+    def run():  # each time in another session, as after a restart
+        accumulate(spark.newSession(), str(incoming), schema, ["item_id"], ["step"], str(target), stream)
+
     write(incoming / "1.json", '{"item_id":"a","step":1,"name":"old"}\n{"item_id":"b","step":1,"name":"b"}\n')
     run()
     write(incoming / "2.json", '{"item_id":"a","step":2,"name":"new"}\n{"item_id":"c","step":2,"name":"c"}\n')
