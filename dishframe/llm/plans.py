@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dishframe.llm import decontamination, language_model, licenses, near_duplicates, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
+from dishframe.llm import decontamination, language_model, licenses, near_duplicates, oracles, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
 from dishframe.llm.common import remainder
 from dishframe.plans.tables import Catalog, table
 
@@ -18,19 +18,20 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-@catalog.query()
+@catalog.query(oracles.NEAR_DUPLICATES)
 def op1_ngram_jaccard_join(spark, sf):
     return near_duplicates.join(table(spark, sf, "documents"))
 
 
-@catalog.query()
+@catalog.query(oracles.QUALITY_RULES)
 def op2_quality_rules(spark, sf):
-    return quality_rules.judge(table(spark, sf, "documents"))
+    judged = quality_rules.judge(table(spark, sf, "documents"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
-@catalog.query()
+@catalog.query(oracles.DECONTAMINATION)
 def op3_decontamination(spark, sf):
-    return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select("doc_id", "item_id")
 
 
 @catalog.query()
@@ -47,7 +48,7 @@ def op5_toxicity(spark, sf):
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
-@catalog.query()
+@catalog.query(oracles.URL_FILTERS)
 def op6_url_filters(spark, sf):
     # The number in a page's path names the document it shows; that document's label is the page's.
     number = F.regexp_extract("url", r"://[^/?#]*/[^?#]*?(\d{1,18})(?:\.html)?/?(?:[?#]|$)", 1)
@@ -61,12 +62,12 @@ def op7_quality_classifier(spark, sf):
     return quality_classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-@catalog.query()
+@catalog.query(oracles.LICENSES)
 def op8_licenses(spark, sf):
     # The documents have no paths of their own: source, language and hundred stand for the directories.
     path = F.concat_ws("/", "source", "lang", (F.col("doc_id") / 100).cast("bigint").cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     files = table(spark, sf, "documents").select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
-    return licenses.scan(files).withColumnRenamed("file_id", "doc_id")
+    return licenses.scan(files).withColumnRenamed("file_id", "doc_id").withColumn("score", F.round("score", 6))
 
 
 @catalog.query()
