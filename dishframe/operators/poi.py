@@ -72,8 +72,8 @@ def with_routes(features: DataFrame, tags: str = "tags") -> DataFrame:
         F.array_compact(
             F.array(
                 F.when(poi.is_restaurant(t), F.lit("restaurants")),
-                F.when(poi.shop_has(t, "kitchen"), F.lit("kitchens")),
-                F.when(poi.shop_has(t, "dairy"), F.lit("dairies")),
+                F.when(shop_has("kitchen"), F.lit("kitchens")),
+                F.when(shop_has("dairy"), F.lit("dairies")),
             )
         ),
     )
@@ -85,24 +85,34 @@ def matched(records: DataFrame, keys: Sequence[str], match: Column) -> DataFrame
 
 
 def feature_counters(features: DataFrame) -> DataFrame:
-    """All extraction counters in one pass over (type, tags, missing_node_refs, lat)."""
+    """All extraction counters in one pass over (type, tags, missing_node_refs, lat).
+
+    The tests on the tags are evaluated once per feature, before the counting.
+    """
     t = F.col("tags")
+    tested = F.struct(
+        poi.is_restaurant(t).alias("restaurant"),
+        poi.split_tokens(poi.tag(t, "shop")).alias("shops"),
+        *[F.map_contains_key(t, k).alias(k) for k in ("amenity", "cuisine", "diet")],
+    )
+    features = features.select("type", "lat", F.size("missing_node_refs").alias("missing"), F.inline(F.array(tested)))
     is_node, is_way = F.col("type") == "node", F.col("type") == "way"
     placed = is_way | F.col("lat").isNotNull()
-    kept = poi.is_restaurant(t) & placed
-    no_amenity = ~F.map_contains_key(t, "amenity")
+    kept = F.col("restaurant") & placed
+    no_amenity = ~F.col("amenity")
+    shop_has = lambda token: F.array_contains("shops", token)
     tests = {
         "nodes_seen": is_node,
         "ways_seen": is_way,
         "restaurant_nodes": kept & is_node,
         "restaurant_ways": kept & is_way,
-        "restaurant_ways_with_missing_nodes": kept & is_way & (F.size("missing_node_refs") > 0),
-        "cuisine_with_no_amenity": kept & F.map_contains_key(t, "cuisine") & no_amenity,
-        "diet_with_no_amenity": kept & F.map_contains_key(t, "diet") & no_amenity,
-        "kitchen_nodes_for_review": poi.shop_has(t, "kitchen") & placed & is_node,
-        "kitchen_ways_for_review": poi.shop_has(t, "kitchen") & is_way,
-        "dairy_nodes_for_review": poi.shop_has(t, "dairy") & placed & is_node,
-        "dairy_ways_for_review": poi.shop_has(t, "dairy") & is_way,
+        "restaurant_ways_with_missing_nodes": kept & is_way & (F.col("missing") > 0),
+        "cuisine_with_no_amenity": kept & F.col("cuisine") & no_amenity,
+        "diet_with_no_amenity": kept & F.col("diet") & no_amenity,
+        "kitchen_nodes_for_review": shop_has("kitchen") & placed & is_node,
+        "kitchen_ways_for_review": shop_has("kitchen") & is_way,
+        "dairy_nodes_for_review": shop_has("dairy") & placed & is_node,
+        "dairy_ways_for_review": shop_has("dairy") & is_way,
         "records_written": kept,
     }
     return features.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.price import MONEY, dollars, price_value
-from dishframe.operators.skew import k_sums
+from dishframe.operators.skew import k_bounds
 
 # How equal prices of a required group count: 'once', or 'times' the number of picks.
 EQUAL_PRICE_MODES = ("once", "times")
@@ -18,32 +18,28 @@ def priced_groups(
     item: Sequence[str],
     pick: Column,
     mode: str,
-    spread: Sequence[str] = ("option_pos",),
     group: str = "group_pos",
     price: str = "price",
-    most: int | None = None,
 ) -> DataFrame:
     """Per required group with at least one priced option: bounds, counts and its addition to the price.
 
-    `pick` is NULL for a group that does not bind; `most` is an upper bound of it, if one is known.
+    `pick` is NULL for a group that does not bind.
     """
     if mode not in EQUAL_PRICE_MODES:
         raise ValueError(f"equal-price mode must be one of {EQUAL_PRICE_MODES}")
     keys = [*item, group]
     priced = options.withColumn("_pick", pick).filter(F.col("_pick").isNotNull() & F.col(price).isNotNull())
-    shape = priced.groupBy(*keys).agg(
-        F.min(price).alias("floor"),
-        F.max(price).alias("ceiling"),
-        F.count(F.lit(1)).alias("n_options"),
-        F.max("_pick").alias("pick"),
-    )
-    sums = k_sums(priced, keys, price, F.col("_pick"), "cheapest", most=most, spread=spread)
-    equal = F.col("floor") * (F.lit(1) if mode == "once" else F.col("pick"))
-    return (
-        shape.join(sums, keys)
-        .withColumn("equal_prices", F.col("floor") == F.col("ceiling"))
-        .withColumn("addition", F.when(F.col("equal_prices"), equal).otherwise(F.col("cheapest")))
-        .drop("cheapest")
+    bounds = k_bounds(priced, keys, price, F.col("_pick"))
+    equal = F.col("floor") * (F.lit(1) if mode == "once" else F.col("k"))
+    same = F.col("floor") == F.col("ceiling")
+    return bounds.select(
+        *keys,
+        "floor",
+        "ceiling",
+        F.col("n").alias("n_options"),
+        F.col("k").alias("pick"),
+        same.alias("equal_prices"),
+        F.when(same, equal).otherwise(F.col("low")).alias("addition"),
     )
 
 

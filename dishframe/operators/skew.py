@@ -175,38 +175,26 @@ def salted_lookup(
     return left.join(replicate(lookup, heavy, keys), [*keys, "_salt"], how).drop("_salt")
 
 
-def k_sums(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    k: Column,
-    name: str,
-    descending: bool = False,
-    most: int | None = None,
-    spread: Sequence[str] = (),
-    salts: int = SALTS,
-) -> DataFrame:
-    """Sum of the k smallest (or largest) values per group; of all when there are fewer.
+def k_bounds(df: DataFrame, keys: Sequence[str], value: str, k: Column) -> DataFrame:
+    """Per group: n, floor and ceiling of the values, the greatest k, and the sums of the k smallest
+    (low) and of the k largest (high); of all when there are fewer.
 
-    With `most`, an upper bound of k, Spark keeps that many rows per group and map task before
-    the exchange; a larger k is an error. Without it a first cut runs per salt.
+    One exchange: the ranks and the sums share the partitioning by keys.
     """
     keys = list(keys)
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    staged = df.select(*keys, value, k.alias("_k"), *[c for c in spread if c not in (*keys, value)])
-    if most is not None:
-        bounded = F.when(F.col("_k") <= most, F.col("_k")).otherwise(
-            F.raise_error(F.lit(f"more than {most} picks")).cast("int")
-        )
-        limited = staged.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter(
-            F.col("_r") <= most
-        )
-        kept = limited.filter(F.col("_r") <= bounded)
-    else:
-        salted = staged.withColumn("_salt", salt_of(spread, salts))
-        first = Window.partitionBy(*keys, "_salt").orderBy(order)
-        cut = salted.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= F.col("_k"))
-        kept = cut.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).filter(
-            F.col("_r") <= F.col("_k")
-        )
-    return kept.groupBy(*keys).agg(F.sum(value).alias(name))
+    group = Window.partitionBy(*keys)
+    ranked = df.select(
+        *keys,
+        F.col(value).alias("_value"),
+        k.alias("_k"),
+        F.row_number().over(group.orderBy(F.col(value).asc())).alias("_up"),
+        F.row_number().over(group.orderBy(F.col(value).desc())).alias("_down"),
+    )
+    return ranked.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("_value").alias("floor"),
+        F.max("_value").alias("ceiling"),
+        F.max("_k").alias("k"),
+        F.sum(F.when(F.col("_up") <= F.col("_k"), F.col("_value"))).alias("low"),
+        F.sum(F.when(F.col("_down") <= F.col("_k"), F.col("_value"))).alias("high"),
+    )

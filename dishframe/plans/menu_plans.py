@@ -8,7 +8,7 @@ from dishframe import schemas
 from dishframe.functions import price as money
 from dishframe.functions import sizes as size_fn
 from dishframe.operators import folding, options, required, sizes
-from dishframe.operators.skew import k_sums
+from dishframe.operators.skew import k_bounds
 from dishframe.plans.tables import Catalog, table
 
 catalog = Catalog()
@@ -238,9 +238,7 @@ def price_bounds(spark, sf):
         "l_orderkey", "l_returnflag", "l_extendedprice", "l_linenumber", "l_partkey"
     )
     keys = ["l_orderkey", "l_returnflag"]
-    low = k_sums(lines, keys, "l_extendedprice", F.lit(2), "low", most=2)
-    high = k_sums(lines, keys, "l_extendedprice", F.lit(2), "high", descending=True, most=2)
-    return low.join(high, keys).select(*keys, F.round("low", 2).alias("low"), F.round("high", 2).alias("high"))
+    return k_bounds(lines, keys, "l_extendedprice", F.lit(2)).select(*keys, F.round("low", 2).alias("low"), F.round("high", 2).alias("high"))
 
 
 def item_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -445,7 +443,7 @@ def _resolved(groups: DataFrame) -> DataFrame:
 @catalog.query(_resolved_sql("lo"))
 def equal_price_once(spark, sf):
     pick = money.required_count(F.col("rule_text"))
-    return _resolved(required.priced_groups(modifier_rows(spark, sf), ["l_orderkey"], pick, "once", most=2))
+    return _resolved(required.priced_groups(modifier_rows(spark, sf), ["l_orderkey"], pick, "once"))
 
 
 @catalog.query(_resolved_sql("lo * pick"))

@@ -161,7 +161,7 @@ def test_replacing_rule(spark):
 def test_appending_rule(spark):
     mods = modifier_table(spark).withColumn("rule_text", F.when(F.col("rule_text") == "Choose 2", "must pick 2").when(F.col("rule_text") == "Required", "Must pick 1"))
     pick = price.required_pick(F.col("rule_text"))
-    groups = required.priced_groups(mods, ["item"], pick, "times", most=5)
+    groups = required.priced_groups(mods, ["item"], pick, "times")
     parts = required.note_parts(mods.select("item", "group_pos", "group_name", "option_pos", "name", "price"), groups, ["item"])
     notes = required.render_notes(parts, ["item"], "times")
     cards = spark.createDataFrame(

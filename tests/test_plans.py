@@ -33,12 +33,16 @@ def test_no_cross_join(spark, name):
     assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
 
 
-@pytest.mark.parametrize("name", ["host_filter", "price_bounds", "equal_price_once"])
-def test_top_k_is_cut_before_the_exchange(spark, name):
-    shown = plan(spark, name)
+def test_top_k_is_cut_before_the_exchange(spark):
+    shown = plan(spark, "host_filter")
     assert shown.index("WindowGroupLimit") < shown.rindex("Exchange") and "Partial" in shown
 
 
+@pytest.mark.parametrize("name, most", [("price_bounds", 1), ("equal_price_once", 2), ("equal_price_times", 2), ("required_note_parts", 3), ("page_signals", 0)])
+def test_one_exchange_per_grouping(spark, name, most):
+    assert plan(spark, name).count("Exchange hashpartitioning") <= most
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     shown = plan(spark, "exclude_filter")
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in shown

@@ -63,18 +63,11 @@ def test_heavy_rows_are_spread(spark):
     assert len(spread) > 8 and max(r["count"] for r in spread) < 40
 
 
-def test_k_sums(spark):
+def test_k_bounds(spark):
     df = table(spark).withColumn("k", F.when(F.col("g") == "hot", 3).otherwise(500))
     rank = lambda order: F.row_number().over(Window.partitionBy("g").orderBy(order))
-    for down in (False, True):
-        order = F.col("v").desc() if down else F.col("v").asc()
-        plain = df.withColumn("r", rank(order)).filter("r <= k").groupBy("g").agg(F.sum("v").alias("s"))
-        assert same(skew.k_sums(df, ["g"], "v", F.col("k"), "s", down, spread=["id"], salts=4), plain)
-        assert same(skew.k_sums(df, ["g"], "v", F.col("k"), "s", down, most=500), plain)
-
-
-def test_k_above_its_bound_is_an_error(spark):
-    import pytest
-
-    with pytest.raises(Exception, match="more than 2 picks"):
-        skew.k_sums(table(spark), ["g"], "v", F.lit(3), "s", most=2).collect()
+    plain = df.withColumn("u", rank(F.col("v").asc())).withColumn("d", rank(F.col("v").desc())).groupBy("g").agg(
+        F.count("*").alias("n"), F.min("v").alias("floor"), F.max("v").alias("ceiling"), F.max("k").alias("k"),
+        F.sum(F.when(F.col("u") <= F.col("k"), F.col("v"))).alias("low"), F.sum(F.when(F.col("d") <= F.col("k"), F.col("v"))).alias("high"),
+    )
+    assert same(skew.k_bounds(df, ["g"], "v", F.col("k")), plain)
