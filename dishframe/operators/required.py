@@ -135,10 +135,20 @@ def explode_modifiers(captures: DataFrame, item: Sequence[str], groups: str = "g
     )
 
 
+def modifiers_of_zero_priced(
+    items: DataFrame, modifiers: DataFrame, capture: Sequence[str], key_of: Column, key: str = "key", price: str = "price"
+) -> DataFrame:
+    """Items without a price beside their captured modifiers, looked up by the item's key in its capture:
+    its link on one platform, its position as text on another. Items without modifiers stay."""
+    unpriced = F.col(price).isNull() | (F.col(price) == "$0.00")
+    return items.filter(unpriced).withColumn(key, key_of).join(modifiers, [*capture, key], "left")
+
+
 def _option_fields(captures: DataFrame, groups: str) -> list[str]:
     return captures.schema[groups].dataType.elementType["options"].dataType.elementType.fieldNames()
 
 
+# The messages of the review flags.
 STILL_ZERO_REPLACED = "price still $0.00 after checking modifiers - no required priced option found"
 STILL_ZERO_APPENDED = "price still $0.00 after checking required groups"
 NO_REQUIRED_GROUP = "price still $0.00 - no required modifier group found to establish a price"

@@ -25,11 +25,11 @@ def menu_documents(items: DataFrame, menu: Sequence[str], item_fields: Sequence[
     """Nested menus: sections by first appearance, items by position. One menu is one document."""
     item = F.struct("pos", F.struct(*item_fields).alias("i"))
     sections = items.groupBy(*menu, "section").agg(
-        F.min("pos").alias("_first"), F.array_sort(F.collect_list(item), lambda a, b: a["pos"] - b["pos"]).alias("_items")
+        F.min("pos").alias("_first"), F.array_sort(F.collect_list(item), lambda a, b: F.sign(a["pos"] - b["pos"]).cast("int")).alias("_items")
     )
     listed = F.array_sort(
         F.collect_list(F.struct("_first", "section", F.col("_items")["i"].alias("items"))),
-        lambda a, b: a["_first"] - b["_first"],
+        lambda a, b: F.sign(a["_first"] - b["_first"]).cast("int"),
     )
     return sections.groupBy(*menu).agg(listed.alias("_s")).select(
         *menu,
