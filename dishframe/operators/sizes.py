@@ -177,25 +177,26 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
     weight = keyed.select(F.explode("_grams").alias("_g")).groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
     size = F.length("residual_key")
     edits = F.floor((1 - threshold) / threshold * size + F.lit(1e-9)).cast("int")
-    facts = F.struct(F.col("residual_key").alias("k"), "title", "pos")
     prefix = (
-        keyed.select(*section, facts.alias("f"), (2 * edits + 1).alias("_most"), F.explode("_grams").alias("_g"))
+        keyed.select(*section, "pos", size.alias("n"), (2 * edits + 1).alias("_most"), F.explode("_grams").alias("_g"))
         .join(weight, "_g")
-        .groupBy(*section, "f", "_most")
+        .groupBy(*section, "pos", "n", "_most")
         .agg(F.array_sort(F.collect_list(F.struct("_df", "_g"))).alias("_grams"))
-        .select(*section, "f", F.explode(F.slice("_grams", F.lit(1), F.col("_most"))).alias("_p"))
-        .select(*section, "f", F.col("_p._g").alias("_g"))
+        .select(*section, "pos", "n", F.explode(F.slice("_grams", F.lit(1), F.col("_most"))).alias("_p"))
+        .select(*section, F.struct("pos", "n").alias("x"), F.col("_p._g").alias("_g"))
     )
-    a, b = prefix.withColumnRenamed("f", "a"), prefix.withColumnRenamed("f", "b")
-    longer, shorter = F.greatest(F.length("a.k"), F.length("b.k")), F.least(F.length("a.k"), F.length("b.k"))
+    a, b = prefix.withColumnRenamed("x", "a"), prefix.withColumnRenamed("x", "b")
+    longer, shorter = F.greatest("a.n", "b.n"), F.least("a.n", "b.n")
     met = a.join(b, [*section, "_g"]).filter((F.col("a.pos") < F.col("b.pos")) & (shorter >= F.lit(threshold) * longer - F.lit(1e-9)))
+    pairs = met.select(*section, F.col("a.pos").alias("pos_a"), F.col("b.pos").alias("pos_b")).distinct()
+    side = lambda tag: keyed.select(
+        *section, F.col("pos").alias(f"pos_{tag}"), F.col("residual_key").alias(f"residual_{tag}"), F.col("title").alias(f"title_{tag}")
+    )
+    ratio = 1 - F.levenshtein("residual_a", "residual_b") / F.greatest(F.length("residual_a"), F.length("residual_b"))
     return (
-        met.select(*section, "a", "b")
-        .distinct()
-        .select(
-            *section, F.col("a.k").alias("residual_a"), F.col("b.k").alias("residual_b"), F.col("a.title").alias("title_a"),
-            F.col("b.title").alias("title_b"), (1 - F.levenshtein("a.k", "b.k") / longer).alias("ratio"),
-        )
+        pairs.join(side("a"), [*section, "pos_a"])
+        .join(side("b"), [*section, "pos_b"])
+        .select(*section, "residual_a", "residual_b", "title_a", "title_b", ratio.alias("ratio"))
         .filter(F.col("ratio") >= threshold - 1e-9)
     )
 
