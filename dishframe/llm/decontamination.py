@@ -91,7 +91,7 @@ def set_in(table: Column, seed: Column, bits: int) -> Column:
 def hits(docs: DataFrame, table: Column, bits: int, masks=MASKS, reach: int = 28) -> DataFrame:
     """seed, doc_id, doc_at, ours for the positions whose seeds the bit table knows."""
 
-    def known(hashes: Column, mask: str) -> Column:
+    def known(table: Column, hashes: Column, mask: str) -> Column:
         def leaving(found: Column) -> Column:
             places = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
             kept = F.filter(
@@ -105,7 +105,8 @@ def hits(docs: DataFrame, table: Column, bits: int, masks=MASKS, reach: int = 28
 
         return let(seeds(hashes, mask), leaving)
 
-    found = let(token_hashes(F.col("text")), lambda hashes: F.concat(*[known(hashes, m) for m in masks]))
+    # The table is bound once, so that plans hold one copy of it.
+    found = let(table, lambda t: let(token_hashes(F.col("text")), lambda hashes: F.concat(*[known(t, hashes, m) for m in masks])))
     return docs.filter("doc_id is not null").select("doc_id", F.explode(found).alias("found")).select("doc_id", "found.*")
 
 
