@@ -20,7 +20,7 @@ _WORD_SPLIT = re.compile(f"{_SHORT}|{_LETTER}+|{_NUMBER}|{_REST}+")
 _BYTE_SPLIT = re.compile(rf"{_SHORT}| ?{_LETTER}+| ?{_NUMBER}+| ?{_REST}+|\s+(?!\S)|\s+")
 _UNEVEN = re.compile(r" \s|\s ")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-LIMIT = 600_000
+LIMIT = 500_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -76,7 +76,7 @@ class WordIds(dict):
 
 
 class BytePretokens(dict):
-    """Chunk (with its leading space) to its pre-tokens, as byte-level letters."""
+    """Chunk after one space (which belongs to it) to its pre-tokens, as byte-level letters."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -88,32 +88,35 @@ class BytePretokens(dict):
         contents = sorted((t.content for t in added), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, contents))) if contents else None
 
+    def pieces(self, chunk: str) -> tuple[str, ...]:
+        """Pre-tokens of a chunk as it stands."""
+        if _ODD.search(chunk):
+            return tuple(p for p, _ in self.splitter.pre_tokenize_str(chunk))
+        return tuple(map(byte_letters, _BYTE_SPLIT.findall(chunk)))
+
     def __missing__(self, chunk: str) -> tuple[str, ...]:
         if len(self) > LIMIT:
             self.clear()
-        if _ODD.search(chunk):
-            found = tuple(p for p, _ in self.splitter.pre_tokenize_str(chunk))
-        else:
-            found = tuple(map(byte_letters, _BYTE_SPLIT.findall(chunk)))
-        self[chunk] = found
+        self[chunk] = found = self.pieces(" " + chunk)
         return found
 
-    def chunks(self, text: str) -> tuple[list[str], int]:
-        """Chunks whose pre-tokens together are those of the text, and the special tokens inside it."""
+    def chunks(self, text: str) -> tuple[list[str], list[str], int]:
+        """Chunks whose pre-tokens together are those of the text: those that begin it (or follow a
+        special token), those that follow a space, and the number of special tokens inside."""
         if self.special is None or not self.special.search(text):
-            return self._cut(text), 0
-        parts = self.special.split(text)
-        return [c for p in parts for c in self._cut(p)], len(parts) - 1
+            parts = self._cut(text)
+            return parts[:1], parts[1:], 0
+        segments = self.special.split(text)
+        cut = [self._cut(s) for s in segments]
+        return [c for parts in cut for c in parts[:1]], [c for parts in cut for c in parts[1:]], len(segments) - 1
 
     @staticmethod
     def _cut(text: str) -> list[str]:
         if not text:
             return []
         if text[0] == " " or text[-1] == " " or _UNEVEN.search(text):
-            parts = _BETWEEN.split(text)
-        else:
-            parts = text.split(" ")
-        return parts[:1] + [" " + p for p in parts[1:]]
+            return _BETWEEN.split(text)
+        return text.split(" ")
 
     def count(self, pretoken: str) -> int:
         return len(self.model.tokenize(pretoken))

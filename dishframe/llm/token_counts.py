@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dishframe.llm.common import text_bytes, written
+from dishframe.llm.common import commonest, text_bytes, written
 from dishframe.llm.pieces import BytePretokens
 
 FLUSH = 300_000
@@ -39,7 +39,11 @@ def vocabulary(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             chunks: Counter = Counter()
             for data in batch.column(0).to_pylist():
-                chunks.update(split.chunks(data.decode())[0])
+                first, rest, _ = split.chunks(data.decode())
+                chunks.update(rest)
+                for chunk in first:
+                    for p in split.pieces(chunk):
+                        held[p] += 1
             for chunk, n in chunks.items():
                 for p in split[chunk]:
                     held[p] += n
@@ -71,14 +75,19 @@ def frequencies(docs: DataFrame, path: str, common: dict[str, int]) -> DataFrame
         for batch in batches:
             ids, marks, pretokens, counts, sizes, sums, copies = ([] for _ in range(7))
             for doc_id, mark, data in zip(*(c.to_pylist() for c in batch.columns)):
-                chunks, total = split.chunks(data.decode())
+                first, chunks, total = split.chunks(data.decode())
                 rest: dict[str, int] = {}
+                for pieces in map(split.pieces, first):
+                    total += sum(common.get(p, 0) for p in pieces)
+                    for p in pieces:
+                        if p not in common:
+                            rest[p] = rest.get(p, 0) + 1
                 for chunk, n in Counter(chunks).items():
                     found = known.get(chunk)
                     if found is None:
                         if len(known) > FLUSH:
                             known.clear()
-                        pieces = split[chunk]
+                        pieces = split.pieces(" " + chunk)
                         found = known[chunk] = (sum(common.get(p, 0) for p in pieces), [p for p in pieces if p not in common])
                     total += n * found[0]
                     for p in found[1]:
@@ -103,7 +112,7 @@ def frequencies(docs: DataFrame, path: str, common: dict[str, int]) -> DataFrame
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, common_pretokens: int = 50_000) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every document."""
     known = written(vocabulary(docs, path))
-    common = {r.pretoken: r.pieces for r in known.orderBy(F.desc("freq"), "pretoken").limit(common_pretokens).collect()}
+    common = {r.pretoken: r.pieces for r in commonest(known, "freq", common_pretokens).collect()}
     pieces = known.select("pretoken", F.col("pieces").alias("each"))
     per_doc = (
         frequencies(docs, path, common)
