@@ -6,9 +6,10 @@ every position of every document. A hit fixes an alignment, and the tokens aroun
 both sides) are compared position by position: the best stretch counts +1 for an equal token and
 -`penalty` for a substituted one and must reach `min_score`.
 
-DataFrame functions only. The benchmark's seeds also fill a bit table of fixed size, tested row-locally
-with two probes, so that of the documents' seeds only hits (and few others) leave the row; a run of
-hits leaves only its first and every eighth. The join that follows is exact.
+DataFrame functions only. The benchmark's seeds also fill a bit table, sized by their number and tested
+row-locally with two probes, so that of the documents' seeds only hits (and few others) leave the row.
+Every position that the table knows leaves it: which item and alignment it hits is known only after the
+exact join, so nothing is thinned before. A fuller table costs more rows, never a pair.
 
 Defined cases: null and empty texts and items have no seeds; tokens are runs of letters and digits,
 lower-cased; items of fewer tokens than the shortest mask are no evidence and never match; repeated
@@ -23,6 +24,8 @@ from dishframe.functions.text import let
 from dishframe.llm.common import written
 
 MASKS = ("11101011", "110110111", "1110110011")
+#: Bits of the table for each seed, and the exponents between which its size is held.
+BITS_A_SEED, LEAST_BITS, MOST_BITS = 48, 20, 24
 
 
 def token_hashes(text: Column) -> Column:
@@ -64,6 +67,11 @@ def benchmark_seeds(benchmark: DataFrame, masks=MASKS, reach: int = 28) -> DataF
     )
 
 
+def bits_for(n_seeds: int) -> int:
+    """The exponent of a table in which two probes let few strange seeds pass (0.2 % until MOST_BITS is reached)."""
+    return min(max((BITS_A_SEED * n_seeds - 1).bit_length(), LEAST_BITS), MOST_BITS)
+
+
 def bit_table(known: DataFrame, bits: int) -> Column:
     """A constant array of 2^bits / 64 longs with two bits set for each seed."""
     words = (1 << bits) // 64
@@ -94,11 +102,7 @@ def hits(docs: DataFrame, table: Column, bits: int, masks=MASKS, reach: int = 28
     def known(table: Column, hashes: Column, mask: str) -> Column:
         def leaving(found: Column) -> Column:
             places = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-            kept = F.filter(
-                places,
-                lambda p: set_in(table, F.get(found, p), bits)
-                & ((p % 8 == 0) | (p == 0) | ~set_in(table, F.get(found, F.greatest(p - 1, F.lit(0))), bits)),
-            )
+            kept = F.filter(places, lambda p: set_in(table, F.get(found, p), bits))
             return F.transform(
                 kept, lambda p: F.struct(F.get(found, p).alias("seed"), p.alias("doc_at"), window(hashes, p, reach).alias("ours"))
             )
@@ -111,13 +115,15 @@ def hits(docs: DataFrame, table: Column, bits: int, masks=MASKS, reach: int = 28
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, min_score: int = 12, penalty: int = 2, bits: int = 20, masks=MASKS, reach: int = 28
+    docs: DataFrame, benchmark: DataFrame, min_score: int = 12, penalty: int = 2, bits: int | None = None, masks=MASKS, reach: int = 28
 ) -> DataFrame:
     """doc_id, item_id, doc_start (token at which the item would begin), score: one row per pair found.
 
-    An item shorter than min_score tokens must match in all its tokens.
+    An item shorter than min_score tokens must match in all its tokens. The bit table has 2^bits bits;
+    without bits, as many as the counted seeds ask for.
     """
     known = written(benchmark_seeds(benchmark.select("item_id", "text"), masks, reach))
+    bits = bits_for(known.count()) if bits is None else bits
     table = bit_table(known, bits)
     pairs = hits(docs.select("doc_id", "text"), table, bits, masks, reach).join(known, "seed")
     scored = pairs.select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from dishframe.llm import cutting_stock, decontamination, licenses, near_duplicates, packing, plans, token_counts, url_filters
+from dishframe.llm import cutting_stock, decontamination, licenses, near_duplicates, oracles, packing, plans, token_counts, url_filters
 from dishframe.llm.components import components
 from dishframe.llm.pieces import BytePretokens, WordIds
 from tests.llm.helpers import FOLDER, documents, frame, odd_rows, prose, texts
@@ -126,6 +126,32 @@ def test_substitutions_are_tolerated_and_short_overlaps_are_not(spark):
     assert [r.doc_id for r in clean.collect()] == [3]
 
 
+def in_sql(statement, **tables):
+    """The statement's rows from DuckDB, inside this process."""
+    duckdb = pytest.importorskip("duckdb")
+    with duckdb.connect() as db:
+        for name, (columns, rows) in tables.items():
+            db.execute(f"CREATE TABLE {name} ({columns})")
+            db.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+        return db.execute(statement).fetchall()
+
+
+def test_items_that_share_a_passage_are_all_found_at_any_alignment(spark):
+    shared = [f"s{k}" for k in range(12)]
+    longer = [*prose(21, 13, 10_000).split(), *shared, *prose(22, 13, 10_000).split()]
+    bench = [(1, " ".join(longer)), (2, " ".join([*prose(23, 20, 10_000).split(), *shared])), (3, " ".join(prose(24, 30, 10_000).split()))]
+    docs = [(k, " ".join([*prose(30 + k, k + 1, 10_000).split(), *longer, *bench[2][1].split()])) for k in range(8)]
+    whole = set(in_sql(oracles.DECONTAMINATION, documents=("doc_id BIGINT, text VARCHAR", docs), benchmark=("item_id BIGINT, text VARCHAR", bench)))
+    assert whole == {(k, item) for k in range(8) for item in (1, 2, 3)}
+    for options in ({}, {"bits": 7}):  # at 7 bits nearly every position is known to the table
+        found = decontamination.contaminated(frame(spark, [(i, t, "en") for i, t in docs]), items(spark, bench), **options)
+        assert {(r.doc_id, r.item_id) for r in found.collect()} == whole
+
+
+def test_the_bit_table_grows_with_the_seeds():
+    assert [decontamination.bits_for(n) for n in (0, 17_640, 100_000, 200_000, 10**9)] == [20, 20, 23, 24, 24]
+
+
 def test_decontamination_of_empty_tables(spark):
     assert decontamination.contaminated(frame(spark, []), items(spark, [(1, prose(1, 30))])).count() == 0
     assert decontamination.contaminated(frame(spark, odd_rows()), items(spark, [])).count() == 0
