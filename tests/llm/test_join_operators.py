@@ -207,6 +207,25 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(spark.createDataFrame([], "file_id long, path string, text string")).count() == 0
 
 
+@pytest.mark.parametrize("others", [0, 3000])
+def test_notices_among_other_words_are_found_at_any_table_size(spark, others):
+    named = {
+        "Copyright 2024 Foo. Released under the MIT License.": "MIT",
+        "Released under the MIT License Zorblax": "MIT",
+        f"{prose(41, 60)} Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Zorblax is released under the new MIT License": "MIT",
+        f"{prose(42, 9)} licensed under CC BY-SA 4.0 {prose(43, 9)}": "CC-BY-SA-4.0",
+        "// SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0",
+        "# spdx-license-identifier: (MIT OR Apache-2.0)": "MIT",
+        "Released under the license of the house": None,
+        f"{prose(44, 20)} copyright {prose(45, 20)}": None,
+    }
+    rows = [(i, f"d{i}/x.txt", text) for i, text in enumerate(named)]
+    rows += [(100 + i, f"e{i}/x.txt", "Released under the MIT License." if i % 9 == 0 else f"copyright holder{i} {prose(i, 6)}") for i in range(others)]
+    out = licenses.scan(spark.createDataFrame(rows, "file_id long, path string, text string")).filter("file_id < 100")
+    assert {r.file_id: r.own_license for r in out.collect()} == dict(enumerate(named.values()))
+
+
 def test_licence_lines_are_found_in_whole_table(spark):
     named = {i for i, t in texts(spark) if any(x in (t or "") for x in ("Licensed under", "licensed under", "Released under"))}
     assert {r.doc_id for r in plans.op8_licenses(spark, FOLDER).filter("own_license is not null").collect()} == named
