@@ -1,7 +1,7 @@
 """URL filters by a path-template tree.
 
-Per host, the path segments are walked from the root. At a node, a segment that holds enough of the
-node's urls stays a literal branch; the others are variable and become the wildcard `*`. Sibling
+Per host, the path segments are walked from the root. At a node, a segment that holds enough
+urls stays a literal branch, however many siblings it has; the others are variable and become the wildcard `*`. Sibling
 literals whose labelled rates do not differ from their parent's by more than chance are then merged
 into the wildcard as well. A template is rejected where its share of bad labels, smoothed towards its
 host's (itself smoothed towards the whole table's), is too high. Given rules come first: the longest
@@ -50,31 +50,30 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def templates(
-    pages: DataFrame, labels: DataFrame, depth: int = 4, min_share: float = 0.05, min_count: int = 10, z: float = 1.96
+    pages: DataFrame, labels: DataFrame, min_count: int = 10, z: float = 1.96
 ) -> DataFrame:
     """page_id, host, path, template, n_bad, n_labels of the label rows of each page.
 
-    pages: page_id, host, path, label_key; labels: label_key, bad (0/1). Segments below the given depth
-    are one segment, so that every path gets a whole template.
+    pages: page_id, host, path, label_key; labels: label_key, bad (0/1). The levels are walked until
+    no path has a further segment.
     """
     counted = labels.filter("bad is not null").groupBy("label_key").agg(F.count("*").alias("n_labels"), F.sum("bad").alias("n_bad"))
-    parts = F.split(F.substr("path", F.lit(2)), "/", depth)
+    parts = F.split(F.substr("path", F.lit(2)), "/")
     rows = (
         pages.join(counted, "label_key", "left")
         .select("page_id", "host", "path", F.coalesce("n_labels", F.lit(0)).alias("n_labels"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"), parts.alias("parts"))
         .withColumn("template", F.lit(""))
     )
-    for level in range(depth):
+    deepest = pages.agg(F.max(F.size(F.split(F.substr("path", F.lit(2)), "/")))).first()[0] or 0
+    for level in range(deepest):
         rows = written(rows.withColumn("segment", F.get("parts", F.lit(level))))
         child = rows.filter("segment is not null").groupBy("host", "template", "segment").agg(
             F.count("*").alias("n"), F.sum("n_labels").alias("n_labels"), F.sum("n_bad").alias("n_bad")
         )
-        node = child.groupBy("host", "template").agg(
-            F.sum("n").alias("all_n"), F.sum("n_labels").alias("all_labels"), F.sum("n_bad").alias("all_bad")
-        )
+        node = child.groupBy("host", "template").agg(F.sum("n_labels").alias("all_labels"), F.sum("n_bad").alias("all_bad"))
         rate = (F.col("all_bad") + 1) / (F.col("all_labels") + 2)
         error = F.sqrt(rate * (1 - rate) / F.col("n_labels"))
-        literal = (F.col("n") >= min_count) & (F.col("n") >= min_share * F.col("all_n"))
+        literal = F.col("n") >= min_count
         distinct = (F.col("n_labels") > 0) & (F.abs(F.col("n_bad") / F.col("n_labels") - rate) > z * error)
         kept = child.join(node, ["host", "template"]).filter(literal & distinct).select("host", "template", "segment", F.lit(True).alias("literal"))
         step = F.when(F.col("segment").isNull(), "").when(F.col("literal"), F.concat(F.lit("/"), "segment")).otherwise("/*")

@@ -188,6 +188,15 @@ def test_bad_templates_are_rejected(spark):
     assert url_filters.judge(pages.limit(0), labels).count() == 0
 
 
+def test_bad_branches_of_wide_and_deep_hosts_are_rejected(spark):
+    wide = [(i, f"http://wide.org/s{i % 40}/{i}", i, int(i % 40 == 7)) for i in range(1200)]
+    deep = [(i, f"http://deep.org/a/b/c/d/{'spam' if i % 2 else 'news'}/{i}", i, i % 2) for i in range(2000, 2200)]
+    pages = spark.createDataFrame([r[:3] for r in wide + deep], "page_id long, url string, label_key long")
+    labels = spark.createDataFrame([r[2:] for r in wide + deep], "label_key long, bad int")
+    out = {r.page_id: r.verdict for r in url_filters.judge(pages, labels).collect()}
+    assert out == {i: "block" if bad else "allow" for i, _, _, bad in wide + deep}
+
+
 def test_licences_and_inheritance(spark):
     apache = "Licensed under the Apache License, Version 2.0."
     rows = [
