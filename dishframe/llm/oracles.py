@@ -155,3 +155,59 @@ nearest AS (SELECT k.folder, max({{'d': length(o.folder), 'above': o.folder, 'l'
   ON k.folder = o.folder OR o.folder = '' OR starts_with(k.folder, o.folder || '/') GROUP BY k.folder)
 SELECT doc_id, path, own_license, score, license_file, coalesce(own_license, a.l) AS license, CASE WHEN own_license IS NULL THEN a.above END AS inherited_from FROM known LEFT JOIN nearest USING (folder)
 """
+
+# --- ranked lexical search ----------------------------------------------------------------------
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL_SEARCH = f"""
+WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+item AS MATERIALIZED (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM benchmark),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM doc WHERE len(w) > 0),
+wanted AS MATERIALIZED (SELECT DISTINCT i, item_id, unnest(w) AS term FROM item),
+counted AS (SELECT r, unnest(w) AS term FROM doc),
+posting AS MATERIALIZED (SELECT r, term, count(*)::BIGINT AS tf FROM counted WHERE term IN (SELECT term FROM wanted) GROUP BY r, term),
+weight AS MATERIALIZED (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posting, total GROUP BY term),
+impact AS (SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * len(w) * n_docs) // n_terms))) AS v FROM posting JOIN doc USING (r), total),
+scored AS (SELECT i, item_id, r, doc_id, sum(weight.w * v)::BIGINT AS score FROM wanted JOIN impact USING (term) JOIN weight USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+# --- exact duplicates ---------------------------------------------------------------------------
+
+EXACT_DEDUP = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AND row_number() OVER (PARTITION BY coalesce(text, ''), doc_id) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+# --- vector codes -------------------------------------------------------------------------------
+
+
+def _vector_codes(rounds: int = 4) -> str:
+    steps = [
+        """WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % 4 = 0 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+part AS MATERIALIZED (SELECT r, vec_id, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS v FROM kept, (SELECT unnest(range(4)) AS p)),
+first AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 256),
+book0 AS MATERIALIZED (SELECT p, e, v AS c FROM part JOIN first USING (r))"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""near{k} AS MATERIALIZED (SELECT r, p, v, d // 1024 AS d, d % 1024 AS e FROM (SELECT r, p, any_value(v) AS v,
+  min(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v, c)])::BIGINT * 1024 + e) AS d FROM part JOIN book{k} USING (p) GROUP BY r, p))"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""mean{k} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (SELECT p, e, i, floor(sum(x) / count(*))::BIGINT AS m FROM (SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS i FROM near{k}) GROUP BY p, e, i) GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m ON m.p = b.p AND m.e = b.e)"""
+            )
+    return ",\n".join(steps) + f""",
+coded AS MATERIALIZED (SELECT vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{rounds} JOIN kept USING (r) GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256 FROM coded
+"""
+
+
+VECTOR_CODES = _vector_codes()

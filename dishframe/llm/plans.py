@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dishframe.llm import decontamination, language_model, licenses, near_duplicates, oracles, packing, quality_classifier, quality_rules, token_counts, toxicity, url_filters
+from dishframe.llm import (
+    decontamination,
+    exact_dedup,
+    language_model,
+    lexical_search,
+    licenses,
+    near_duplicates,
+    oracles,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    toxicity,
+    url_filters,
+    vector_codes,
+)
 from dishframe.llm.common import remainder
 from dishframe.plans.tables import Catalog, table
 
@@ -78,3 +93,18 @@ def op9_packing(spark, sf):
 @catalog.query()
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@catalog.query(oracles.LEXICAL_SEARCH)
+def op11_lexical_search(spark, sf):
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@catalog.query(oracles.EXACT_DEDUP)
+def op12_exact_dedup(spark, sf):
+    return exact_dedup.mark(table(spark, sf, "documents"))
+
+
+@catalog.query(oracles.VECTOR_CODES)
+def op13_vector_codes(spark, sf):
+    return vector_codes.compress(table(spark, sf, "embeddings")).drop("label")
