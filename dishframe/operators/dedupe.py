@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.functions.text import collapse
 from dishframe.operators.folding import keep_first, keep_last
-from dishframe.operators.skew import Heavy, row_numbers, salted_lookup
+from dishframe.operators.ranking import group_index
+from dishframe.operators.skew import Heavy, salted_lookup
 
 
 def content_hash(text: Column) -> Column:
@@ -55,10 +56,10 @@ def item_dedupe(items: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return keep_first(staged, [*keys, "name", "_d", "_p"], order).drop("_d", "_p")
 
 
-def result_dedupe(results: DataFrame, query: Sequence[str], key: Sequence[str], lead: str, width: float) -> DataFrame:
+def result_dedupe(results: DataFrame, query: Sequence[str], key: Sequence[str], lead: str, partitions: int | None = None) -> DataFrame:
     """First result per (query, key), renumbered over all pages of the query."""
     first = keep_first(results, [*query, *key], [lead])
-    return row_numbers(first, query, F.col(lead), list(key), "index", width)
+    return group_index(first, query, [lead, *key], "index", partitions)
 
 
 def latest_wins(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dishframe.functions.price import looks_like_price, price_slot, tidy_price
 from dishframe.functions.text import collapse, first, join_present, let, slug
 from dishframe.operators.folding import keep_first
-from dishframe.operators.skew import CHUNK, Heavy, carry_forward, row_numbers, salted_lookup, with_context
+from dishframe.operators.ranking import group_index
+from dishframe.operators.skew import CHUNK, Heavy, carry_forward, salted_lookup, with_context
 
 # Date forms that mark a review line.
 REVIEW_DATE = (
@@ -135,9 +136,12 @@ def reading_order(
     middle: Column,
     ties: Sequence[str],
     least: int = 3,
-    height: float = CHUNK,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Rank of each block: left column then right when both hold enough blocks, else top to bottom."""
+    """Rank of each block: left column then right when both hold enough blocks, else top to bottom.
+
+    A page of any size is ranked in runs of neighbouring blocks, whose borders are sampled.
+    """
     right = (F.col(x) >= middle).cast("int")
     staged = blocks.withColumn("_right", right)
     sides = staged.groupBy(*page).agg(
@@ -147,9 +151,8 @@ def reading_order(
     placed = salted_lookup(staged, sides, page, ties, "inner").withColumn(
         "column_no", F.when(split, F.col("_right")).otherwise(0)
     )
-    ranked = row_numbers(placed, [*page, "column_no"], F.col(y), ties, "_in_column", height)
-    left = F.when(F.col("column_no") == 1, F.col("_n_left")).otherwise(0)
-    return ranked.withColumn("block_no", F.col("_in_column") + left).drop("_right", "_in_column", "_n_left", "_n_right")
+    order = ["column_no", y, *ties]
+    return group_index(placed.drop("_right", "_n_left", "_n_right"), page, order, "block_no", partitions)
 
 
 def unique_slugs(
@@ -168,6 +171,6 @@ def unique_slugs(
     )
 
 
-def running_index(rows: DataFrame, query: Sequence[str], lead: Column, ties: Sequence[str], width: float, name: str = "index") -> DataFrame:
+def running_index(rows: DataFrame, query: Sequence[str], order: Sequence[Column | str], name: str = "index", partitions: int | None = None) -> DataFrame:
     """Dense 1-based index over all pages of a query (or of the whole table)."""
-    return row_numbers(rows, query, lead, ties, name, width)
+    return group_index(rows, query, order, name, partitions)

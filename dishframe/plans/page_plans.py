@@ -399,7 +399,16 @@ def running_index(spark, sf):
     pages = table(spark, sf, "pages").select(
         F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1).alias("host"), "page_id"
     )
-    return dedupe.result_dedupe(pages, [], ["host"], "page_id", 1000)
+    return dedupe.result_dedupe(pages, [], ["host"], "page_id")
+
+
+@catalog.query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS index FROM lineitem"""
+)
+def table_index(spark, sf):
+    """Running index over a whole table."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return ordering.running_index(lines, [], lines.columns)
 
 
 # --- document order -----------------------------------------------------------------------------
@@ -452,6 +461,21 @@ def reading_order(spark, sf):
     ).drop("l_quantity")
 
 
+@catalog.query(
+    """WITH block AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS page FROM lineitem),
+      mid AS (SELECT *, l_suppkey >= 50 AS is_right, count(*) FILTER (l_suppkey < 50) OVER p AS nl, count(*) FILTER (l_suppkey >= 50) OVER p AS nr FROM block WINDOW p AS (PARTITION BY page)),
+      placed AS (SELECT *, CASE WHEN nl >= 3 AND nr >= 3 AND is_right THEN 1 ELSE 0 END AS column_no FROM mid)
+    SELECT page, l_orderkey, l_suppkey, l_partkey, l_linenumber, column_no,
+      row_number() OVER (PARTITION BY page ORDER BY column_no, l_quantity, l_suppkey, l_partkey, l_linenumber, l_orderkey) AS block_no FROM placed"""
+)
+def oversized_page_order(spark, sf):
+    """Reading order where one page holds a third of all blocks."""
+    page = F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_orderkey")).cast("bigint").alias("page")
+    blocks = table(spark, sf, "lineitem").select(page, "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity")
+    ties = ["l_suppkey", "l_partkey", "l_linenumber", "l_orderkey"]
+    return ordering.reading_order(blocks, ["page"], "l_suppkey", "l_quantity", F.lit(50), ties).drop("l_quantity")
+
+
 @catalog.query(
     """WITH s AS (SELECT p_partkey, coalesce(nullif(trim(regexp_replace(CASE WHEN p_size = 7 THEN '!!' ELSE lower(p_name) END, '[^a-z0-9]+', '-', 'g'), '-'), ''),
         'section-' || left(sha256(p_brand), 8)) AS slug, left(sha256(p_brand), 8) AS digest FROM part)

@@ -314,7 +314,7 @@ def test_reading_order(spark):
     right = [(1, 90, y, f"R{y}") for y in (15, 5, 25)]
     single = [(2, 10, 3, "c"), (2, 90, 2, "b"), (2, 10, 1, "a")]
     df = spark.createDataFrame(left + right + single, "page int, x int, y int, text string")
-    got = ordering.reading_order(df, ["page"], "x", "y", F.lit(50), ["x"], height=10).orderBy("page", "block_no")
+    got = ordering.reading_order(df, ["page"], "x", "y", F.lit(50), ["x"], partitions=3).orderBy("page", "block_no")
     assert [r.text for r in got.collect()] == ["L10", "L20", "L30", "R5", "R15", "R25", "a", "b", "c"]
 
 

@@ -54,7 +54,7 @@ def test_python_runs_only_where_it_must(spark):
     assert uses == {"json_items", "json_props", "structured_ratings", "graph_ratings"}
 
 
-@pytest.mark.parametrize("name", ["ordered_ref_join", "rollup_fold_by_id", "prefer_flagged_join", "reading_order", "token_match", "near_miss", "content_sources"])
+@pytest.mark.parametrize("name", ["ordered_ref_join", "rollup_fold_by_id", "prefer_flagged_join", "token_match", "near_miss", "content_sources"])
 def test_no_data_job_while_a_query_is_built(spark, name):
     group = f"build-{name}"
     spark.sparkContext.setJobGroup(group, "building")
