@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -55,6 +56,49 @@ def result_rows(
     return salted_lookup(items, facts, [place], spread, "inner", heavy=heavy)
 
 
+def source_confidence(n_ratings: Column, prior: float = 10.0) -> Column:
+    """Between 0 (no rating) and 1: the weight of a source's ratings beside a prior of that many."""
+    n = F.coalesce(n_ratings, F.lit(0))
+    return F.round(n / (n + prior), 3)
+
+
+KM_PER_DEGREE = 2 * math.pi * EARTH_KM / 360
+
+
+def around(places: DataFrame, lat: float, lon: float, km: float) -> DataFrame:
+    """Places in the box of cells that holds the circle: plain comparisons, so the scan can skip the rest."""
+    tall = km / KM_PER_DEGREE
+    near = places.filter(F.col("lat").between(lat - tall, lat + tall))
+    if abs(lat) + tall >= 89.9:
+        return near
+    # The circle is widest where it comes nearest to a pole.
+    wide = math.degrees(math.asin(min(1.0, math.sin(min(math.pi / 2, km / EARTH_KM)) / math.cos(math.radians(lat))))) + 1e-9
+    if math.sin(km / EARTH_KM) >= math.cos(math.radians(lat)) or lon - wide < -180 or lon + wide > 180:
+        return near
+    return near.filter(F.col("lon").between(lon - wide, lon + wide))
+
+
+def nearest_items(
+    items: DataFrame, places: DataFrame, ratings: DataFrame, place: str, spread: Sequence[str], lat: float, lon: float, k: int, order: Sequence[str],
+    digits: int = 4, start_km: float = 1.0,
+) -> DataFrame:
+    """The k result rows nearest to a point, by rounded distance and then `order`.
+
+    Rings grow until the circle holds k rows, so only places (and items) near the point are joined; the
+    last ring reaches round the earth.
+    """
+    km = start_km
+    while True:
+        whole = km >= math.pi * EARTH_KM
+        ring = places if whole else around(places, lat, lon, km)
+        rows = result_rows(items, ring, ratings, place, spread, lat, lon).withColumn("distance_km", F.round("distance_km", digits))
+        # A place outside the ring is farther than its radius.
+        inside = rows if whole else rows.filter(F.col("distance_km") < km - 10.0**-digits)
+        if whole or inside.limit(k).count() == k:
+            return inside.orderBy("distance_km", *order).limit(k)
+        km *= 4
+
+
 def source_priority(rows: DataFrame, keys: Sequence[str], source: str, captured: str, ranks: Mapping[str, int], tie: str) -> DataFrame:
     """One row per key: best-ranked source, then the freshest capture."""
     pairs = [F.lit(part) for pair in ranks.items() for part in pair]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dishframe.functions import html
 from dishframe.functions.text import collapse, first, let
 from dishframe.functions.urls import looks_like_menu
-from dishframe.operators.jsonwalk import json_objects, structured_ratings
+from dishframe.operators.jsonwalk import has_rating, json_objects, review_like, structured_ratings
 from dishframe.operators.ordering import review_snippets
 
 # Rating and count phrases and the words of a review line.
@@ -126,7 +126,23 @@ def script_documents(pages: DataFrame, key: str, markup: str = "html", ld_only:
 def page_ratings(pages: DataFrame, key: str, markup: str = "html", graph_only: bool = False) -> DataFrame:
     """Structured ratings of every JSON script of every page."""
     documents = script_documents(pages, key, markup, ld_only=graph_only)
-    return structured_ratings(json_objects(documents, key, "document", graph_only), [key])
+    return structured_ratings(json_objects(documents, key, "document", graph_only, has_rating), [key])
+
+
+def review_like_objects(
+    pages: DataFrame, key: str, markup: str = "html", n_reviews: int = 40, n_ratingish: int = 80, longest_review: int = 1000, longest_ratingish: int = 1400
+) -> DataFrame:
+    """(key, kind, pos, script_id, script_type, context): the first objects of a page's JSON scripts with a
+    'review' member (kind review), and those whose keys or first 400 characters speak of reviews (ratingish).
+
+    Objects that are neither never leave the walk; the numbers are display limits of one page.
+    """
+    about = ["script_no", "script_id", "script_type"]
+    rows = review_like(script_documents(pages, key, markup), [key, *about], "document", REVIEWISH, longest_review, longest_ratingish)
+    order = Window.partitionBy(key, "kind").orderBy("script_no", "n")
+    most = F.when(F.col("kind") == "review", n_reviews).otherwise(n_ratingish)
+    ranked = rows.withColumn("pos", F.row_number().over(order) - 1).filter(F.col("pos") < most)
+    return ranked.select(key, "kind", "pos", "script_id", "script_type", "context")
 
 
 def source_summary(signals: DataFrame, source: str = "source") -> DataFrame:

@@ -281,12 +281,27 @@ def structured_ratings(spark, sf):
     return ratings.groupBy("s_suppkey", "name", "review_count").agg(F.count(F.lit(1)).cast("int").alias("n"))
 
 
+@catalog.query(
+    """WITH rating AS (SELECT s_suppkey, s_name, s_acctbal > 2000 AS rated,
+        '{"ratingCount": ' || s_nationkey || ', "ratingValue": ' || printf('%.1f', round(s_acctbal / 2500 + 1, 1)) || CASE WHEN s_nationkey > 12 THEN ', "reviewCount": ' || s_suppkey ELSE '' END || '}' AS r FROM supplier),
+      object AS (SELECT s_suppkey, 0 AS rank, '{"@type": "Restaurant", "aggregateRating": ' || r AS context FROM rating WHERE rated
+        UNION ALL SELECT s_suppkey, 1, r FROM rating WHERE rated
+        UNION ALL SELECT s_suppkey, 2, '{"@graph": [{"@type": "Place", "aggregateRating": ' || r || ', "name": "' || s_name || '"}]}' FROM rating
+        UNION ALL SELECT s_suppkey, 3, '{"@type": "Place", "aggregateRating": ' || r || ', "name": "' || s_name || '"}' FROM rating
+        UNION ALL SELECT s_suppkey, 4, r FROM rating)
+    SELECT s_suppkey, 'ratingish' AS kind, (row_number() OVER (PARTITION BY s_suppkey ORDER BY rank) - 1)::INT AS pos, 's' AS script_id, left(context, 50) AS context FROM object"""
+)
+def review_like_objects(spark, sf):
+    found = signals.review_like_objects(_shop_pages(spark, sf), "s_suppkey")
+    return found.select("s_suppkey", "kind", "pos", "script_id", F.substring("context", 1, 50).alias("context"))
+
+
 @catalog.query("SELECT s_suppkey, 1 AS n FROM supplier")
 def graph_ratings(spark, sf):
     """Only the '@graph' script has a rating reachable through '@graph'; the other is its own root."""
     documents = signals.script_documents(_shop_pages(spark, sf), "s_suppkey", ld_only=True)
     graphs = documents.filter(F.get_json_object("document", "$['@graph']").isNotNull())
-    objects = jsonwalk.json_objects(graphs, "s_suppkey", "document", graph_only=True)
+    objects = jsonwalk.json_objects(graphs, "s_suppkey", "document", True, jsonwalk.has_rating)
     return jsonwalk.structured_ratings(objects, ["s_suppkey"]).groupBy("s_suppkey").agg(F.count(F.lit(1)).cast("int").alias("n"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dishframe.functions import text as tx
-from dishframe.operators import search
+from dishframe.operators import dish_index, search
 from dishframe.plans.tables import Catalog, table
 
 catalog = Catalog()
@@ -22,6 +22,35 @@ def dish_search(spark, sf):
     )
 
 
+_INDEXED_SQL = """SELECT p_partkey, p_name AS dish_key, levenshtein(p_name, '{0}') AS distance, {1} AS exact FROM part WHERE levenshtein(p_name, '{0}') <= 2 OR {1}"""
+
+
+def _indexed(spark, sf, query):
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    found = dish_index.matching_items(parts, dish_index.build(parts, "p_name"), query, "p_name")
+    return found.select("p_partkey", "dish_key", F.col("distance").cast("bigint").alias("distance"), "exact")
+
+
+@catalog.query(_INDEXED_SQL.format("ring hot", "(regexp_matches(p_name, '\\bring\\b') AND regexp_matches(p_name, '\\bhot\\b'))"))
+def indexed_search(spark, sf):
+    """Through the index: names that hold both words in any order, and near misses."""
+    return _indexed(spark, sf, "ring hot")
+
+
+@catalog.query(_INDEXED_SQL.format("col gear", "(regexp_matches(p_name, '\\bcol\\b') AND regexp_matches(p_name, '\\bgear\\b'))"))
+def indexed_near_search(spark, sf):
+    """Through the index: a misspelt query, found by shared deletions."""
+    return _indexed(spark, sf, "col gear")
+
+
+@catalog.query(
+    """SELECT word, count(DISTINCT p_name) AS n_names, count(*) AS n_items FROM (SELECT p_name, unnest(list_distinct(string_split(p_name, ' '))) AS word FROM part)
+    WHERE word IN ('ring', 'hot', 'unseen') GROUP BY word"""
+)
+def token_frequency(spark, sf):
+    return dish_index.document_frequency(dish_index.build(table(spark, sf, "part"), "p_name"), ["ring", "hot", "unseen"])
+
+
 @catalog.query("SELECT p_partkey, p_name FROM part WHERE (p_name LIKE '% ring') AND NOT p_name LIKE 'old %' AND NOT p_name LIKE 'hot %'")
 def exclude_filter(spark, sf):
     items = table(spark, sf, "part").select("p_partkey", "p_name")
@@ -29,28 +58,29 @@ def exclude_filter(spark, sf):
 
 
 PLACES_SQL = """place AS (SELECT s_suppkey, s_name, 42 + s_acctbal / 20000 AS lat, -83 - s_nationkey / 50.0 AS lon FROM supplier),
-rated AS (SELECT user_id AS s_suppkey, sum(round(value * 100)::BIGINT)::BIGINT / (100.0 * count(*))::DOUBLE AS rating FROM events GROUP BY user_id),
+rated AS (SELECT user_id AS s_suppkey, sum(round(value * 100)::BIGINT)::BIGINT / (100.0 * count(*))::DOUBLE AS rating, count(*) AS n_ratings FROM events GROUP BY user_id),
 located AS (SELECT *, 12742.0 * asin(sqrt(pow(sin(radians(lat - 42.2) / 2), 2) + cos(radians(42.2)) * cos(radians(lat)) * pow(sin(radians(lon + 83.2) / 2), 2))) AS km FROM place)"""
 
 
-def _result_rows(spark, sf):
+def _result_parts(spark, sf):
     places = table(spark, sf, "supplier").select(
         "s_suppkey", "s_name", (F.lit(42) + F.col("s_acctbal") / 20000).alias("lat"), (F.lit(-83) - F.col("s_nationkey") / F.lit(50.0)).alias("lon")
     )
     ratings = table(spark, sf, "events").groupBy(F.col("user_id").alias("s_suppkey")).agg(
-        (F.sum(F.round(F.col("value") * 100).cast("bigint")) / (F.lit(100.0) * F.count(F.lit(1)))).alias("rating")
+        (F.sum(F.round(F.col("value") * 100).cast("bigint")) / (F.lit(100.0) * F.count(F.lit(1)))).alias("rating"), F.count(F.lit(1)).alias("n_ratings")
     )
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("s_suppkey"), "l_extendedprice")
-    return search.result_rows(items, places, ratings, "s_suppkey", ["l_orderkey", "l_linenumber", "l_partkey"], LAT, LON)
+    return items, places, ratings, "s_suppkey", ["l_orderkey", "l_linenumber", "l_partkey"], LAT, LON
 
 
 @catalog.query(
-    f"""WITH {PLACES_SQL} SELECT l_orderkey, l_linenumber, l_partkey, s_suppkey, s_name, l_extendedprice, rating, round(km, 4) AS distance_km
+    f"""WITH {PLACES_SQL} SELECT l_orderkey, l_linenumber, l_partkey, s_suppkey, s_name, l_extendedprice, rating, round(coalesce(n_ratings, 0) / (coalesce(n_ratings, 0) + 10), 3) AS source_confidence, round(km, 4) AS distance_km
     FROM lineitem JOIN located ON l_suppkey = s_suppkey LEFT JOIN rated USING (s_suppkey)"""
 )
 def result_rows(spark, sf):
-    return _result_rows(spark, sf).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "s_suppkey", "s_name", "l_extendedprice", "rating", F.round("distance_km", 4).alias("distance_km")
+    return search.result_rows(*_result_parts(spark, sf)).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "s_suppkey", "s_name", "l_extendedprice", "rating",
+        search.source_confidence(F.col("n_ratings")).alias("source_confidence"), F.round("distance_km", 4).alias("distance_km")
     )
 
 
@@ -59,8 +89,7 @@ def result_rows(spark, sf):
     FROM lineitem JOIN located ON l_suppkey = s_suppkey ORDER BY round(km, 4), l_extendedprice, l_orderkey, l_linenumber, l_partkey LIMIT 25"""
 )
 def nearest_k(spark, sf):
-    rows = _result_rows(spark, sf).withColumn("distance_km", F.round("distance_km", 4))
-    nearest = rows.orderBy("distance_km", "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey").limit(25)
+    nearest = search.nearest_items(*_result_parts(spark, sf), k=25, order=["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"], start_km=4)
     return nearest.select("l_orderkey", "l_linenumber", "l_partkey", "s_suppkey", "distance_km")
 
 
