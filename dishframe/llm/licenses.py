@@ -4,10 +4,10 @@ Every line (and every paragraph of several lines) that holds a licence cue word
 templates: token frequencies times inverse document frequency, as sparse vectors, by cosine. The
 frequencies are counted over all such units of the table; tokens outside the templates weigh as the
 rarest. The best template over all units of a file, if it reaches the threshold, is the file's own
-licence. Files that this leaves without one are searched row-locally by windows: at every token that
-few templates share, a window of the template's length (and one a third longer) is laid along the unit
-and compared with weights counted over the templates alone, so that neither the words around a notice
-nor the size of the table decide. An SPDX header names the licence itself. A file most of whose tokens lie in such units is a licence file: its directory takes its
+licence. Files that this leaves without one are searched by windows: where two neighbouring words of a
+template meet, one of them rare, a window of the template's length (and one a third longer) is laid along
+the paragraph and compared with weights counted over the templates alone, so that neither the words
+around a notice nor the size of the table decide. An SPDX header names the licence itself. A file most of whose tokens lie in such units is a licence file: its directory takes its
 licence (the commonest, if several). Files without a licence of their own take that of the nearest
 ancestor directory that has one, by joins on directories, not on files.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,8 +46,8 @@ TEMPLATES = (
     ("CC0-1.0", "CC0 1.0 Universal public domain dedication. To the extent possible under law, all copyright is waived."),
 )
 CUES = "licen[sc]|copyright|public domain|redistribut|permission|spdx"
-#: Units searched by windows may also hold only the name of a licence.
-NAMES = CUES + r"|apache|mozilla|\bgnu\b|\bbsd\b|\bmit\b|creative commons|\bcc0\b|\bcc by\b"
+#: Paragraphs searched by windows hold one of these, in lower case.
+HINTS = ("licen", "copyright", "public domain", "redistribut", "permission", "spdx", "apache", "mozilla", "gnu", "bsd", "creative commons", "cc0", "cc by", "the mit")
 SPDX = r"(?i)spdx-license-identifier:[\s(]*([a-z0-9.+-]*[a-z0-9])"
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -55,70 +56,103 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
-def units(files: DataFrame, cues: str = CUES) -> DataFrame:
+def units(files: DataFrame) -> DataFrame:
     """file_id, unit, body: lines and paragraphs of several lines that hold a cue word."""
     text = F.coalesce("text", F.lit(""))
     lines = F.split(text, "\n")
     blocks = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda b: F.contains(b, F.lit("\n")))
-    cue = F.rlike(F.lower(text), F.lit(cues))
+    cue = F.rlike(F.lower(text), F.lit(CUES))
     both = F.concat(F.transform(lines, lambda b: F.struct(F.lit(True).alias("line"), b.alias("body"))), F.transform(blocks, lambda b: F.struct(F.lit(False).alias("line"), b.alias("body"))))
-    held = F.filter(both, lambda u: F.rlike(F.lower(u["body"]), F.lit(cues)))
+    held = F.filter(both, lambda u: F.rlike(F.lower(u["body"]), F.lit(CUES)))
     return files.filter(cue).select("file_id", F.posexplode(held).alias("unit", "u")).select("file_id", "unit", "u.line", "u.body")
 
 
-def _constants(rows: dict[str, Column]) -> Column:
-    return F.create_map(*[x for key, value in rows.items() for x in (F.lit(key), value)])
+def _hinted(text: Column) -> Column:
+    low = F.lower(text)
+    return reduce(lambda x, y: x | y, [F.contains(low, F.lit(h)) for h in HINTS])
 
 
-def window_licenses(files: DataFrame, templates=TEMPLATES, min_cosine: float = 0.6) -> DataFrame:
-    """file_id, line, n, best (score, license): units in which a window or an SPDX header names a licence.
+def anchors(held: list[list[str]], most_shared: int = 3) -> list[tuple[str, int, int, int]]:
+    """(pair, template, place, window length): neighbouring words of a template, one of which few templates hold."""
+    shared = Counter(t for h in held for t in set(h))
+    out = []
+    for k, h in enumerate(held):
+        for at in range(len(h) - 1):
+            if min(shared[h[at]], shared[h[at + 1]]) <= most_shared:
+                out += [(f"{h[at]} {h[at + 1]}", k, at, n) for n in (len(h), len(h) + len(h) // 3 + 1)]
+    return out
+
+
+def window_licenses(files: DataFrame, known: DataFrame, templates=TEMPLATES, min_cosine: float = 0.6) -> DataFrame:
+    """file_id, line, n, best (score, license): paragraphs in which a window or an SPDX header names a licence.
 
-    A window must hold those words of the licence's name that its template holds. Of an SPDX expression
-    the first licence counts, without -only or -or-later.
+    Windows are laid where two neighbouring words of a template meet, one of them rare among the
+    templates; a window must hold those words of the licence's name that its template holds. Of an
+    SPDX expression the first licence counts, without -only or -or-later. Files of `known` are left out.
     """
+    spark = files.sparkSession
     held = [re.findall(r"[^\W_]+", body.lower()) for _, body in templates]
+    laid = anchors(held)
     shared = Counter(t for h in held for t in set(h))
-    weight = {t: math.log((1 + len(held)) / (1 + shared[t])) + 1 for t in shared}
-    unknown = math.log(1 + len(held)) + 1
-    each, anchors = {}, {}
+    weight = {t: math.log((1 + len(held)) / (1 + n)) + 1 for t, n in shared.items()}
+    parts = []
     for k, h in enumerate(held):
         norm = sum((n * weight[t]) ** 2 for t, n in Counter(h).items()) ** 0.5
-        each.update({f"{k} {t}": F.lit(n * weight[t] / norm) for t, n in Counter(h).items()})
-        for at, t in enumerate(h):
-            if shared[t] <= 3:
-                anchors.setdefault(t, []).extend((k, at, n) for n in (len(h), len(h) + len(h) // 3 + 1))
-    laid = _constants({t: F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(a, ("k", "at", "n"))]) for a in found]) for t, found in anchors.items()})
-    weights, parts = _constants({t: F.lit(w) for t, w in weight.items()}), _constants(each)
-    named = F.array(*[F.array(*[F.lit(w) for w in sorted(set(re.findall(r"[^\W_]+", name.lower())) & set(h))]).cast("array<string>") for (name, _), h in zip(templates, held)])
-
-    def windows(t: Column) -> Column:
-        def at(token: Column, p: Column) -> Column:
-            return F.transform(F.try_element_at(laid, token), lambda a: F.struct(a["k"].alias("k"), F.greatest(p - a["at"], F.lit(0)).alias("start"), a["n"].alias("n")))
-
-        found = F.array_distinct(F.flatten(F.filter(F.transform(t, at), lambda a: a.isNotNull())))
-        laid_out = F.transform(found, lambda a: F.struct(a["k"].alias("k"), F.slice(t, a["start"] + 1, a["n"]).alias("window")))
-        return F.filter(laid_out, lambda a: F.forall(F.get(named, a["k"]), lambda w: F.array_contains(a["window"], w)))
-
-    def cosine(k: Column, window: Column) -> Column:
-        def step(sums: Column, token: Column) -> Column:
-            w = F.size(F.filter(window, lambda x: x == token)) * F.coalesce(F.try_element_at(weights, token), F.lit(unknown))
-            theirs = F.coalesce(F.try_element_at(parts, F.concat_ws(" ", k.cast("string"), token)), F.lit(0.0))
-            return F.struct((sums["dot"] + w * theirs).alias("dot"), (sums["square"] + w * w).alias("square"))
-
-        first = F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("square"))
-        return F.aggregate(F.array_distinct(window), first, step, lambda sums: sums["dot"] / F.sqrt(sums["square"]))
-
-    searched = units(files, NAMES)
-    scored = searched.select("file_id", "unit", "line", F.explode(let(tokens(F.col("body")), windows)).alias("w")).select(
-        "file_id", "unit", "line", F.size("w.window").alias("n"), cosine(F.col("w.k"), F.col("w.window")).alias("score"), F.get(F.array(*[F.lit(name) for name, _ in templates]), F.col("w.k")).alias("license")
+        parts += [(k, t, n * weight[t] / norm) for t, n in Counter(h).items()]
+    named = [sorted(set(re.findall(r"[^\W_]+", name.lower())) & set(h)) for (name, _), h in zip(templates, held)]
+    before, reach = max(map(len, held)), max(n for *_, n in laid)
+    firsts, pairs = sorted({p.split()[0] for p, *_ in laid}), sorted({p for p, *_ in laid})
+
+    def found(t: Column) -> Column:
+        def pair(i: Column) -> Column:
+            return F.concat_ws(" ", F.get(t, i), F.get(t, i + 1))
+
+        every = F.when(F.size(t) > 1, F.sequence(F.lit(0), F.size(t) - 2))
+        places = F.filter(every, lambda i: F.get(t, i).isin(firsts) & pair(i).isin(pairs))
+        return F.transform(
+            places,
+            lambda i: F.struct(
+                i.alias("i"), pair(i).alias("pair"), F.greatest(i - before, F.lit(0)).alias("base"), F.slice(t, F.greatest(i - before, F.lit(0)) + 1, before + reach).alias("near")
+            ),
+        )
+
+    # Row-local: of a text, only the few words around its hits go on.
+    body = F.posexplode(F.split("text", r"\n[ \t\r]*\n")).alias("unit", "body")
+    paragraphs = files.filter(_hinted(F.col("text"))).select("file_id", body).filter(_hinted(F.col("body")))
+    hits = paragraphs.select("file_id", "unit", F.explode(let(tokens(F.col("body")), found)).alias("h")).select("file_id", "unit", "h.*")
+    fresh = hits.join(known.select("file_id").distinct(), "file_id", "left_anti")
+    table = spark.createDataFrame([(*row, named[row[1]]) for row in laid], "pair string, k int, at int, n int, named array<string>")
+    start = F.greatest(F.col("i") - F.col("at"), F.lit(0))
+    windows = (
+        fresh.join(F.broadcast(table), "pair")
+        .select("file_id", "unit", "k", start.alias("start"), "n", "named", F.slice("near", start - F.col("base") + 1, F.col("n")).alias("words"))
+        .filter(F.forall("named", lambda w: F.array_contains("words", w)))
+        .dropDuplicates(["file_id", "unit", "k", "start", "n"])
+    )
+    key = ["file_id", "unit", "k", "start", "n"]
+    counted = windows.select(*key, F.size("words").alias("size"), F.explode("words").alias("token")).groupBy(*key, "size", "token").agg(F.count(F.lit(1)).alias("tf"))
+    weights = spark.createDataFrame(list(weight.items()), "token string, weight double")
+    of_template = spark.createDataFrame(parts, "k int, token string, part double")
+    w = F.col("tf") * F.coalesce("weight", F.lit(math.log(1 + len(held)) + 1))
+    names = F.array(*[F.lit(name) for name, _ in templates])
+    scored = (
+        counted.join(F.broadcast(weights), "token", "left")
+        .join(F.broadcast(of_template), ["k", "token"], "left")
+        .groupBy(*key, "size")
+        .agg((F.sum(w * F.coalesce("part", F.lit(0.0))) / F.sqrt(F.sum(w * w))).alias("score"))
+        .filter(F.col("score") >= min_cosine)
+        .select("file_id", "unit", F.col("size").alias("n"), "score", F.get(names, F.col("k")).alias("license"))
     )
-    identifier = F.regexp_replace(F.regexp_extract("body", SPDX, 1), r"(?i)(-only|-or-later|\+)$", "")
-    spelled = _constants({name.lower(): F.lit(name) for name, _ in templates})
-    headers = searched.filter(F.rlike("body", F.lit(SPDX))).select(
-        "file_id", "unit", "line", F.size(tokens(F.regexp_extract("body", SPDX, 0))).alias("n"), F.lit(1.0).alias("score"), F.coalesce(F.try_element_at(spelled, F.lower(identifier)), identifier).alias("license")
+    spelled = F.create_map(*[F.lit(x) for name in sorted({name for name, _ in templates}) for x in (name.lower(), name)])
+    spdx = files.filter(F.contains(F.lower("text"), F.lit("spdx"))).select("file_id", body)
+    identifier = F.regexp_replace("identifier", r"(?i)(-only|-or-later|\+)$", "")
+    headers = (
+        spdx.select("file_id", "unit", F.explode(F.regexp_extract_all("body", F.lit(SPDX), F.lit(1))).alias("identifier"))
+        .join(known.select("file_id").distinct(), "file_id", "left_anti")
+        .select("file_id", "unit", (3 + F.size(tokens(F.col("identifier")))).alias("n"), F.lit(1.0).alias("score"), F.coalesce(F.try_element_at(spelled, F.lower(identifier)), identifier).alias("license"))
     )
     best = F.max(F.struct(F.struct("score", "license").alias("best"), "n")).alias("b")
-    return scored.filter(F.col("score") >= min_cosine).union(headers).groupBy("file_id", "unit", "line").agg(best).select("file_id", "line", "b.n", "b.best")
+    return scored.union(headers).groupBy("file_id", "unit").agg(best).select("file_id", F.lit(True).alias("line"), F.col("b.n").cast("bigint").alias("n"), "b.best")
 
 
 def own_licenses(files: DataFrame, templates=TEMPLATES, min_cosine: float = 0.6) -> DataFrame:
@@ -153,7 +187,7 @@ def own_licenses(files: DataFrame, templates=TEMPLATES, min_cosine: float = 0.6)
     scored = weighted.groupBy("file_id", "unit", "line").agg(F.sum(F.col("w") * F.col("w")).alias("square"), F.sum("tf").alias("n"), *dots)
     names = F.array(*[F.struct((F.col(f"d{i}") / F.sqrt("square")).alias("score"), F.lit(name).alias("license")) for i, (name, _) in enumerate(templates)])
     whole = written(scored.select("file_id", "line", "n", F.array_max(names).alias("best")).filter(F.col("best.score") >= min_cosine))
-    inside = window_licenses(files, templates, min_cosine).join(whole.select("file_id").distinct(), "file_id", "left_anti")
+    inside = window_licenses(files, whole, templates, min_cosine)
     best = whole.unionByName(inside)
     return best.groupBy("file_id").agg(F.max("best").alias("best"), F.sum(F.when(F.col("line"), F.col("n")).otherwise(0)).alias("in_lines"), F.max(F.when(~F.col("line"), F.col("n")).otherwise(0)).alias("in_block")).select(
         "file_id", "best.license", "best.score", F.greatest("in_lines", "in_block").alias("license_tokens")

@@ -133,6 +133,8 @@ FROM r4 LEFT JOIN rejected ON r4.host = rejected.host AND r4.template = rejected
 
 _TEMPLATES = ", ".join("({}, '{}', '{}')".format(i, name, body.replace("'", "''")) for i, (name, body) in enumerate(licenses.TEMPLATES))
 
+_HINTED = " OR ".join(f"contains(lower(b), '{h}')" for h in licenses.HINTS)
+
 LICENSES = rf"""
 WITH file AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t, concat_ws('/', source, lang, (doc_id // 100)::VARCHAR, doc_id || '.txt') AS path FROM documents),
 unit AS (SELECT doc_id, true AS line, unnest(list_transform(string_split(t, chr(10)), lambda b, i: {{'u': i, 'b': b}})) AS s FROM file
@@ -147,7 +149,27 @@ norm AS (SELECT k, sqrt(sum((tf * idf) ^ 2)) AS norm FROM template_tf JOIN idf U
 square AS (SELECT doc_id, line, u, sum((tf * coalesce(idf, ln(1 + units.n) + 1)) ^ 2) AS square, sum(tf) AS n FROM tf LEFT JOIN idf USING (word), units GROUP BY ALL),
 cosine AS (SELECT f.doc_id, f.line, f.u, e.k, sum(f.tf * e.tf * idf * idf) / any_value(norm) AS dot FROM tf f JOIN template_tf e USING (word) JOIN idf USING (word) JOIN norm USING (k) GROUP BY ALL),
 best AS (SELECT doc_id, line, u, any_value(n) AS n, max({{'score': round(dot / sqrt(square), 9), 'license': license}}) AS best FROM cosine JOIN square USING (doc_id, line, u) JOIN template USING (k) GROUP BY doc_id, line, u),
-own AS (SELECT doc_id, max(best) AS best, greatest(coalesce(sum(n) FILTER (line), 0), coalesce(max(n) FILTER (NOT line), 0)) AS license_tokens FROM best WHERE best.score >= 0.6 GROUP BY doc_id),
+shared AS (SELECT word, count(*) AS n FROM template_tf GROUP BY word),
+place AS MATERIALIZED (SELECT k, license, len(w) AS size, w, unnest(generate_series(1, len(w))) AS pos FROM (SELECT k, license, regexp_extract_all(lower(body), '[\p{{L}}\p{{N}}]+') AS w FROM template)),
+anchor AS (SELECT k, license, pos - 1 AS pos, w[pos] || ' ' || w[pos + 1] AS pair, unnest([size, size + size // 3 + 1]) AS n, list_filter(regexp_extract_all(lower(license), '[\p{{L}}\p{{N}}]+'), lambda x: list_contains(w, x)) AS named
+  FROM place JOIN shared a ON a.word = w[pos] JOIN shared b ON b.word = w[pos + 1] WHERE least(a.n, b.n) <= 3),
+paragraph AS MATERIALIZED (SELECT doc_id, s.u AS u, s.b AS b FROM (SELECT doc_id, unnest(list_transform(regexp_split_to_array(t, '\n[ \t\r]*\n'), lambda b, i: {{'u': i, 'b': b}})) AS s FROM file
+  WHERE doc_id NOT IN (SELECT doc_id FROM best WHERE best.score >= 0.6))),
+words AS MATERIALIZED (SELECT doc_id, u, regexp_extract_all(lower(b), '[\p{{L}}\p{{N}}]+') AS w FROM paragraph WHERE {_HINTED}),
+hit AS (SELECT doc_id, u, w, i, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT doc_id, u, w, unnest(generate_series(1, len(w) - 1)) AS i FROM words)),
+laid AS (SELECT DISTINCT doc_id, u, k, license, greatest(i - 1 - pos, 0) AS start, n, w[greatest(i - 1 - pos, 0) + 1 : greatest(i - 1 - pos, 0) + n] AS x, named FROM hit JOIN anchor USING (pair)),
+inside AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, u, k, license, x FROM laid WHERE list_has_all(x, named)),
+weight AS (SELECT word, ln((1 + (SELECT count(*) FROM template)) / (1 + n)) + 1 AS w FROM shared),
+part AS (SELECT k, word, tf * w / sqrt(sum((tf * w) ^ 2) OVER (PARTITION BY k)) AS part FROM template_tf JOIN weight USING (word)),
+window_tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(u) AS u, any_value(k) AS k, any_value(license) AS license, any_value(len(x)) AS n, word, count(*) AS tf FROM (SELECT *, unnest(x) AS word FROM inside) GROUP BY r, word),
+window_score AS (SELECT r, any_value(doc_id) AS doc_id, any_value(u) AS u, any_value(f.license) AS license, any_value(n) AS n,
+  sum(tf * coalesce(w, ln(1 + (SELECT count(*) FROM template)) + 1) * coalesce(part, 0)) / sqrt(sum((tf * coalesce(w, ln(1 + (SELECT count(*) FROM template)) + 1)) ^ 2)) AS score
+  FROM window_tf f LEFT JOIN weight USING (word) LEFT JOIN part ON part.k = f.k AND part.word = f.word GROUP BY r),
+header AS (SELECT doc_id, u, regexp_replace(x, '(?i)(-only|-or-later|\+)$', '') AS x, 3 + len(regexp_extract_all(lower(x), '[\p{{L}}\p{{N}}]+')) AS n FROM (SELECT doc_id, u, unnest(regexp_extract_all(b, '{licenses.SPDX}', 1)) AS x FROM paragraph)),
+searched AS (SELECT doc_id, u, max({{'b': {{'score': round(score, 9), 'license': license}}, 'n': n}}) AS s FROM (SELECT doc_id, u, score, license, n FROM window_score WHERE score >= 0.6
+  UNION ALL SELECT doc_id, u, 1.0, coalesce(any_value(license), any_value(x)), any_value(n) FROM (SELECT row_number() OVER () AS r, * FROM header) LEFT JOIN template ON lower(license) = lower(x) GROUP BY r, doc_id, u) GROUP BY doc_id, u),
+found AS (SELECT doc_id, line, n, best FROM best UNION ALL SELECT doc_id, true, s.n, s.b FROM searched),
+own AS (SELECT doc_id, max(best) AS best, greatest(coalesce(sum(n) FILTER (line), 0), coalesce(max(n) FILTER (NOT line), 0)) AS license_tokens FROM found WHERE best.score >= 0.6 GROUP BY doc_id),
 known AS MATERIALIZED (SELECT doc_id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, best.license AS own_license, round(best.score, 6) AS score,
   coalesce(license_tokens >= 0.5 * greatest(len(regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]+')), 1), false) AS license_file FROM file LEFT JOIN own USING (doc_id)),
 of_folder AS (SELECT folder, max({{'n': n, 'l': own_license}}).l AS license FROM (SELECT folder, own_license, count(*) AS n FROM known WHERE license_file GROUP BY ALL) GROUP BY folder),
