@@ -16,6 +16,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dishframe.llm.common import written
+
 Keep = Callable[[Column], Column]
 
 
@@ -49,7 +51,8 @@ def mark(
     rows = texts.select("doc_id", hashed(F.col("text")).alias("key"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
     # Repeated rows count once here and come back by number: only the first of them can stay.
     repeated = rows.groupBy("doc_id", "key", "text_sha256").agg(F.count(F.lit(1)).alias("copies"))
-    joined = repeated.join(classes(texts, keep, hashed), ["key", "text_sha256"])
+    # Written, so that both sides of the join are plain exchanges, whose large partitions Spark can split.
+    joined = repeated.join(written(classes(texts, keep, hashed)), ["key", "text_sha256"])
     return joined.select("doc_id", "keep_id", "group_size", "text_sha256", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")).select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "text_sha256"
     )

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from dishframe.llm import exact_dedup, lexical_search, plans, vector_codes
-from tests.llm.helpers import FOLDER, frame, odd_rows, prose
+from tests.llm.helpers import FOLDER, documents, frame, odd_rows, prose
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -129,8 +129,10 @@ def test_exact_dedup_normalises_and_returns_documents(spark):
 
 
 def test_exact_dedup_is_native_and_combines_before_the_exchange(spark):
-    shown = plans.op12_exact_dedup(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in shown for x in ("Python", "Pandas", "ArrowEval", "MapInArrow", "CartesianProduct", "NestedLoop"))
+    of_text = exact_dedup.classes(documents(spark).select("doc_id", "text"), F.max, exact_dedup.content_hash)
+    for df in (plans.op12_exact_dedup(spark, FOLDER), of_text):
+        shown = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in shown for x in ("Python", "Pandas", "ArrowEval", "MapInArrow", "CartesianProduct", "NestedLoop"))
     assert "partial_max(doc_id" in shown and "partial_count(1)" in shown
 
 
