@@ -22,11 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from dishframe.llm import cutting_stock
-from dishframe.llm.common import text_bytes, written
+from dishframe.llm.common import text_bytes, worker_memory, written
 from dishframe.llm.pieces import WordIds
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_MEMORY: dict[str, WordIds] = {}
 
 
 def pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
@@ -36,7 +35,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sys.byteorder != "little":
             raise RuntimeError("ids are laid out in the machine's byte order, which must be little-endian")
-        known = _MEMORY.get(path) or _MEMORY.setdefault(path, WordIds(path))
+        known = worker_memory(f"ids {path}", lambda: WordIds(path))
         step = 4 * capacity
         for batch in batches:
             ids, starts, lengths, sums, totals = [], [], [], [], []
