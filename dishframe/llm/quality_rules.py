@@ -14,15 +14,16 @@ than those named are not read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from dishframe.llm.common import text_bytes
+from dishframe.llm.common import text_bytes, worker_memory, written
 
 # Byte to character class; the class of a continuation byte (10) is dropped, so code points are counted.
 CLASSES = ("lower", "upper", "letter", "digit", "space", "stop", "symbol", "mark", "control", "other")
@@ -40,7 +41,7 @@ _CLASS[[*range(0x00, 0x09), *range(0x0E, 0x20), 0x7F]] = 8
 _CLASS[0x80:0xC0] = 10
 N_CLASSES = len(CLASSES)
 
-#: Keys a counting task holds before it hands its partial counts on.
+#: Distinct words, over all languages, that a counting task holds before it hands its partial counts on.
 FLUSH = 300_000
 
 
@@ -90,17 +91,13 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, (part(p) + part(q)) / 2)))
 
 
-def references(
-    docs: DataFrame, common_words: int = 40, max_languages: int = 1000, min_reference_words: int = 1000
-) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """Per language: class counts, common words with their places, and their counts with all others last.
-
-    Counted over all documents. What reaches the driver is bounded: the references of at most
-    max_languages languages (those of most documents), of common_words words each.
-    """
+def counted_languages(docs: DataFrame) -> DataFrame:
+    """lang, kind, key, n over all documents: its words (kind 0), character classes (1) and all words together (2)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("rules")  # nothing is kept, but what other work kept goes
         held: dict[str, Counter] = {}
+        words = 0
         classes: dict[str, np.ndarray] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
@@ -117,40 +114,58 @@ def references(
 
         for batch in batches:
             for lang, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(lang, Counter()).update(data.split())
+                of_lang = held.setdefault(lang, Counter())
+                words -= len(of_lang)
+                of_lang.update(data.split())
+                words += len(of_lang)
                 classes[lang] = classes.get(lang, 0) + class_counts(data)
-                if len(held) > FLUSH or len(held[lang]) > FLUSH:
+                if words + len(held) > FLUSH:
                     yield from out()
+                    words = 0
         yield from out()
 
     lang = F.coalesce("lang", F.lit("")).alias("lang")
-    most = [r.lang for r in docs.select(lang).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
-    counted = (
-        docs.select(lang, text_bytes(F.col("text")).alias("data"))
-        .filter(F.col("lang").isin(most))
-        .mapInArrow(count, "lang string, kind int, key binary, n long")
-        .groupBy("lang", "kind", "key")
-        .agg(F.sum("n").alias("n"))
-    )
+    counts = docs.select(lang, text_bytes(F.col("text")).alias("data")).mapInArrow(count, "lang string, kind int, key binary, n long")
+    return counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+
+
+def reference(parts: list, common_words: int) -> tuple[np.ndarray, dict[bytes, int], np.ndarray, int]:
+    """Class counts, common words with their places, their counts with all others last, and the number of words."""
+    classes, common, words = np.zeros(N_CLASSES), [], 0
+    for kind, key, n in ((p["kind"], p["key"], p["n"]) for p in parts):
+        if kind == 2:
+            words = n
+        elif kind == 1:
+            classes[int(bytes(key))] = n
+        else:
+            common.append((-n, bytes(key)))
+    common = sorted(common)[:common_words]
+    counts = [-n for n, _ in common]
+    return classes, {w: i for i, (_, w) in enumerate(common)}, np.array([*counts, words - sum(counts)], float), words
+
+
+@dataclass(frozen=True)
+class References:
+    """Per language one reference: those of most words in `held`, all others as rows (lang, parts)."""
+
+    held: dict[str, tuple]
+    others: DataFrame | None
+    common_words: int
+
+
+def references(docs: DataFrame, common_words: int = 40, held_languages: int = 1000) -> References:
+    """Counted over all documents. What tasks hold is bounded: the references of the languages of most
+    words, at most held_languages; documents of all others meet theirs by a join on the language."""
     by_count = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    top = counted.withColumn("place", F.row_number().over(by_count)).filter(F.col("place") <= max(common_words, N_CLASSES))
-    found: dict[str, tuple[np.ndarray, list]] = {}
-    sums: dict[str, int] = {}
-    for r in top.collect():
-        classes, common = found.setdefault(r.lang, (np.zeros(N_CLASSES), []))
-        if r.kind == 2:
-            sums[r.lang] = r.n
-        elif r.kind == 1:
-            classes[int(bytes(r.key))] = r.n
-        elif r.place <= common_words:
-            common.append((r.place, bytes(r.key), r.n))
-    out = {}
-    for lang, (classes, common) in found.items():
-        if sums.get(lang, 0) >= min_reference_words:
-            common.sort()
-            counts = [n for _, _, n in common]
-            out[lang] = (classes, {w: i for i, (_, w, _) in enumerate(common)}, np.array([*counts, sums[lang] - sum(counts)], float))
-    return out
+    top = counted_languages(docs).withColumn("place", F.row_number().over(by_count)).filter(F.col("place") <= max(common_words, N_CLASSES))
+    # At most common_words + N_CLASSES + 1 parts a language.
+    table = written(top.groupBy("lang").agg(F.collect_list(F.struct("kind", "key", "n")).alias("parts"), F.max(F.when(F.col("kind") == 2, F.col("n"))).alias("words")))
+    most = table.orderBy(F.desc_nulls_last("words"), "lang").limit(held_languages).collect()
+    refs = References({}, None, common_words)
+    refs.held.update({r.lang: reference(r.parts, common_words) for r in most})
+    if len(most) < held_languages or table.count() == len(most):
+        return refs
+    return replace(refs, others=table.filter(~F.col("lang").isin(list(refs.held))).select("lang", "parts"))
 
 
 SCHEMA = (
@@ -161,22 +176,22 @@ SCHEMA = (
 
 @dataclass(frozen=True)
 class Rules:
-    """The references with the limits and guards of the distance rules."""
+    """The limits and guards of the distance rules."""
 
-    known: dict
     max_char_distance: float = 0.26
     max_word_distance: float = 0.48
     min_chars: int = 200
     min_words: int = 50
+    min_reference_words: int = 1000
 
-    def verdict(self, lang: str, data: bytes) -> tuple:
-        """The columns of SCHEMA after the id, for one text."""
+    def verdict(self, known: tuple | None, data: bytes) -> tuple:
+        """The columns of SCHEMA after the id, for one text and its language's reference."""
         tokens, chars, symbols, lines, repeats = base_counts(data)
         n = len(tokens)
         failed = n < 50 or 100 * repeats > 50 * n
         by_char = by_word = None
-        if lang in self.known:
-            classes, places, common = self.known[lang]
+        if known and known[3] >= self.min_reference_words:
+            classes, places, common, _ = known
             if chars >= self.min_chars:
                 by_char = distance(class_counts(data).astype(float), classes)
             if n >= self.min_words:
@@ -188,31 +203,61 @@ class Rules:
         return n, chars, symbols, lines, repeats, failed, not failed and not bad, by_char, by_word
 
 
+def _per_language(docs: DataFrame, refs: References, apply: Callable[[DataFrame, Callable], DataFrame]) -> DataFrame:
+    """apply(rows, reference of a batch) to documents of held languages, and of all others joined with theirs.
+
+    docs have a column lang_key; the joined ones also `parts`.
+    """
+    held, common_words = refs.held, refs.common_words
+    if refs.others is None:
+        return apply(docs, lambda batch: [held.get(x) for x in batch.column("lang_key").to_pylist()])
+    common = F.col("lang_key").isin(list(held))
+    rest = docs.filter(~common).join(refs.others.withColumnRenamed("lang", "lang_key"), "lang_key")
+
+    def joined(batch: pa.RecordBatch) -> list[tuple]:
+        made: dict[str, tuple] = {}
+        for lang, parts in zip(batch.column("lang_key").to_pylist(), batch.column("parts").to_pylist()):
+            if lang not in made:
+                made[lang] = reference(parts, common_words)
+        return [made[x] for x in batch.column("lang_key").to_pylist()]
+
+    ours = apply(docs.filter(common), lambda batch: [held[x] for x in batch.column("lang_key").to_pylist()])
+    return ours.unionByName(apply(rest, joined))
+
+
 def judge(docs: DataFrame, reference_options: dict | None = None, **limits) -> DataFrame:
     """One row per document: base counts, distances (null where a guard holds) and the verdict."""
-    rules = Rules(references(docs, **(reference_options or {})), **limits)
+    rules, refs = Rules(**limits), references(docs, **(reference_options or {}))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                ids, langs, texts = (c.to_pylist() for c in batch.columns)
-                columns = [ids, *zip(*(rules.verdict(lang, data) for lang, data in zip(langs, texts)))]
-                kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 2
-                names = [field.split()[0] for field in SCHEMA.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+    def apply(df: DataFrame, references_of: Callable) -> DataFrame:
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    ids, texts = batch.column("doc_id").to_pylist(), batch.column("data").to_pylist()
+                    columns = [ids, *zip(*(rules.verdict(known, data) for known, data in zip(references_of(batch), texts)))]
+                    kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 2
+                    names = [field.split()[0] for field in SCHEMA.split(", ")]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+        return df.mapInArrow(rows, SCHEMA)
 
-    slim = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), text_bytes(F.col("text")).alias("data"))
-    return slim.mapInArrow(rows, SCHEMA)
+    slim = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang_key"), text_bytes(F.col("text")).alias("data"))
+    return _per_language(slim, refs, apply)
 
 
 def kept_documents(docs: DataFrame, reference_options: dict | None = None, **limits) -> DataFrame:
-    """The rows of docs, all columns, that the rules keep; decided where they are read, without a join."""
-    rules = Rules(references(docs, **(reference_options or {})), **limits)
+    """The rows of docs, all columns, that the rules keep; decided where they are read (other languages: after the join)."""
+    rules, refs = Rules(**limits), references(docs, **(reference_options or {}))
+    names, kept_columns = docs.columns, StructType([StructField("row", docs.schema)])
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            kept = [rules.verdict(lang or "", (text or "").encode())[6] for lang, text in zip(langs, texts)]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+    def apply(df: DataFrame, references_of: Callable) -> DataFrame:
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column("row").field("text").to_pylist()
+                kept = [rules.verdict(known, (text or "").encode())[6] for known, text in zip(references_of(batch), texts)]
+                yield batch.select(["row"]).filter(pa.array(kept, pa.bool_()))
+
+        return df.mapInArrow(rows, kept_columns)
 
-    return docs.mapInArrow(rows, docs.schema)
+    keyed = docs.select(F.coalesce("lang", F.lit("")).alias("lang_key"), F.struct(*names).alias("row"))
+    return _per_language(keyed, refs, apply).select("row.*")

@@ -76,6 +76,20 @@ def test_kept_rows_keep_their_columns(spark):
     assert {r.doc_id for r in kept.collect()} == verdict
 
 
+def test_every_language_is_judged(spark):
+    """Languages beyond those that tasks hold get the same verdicts, by a join."""
+    rows = [(i, prose(i, 60 + i % 90, 40 + 13 * (i % 7)), f"l{i % 37}") for i in range(400)] + [(1000 + i, f"#### {i}", None) for i in range(3)]
+    docs, limits = frame(spark, rows), {"min_reference_words": 200, "max_word_distance": 0.3}
+    few = {"held_languages": 2}
+    assert quality_rules.references(docs, **few).others.count() == 36
+    every = sorted(map(str, quality_rules.judge(docs, **limits).collect()))
+    assert sorted(map(str, quality_rules.judge(docs, few, **limits).collect())) == every
+    kept = quality_rules.kept_documents(docs, few, **limits)
+    assert kept.columns == docs.columns
+    verdict = {r.doc_id for r in quality_rules.judge(docs, **limits).filter("kept").collect()}
+    assert {r.doc_id for r in kept.collect()} == verdict and 0 < len(verdict) < 400
+
+
 def test_classifier_separates_labelled_kinds(spark):
     good = [(i, prose(i, 80), "en") for i in range(60)]
     bad = [(100 + i, " ".join(f"zz{j % 7}###" for j in range(80)), "en") for i in range(20)]
