@@ -27,19 +27,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from dishframe.llm.common import Remembered, text_bytes, worker_memory, written
+from dishframe.llm.common import text_bytes, worker_memory, written
 from dishframe.llm.components import components
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(Remembered):
-    """Word to its 64-bit hash."""
-
-    limit = 200_000
-
-    def make(self, word: bytes) -> int:
-        return xxhash.xxh64_intdigest(word)
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word)
+        return out
 
 
 def shingles(data: bytes, known: WordHashes, size: int) -> np.ndarray:
@@ -83,7 +82,8 @@ def signatures(docs: DataFrame, trees: int, depth: int, size: int, seed: int) ->
         return prefix.view(np.int64)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_memory("word hashes", WordHashes)
+        worker_memory("word hashes")  # what other work kept goes
+        known = WordHashes()
         for batch in batches:
             ids, keys, prefixes, held, room = [], [], [], [], 0
 
@@ -164,7 +164,8 @@ def verify(docs: DataFrame, groups: DataFrame, threshold: float, size: int, bloc
     texts = docs.select(F.col("doc_id").alias("node"), text_bytes(F.col("text")).alias("data"))
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_memory("word hashes", WordHashes)
+        worker_memory("word hashes")  # what other work kept goes
+        known = WordHashes()
         for batch in batches:
             at = batch.schema.get_field_index("data")
             sets = [shingles(d, known, size).tobytes() for d in batch.column(at).to_pylist()]

@@ -27,20 +27,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from dishframe.llm.common import Remembered, text_bytes, worker_memory, written
+from dishframe.llm.common import text_bytes, worker_memory, written
 from dishframe.llm.labelled import sample, with_label
 
 _PARTS = re.compile(rb"[0-9]+|[A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]+")
 BUCKETS = 1 << 15
 
 
-class Grams(Remembered):
+class Grams(dict):
     """White-space delimited chunk to the hashes of its parts: letters, digits, punctuation."""
 
-    limit = 200_000
-
-    def make(self, chunk: bytes) -> tuple[int, ...]:
-        return tuple(map(zlib.crc32, _PARTS.findall(chunk)))
+    def __missing__(self, chunk: bytes) -> tuple[int, ...]:
+        if len(self) > 400_000:
+            self.clear()
+        self[chunk] = out = tuple(map(zlib.crc32, _PARTS.findall(chunk)))
+        return out
 
 
 def buckets(data: bytes, grams: Grams) -> np.ndarray:
@@ -54,7 +55,8 @@ def histogram(docs: DataFrame) -> np.ndarray:
     """Grams in each bucket over all rows of docs (column data)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, total = worker_memory("grams", Grams), np.zeros(BUCKETS, np.int64)
+        worker_memory("grams")  # what other work kept goes
+        grams, total = Grams(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for data in batch.column(0).to_pylist():
                 total += np.bincount(buckets(data, grams), minlength=BUCKETS)
@@ -71,7 +73,8 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     """The docs' columns but data, and weight: the sum of the log ratios of a text's grams."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = worker_memory("grams", Grams)
+        worker_memory("grams")
+        grams = Grams()
         for batch in batches:
             at = batch.schema.get_field_index("data")
             weight = [float(ratio[buckets(d, grams)].sum()) for d in batch.column(at).to_pylist()]
