@@ -52,32 +52,6 @@ def per_batch(df: DataFrame, rows: Callable[[dict], dict], schema: str) -> DataF
     return df.mapInArrow(run, schema)
 
 
-class Remembered(dict):
-    """Results per key, at most twice `limit` of them: the older half is dropped, but for what is used again."""
-
-    limit = 100_000
-    longest = 64
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.older: dict = {}
-
-    def make(self, key):
-        raise NotImplementedError
-
-    def __missing__(self, key):
-        if len(key) > self.longest:
-            return self.make(key)
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
-        return value
-
-
 _MEMORY: dict = {}
 
 

@@ -3,7 +3,7 @@
 A text is cut where no pre-token can span, each distinct chunk is split once, and each distinct
 pre-token is given to the tokenizer's model once per worker. Chunks of plain Latin characters are
 split by an equivalent expression here; any other chunk goes through the library's own splitter.
-Memories hold a fixed number of short keys, so a worker's memory is bounded.
+Memories are emptied when they reach a fixed size, so a worker's memory is bounded.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ import os
 import re
 from array import array
 
-from dishframe.llm.common import Remembered
-
 # Letters, numbers and the rest below U+0250, where all Unicode versions agree.
 _LETTER, _NUMBER, _REST = r"[^\W\d_²³¹¼½¾]", r"[\d²³¹¼½¾]", r"(?:[^\w\s]|_)"
 _SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -22,6 +20,7 @@ _WORD_SPLIT = re.compile(f"{_SHORT}|{_LETTER}+|{_NUMBER}|{_REST}+")
 _BYTE_SPLIT = re.compile(rf"{_SHORT}| ?{_LETTER}+| ?{_NUMBER}+| ?{_REST}+|\s+(?!\S)|\s+")
 _UNEVEN = re.compile(r" \s|\s ")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+LIMIT = 500_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -45,45 +44,40 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-class PieceIds(Remembered):
-    """Pre-token to its ids, as little-endian unsigned 32-bit bytes."""
-
-    limit = 250_000
-
-    def __init__(self, model) -> None:
-        super().__init__()
-        self.model = model
-
-    def make(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(byte_letters(piece))]).tobytes()
-
-
-class WordIds(Remembered):
+class WordIds(dict):
     """Chunk between ASCII white space (bytes) to its ids as little-endian unsigned 32-bit bytes.
 
     For lower-casing tokenizers with word ends, whose pre-tokens hold no white space.
     """
 
-    limit = 250_000
-
     def __init__(self, path: str) -> None:
         super().__init__()
-        self.library = load(path)
-        self.known = PieceIds(self.library.model)
+        self.library, self.known = load(path), {}
+        self.model = self.library.model
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
 
-    def make(self, chunk: bytes) -> bytes:
+    def _piece(self, piece: str) -> bytes:
+        if (ids := self.known.get(piece)) is None:
+            if len(self.known) > LIMIT:
+                self.known.clear()
+            ids = self.known[piece] = array("I", [t.id for t in self.model.tokenize(byte_letters(piece))]).tobytes()
+        return ids
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        if len(self) > LIMIT:
+            self.clear()
         text = chunk.decode()
         if _ODD.search(text) or any(s in text for s in self.special):
-            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join([self.known[p] for p in _WORD_SPLIT.findall(text.lower())])
+            ids = array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        else:
+            ids = b"".join([self._piece(p) for p in _WORD_SPLIT.findall(text.lower())])
+        self[chunk] = ids
+        return ids
 
 
-class BytePretokens(Remembered):
+class BytePretokens(dict):
     """Chunk after one space (which belongs to it) to its pre-tokens, as byte-level letters."""
 
-    limit = 250_000
-
     def __init__(self, path: str) -> None:
         super().__init__()
         library = load(path)
@@ -100,8 +94,11 @@ class BytePretokens(Remembered):
             return tuple(p for p, _ in self.splitter.pre_tokenize_str(chunk))
         return tuple(map(byte_letters, _BYTE_SPLIT.findall(chunk)))
 
-    def make(self, chunk: str) -> tuple[str, ...]:
-        return self.pieces(" " + chunk)
+    def __missing__(self, chunk: str) -> tuple[str, ...]:
+        if len(self) > LIMIT:
+            self.clear()
+        self[chunk] = found = self.pieces(" " + chunk)
+        return found
 
     def chunks(self, text: str) -> tuple[list[str], list[str], int]:
         """Chunks whose pre-tokens together are those of the text: those that begin it (or follow a
