@@ -1,10 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Each clause becomes a tape of one symbol per word: insult, threat verb, intent, target, negation,
-reporting verb, quotation mark, other. Rewriting rules (regular, so each is a finite-state transducer)
-are composed over the tape: intent before a threat verb makes a threat; a target near an insult makes
-it a directed one; a negation just before discounts; reported or quoted speech discounts. The clause
-scores the weights of the symbols that are left; single words outside a matched pattern count nothing.
+Each clause becomes a tape of one symbol per word: insult, threat verb, intent, target, linking verb,
+determiner, mention, negation, reporting verb, quotation mark, exclamation, other. Transducers are
+composed over the tape. Each counts the words since its trigger up to a fixed reach, so it has finitely
+many states, and rewrites the insults or threat verbs it passes: intent before a threat verb makes a
+threat; a target near an insult directs it; a linking verb beside it makes it a predicate, a determiner
+before it an epithet, an exclamation after it a vocative, a preposition or conjunction beside it a part
+of a phrase; neighbouring insults make a row of them. A mention ("the word ...") takes a match back, a
+negation just before discounts it, reported or quoted speech discounts it. The clause scores the weights
+of the matched symbols. Over the clauses of a text one more transducer matches insults that follow one
+another within 30 words. An insult or a threat verb that no pattern matched counts nothing.
 
 Insult terminals are learned from a bounded sample of labelled training rows: whole words and word
 beginnings that occur in toxic texts almost only, weighted by their smoothed log odds. Words of the
@@ -35,17 +40,36 @@ NEGATIONS = "not never no isn't aren't don't nicht kein keine nie ne pas jamais
 REPORTS = "said says say wrote called calls told claimed quoted sagte schrieb nannte dit écrit appelé dijo escribió llamó".split()
 INTENTS = "will shall gonna going i'll we'll werde werden vais allons voy vamos".split()
 THREATS = "kill hurt destroy beat shoot stab töten schlagen tuer frapper matar golpear".split()
+LINKS = "is are was were be been being am isn't aren't wasn't ist sind war waren bist bin seid est sont était es son era eres soy fue".split()
+DETERMINERS = "a an the this that these such what ein eine einen einer der die das dieser diese dieses solch un une le la les ce cet cette ces quel quelle una el los las este esta ese esa qué".split()
+JOINTS = "and or but of in on at for with from by to as und oder aber von mit für auf aus bei zu als et ou mais de du des dans sur pour avec par que qui y o pero del en con por para como".split()
+MENTIONS = "word words term terms wort wörter begriff mot mots terme palabra palabras término".split()
 QUOTES = "\"“”„«»"
-CLASS = {w: s for s, ws in (("t", TARGETS), ("n", NEGATIONS), ("r", REPORTS), ("w", INTENTS), ("k", THREATS)) for w in ws}
-
-# Rules over the tape, applied in this order; a match's letters are rewritten one for one.
+#: Lists of lower rank give way: "isn't" negates, "es" and "la" keep their first class.
+CLASS = {
+    w: s
+    for s, ws in (("p", JOINTS), ("d", DETERMINERS), ("b", LINKS), ("m", MENTIONS), ("t", TARGETS), ("n", NEGATIONS), ("r", REPORTS), ("w", INTENTS), ("k", THREATS))
+    for w in ws
+}
+
+MATCHED = "IPEVACK"
+# Transducers over the tape, applied in this order: trigger symbols, words reached after and before the
+# trigger, letters rewritten there one for one.
 RULES = (
-    (re.compile(r"w[^k]{0,3}k"), {"k": "K"}),  # intent, then a threat verb: a threat
-    (re.compile(r"t[^i]{0,4}i|i[^t]{0,4}t"), {"i": "I"}),  # insult near a target: directed
-    (re.compile(r"n[^iIK]{0,2}[iIK]"), {"i": "j", "I": "j", "K": "j"}),  # negated
+    ("w", 4, 0, {"k": "K"}),  # intent, then a threat verb: a threat
+    ("t", 5, 5, {"i": "I"}),  # a target near an insult: directed
+    ("b", 3, 2, {"i": "P"}),  # a linking verb beside it: predicate or subject
+    ("d", 2, 0, {"i": "E"}),  # a determiner before it: epithet
+    ("x", 0, 3, {"i": "V"}),  # an exclamation after it: vocative
+    ("p", 2, 2, {"i": "A"}),  # a preposition or conjunction beside it: part of a phrase
+    ("iIPEVA", 4, 4, {"i": "C"}),  # another insult near it: a row of insults
+    ("m", 2, 0, {m: "o" for m in MATCHED}),  # mentioned as a word: no match
+    ("n", 3, 0, {m: "j" for m in MATCHED}),  # negated
 )
-REPORTED = re.compile(r"[rq][^iIK]{0,8}[iIK]")
-FACTOR = {"i": 1.0, "I": 1.25, "K": 1.0, "j": 0.5}
+REPORT_REACH = 9
+INSULT_SYMBOLS = "iIPEVAC"
+TIRADE_REACH, TIRADE_FACTOR = 30, 1.0
+FACTOR = {"I": 1.25, "P": 1.0, "E": 1.0, "V": 1.0, "A": 1.0, "C": 1.0, "K": 1.0, "j": 0.5}
 REPORTED_FACTOR, THREAT_WEIGHT = 0.6, 4.0
 
 PREFIXES = range(4, 9)
@@ -115,36 +139,72 @@ class Symbols(dict):
         return out
 
 
+def reached(tape: str, triggers: str, after: int, before: int) -> set[int]:
+    """Places at most `after` words behind a trigger or `before` words ahead of one; not the trigger's own."""
+    at = [i for i, s in enumerate(tape) if s in triggers]
+    return {j for i in at for j in range(max(0, i - before), min(len(tape), i + after + 1)) if j != i}
+
+
 def rewritten(tape: str) -> str:
-    for pattern, letters in RULES:
-        table = str.maketrans(letters)
-        tape = pattern.sub(lambda m: m[0].translate(table), tape)
+    for triggers, after, before, letters in RULES:
+        if any(s in tape for s in letters):
+            near = reached(tape, triggers, after, before)
+            tape = "".join(letters.get(s, s) if i in near else s for i, s in enumerate(tape))
     return tape
 
 
-def clause_score(tape: str, weights: list[float]) -> float:
+def clause_score(tape: str, weights: list[float]) -> tuple[float, list[tuple[int, float]]]:
+    """The clause's score, and place and weight of its insults; the weight is 0 where a pattern matched."""
+    if "i" not in tape and "k" not in tape:
+        return 0.0, []
     last = rewritten(tape)
-    reported = {m.end() - 1 for m in REPORTED.finditer(last)}
-    return sum(FACTOR[s] * weights[i] * (REPORTED_FACTOR if i in reported else 1.0) for i, s in enumerate(last) if s in FACTOR)
+    reported = reached(last, "rq", REPORT_REACH, 0)
+    score = sum(FACTOR[s] * weights[i] * (REPORTED_FACTOR if i in reported else 1.0) for i, s in enumerate(last) if s in FACTOR)
+    return score, [(i, weights[i] if s == "i" else 0.0) for i, s in enumerate(last) if s in INSULT_SYMBOLS]
+
+
+def tirade_score(insults: list[tuple[int, float]]) -> float:
+    """Weights of the insults that no clause matched but that another insult of the text is near."""
+    total = 0.0
+    for k, (at, weight) in enumerate(insults):
+        if weight and any(abs(at - insults[n][0]) <= TIRADE_REACH for n in (k - 1, k + 1) if 0 <= n < len(insults)):
+            total += TIRADE_FACTOR * weight
+    return total
 
 
 def text_score(data: bytes, symbols: Symbols) -> float:
-    """Sum of the scores of all clauses of a text."""
+    """Sum of the scores of all clauses of a text, and of rows of insults over several clauses."""
     if not any(symbols[c][0] in "ik" for c in set(data.split())):
         return 0.0
-    total = 0.0
+    total, start = 0.0, 0
+    tape: list[str] = []
+    weights: list[float] = []
+    insults: list[tuple[int, float]] = []
+
+    def close() -> None:
+        nonlocal total, start
+        score, found = clause_score("".join(tape), weights)
+        total += score
+        insults.extend((start + i, w) for i, w in found)
+        start += len(tape)
+        tape.clear()
+        weights.clear()
+
     for line in data.split(b"\n"):
-        tape, weights = "", []
         for chunk in line.split():
             symbol, weight, quoted, ends = symbols[chunk]
             if quoted:
-                tape, weights = tape + "q", [*weights, 0.0]
-            tape, weights = tape + symbol, [*weights, weight]
+                tape.append("q")
+                weights.append(0.0)
+            tape.append(symbol)
+            weights.append(weight)
             if ends:
-                total += clause_score(tape, weights)
-                tape, weights = "", []
-        total += clause_score(tape, weights)
-    return total
+                if chunk.endswith(b"!"):
+                    tape.append("x")
+                    weights.append(0.0)
+                close()
+        close()
+    return total + tirade_score(insults)
 
 
 def raw_scores(docs: DataFrame, insults: dict[str, float]) -> DataFrame:

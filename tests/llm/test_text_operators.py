@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -137,6 +138,35 @@ def test_grammar_composes():
     assert score_of("you left. a fool.") == plain  # another clause
 
 
+def test_mere_mentions_score_nothing():
+    for text in ("fool", "entry fool, noun", "Fool.", "the word fool is old.", "nothing here. fool. nothing more", "kill", "fool " + "plain " * 40 + "fool"):
+        assert score_of(text) == 0, text
+    for text in ("fool!", "those fools are fool.", "fool, fool", "Fool. Go now. Fool.", "fool and coward"):
+        assert score_of(text) > 0, text
+    assert score_of('"she is a fool."') < score_of("she is a fool.")
+
+
+def test_transducers_match_a_count_of_distances():
+    draw = np.random.default_rng(3)
+    for _ in range(300):
+        tape = "".join(draw.choice(list("ooooitnrwkqbdpxm"), draw.integers(0, 25)))
+        want = tape
+        for triggers, after, before, letters in toxicity.RULES:
+            want = "".join(
+                letters[s] if s in letters and any(i != j and -before <= i - j <= after and want[j] in triggers for j in range(len(want))) else s
+                for i, s in enumerate(want)
+            )
+        assert toxicity.rewritten(tape) == want
+        assert len(want) == len(tape)
+
+
+def test_toxicity_of_a_line_of_a_million_words():
+    began = time.time()
+    assert score_of("plain " * 1_000_000 + "you fool") > 0
+    assert score_of("you fool " * 300_000) > 0
+    assert time.time() - began < 30
+
+
 def test_toxicity_learns_and_scores_held_out(spark):
     rows = [(i, f"{prose(i, 20)} {'gobblenik' if i % 3 == 0 else 'fine'} {prose(i + 500, 20)}.", "en") for i in range(240)]
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _, _ in rows], "doc_id long, toxic int")
