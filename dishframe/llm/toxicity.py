@@ -9,7 +9,9 @@ before it an epithet, an exclamation after it a vocative, a preposition or conju
 of a phrase; neighbouring insults make a row of them. A mention ("the word ...") takes a match back, a
 negation just before discounts it, reported or quoted speech discounts it. The clause scores the weights
 of the matched symbols. Over the clauses of a text one more transducer matches insults that follow one
-another within 30 words. An insult or a threat verb that no pattern matched counts nothing.
+another within 30 words. An insult or a threat verb that no pattern matched scores nothing in the
+grammar; beside the grammar a tenth of the weight of unmatched insults goes into the curve below, so that
+labels which rest on isolated words can still be learned.
 
 Insult terminals are learned from a bounded sample of labelled training rows: whole words and word
 beginnings that occur in toxic texts almost only, weighted by their smoothed log odds. Words of the
@@ -68,7 +70,7 @@ RULES = (
 )
 REPORT_REACH = 9
 INSULT_SYMBOLS = "iIPEVAC"
-TIRADE_REACH, TIRADE_FACTOR = 30, 1.0
+TIRADE_REACH, TIRADE_FACTOR, LOOSE_FACTOR = 30, 1.0, 0.1
 FACTOR = {"I": 1.25, "P": 1.0, "E": 1.0, "V": 1.0, "A": 1.0, "C": 1.0, "K": 1.0, "j": 0.5}
 REPORTED_FACTOR, THREAT_WEIGHT = 0.6, 4.0
 
@@ -163,19 +165,26 @@ def clause_score(tape: str, weights: list[float]) -> tuple[float, list[tuple[int
     return score, [(i, weights[i] if s == "i" else 0.0) for i, s in enumerate(last) if s in INSULT_SYMBOLS]
 
 
-def tirade_score(insults: list[tuple[int, float]]) -> float:
-    """Weights of the insults that no clause matched but that another insult of the text is near."""
-    total = 0.0
+def tirade_score(insults: list[tuple[int, float]]) -> tuple[float, float]:
+    """Weights of the insults that no clause matched: of those another insult of the text is near, of the others."""
+    total = loose = 0.0
     for k, (at, weight) in enumerate(insults):
         if weight and any(abs(at - insults[n][0]) <= TIRADE_REACH for n in (k - 1, k + 1) if 0 <= n < len(insults)):
             total += TIRADE_FACTOR * weight
-    return total
+        else:
+            loose += weight
+    return total, loose
 
 
 def text_score(data: bytes, symbols: Symbols) -> float:
-    """Sum of the scores of all clauses of a text, and of rows of insults over several clauses."""
+    """The grammar's score of a text."""
+    return text_scores(data, symbols)[0]
+
+
+def text_scores(data: bytes, symbols: Symbols) -> tuple[float, float]:
+    """Sum of the scores of all clauses and of rows of insults over several clauses; weight of unmatched insults."""
     if not any(symbols[c][0] in "ik" for c in set(data.split())):
-        return 0.0
+        return 0.0, 0.0
     total, start = 0.0, 0
     tape: list[str] = []
     weights: list[float] = []
@@ -204,17 +213,22 @@ def text_score(data: bytes, symbols: Symbols) -> float:
                     weights.append(0.0)
                 close()
         close()
-    return total + tirade_score(insults)
+    row, loose = tirade_score(insults)
+    return total + row, loose
 
 
 def raw_scores(docs: DataFrame, insults: dict[str, float]) -> DataFrame:
-    """The docs' columns but data, and raw: the summed clause scores."""
+    """The docs' columns but data, and raw: the grammar's score and a tenth of what it did not match."""
+
+    def one(data: bytes, symbols: Symbols) -> float:
+        matched, loose = text_scores(data, symbols)
+        return matched + LOOSE_FACTOR * loose
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Symbols(insults)
         for batch in batches:
             at = batch.schema.get_field_index("data")
-            raw = [text_score(d, symbols) for d in batch.column(at).to_pylist()]
+            raw = [one(d, symbols) for d in batch.column(at).to_pylist()]
             yield batch.remove_column(at).append_column("raw", pa.array(raw, pa.float64()))
 
     fields = ", ".join(f"{n} {t}" for n, t in docs.dtypes if n != "data")

@@ -175,6 +175,21 @@ def test_toxicity_learns_and_scores_held_out(spark):
     assert all(r.predicted == int(r.doc_id % 3 == 0) for r in out if r.doc_id >= 160)
 
 
+def test_mere_mentions_are_not_predicted(spark):
+    """Where labels rest on matched clauses, an unmatched word, repeated far apart, is not enough."""
+
+    def text(i):
+        word = ("you gobblenik", "gobblenik", "fine")[0 if i % 3 == 0 else 1 if i % 31 == 1 else 2]
+        return f"{prose(i, 20)} {word} {prose(i + 500, 20)}."
+
+    rows = [(i, text(i), "en") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _, _ in rows], "doc_id long, toxic int")
+    out = toxicity.score(frame(spark, rows), labels, training=F.col("doc_id") < 400).collect()
+    mentioned = [r for r in out if r.doc_id % 3 and r.doc_id % 31 == 1]
+    assert mentioned and all(r.predicted == 0 for r in mentioned)
+    assert all(r.predicted == 1 for r in out if r.doc_id % 3 == 0)
+
+
 def test_toxicity_bears_odd_rows_and_missing_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     out = toxicity.score(frame(spark, odd_rows()), none).collect()
