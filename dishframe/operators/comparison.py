@@ -26,17 +26,17 @@ FOUR_FIELDS = ("dish", "category", "price", "description")
 RULE_LINE = r"^\|?\s*:?-{3,}:?\s*(\|\s*:?-{3,}:?\s*)+\|?$"
 
 
+def _bare_lines(lines: DataFrame, line: str) -> DataFrame:
+    """Data lines without their outer pipes, as _bare."""
+    text = F.col("_text")
+    rule = text.contains("---") & text.rlike(RULE_LINE)
+    kept = lines.withColumn("_text", strip(F.col(line))).filter((text != "") & ~text.startswith("<!--") & ~rule)
+    return kept.withColumn("_bare", F.btrim(text, F.lit("|"))).drop("_text")
+
+
 def row_lines(lines: DataFrame, line: str = "line", headings: Sequence[str] = ()) -> DataFrame:
     """Data lines of pipe tables: blanks, comments, rules and heading rows dropped, cells split."""
-    text = strip(F.col(line))
-    bare = F.regexp_replace(text, r"^\|+|\|+$", "")
-    cells = F.transform(F.split(bare, r"\|", -1), strip)
-    kept = (
-        lines.withColumn("_text", text)
-        .filter((F.col("_text") != "") & ~F.col("_text").startswith("<!--") & ~F.col("_text").rlike(RULE_LINE))
-        .withColumn("cells", cells)
-        .drop("_text")
-    )
+    kept = _bare_lines(lines, line).withColumn("cells", F.transform(F.split("_bare", r"\|", -1), strip)).drop("_bare")
     if headings:
         kept = kept.filter(F.transform("cells", F.lower) != F.array(*[F.lit(h) for h in headings]))
     return kept
@@ -59,6 +59,15 @@ def model_summary(rows: DataFrame, n_fields: int, model: str = "model") -> DataF
     )
 
 
+def line_summary(lines: DataFrame, n_fields: int, model: str = "model", line: str = "line") -> DataFrame:
+    """model_summary straight from the lines: cells are counted by their borders, none is cut out."""
+    borders = F.length("_bare") - F.length(F.replace("_bare", F.lit("|"), F.lit("")))
+    kept = _bare_lines(lines, line).select(model, (borders + 1 == n_fields).alias("_fits"))
+    return kept.groupBy(model).agg(
+        F.count_if("_fits").alias("parsed_rows"), F.count(F.lit(1)).alias("raw_rows"), F.count_if(~F.col("_fits")).alias("malformed_rows")
+    )
+
+
 def latest_per_model(items: DataFrame, keys: Sequence[str], model: str = "model", order: str = "line_no") -> DataFrame:
     """One row per (key, model): the last one a model printed."""
     return keep_last(items, [*keys, model], [order])

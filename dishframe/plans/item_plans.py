@@ -124,6 +124,21 @@ def menu_document(spark, sf):
     return menus.select("p_brand", F.size("menu_sections").alias("n_sections"), F.array_join(F.transform("menu_sections", shown), "|").alias("menu"))
 
 
+@catalog.query(
+    """WITH s AS (SELECT *, min(p_partkey) OVER (PARTITION BY p_brand, p_type) AS section_at, max(p_partkey) OVER (PARTITION BY p_brand, p_type) AS last,
+      min(p_partkey) OVER (PARTITION BY p_brand) AS head FROM part), t AS (SELECT *, max(section_at) OVER (PARTITION BY p_brand) AS tail FROM s)
+    SELECT p_brand, p_type AS section, p_partkey AS pos, section_at,
+      CASE WHEN p_partkey = head THEN '{"p_brand":"' || p_brand || '","menu_sections":[' ELSE ',' END
+      || CASE WHEN p_partkey = section_at THEN '{"section":"' || p_type || '","items":[' ELSE '' END
+      || '{"title":"' || p_name || '","size":' || p_size || '}'
+      || CASE WHEN p_partkey = last THEN ']}' ELSE '' END || CASE WHEN p_partkey = last AND section_at = tail THEN ']}' ELSE '' END AS line FROM t"""
+)
+def menu_long_form(spark, sf):
+    """Nested menus as ordered lines that open and close their documents, for brands larger than a task."""
+    items = table(spark, sf, "part").select("p_brand", F.col("p_type").alias("section"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("title"), F.col("p_size").alias("size"))
+    return sinks.menu_lines(items, ["p_brand"], ["title", "size"]).drop("menu_key")
+
+
 @catalog.query(
     """SELECT p_partkey::VARCHAR AS id, CASE WHEN p_size % 2 = 0 THEN 'node' ELSE 'way' END AS type, p_name AS name, CASE WHEN p_size % 3 = 0 THEN p_type END AS cuisine FROM part"""
 )

@@ -243,7 +243,7 @@ cells AS (SELECT model, doc_id, list_transform(string_split(regexp_replace(regex
     FROM cells GROUP BY model"""
 )
 def malformed_summary(spark, sf):
-    return comparison.model_summary(comparison.row_lines(_pipe_lines(spark, sf)), 4)
+    return comparison.line_summary(_pipe_lines(spark, sf), 4)
 
 
 @catalog.query(

@@ -415,3 +415,11 @@ def test_grouped_text(spark):
     assert rows(reports.grouped_text(texts, groups, "key")) == [("g", "B\n\n\nA")]
     with pytest.raises(Exception, match="missing group member: zz"):
         reports.grouped_text(texts, groups.union(spark.createDataFrame([("g", 3, "zz")])), "key").collect()
+
+
+def test_line_summary_counts_what_row_lines_cut(spark):
+    lines = ["a | b | c | d", "| a | b | c | d |", "||a|b|c|d||", "|", "", "  ", None, "---", "| --- | :---: |", "a---|b", "<!-- a | b", "a||c|d", " | a | b | c |"]
+    table = spark.createDataFrame([(m, line) for m in ("x", None) for line in lines], "model string, line string")
+    want = comparison.model_summary(comparison.row_lines(table), 4)
+    assert sorted(map(str, comparison.line_summary(table, 4).collect())) == sorted(map(str, want.collect()))
+    assert {(r.parsed_rows, r.raw_rows, r.malformed_rows) for r in want.collect()} == {(4, 8, 4)}

@@ -151,6 +151,25 @@ def test_ordered_text(spark, tmp_path):
     assert lines_of(tmp_path / "t") == [f"line {i}" for i in range(500)]
 
 
+def test_menu_lines_read_as_the_nested_documents(spark, tmp_path):
+    rows = [
+        ("a", "Mains", 3, "Rice, \"hot\"", 2), ("a", "Drinks", 1, "Tea\n{x}", None), ("a", "Mains", 7, "Stew", 5), ("a", "Drinks", 9, None, 4),
+        ("b", None, 2, "Soup", 1), ("b", "Mains", 5, "Pie]}", 1), (None, "Mains", 4, "Roll", 1), ("c", "", 6, "", 6),
+    ]
+    items = spark.createDataFrame(rows, "menu string, section string, pos long, title string, size int")
+    sinks.write_menu_lines(items, ["menu"], ["title", "size"], str(tmp_path / "long"))
+    sinks.write_menus(items, ["menu"], ["title", "size"], str(tmp_path / "nested"))
+    rest = "".join(f.read_text() for f in sorted((tmp_path / "long").glob("part-*"))).strip()
+    found = []
+    while rest:
+        document, end = json.JSONDecoder().raw_decode(rest)
+        found.append(document)
+        rest = rest[end:].lstrip()
+    nested = [json.loads(line) for f in (tmp_path / "nested").glob("part-*") for line in f.read_text().splitlines()]
+    assert len(found) == 4 and sorted(map(str, found)) == sorted(map(str, nested))
+    assert sinks.menu_lines(items.limit(0), ["menu"], ["title"]).count() == 0
+
+
 def test_sorted_json_and_snapshot(spark, tmp_path):
     df = spark.createDataFrame([(2, "b", None), (1, "a", "x")], "menu_position int, name string, extra string")
     sinks.sorted_json(df.filter("name = 'b'"), str(tmp_path / "j"))
