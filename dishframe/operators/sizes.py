@@ -151,6 +151,58 @@ def merged_documents(sized: DataFrame, section: Sequence[str], position: str = "
     )
 
 
+def _members(sized: DataFrame, section: Sequence[str], position: str) -> DataFrame:
+    """Members of merged items with their delta and their place in size order."""
+    groups = size_groups(sized, section, position, F.col("signature"))
+    members = size_options(sized, groups, section, [position])
+    return members.withColumn("place", F.struct(*[size_order(F.col("size"))[f].alias(f) for f in ("kind", "rank", "size")], F.col(position).alias("pos")))
+
+
+def merged_options(sized: DataFrame, section: Sequence[str], position: str = "pos") -> DataFrame:
+    """Options of merged items in long form: one row per option, however many members an item has.
+
+    (section, residual_key, group_no, group, under, option_no, option, price, absolute_price). Group 0 is
+    the Size group: one option per member, priced above the least; its option_no is the member's
+    position, `place` its order. If all members have one structure, the first member's groups follow
+    once with `under` NULL; else every member's groups hang under its place (`under`). Only the first
+    member's groups are taken by an aggregate; no list of members is built.
+
+    sized: with_size columns plus signature, groups array<struct<group, options array<struct<name, price>>>>.
+    NULL groups give no rows beside the Size group; NULL and equal signatures count as one structure.
+    """
+    keys = [*section, "residual_key"]
+    members = _members(sized, section, position)
+    none = F.lit(None).cast(members.schema["place"].dataType)
+    size_rows = members.select(
+        *keys, F.lit(0).alias("group_no"), F.lit("Size").alias("group"), none.alias("under"), "place", F.col(position).cast("long").alias("option_no"),
+        F.col("size").alias("option"), F.col("delta").alias("price"), F.col("price_min").alias("absolute_price"),
+    )
+    once = members.filter("shared_structure").groupBy(*keys).agg(F.min_by("groups", "place").alias("groups")).withColumn("under", none)
+    nested = members.filter(~F.col("shared_structure")).select(*keys, "groups", F.col("place").alias("under"))
+
+    def options_of(holders: DataFrame) -> DataFrame:
+        of_group = holders.select(*keys, "under", F.posexplode("groups").alias("_g", "_group"))
+        lines = of_group.select(*keys, "under", "_g", F.col("_group.group").alias("group"), F.posexplode("_group.options").alias("_n", "_o"))
+        return lines.select(
+            *keys, (F.col("_g") + 1).alias("group_no"), "group", "under", none.alias("place"), F.col("_n").cast("long").alias("option_no"),
+            F.col("_o.name").alias("option"), F.col("_o.price").cast(MONEY).alias("price"), F.lit(None).cast(MONEY).alias("absolute_price"),
+        )
+
+    return size_rows.unionByName(options_of(once)).unionByName(options_of(nested))
+
+
+def merged_cross_sells(sized: DataFrame, section: Sequence[str], position: str = "pos") -> DataFrame:
+    """Cross-sell groups of merged items, each group name once: the first in size order, with its order `at`.
+
+    (section, residual_key, group, at, cross_sell). Aggregated by name before the exchange. Rows in order of
+    `at` are the ordered union; a group without a name is one name; NULL lists give no rows.
+    """
+    keys = [*section, "residual_key"]
+    each = _members(sized, section, position).select(*keys, "place", F.posexplode("cross_sell").alias("_n", "_c"))
+    at = F.struct("place", F.col("_n").alias("n"))
+    return each.groupBy(*keys, F.col("_c.group").alias("group")).agg(F.min(at).alias("at"), F.min_by("_c", at).alias("cross_sell"))
+
+
 def lone_residuals(sized: DataFrame, section: Sequence[str]) -> DataFrame:
     """Residuals that occur once in their section, with the title they come from."""
     return (

@@ -11,7 +11,7 @@ from dishframe.operators import required
 from dishframe.plans.menu_plans import MODIFIER_SQL, modifier_rows
 from dishframe.plans.tables import Catalog, table
 from dishframe.session import checkpoint_dir
-from dishframe.sources import files, sinks
+from dishframe.sources import files, sinks, snapshots
 
 catalog = Catalog()
 
@@ -150,3 +150,76 @@ def poi_lines(spark, sf):
     records.write.json(path)
     read = files.poi_records(spark, path)
     return read.select("id", "type", F.col("tags")["name"].alias("name"), F.try_element_at("tags", F.lit("cuisine")).alias("cuisine"))
+
+
+def _folder(spark: SparkSession, kind: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+@catalog.query(
+    """SELECT c_custkey::VARCHAR AS id, 'node' AS type, round(c_acctbal, 2) AS lat, NULL AS refs, c_nationkey::VARCHAR AS version, 'Shop <' || c_mktsegment || '> & "Co"' AS name,
+      CASE WHEN c_mktsegment = 'MACHINERY' THEN 'subtype' END AS diet FROM customer
+    UNION ALL SELECT o_orderkey::VARCHAR, 'way', NULL, o_custkey || ',' || o_custkey + 1 || ',' || o_custkey, NULL, o_orderpriority, NULL FROM orders"""
+)
+def map_elements(spark, sf):
+    """Nodes and ways written as one map extract and read in one scan of mixed siblings."""
+    quoted = lambda text: F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    tag = lambda k, v: F.concat(F.lit(f'<tag k="{k}" v="'), quoted(v), F.lit('"/>'))
+    text = lambda c: F.col(c).cast("string")
+    customers = table(spark, sf, "customer")
+    nodes = customers.select(
+        F.concat(
+            F.lit('<node id="'), text("c_custkey"), F.lit('" lat="'), F.round("c_acctbal", 2).cast("string"), F.lit('" lon="1" version="'), text("c_nationkey"), F.lit('">'),
+            tag("name", F.concat(F.lit("Shop <"), F.col("c_mktsegment"), F.lit('> & "Co"'))),
+            F.when(F.col("c_mktsegment") == "MACHINERY", F.lit('\n  <tag k="diet:halal" v="yes"/>')).otherwise(""), F.lit("</node><relation id='1'/>"),
+        ).alias("line")
+    )
+    ref = lambda c: F.concat(F.lit('<nd ref="'), c.cast("string"), F.lit('"/>'))
+    ways = table(spark, sf, "orders").select(
+        F.concat(
+            F.lit("<way id='"), text("o_orderkey"), F.lit("'>"), ref(F.col("o_custkey")), ref(F.col("o_custkey") + 1), ref(F.col("o_custkey")), tag("name", F.col("o_orderpriority")), F.lit("</way>")
+        ).alias("line")
+    )
+    path = _folder(spark, "map")
+    nodes.unionByName(ways).write.text(path)
+    read = files.features(spark, path)
+    return read.select(
+        "id", "type", "lat", F.array_join("node_refs", ",").alias("refs"), F.col("osm.version").alias("version"),
+        F.try_element_at("tags", F.lit("name")).alias("name"), F.try_element_at("tags", F.lit("diet")).alias("diet"),
+    )
+
+
+class _Stopped(Exception):
+    pass
+
+
+@catalog.query(
+    """SELECT o_orderkey::VARCHAR AS item_id, o_orderkey AS menu_position,
+      CASE WHEN o_orderkey % 4 < 2 AND o_custkey % 5 <> 0 THEN 'first ' ELSE 'second ' END || o_orderpriority AS item_page,
+      CASE WHEN o_orderkey % 4 < 2 AND o_custkey % 5 <> 0 THEN o_orderkey % 4 ELSE 2 END::INT AS version FROM orders"""
+)
+def harvest_resume(spark, sf):
+    """A harvest in four portions stops in the third, whose rows are written but not committed; the next run fetches the rest."""
+    schema = "item_id string, menu_position long, item_page string"
+    items = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("item_id"), F.col("o_orderkey").alias("menu_position"), "o_orderpriority", "o_custkey"
+    )
+    path, calls = _folder(spark, "harvest"), []
+
+    def fetched(run: str, failed):
+        page = F.when(failed, F.lit(None)).otherwise(F.concat(F.lit(run), F.lit(" "), F.col("o_orderpriority")))
+        return lambda todo: todo.select("item_id", "menu_position", page.alias("item_page"))
+
+    def stops(todo: DataFrame) -> DataFrame:
+        calls.append(todo)
+        rows = fetched("first", F.col("o_custkey") % 5 == 0)(todo)
+        if len(calls) == 3:
+            snapshots.write_increment(rows, path, 2)
+            raise _Stopped
+        return rows
+
+    try:
+        snapshots.harvest(spark, path, items, stops, schema, steps=4, portion=F.col("menu_position"))
+    except _Stopped:
+        pass
+    return snapshots.harvest(spark, path, items, fetched("second", F.lit(False)), schema)

@@ -609,6 +609,56 @@ def size_normalized(spark, sf):
     )
 
 
+def structured_items(spark, sf):
+    """Sized items with sauce groups: every fifth dish of size 1 to 10 lacks one sauce, so some merged items nest."""
+    option = lambda name, price: F.struct(F.lit(name).alias("name"), price.cast(money.MONEY).alias("price"))
+    extra = F.when((F.col("p_size") <= 10) & (F.col("pos") % 5 == 0), F.array(option("Red", F.lit(0)))).otherwise(F.array(option("Red", F.lit(0)), option("Green", F.col("p_size"))))
+    sauces = F.struct(F.lit("Sauce").alias("group"), extra.alias("options"))
+    drinks = lambda name: F.struct(name.alias("group"), F.col("pos").alias("n"))
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("pos"), "p_size")
+    items = sized_items(spark, sf).join(part, "pos").withColumn("groups", F.array(sauces))
+    return items.withColumn("signature", options.structure_signature(F.col("groups"))).withColumn(
+        "cross_sell", F.array(drinks(F.lit("Drinks")), drinks(F.concat(F.lit("With "), (F.col("p_size") % 4).cast("string"))))
+    )
+
+
+STRUCTURED_SQL = f"""{SIZED_SQL},
+member AS (SELECT r.*, residual_key, floor, p_size <= 10 AND pos % 5 = 0 AS short,
+    min(CASE WHEN p_size <= 10 AND pos % 5 = 0 THEN 1 ELSE 0 END) OVER w = max(CASE WHEN p_size <= 10 AND pos % 5 = 0 THEN 1 ELSE 0 END) OVER w AS shared,
+    row_number() OVER (w ORDER BY kind, size_rank, size, pos) AS n
+  FROM ranked r JOIN grouped g ON r.section = g.section AND lower(r.residual) = g.residual_key WHERE size IS NOT NULL WINDOW w AS (PARTITION BY r.section, residual_key)),
+sauce AS (SELECT * FROM (VALUES (0, 'Red'), (1, 'Green')) AS v(option_no, option))"""
+
+
+@catalog.query(
+    f"""WITH {STRUCTURED_SQL}
+    SELECT section, residual_key, 0 AS group_no, 'Size' AS "group", NULL::BIGINT AS under, pos AS option_no, size AS option, round(price - floor, 2) AS price, price AS absolute_price FROM member
+    UNION ALL SELECT section, residual_key, 1, 'Sauce', CASE WHEN NOT shared THEN pos END, option_no, option, CASE WHEN option = 'Green' THEN p_size::DOUBLE ELSE 0.0 END, NULL
+      FROM member, sauce WHERE (NOT shared OR n = 1) AND (option = 'Red' OR NOT short)"""
+)
+def size_merge_options(spark, sf):
+    """The Size group of every merged item, its modifier groups once where sizes agree and under each size where not."""
+    rows = sizes.merged_options(structured_items(spark, sf), ["section"])
+    return rows.select(
+        "section", "residual_key", "group_no", "group", F.col("under.pos").alias("under"), "option_no", "option",
+        F.col("price").cast("double").alias("price"), F.col("absolute_price").cast("double").alias("absolute_price"),
+    )
+
+
+@catalog.query(
+    f"""WITH {STRUCTURED_SQL},
+    offer AS (SELECT section, residual_key, n, pos, 0 AS i, 'Drinks' AS "group" FROM member UNION ALL SELECT section, residual_key, n, pos, 1, 'With ' || p_size % 4 FROM member),
+    first AS (SELECT *, row_number() OVER (PARTITION BY section, residual_key, "group" ORDER BY n, i) AS rn FROM offer)
+    SELECT section, residual_key, "group", pos AS from_pos, i AS place, pos AS n FROM first WHERE rn = 1"""
+)
+def size_merge_cross_sells(spark, sf):
+    """Cross-sell groups of merged items by name, first in size order."""
+    rows = sizes.merged_cross_sells(structured_items(spark, sf), ["section"])
+    return rows.select(
+        "section", "residual_key", "group", F.col("at.place.pos").alias("from_pos"), F.col("at.n").alias("place"), F.col("cross_sell.n").alias("n")
+    )
+
+
 @catalog.query(
     """SELECT p_partkey, 'Size' AS "group", '[{"group":"Choose an option - ' || p_name || '","names":["' || p_type || '","Plain"]}]' AS signature FROM part"""
 )

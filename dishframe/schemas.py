@@ -3,7 +3,7 @@
 TAG_PAIRS = "array<struct<_k:string,_v:string>>"
 OSM_META = "_version string, _timestamp string, _changeset string, _uid string, _user string"
 OSM_NODE = f"_id string, _lat double, _lon double, {OSM_META}, tag {TAG_PAIRS}"
-OSM_WAY = f"_id string, {OSM_META}, nd array<struct<_ref:string>>, tag {TAG_PAIRS}"
+OSM_ELEMENT = f"_id string, _lat string, _lon string, {OSM_META}, nd array<struct<_ref:string>>, tag {TAG_PAIRS}"
 
 POI = (
     "type string, id string, lat double, lon double, node_refs array<string>, "

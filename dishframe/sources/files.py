@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from dishframe import schemas
 from dishframe.functions import poi
 from dishframe.functions.text import present, strip
+from dishframe.sources.elements import SPLIT_BYTES, elements
 
 MODEL_COMMENT = r"<!-- model: (.*?) -->"
 
@@ -31,26 +32,21 @@ def cards(documents: DataFrame, field: str = "result") -> DataFrame:
     return documents.select("capture_id", F.posexplode(field).alias("pos", "_c")).select("capture_id", "pos", "_c.*")
 
 
-def features(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes and ways of a map extract in one table; relations are left out."""
-
-    def elements(kind: str, schema: str) -> DataFrame:
-        return spark.read.format("xml").schema(schema).option("rowTag", kind).load(path)
+def features(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Nodes and ways of a map extract in one scan; relations are left out.
 
+    A reference without its attribute is left out; a coordinate that is no number is NULL; an element that is no XML has no fields.
+    """
+    found = elements(spark, path, ("node", "way"), split_bytes)
+    parsed = found.select("kind", F.inline(F.array(F.from_xml("element", schemas.OSM_ELEMENT))))
     meta = F.struct(*[F.col(f"_{a}").alias(a) for a in ("version", "timestamp", "changeset", "uid", "user")])
     osm = F.when(F.coalesce("_version", "_timestamp", "_changeset", "_uid", "_user").isNotNull(), meta)
     tags = poi.tag_map(F.coalesce("tag", F.array().cast(schemas.TAG_PAIRS)))
-    nodes = elements("node", schemas.OSM_NODE).select(
-        F.lit("node").alias("type"), F.col("_id").alias("id"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"),
-        F.lit(None).cast("array<string>").alias("node_refs"), tags.alias("tags"), osm.alias("osm"),
-    )
-    ways = elements("way", schemas.OSM_WAY).select(
-        F.lit("way").alias("type"), F.col("_id").alias("id"), F.lit(None).cast("double").alias("lat"),
-        F.lit(None).cast("double").alias("lon"),
-        F.filter(F.transform("nd", lambda n: n["_ref"]), lambda r: F.coalesce(r, F.lit("")) != "").alias("node_refs"),
-        tags.alias("tags"), osm.alias("osm"),
+    node, refs = F.col("kind") == "node", F.coalesce(F.transform("nd", lambda n: n["_ref"]), F.array().cast("array<string>"))
+    return parsed.select(
+        F.col("kind").alias("type"), F.col("_id").alias("id"), F.when(node, F.col("_lat").try_cast("double")).alias("lat"), F.when(node, F.col("_lon").try_cast("double")).alias("lon"),
+        F.when(~node, F.filter(refs, lambda r: F.coalesce(r, F.lit("")) != "")).alias("node_refs"), tags.alias("tags"), osm.alias("osm"),
     )
-    return nodes.unionByName(ways)
 
 
 def poi_records(spark: SparkSession, path: str) -> DataFrame:
