@@ -156,6 +156,21 @@ def source_summary(signals: DataFrame, source: str = "source") -> DataFrame:
     )
 
 
+def source_evidence(signals: DataFrame, source: str, page: str, label: str, firsts: dict[str, int | None]) -> DataFrame:
+    """The lists of a source's summary as rows: (source, page, kind, pos, value, context).
+
+    Each page gives itself (kind page, its label) and the first hits of each list column named in
+    `firsts` with its display limit, None for all. One scan without an exchange: no list of a source
+    is built. A NULL list has no rows; pages of a NULL source keep it.
+    """
+    own = F.array(F.struct(F.lit("page").alias("kind"), F.lit(0).alias("pos"), F.col(label).alias("value"), F.lit(None).cast("string").alias("context")))
+    hits = lambda kind, most: F.transform(
+        first(F.coalesce(kind, F.array().cast(signals.schema[kind].dataType)), most),
+        lambda h, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), h["value"].alias("value"), h["context"].alias("context")),
+    )
+    return signals.select(source, page, F.inline(F.concat(own, *[hits(kind, most) for kind, most in firsts.items()])))
+
+
 def first_candidates(signals: DataFrame, source: str, page: str, kind: str, limit: int) -> DataFrame:
     """First candidates of every page as rows of its source."""
     return signals.select(source, page, F.posexplode(F.slice(kind, 1, limit)).alias("pos", "_h")).select(

@@ -189,6 +189,36 @@ def map_elements(spark, sf):
     )
 
 
+@catalog.query(
+    """SELECT '{' || CASE WHEN c_acctbal > 0 THEN '"balance":"' || c_mktsegment || '",' ELSE '' END || '"id":' || c_custkey || ',"name":"Customer ' || c_custkey || '"}' AS line FROM customer"""
+)
+def sorted_json_lines(spark, sf):
+    """Records written as JSON lines with fields in name order, NULL fields left out."""
+    path = _folder(spark, "sorted-json")
+    records = table(spark, sf, "customer").select(
+        F.concat(F.lit("Customer "), F.col("c_custkey").cast("string")).alias("name"), F.col("c_custkey").alias("id"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("balance")
+    )
+    sinks.sorted_json(records, path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@catalog.query(
+    """WITH named AS (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_brand ELSE p_name END AS name, CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END AS city FROM part WHERE p_size % 3 < 2)
+    SELECT p_partkey::VARCHAR AS id, name, city, concat_ws(' ', p_partkey, nullif(city, ''), 'MI') AS address FROM named ORDER BY id LIMIT 100"""
+)
+def restaurant_list(spark, sf):
+    """First named restaurants of a file of features; the official name stands in, unnamed ones are skipped."""
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+    pairs = F.create_map(
+        F.lit("name"), F.when(size % 3 == 1, F.col("p_name")), F.lit("official_name"), F.when(size % 3 == 0, F.col("p_brand")),
+        F.lit("addr:city"), F.when(size % 2 == 0, F.col("p_type")), F.lit("addr:housenumber"), key,
+    )
+    records = table(spark, sf, "part").select(F.lit("node").alias("type"), key.alias("id"), F.map_filter(pairs, lambda _, v: v.isNotNull()).alias("tags"))
+    path = _folder(spark, "restaurants")
+    records.write.json(path)
+    return files.restaurants(files.poi_records(spark, path), "id", 100).select("id", "name", "city", "address")
+
+
 class _Stopped(Exception):
     pass
 

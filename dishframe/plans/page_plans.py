@@ -271,6 +271,24 @@ def source_summary(spark, sf):
     return signals.source_summary(pages).select("source", "n_pages", "n_ratings", "n_best_ratings")
 
 
+COUNT_OF = "(?i)([0-9][0-9,]*) (the|of|and|der|la|de)"
+
+
+@catalog.query(
+    rf"""WITH hit AS (SELECT source, doc_id, lang, regexp_extract_all(text, '{NUMBER}', 1)[1:5] AS ratings, regexp_extract_all(text, '{COUNT_OF}', 1) AS counts FROM documents)
+    SELECT source, doc_id, 'page' AS kind, 0 AS pos, lang AS value FROM hit
+    UNION ALL SELECT source, doc_id, 'rating_candidates', unnest(range(len(ratings)))::INT, unnest(ratings) FROM hit
+    UNION ALL SELECT source, doc_id, 'count_candidates', unnest(range(len(counts)))::INT, unnest(counts) FROM hit"""
+)
+def source_evidence(spark, sf):
+    """Pages, first five ratings and all counts of every source, as rows."""
+    text = F.col("text")
+    pages = table(spark, sf, "documents").select(
+        "source", "doc_id", "lang", signals.pattern_hits(text, NUMBER, 180, 260, 5).alias("rating_candidates"), signals.pattern_hits(text, COUNT_OF, 80, 80).alias("count_candidates")
+    )
+    return signals.source_evidence(pages, "source", "doc_id", "lang", {"rating_candidates": 5, "count_candidates": None}).drop("context")
+
+
 @catalog.query(
     """SELECT s_suppkey, s_name AS name, CASE WHEN CASE WHEN s_nationkey > 12 THEN s_suppkey ELSE 0 END <> 0 THEN s_suppkey ELSE s_nationkey END::VARCHAR AS review_count, 2 AS n
       FROM supplier WHERE s_acctbal > 2000
@@ -560,6 +578,17 @@ def first_section(spark, sf):
     return ordering.first_section(sections, ["source"], "title", "de", "doc_id").drop("title")
 
 
+@catalog.query(
+    """SELECT s.l_orderkey, arg_min(l.l_suppkey, l.l_linenumber * 1000000 + l.l_partkey) AS l_suppkey FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R') s
+      JOIN lineitem l ON l.l_orderkey = s.l_orderkey WHERE l.l_returnflag = 'R' GROUP BY ALL"""
+)
+def required_section(spark, sf):
+    """The first wanted section of every document; a document without one would be an error."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("title"), F.struct("l_linenumber", "l_partkey").alias("at"), "l_suppkey")
+    with_one = lines.filter("title = 'R'").select("l_orderkey").distinct()
+    return ordering.section_or_error(lines.join(with_one, "l_orderkey", "left_semi"), ["l_orderkey"], "title", "R", "at").select("l_orderkey", "l_suppkey")
+
+
 @catalog.query(
     r"""SELECT doc_id FROM documents WHERE source = 'src1' OR (source = 'src3' AND contains(text, 'the of'))
       OR (source = 'src4' AND regexp_matches(text, '(?i)(\$\d|taco|burrito|enchilada|fajita|quesadilla|nacho|chimichanga|menu|lunch|dinner|appetizer|dessert|drink|margarita|salsa|guacamole)'))"""
