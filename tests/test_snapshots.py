@@ -126,7 +126,7 @@ def test_merged_options_match_brute_force(spark):
     rng, rows = random.Random(3), []
     for pos in range(80):
         size, dish = rng.choice(["Small", "Large"]), rng.choice(["Thin", "Deep", "Taco", "Soup", "Lone"])
-        sauces = [("Sauce", [(n, Decimal(rng.randint(0, 3))) for n in ("Red", "Green")[: 1 if dish == "Deep" and pos % 2 else 2]])]
+        sauces = [("Sauce", [(n, Decimal(rng.randint(0, 3))) for n in ("Red", "Green")[: 1 if dish == "Deep" and pos % 3 == 0 else 2]])]
         groups = None if dish == "Taco" else [] if dish == "Soup" else sauces
         cross = rng.choice([None, [], [("Drinks", pos)], [("Dips", pos), ("Drinks", pos), (None, pos)]])
         section = "s%d" % (pos % 2) if dish != "Lone" else f"alone{pos}"
