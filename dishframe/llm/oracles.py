@@ -92,17 +92,6 @@ SELECT DISTINCT doc_id, item_id FROM best WHERE score >= least(12, n)
 # --- URL filters --------------------------------------------------------------------------------
 
 
-def _level(k: int) -> str:
-    """One level of the template tree: rows r{k} to rows r{k+1}."""
-    return f"""
-child{k} AS (SELECT host, template, parts[{k + 1}] AS segment, count(*) AS n, sum(n_labels) AS n_labels, sum(n_bad) AS n_bad FROM r{k} WHERE parts[{k + 1}] IS NOT NULL GROUP BY ALL),
-node{k} AS (SELECT host, template, sum(n) AS all_n, (sum(n_bad) + 1) / (sum(n_labels) + 2) AS rate FROM child{k} GROUP BY ALL),
-kept{k} AS (SELECT host, template, segment FROM child{k} JOIN node{k} USING (host, template) WHERE n >= 10 AND n >= 0.05 * all_n AND n_labels > 0
-  AND abs(n_bad / n_labels - rate) > 1.96 * sqrt(rate * (1 - rate) / n_labels)),
-r{k + 1} AS MATERIALIZED (SELECT page_id, r{k}.host, path, n_labels, n_bad, parts, r{k}.template || CASE WHEN parts[{k + 1}] IS NULL THEN '' WHEN kept{k}.segment IS NOT NULL THEN '/' || parts[{k + 1}] ELSE '/*' END AS template
-  FROM r{k} LEFT JOIN kept{k} ON r{k}.host = kept{k}.host AND r{k}.template = kept{k}.template AND parts[{k + 1}] = kept{k}.segment)"""
-
-
 def _rules() -> tuple[str, str]:
     cases = []
     for text, verdict in sorted(url_filters.RULES, key=lambda r: (-len(r[0]), r[0])):
@@ -112,22 +101,25 @@ def _rules() -> tuple[str, str]:
 
 
 URL_FILTERS = rf"""
-WITH rest AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE rest AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 split AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path,
   TRY_CAST(regexp_extract(url, '://[^/?#]*/[^?#]*?(\d{{1,18}})(?:\.html)?/?(?:[?#]|$)', 1) AS BIGINT) AS label_key FROM rest),
 label AS (SELECT doc_id AS label_key, count(*) AS n_labels, sum(1 - quality) AS n_bad FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-r0 AS MATERIALIZED (SELECT page_id, host, path, coalesce(n_labels, 0) AS n_labels, coalesce(n_bad, 0) AS n_bad, '' AS template,
-  CASE WHEN len(s) > 4 THEN s[1:3] || [array_to_string(s[4:], '/')] ELSE s END AS parts FROM (SELECT *, string_split(substr(path, 2), '/') AS s FROM split) LEFT JOIN label USING (label_key)),
-{','.join(map(_level, range(4)))},
-leaf AS (SELECT host, template, sum(n_labels) AS n, sum(n_bad) AS bad FROM r4 GROUP BY ALL),
+r AS (SELECT 0 AS level, page_id, host, path, coalesce(n_labels, 0) AS n_labels, coalesce(n_bad, 0) AS n_bad, '' AS template, string_split(substr(path, 2), '/') AS parts FROM split LEFT JOIN label USING (label_key)
+  UNION ALL SELECT level + 1, page_id, host, path, n_labels, n_bad,
+    template || CASE WHEN n >= 10 AND child_labels > 0 AND abs(child_bad / child_labels - rate) > 1.96 * sqrt(rate * (1 - rate) / child_labels) THEN '/' || parts[level + 1] ELSE '/*' END, parts
+  FROM (SELECT *, count(*) OVER child AS n, sum(n_labels) OVER child AS child_labels, sum(n_bad) OVER child AS child_bad, (sum(n_bad) OVER node + 1) / (sum(n_labels) OVER node + 2) AS rate
+    FROM r WHERE level < len(parts) WINDOW child AS (PARTITION BY host, template, parts[level + 1]), node AS (PARTITION BY host, template))),
+page AS MATERIALIZED (SELECT * FROM r WHERE level = len(parts)),
+leaf AS (SELECT host, template, sum(n_labels) AS n, sum(n_bad) AS bad FROM page GROUP BY ALL),
 of_host AS (SELECT host, sum(n) AS n, sum(bad) AS bad FROM leaf GROUP BY host),
 whole AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS rate FROM leaf),
 rejected AS (SELECT leaf.host, template FROM leaf JOIN of_host h ON h.host = leaf.host, whole WHERE (leaf.bad + 10 * ((h.bad + 10 * rate) / (h.n + 10))) / (leaf.n + 10) > 0.5)
-SELECT page_id, r4.host, path, CASE {_rules()[0]} END AS rule,
-  coalesce(CASE {_rules()[1]} END, CASE WHEN rejected.host <> '' THEN 'block' ELSE 'allow' END) AS verdict, r4.template
-FROM r4 LEFT JOIN rejected ON r4.host = rejected.host AND r4.template = rejected.template
-""".replace("CASE WHEN (host", "CASE WHEN (r4.host").replace("OR ends_with(host", "OR ends_with(r4.host").replace("WHEN (host =", "WHEN (r4.host =")
+SELECT page_id, page.host, path, CASE {_rules()[0]} END AS rule,
+  coalesce(CASE {_rules()[1]} END, CASE WHEN rejected.host <> '' THEN 'block' ELSE 'allow' END) AS verdict, page.template
+FROM page LEFT JOIN rejected ON page.host = rejected.host AND page.template = rejected.template
+""".replace("CASE WHEN (host", "CASE WHEN (page.host").replace("OR ends_with(host", "OR ends_with(page.host").replace("WHEN (host =", "WHEN (page.host =")
 
 # --- licences -----------------------------------------------------------------------------------
 

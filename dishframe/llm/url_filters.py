@@ -8,7 +8,8 @@ host's (itself smoothed towards the whole table's), is too high. Given rules com
 rule that fits host and path decides.
 
 DataFrame functions only. Counts combine before every exchange and the tree tables are joined by
-(node, segment), so a host that holds a third of all urls is spread by its segments.
+(node, segment), so a host that holds a third of all urls is spread by its segments. A url leaves the
+walk at the first node that can't branch further, so one very long path adds no rounds.
 
 Defined cases: a null url or one without `://` has an empty host and path and is allowed; an empty
 table gives no rows; repeated rows are judged alike; only the named columns are read; labels may be
@@ -17,6 +18,8 @@ null or repeated (each label row counts).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.llm.common import ascii_lower, written
@@ -54,31 +57,54 @@ def templates(
 ) -> DataFrame:
     """page_id, host, path, template, n_bad, n_labels of the label rows of each page.
 
-    pages: page_id, host, path, label_key; labels: label_key, bad (0/1). The levels are walked until
-    no path has a further segment.
+    pages: page_id, host, path, label_key; labels: label_key, bad (0/1). A node whose further segments
+    belong to fewer than min_count urls, or to no labelled one, can have no literal branch: its urls end in
+    wildcards at once, and only urls of other nodes are carried to the next level. So the walk is as
+    long as the deepest node that can still branch, however long single paths are.
     """
     counted = labels.filter("bad is not null").groupBy("label_key").agg(F.count("*").alias("n_labels"), F.sum("bad").alias("n_bad"))
     parts = F.split(F.substr("path", F.lit(2)), "/")
-    rows = (
+    row = ["page_id", "host", "path", "n_labels", "n_bad"]
+    live = (
         pages.join(counted, "label_key", "left")
         .select("page_id", "host", "path", F.coalesce("n_labels", F.lit(0)).alias("n_labels"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"), parts.alias("parts"))
         .withColumn("template", F.lit(""))
     )
-    deepest = pages.agg(F.max(F.size(F.split(F.substr("path", F.lit(2)), "/")))).first()[0] or 0
-    for level in range(deepest):
-        rows = written(rows.withColumn("segment", F.get("parts", F.lit(level))))
-        child = rows.filter("segment is not null").groupBy("host", "template", "segment").agg(
-            F.count("*").alias("n"), F.sum("n_labels").alias("n_labels"), F.sum("n_bad").alias("n_bad")
+    ended, level = [], 0
+    while True:
+        rows = written(live.withColumn("segment", F.get("parts", F.lit(level))))
+        further = F.size("parts") > level + 1
+        of_further = lambda count: F.sum(F.when(further, F.col(count)).otherwise(0))
+        child = written(
+            rows.groupBy("host", "template", "segment").agg(
+                F.count("*").alias("n"), F.sum("n_labels").alias("n_labels"), F.sum("n_bad").alias("n_bad"),
+                F.count_if(further).alias("n_further"), of_further("n_labels").alias("further_labels"),
+            )
         )
         node = child.groupBy("host", "template").agg(F.sum("n_labels").alias("all_labels"), F.sum("n_bad").alias("all_bad"))
         rate = (F.col("all_bad") + 1) / (F.col("all_labels") + 2)
         error = F.sqrt(rate * (1 - rate) / F.col("n_labels"))
-        literal = F.col("n") >= min_count
+        enough = F.col("n") >= min_count
         distinct = (F.col("n_labels") > 0) & (F.abs(F.col("n_bad") / F.col("n_labels") - rate) > z * error)
-        kept = child.join(node, ["host", "template"]).filter(literal & distinct).select("host", "template", "segment", F.lit(True).alias("literal"))
-        step = F.when(F.col("segment").isNull(), "").when(F.col("literal"), F.concat(F.lit("/"), "segment")).otherwise("/*")
-        rows = rows.join(kept, ["host", "template", "segment"], "left").withColumn("template", F.concat("template", step)).drop("segment", "literal")
-    return written(rows.drop("parts"))
+        kept = written(child.join(node, ["host", "template"]).filter(enough & distinct).select("host", "template", "segment", F.lit(True).alias("literal")))
+        step = F.concat("template", F.when(F.col("literal"), F.concat(F.lit("/"), "segment")).otherwise("/*")).alias("template")
+        stepped = lambda table, *columns: table.join(kept, ["host", "template", "segment"], "left").select(*columns, step)
+        open_nodes = written(
+            stepped(child, "host", "n_further", "further_labels")
+            .groupBy("host", "template")
+            .agg(F.sum("n_further").alias("n"), F.sum("further_labels").alias("labelled"))
+            .filter((F.col("n") >= min_count) & (F.col("labelled") > 0))
+            .select("host", "template", F.lit(True).alias("open"))
+        )
+        level += 1
+        walked = stepped(rows, *row, "parts").join(open_nodes, ["host", "template"], "left")
+        goes_on = F.coalesce("open", F.lit(False)) & (F.size("parts") > level)
+        rest = F.repeat(F.lit("/*"), F.greatest(F.size("parts") - level, F.lit(0)))
+        ended.append(walked.filter(~goes_on).select(*row, F.concat("template", rest).alias("template")))
+        if open_nodes.isEmpty():
+            break
+        live = walked.filter(goes_on).select(*row, "parts", "template")
+    return written(reduce(DataFrame.unionByName, ended))
 
 
 def judge(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from dishframe.llm import cutting_stock, decontamination, licenses, near_duplicates, oracles, packing, plans, token_counts, url_filters
+from dishframe.llm import common, cutting_stock, decontamination, licenses, near_duplicates, oracles, packing, plans, token_counts, url_filters
 from dishframe.llm.components import components
 from dishframe.llm.pieces import BytePretokens, WordIds
 from tests.llm.helpers import FOLDER, documents, frame, odd_rows, prose, texts
@@ -197,6 +197,60 @@ def test_bad_branches_of_wide_and_deep_hosts_are_rejected(spark):
     assert out == {i: "block" if bad else "allow" for i, _, _, bad in wide + deep}
 
 
+def odd_urls():
+    """(page_id, url, bad): wide, deep and very long paths, empty segments, hosts without labels, repeated rows."""
+    draw, rows = random.Random(4), []
+    for i in range(3000):
+        kind = i % 6
+        bad = int(draw.random() < 0.3)
+        if kind == 0:
+            path, bad = f"s{i % 30}/{i}", int(i % 30 == 6)
+        elif kind == 1:
+            path, bad = f"a/b/c/d/{'spam' if i % 4 == 1 else 'news'}/x/{i}", int(i % 4 == 1)
+        elif kind == 2:
+            path = "/".join(draw.choice(["", "p", "q"]) for _ in range(draw.randrange(5))) + f"/{i}"
+        elif kind == 3:
+            path, bad = f"user{i}/{'bad' if i % 12 == 3 else 'good'}/{i}.html?x=/y", int(i % 12 == 3)
+        else:
+            path, bad = f"{draw.choice('mn')}/{i}", None
+        rows.append((i, f"http://H{kind}.org/{path}", bad))
+    rows += [rows[1], (9001, None, None), (9002, "no scheme", None), (9003, "http://h1.org", None), (9004, "http://trap.org/" + "/".join(["t"] * 500), 1)]
+    return rows + [(9100 + i, "http://h1.org/a/b" + "/c" * (200 * (i + 1)), None) for i in range(3)]
+
+
+def test_url_filters_match_sql_on_odd_paths(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = odd_urls()
+    key = F.nullif(F.regexp_extract("url", r"://[^/?#]*/[^?#]*?(\d{1,18})(?:\.html)?/?(?:[?#]|$)", 1), F.lit("")).cast("bigint")
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string").withColumn("label_key", key)
+    labelled = [(i, bad) for i, _, bad in rows if bad is not None] + [(5, None), (7, 1), (7, 0)]
+    labels = spark.createDataFrame(labelled, "label_key long, bad int")
+    got = sorted(map(tuple, url_filters.judge(pages, labels).select("page_id", "host", "path", "rule", "verdict", "template").collect()), key=repr)
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame([r[:2] for r in rows], columns=["page_id", "url"]))
+    con.register("labels", pd.DataFrame([(i, None if b is None else 1 - b) for i, b in labelled], columns=["doc_id", "quality"]).astype({"quality": "Int64"}))
+    want = con.execute(f"SELECT page_id, host, path, rule, verdict, template FROM ({oracles.URL_FILTERS})").fetchall()
+    assert got == sorted(want, key=repr)
+    assert sum(v == "block" for *_, v, _ in got) > 300 and any(t.count("/") > 500 for *_, t in got)
+
+
+def test_one_long_path_adds_no_rounds(spark, monkeypatch):
+    tables = []
+
+    def counted(df):
+        tables.append(df.columns)
+        return common.written(df)
+
+    monkeypatch.setattr(url_filters, "written", counted)
+    rows = odd_urls()
+    pages = spark.createDataFrame([(i, u, i) for i, u, _ in rows], "page_id long, url string, label_key long")
+    labels = spark.createDataFrame([(i, b) for i, _, b in rows if b is not None], "label_key long, bad int")
+    assert url_filters.judge(pages, labels).count() == len(rows)
+    assert sum("parts" in columns for columns in tables) <= 8
+
+
 def test_licences_and_inheritance(spark):
     apache = "Licensed under the Apache License, Version 2.0."
     rows = [
