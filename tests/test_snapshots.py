@@ -174,3 +174,24 @@ def test_map_elements_scan_once(spark):
 
     plan = entry.queries()["map_elements"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BatchScan") == 1 and "Exchange" not in plan
+
+
+def test_a_document_without_the_section_is_an_error(spark):
+    from dishframe.operators import ordering
+
+    rows = spark.createDataFrame([("a", 2, "Menu"), ("a", 1, "Menu"), ("b", 1, "Menu"), ("b", 2, None)], "doc string, pos int, title string")
+    found = ordering.section_or_error(rows, ["doc"], "title", "Menu", "pos")
+    assert sorted((r.doc, r.pos) for r in found.collect()) == [("a", 1), ("b", 1)]
+    with pytest.raises(Exception, match="not found"):
+        ordering.section_or_error(rows.filter("doc = 'a' or title is null"), ["doc"], "title", "Menu", "pos").collect()
+
+
+def test_source_evidence_of_null_and_empty_lists(spark):
+    from dishframe.operators import signals
+
+    hits = "array<struct<value:string,start:int,context:string>>"
+    rows = [("s", 1, "t", [("5", 0, "c"), ("4", 9, "d")], None), (None, 2, None, [], [("7", 1, "e")]), ("s", 1, "t", None, [])]
+    pages = spark.createDataFrame(rows, f"source string, page int, title string, ratings {hits}, counts {hits}")
+    got = signals.source_evidence(pages, "source", "page", "title", {"ratings": 1, "counts": None}).collect()
+    want = [("s", 1, "page", 0, "t", None), ("s", 1, "ratings", 0, "5", "c"), (None, 2, "page", 0, None, None), (None, 2, "counts", 0, "7", "e"), ("s", 1, "page", 0, "t", None)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
