@@ -214,9 +214,12 @@ def lone_residuals(sized: DataFrame, section: Sequence[str]) -> DataFrame:
     )
 
 
-def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMILARITY) -> DataFrame:
+def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMILARITY, byte_edits: bool = False) -> DataFrame:
     """Pairs of lone residuals of a section whose edit similarity, 1 - edits / longer length, reaches the threshold.
 
+    Lengths are counted in characters, and so are edits; byte_edits counts edits of UTF-8 bytes, as
+    some engines do. A byte edit touches at most one character of either text, so they are never fewer.
+
     A partner of a text of length n is at most n / t long, so at most k = (1 - t) / t * n edits lie
     between them, and each edit touches two of the text's letter pairs. Hence a pair must share one
     of the first 2k + 1 letter pairs of either text in a common order, rarest first: only texts that
@@ -244,7 +247,9 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
     side = lambda tag: keyed.select(
         *section, F.col("pos").alias(f"pos_{tag}"), F.col("residual_key").alias(f"residual_{tag}"), F.col("title").alias(f"title_{tag}")
     )
-    ratio = 1 - F.levenshtein("residual_a", "residual_b") / F.greatest(F.length("residual_a"), F.length("residual_b"))
+    # Latin-1 makes one character of each byte.
+    unit = lambda c: F.decode(F.encode(F.col(c), "UTF-8"), "ISO-8859-1") if byte_edits else F.col(c)
+    ratio = 1 - F.levenshtein(unit("residual_a"), unit("residual_b")) / F.greatest(F.length("residual_a"), F.length("residual_b"))
     return (
         pairs.join(side("a"), [*section, "pos_a"])
         .join(side("b"), [*section, "pos_b"])

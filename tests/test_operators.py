@@ -240,6 +240,14 @@ def test_near_misses_match_brute_force(spark):
     assert {(r.residual_a, r.residual_b) for r in got.collect()} == want and len(want) > 10
 
 
+def test_near_misses_by_edits_of_bytes(spark):
+    lone = sizes.lone_residuals(sized(spark, ["Large aañaaaaaaa", "Large aaaaaaaaaa", "Large aaaaañaña", "Large bbñbbbbb", "Large bbbbbbbb"]), ["section"])
+    got = {(r.residual_a, r.residual_b): round(r.ratio, 6) for r in sizes.near_misses(lone, ["section"], byte_edits=True).collect()}
+    # Two bytes of ten letters are within a fifth, two of eight are not.
+    assert got == {("aañaaaaaaa", "aaaaaaaaaa"): 0.8}
+    assert len(sizes.near_misses(lone, ["section"]).collect()) > 1
+
+
 # --- raters -------------------------------------------------------------------------------------
 
 
