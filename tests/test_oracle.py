@@ -1,5 +1,6 @@
 """Every registered query against its SQL on the smallest tables, and the entry points."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -25,3 +26,14 @@ def test_every_sql_has_a_query():
 
 def test_entry_is_the_flagship_query(spark):
     assert entry.entry(spark).columns == ["event_id", "section", "item", "special"]
+
+
+def test_required_section_with_large_part_keys(spark, tmp_path):
+    """A line of the next number comes first where part keys differ by more than a million."""
+    lines = [(1, 1, 1_500_000, 7, "R"), (1, 2, 3, 8, "R"), (2, 1, 999_999, 9, "R"), (2, 2, 0, 10, "R"), (3, 1, 5, 11, "N")]
+    schema = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = entry.queries()["required_section"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert {tuple(r) for r in got.collect()} == set(con.execute(SQL["required_section"]).fetchall()) == {(1, 8), (2, 9)}
