@@ -39,14 +39,16 @@ def objects(root: object, graph_only: bool = False) -> Iterator[tuple[int, tuple
             yield n, trail, node
             n += 1
             if graph_only:
-                children = [("@graph", node["@graph"])] if isinstance(node.get("@graph"), list) else []
+                children = [((trail, "@graph"), node["@graph"])] if isinstance(node.get("@graph"), list) else []
             else:
-                children = [(k, v) for k, v in node.items() if isinstance(v, (dict, list))]
+                children = [((trail, k), v) for k, v in node.items() if isinstance(v, (dict, list))]
         elif isinstance(node, list):
-            children = [(i, v) for i, v in enumerate(node) if isinstance(v, (dict, list))]
+            children = [((trail, i), v) for i, v in enumerate(node) if isinstance(v, (dict, list))]
         else:
             continue
-        stack.extend([((trail, label), child) for label, child in reversed(children)])
+        if children:
+            children.reverse()
+            stack += children
 
 
 def path_of(trail: tuple | None) -> str:
@@ -90,8 +92,12 @@ def _expand(documents: DataFrame, keys: Sequence[str], document: str, fields: st
 Keep = Callable[[dict], bool]
 
 
+# One encoder for all values: json.dumps builds a new one for each.
+_encode = json.JSONEncoder(ensure_ascii=False, sort_keys=True).encode
+
+
 def _json(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True)
+    return str(value) if type(value) is int else _encode(value)
 
 
 def json_objects(documents: DataFrame, key: str, document: str, graph_only: bool = False, keep: Keep = lambda node: True) -> DataFrame:
@@ -125,25 +131,36 @@ def review_like(documents: DataFrame, keys: Sequence[str], document: str, patter
 
 
 def _texts(row: dict, keys: Sequence[str]) -> str:
-    return next((row[k].strip() for k in keys if isinstance(row.get(k), str) and row[k].strip()), "")
+    for k in keys:
+        value = row.get(k)
+        if isinstance(value, str) and (text := value.strip()):
+            return text
+    return ""
+
+
+_ITEM_KEYS = frozenset((*DESCRIPTION_KEYS, *PRICE_KEYS))
 
 
 def _item(node: dict) -> tuple | None:
     """(name, description, price as JSON) of an object that looks like a menu item."""
-    if not any(k in node for k in (*DESCRIPTION_KEYS, *PRICE_KEYS)):
+    if _ITEM_KEYS.isdisjoint(node):
         return None
     name = _texts(node, NAME_KEYS)
     if not name or name.lower() in CONTAINER_NAMES:
         return None
-    price = next((node[k] for k in PRICE_KEYS if node.get(k) not in (None, "")), None)
-    shown = None if price is None else _json(price)
+    shown = None
+    for k in PRICE_KEYS:
+        price = node.get(k)
+        if price is not None and price != "":
+            shown = _json(price)
+            break
     return name, _texts(node, DESCRIPTION_KEYS), shown
 
 
-def json_items(documents: DataFrame, key: str, document: str) -> DataFrame:
+def json_items(documents: DataFrame, key: str | Sequence[str], document: str) -> DataFrame:
     """Menu items found anywhere in a document: a name with a description or a price.
 
-    price is JSON text; containers such as 'Menu' are left out.
+    price is JSON text; containers such as 'Menu' are left out. The key may be several columns.
     """
 
     def rows_of(root: object) -> Iterator[tuple]:
@@ -153,7 +170,7 @@ def json_items(documents: DataFrame, key: str, document: str) -> DataFrame:
                 yield n, path_of(trail), *item
 
     fields = "n int, source_path string, name string, description string, price string"
-    return _expand(documents, [key], document, fields, rows_of)
+    return _expand(documents, [key] if isinstance(key, str) else key, document, fields, rows_of)
 
 
 def has_rating(node: dict) -> bool:

@@ -356,13 +356,9 @@ def json_items(spark, sf):
     whole = F.concat(
         F.lit('{"data":{"name":"Menu","description":"c","items":['), F.to_json(dish), F.lit(","), F.to_json(side), F.lit("]}}")
     )
-    key = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-    documents = table(spark, sf, "lineitem").select(key.alias("k"), whole.alias("document"))
-    part = lambda i: F.element_at(F.split("k", "-"), i)
-    return jsonwalk.json_items(documents, "k", "document").select(
-        part(1).cast("bigint").alias("l_orderkey"), part(2).cast("int").alias("l_linenumber"), part(3).cast("bigint").alias("l_partkey"),
-        part(4).cast("bigint").alias("l_suppkey"), "source_path", "name", "description", "price",
-    )
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    documents = table(spark, sf, "lineitem").select(*key, whole.alias("document"))
+    return jsonwalk.json_items(documents, key, "document").select(*key, "source_path", "name", "description", "price")
 
 
 @catalog.query("""SELECT event_id, 0 AS n, '' AS path, json_extract_string(props, '$.k')::BIGINT AS k FROM events""")
