@@ -10,7 +10,7 @@ from dishframe.functions.price import looks_like_price, price_slot, tidy_price
 from dishframe.functions.text import collapse, first, join_present, let, slug
 from dishframe.operators.folding import keep_first
 from dishframe.operators.ranking import group_index
-from dishframe.operators.skew import CHUNK, Heavy, carry_forward, salted_lookup, with_context
+from dishframe.operators.skew import CHUNK, Heavy, carry_forward, salted_lookup, sized_lookup, with_context
 
 # Date forms that mark a review line.
 REVIEW_DATE = (
@@ -148,7 +148,8 @@ def reading_order(
         F.count_if(F.col("_right") == 0).alias("_n_left"), F.count_if(F.col("_right") == 1).alias("_n_right")
     )
     split = (F.col("_n_left") >= least) & (F.col("_n_right") >= least)
-    placed = salted_lookup(staged, sides, page, ties, "inner").withColumn(
+    blocks_of = F.col("_n_left") + F.col("_n_right")
+    placed = sized_lookup(staged, sides, page, ["_n_left", "_n_right"], blocks_of, [y, *ties]).withColumn(
         "column_no", F.when(split, F.col("_right")).otherwise(0)
     )
     order = ["column_no", y, *ties]

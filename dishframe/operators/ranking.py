@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from dishframe.operators.skew import sized_lookup
 from dishframe.session import written
 
 #: Spark numbers the rows of a task from task << 33.
@@ -64,12 +65,7 @@ def group_index(
     runs = sorted_runs(df, [*keys, *by], partitions)
     parts = runs.groupBy(*keys, "_run").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    start = parts.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_run").alias("_of_run"),
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
-    same = F.col("_run") == F.col("_of_run")
-    for i, k in enumerate(keys):
-        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return runs.join(start, same).withColumn(name, F.col("_at") + F.col("_shift")).select(*df.columns, name)
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
+    start = parts.withColumn("_shift", shift)
+    placed = sized_lookup(runs, start, [*keys, "_run"], ["_shift"], F.col("_n"), ["_at"])
+    return placed.withColumn(name, F.col("_at") + F.col("_shift")).select(*df.columns, name)

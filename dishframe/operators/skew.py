@@ -32,6 +32,35 @@ def salt_of(spread: Sequence[str], salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
 
 
+def sized_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], values: Sequence[str], size: Column, spread: Sequence[str], large: int = CHUNK
+) -> DataFrame:
+    """Add the values of a lookup that holds every key of the rows once, and knows how many rows have it.
+
+    Keys of at least `large` rows, so at most one in `large` rows, are held by every task; their rows are
+    dealt evenly over the tasks of the join with all others. No task sorts a whole large key. Null
+    keys are equal.
+    """
+    side = lookup.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)], size.alias("_size"))
+
+    def same(tag: str) -> Column:
+        out = F.lit(True)
+        for i, k in enumerate(keys):
+            out &= F.col(k).eqNullSafe(F.col(f"_{tag}k{i}"))
+        return out
+
+    held = side.filter(F.col("_size") >= large)
+    held = F.broadcast(held.select(*[F.col(c).alias(f"_h{c[1:]}") for c in held.columns]))
+    # Rows of large keys have salts above 0, which no key of the other side has. A literal 0 there would
+    # be taken out of the join's keys by the optimizer, and a large key would be one task again.
+    marked = rows.join(held, same("h"), "left").withColumn(
+        "_salt", F.when(F.col("_hsize").isNotNull(), salt_of(spread, CHUNK) + 1).otherwise(0)
+    )
+    own = side.withColumn("_own", F.when(F.col("_size") >= large, -1).otherwise(0))
+    met = marked.join(own, same("") & (F.col("_salt") == F.col("_own")), "left")
+    return met.select(*rows.columns, *[F.coalesce(f"_hv{i}", f"_v{i}").alias(v) for i, v in enumerate(values)])
+
+
 def preceding_rows(df: DataFrame, keys: Sequence[str], chunk: str) -> DataFrame:
     """Per (keys, chunk): how many rows of the group lie in earlier chunks."""
     counts = df.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_n"))

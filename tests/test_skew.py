@@ -71,3 +71,23 @@ def test_k_bounds(spark):
         F.sum(F.when(F.col("u") <= F.col("k"), F.col("v"))).alias("low"), F.sum(F.when(F.col("d") <= F.col("k"), F.col("v"))).alias("high"),
     )
     assert same(skew.k_bounds(df, ["g"], "v", F.col("k")), plain)
+
+
+def test_sized_lookup_deals_large_keys_out(spark):
+    """Rows of large keys, of a null key and of small ones all get their value; no task of the join holds a large key."""
+    df = table(spark).select(F.when(F.col("g") != "c", F.col("g")).alias("g"), "id", "v")
+    sides = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
+    got = skew.sized_lookup(df, sides, ["g"], ["last"], F.col("n"), ["id"], large=50)
+    want = df.withColumn("last", F.max("id").over(Window.partitionBy("g")))
+    assert same(got, want)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = skew.sized_lookup(df, sides, ["g"], ["last"], F.col("n"), ["id"], large=50)
+        per_task = met.withColumn("task", F.spark_partition_id()).select("g", "task").collect()
+        assert len({r.task for r in per_task if r.g == "hot"}) > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
