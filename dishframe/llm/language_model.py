@@ -9,8 +9,9 @@ word probabilities are normalised too.
 Counts cover all training texts: partial counts per task, one exchange, one written table. Every task
 trains on all the training texts it reads, from a common start, and the parameters are averaged by
 token counts; a first round over one sixteenth of the texts gives the start of the second. In scoring,
-counts of a bounded number of the commonest words are held by every task; all rarer words' frequencies
-are joined to the count table and summed per document.
+a task normalises a context once and remembers the sum in a table of fixed size, whose lost entries are
+computed again. Counts of a bounded number of the commonest words are held by every task; all rarer
+words' frequencies are joined to the count table and summed per document.
 
 Defined cases: a null or empty text is its end token alone; repeated rows give repeated results; with
 no training text every count is 0 and the model is uniform over its units; an empty table gives no
@@ -137,41 +138,44 @@ class Model:
 def _gathered(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of the rows that share an index."""
     d = rows.shape[1]
-    flat = (index[:, None] * d + np.arange(d)).ravel()
+    flat = np.arange(n * d).reshape(n, d).take(index, 0).ravel()
     return np.bincount(flat, rows.ravel(), n * d).reshape(n, d).astype(np.float32)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """Logistic function, in place; an overflow to infinity gives the right 0."""
+def _falling(x: np.ndarray) -> np.ndarray:
+    """Logistic function of -x, in place; an overflow to infinity gives the right 0."""
     with np.errstate(over="ignore"):
-        np.negative(x, out=x)
         np.exp(x, out=x)
         x += 1
         return np.reciprocal(x, out=x)
 
 
-def hidden(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
-    return sum(p["R"][context[:, j]] * p["C"][j] for j in range(CONTEXT))
+def contexts(units: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The units before each position, the nearest first."""
+    return [units.take(at - j - 1) for j in range(CONTEXT)]
 
 
-def nce_step(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
+def hidden(p: dict[str, np.ndarray], context: list[np.ndarray]) -> np.ndarray:
+    return sum((p["R"] * p["C"][j]).take(context[j], 0) for j in range(CONTEXT))
+
+
+def nce_step(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], context: list[np.ndarray], target: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
     """One Adagrad step on a batch; the same noise units serve every position of the batch."""
     n, units = len(target), len(p["b"])
-    h = hidden(p, context)
-    v, w = p["V"][target], p["V"][noise]
-    up = 1 - _sigmoid((h * v).sum(1) + p["b"][target] - log_noise[target])
-    down = h @ w.T
-    down += p["b"][noise] - log_noise[noise]
-    down = np.negative(_sigmoid(down), out=down)
-    dh = up[:, None] * v + down @ w
-    g = {k: np.zeros_like(x) for k, x in p.items()}
-    g["V"] = _gathered(target, up[:, None] * h, units)
-    np.add.at(g["V"], noise, down.T @ h)
-    g["b"] = np.bincount(target, up, units).astype(np.float32)
-    np.add.at(g["b"], noise, down.sum(0))
+    h, bias = hidden(p, context), p["b"] - log_noise
+    v, w = p["V"].take(target, 0), p["V"][noise]
+    up = _falling(np.einsum("ij,ij->i", h, v) + bias.take(target))[:, None]
+    down = h @ -w.T
+    down -= bias[noise]
+    down = _falling(down)  # its gradient is minus this
+    dh = (up * v - down @ w).astype(float)
+    g = {"R": np.zeros_like(p["R"]), "C": np.zeros_like(p["C"])}
+    g["V"] = _gathered(target, up * h, units) - _gathered(noise, down.T @ h, units)
+    g["b"] = (_gathered(target, up, units) - _gathered(noise, (np.ones(n, np.float32) @ down)[:, None], units)).ravel()
     for j in range(CONTEXT):
-        g["C"][j] = (dh * p["R"][context[:, j]]).sum(0)
-        g["R"] += _gathered(context[:, j], dh * p["C"][j], units)
+        of_unit = _gathered(context[j], dh, units)
+        g["C"][j] = (of_unit * p["R"]).sum(0)
+        g["R"] += of_unit * p["C"][j]
     for k in p:
         step = g[k] / n
         squares[k] += step * step
@@ -180,8 +184,12 @@ def nce_step(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], context:
 
 def streams(texts: list[bytes], places: Places, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
     """Of some texts: units with CONTEXT ends before each text, places, target positions, owners, words."""
-    words = [d.lower().split() + [END] for d in texts]
-    place = np.array([places[w] for ws in words for w in ws], np.int64)
+    words, found = [], []
+    for d in texts:
+        words.append(d.lower().split())
+        words[-1].append(END)
+        found.extend(map(places.__getitem__, words[-1]))
+    place = np.array(found, np.int64)
     lengths = np.array([len(ws) for ws in words])
     owner = np.repeat(np.arange(len(words)), lengths)
     at = np.arange(len(place)) + CONTEXT * (owner + 1)
@@ -221,9 +229,8 @@ def train(training: DataFrame, vocab: Vocabulary, start: np.ndarray, batch_size:
                 order = draw.permutation(at)
                 for low in range(0, len(order), batch_size):
                     target = order[low : low + batch_size]
-                    context = np.stack([units[target - j - 1] for j in range(CONTEXT)], axis=1)
                     noise = draw.choice(len(vocab.unigram), noise_size, p=vocab.unigram)
-                    nce_step(p, squares, context, units[target], noise, log_noise, rate)
+                    nce_step(p, squares, contexts(units, target), units[target], noise, log_noise, rate)
                     batch_at += 1
                 seen += len(at)
         if seen:
@@ -237,20 +244,46 @@ def train(training: DataFrame, vocab: Vocabulary, start: np.ndarray, batch_size:
     return out
 
 
-def unit_log10(p: dict[str, np.ndarray], units: np.ndarray, at: np.ndarray, step: int = 2048) -> np.ndarray:
+def log_sums(p: dict[str, np.ndarray], h: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the sum over all units of e^score, for rows of hidden values."""
+    scores = h @ p["V"].T
+    scores += p["b"]
+    most = scores.max(1)  # single precision holds e^88
+    scores -= most[:, None]
+    np.exp(scores, out=scores)
+    return np.log(scores @ np.ones(len(p["b"]), np.float32)) + most
+
+
+class Sums:
+    """Log sums by context. Each context has one slot; another context of that slot takes its place."""
+
+    def __init__(self, slots: int = 1 << 20) -> None:
+        self.keys, self.values = np.full(slots, -1, np.int64), np.zeros(slots)
+
+    def of(self, p: dict[str, np.ndarray], context: list[np.ndarray], h: np.ndarray) -> np.ndarray:
+        key = np.zeros(len(h), np.int64)
+        for units in context:
+            key = key * len(p["b"]) + units
+        slot = (key * 0x9E3779B1 >> 12) % len(self.keys)
+        out = self.values.take(slot)
+        lost = np.flatnonzero(self.keys.take(slot) != key)
+        if len(lost):
+            keys, first, back = np.unique(key[lost], return_index=True, return_inverse=True)
+            sums = log_sums(p, h.take(lost[first], 0))
+            out[lost] = sums[back]
+            self.keys[slot[lost[first]]], self.values[slot[lost[first]]] = keys, sums
+        return out
+
+
+def unit_log10(p: dict[str, np.ndarray], units: np.ndarray, at: np.ndarray, known: Sums | None = None, step: int = 4096) -> np.ndarray:
     """log10 probability of the unit at each position, normalised over all units."""
-    out, ones = np.empty(len(at)), np.ones(len(p["b"]), np.float32)
-    outputs = np.ascontiguousarray(np.concatenate([p["V"], p["b"][:, None]], axis=1).T)
+    out, known = np.empty(len(at)), known or Sums(step)
     for low in range(0, len(at), step):
-        target = at[low : low + step]
-        h = hidden(p, np.stack([units[target - j - 1] for j in range(CONTEXT)], axis=1))
-        scores = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1) @ outputs
-        own = scores[np.arange(len(target)), units[target]]
-        most = np.float32(max(0.0, float(scores.max()) - 80))  # single precision holds e^88
-        if most:
-            scores -= most
-        np.exp(scores, out=scores)
-        out[low : low + step] = (own - most - np.log(scores @ ones)) / np.log(10)
+        positions = at[low : low + step]
+        target, context = units.take(positions), contexts(units, positions)
+        h = hidden(p, context)
+        own = np.einsum("ij,ij->i", h, p["V"].take(target, 0)) + p["b"].take(target)
+        out[low : low + step] = (own - known.of(p, context, h)) / np.log(10)
     return out
 
 
@@ -264,38 +297,40 @@ def partial_scores(docs: DataFrame, vocab: Vocabulary, parameters: np.ndarray) -
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value
-        places, p = Places(vocab), model.shaped(parameters)
+        places, p, known_sums = Places(vocab), model.shaped(parameters), Sums()
         logs, mass = np.log10(vocab.counts + 1), np.log10(vocab.shared + 1)
         for batch in batches:
-            ids, marks, data = (c.to_pylist() for c in batch.columns)
+            ids, data = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for chunk in _chunks(data):
                 units, place, at, owner, words = streams([data[i] for i in chunk], places, vocab)
                 n = len(chunk)
-                common, is_shared = place >= 0, units[at] >= vocab.head
+                common, of_unit = place >= 0, units[at]
                 log_c = np.where(common, logs[np.maximum(place, 0)], 0.0)
-                within = np.where(is_shared, log_c - mass[np.maximum(units[at] - vocab.head, 0)], 0.0)
+                within = np.where(of_unit >= vocab.head, log_c - mass[np.maximum(of_unit - vocab.head, 0)], 0.0)
                 known = np.bincount(owner, common & (vocab.counts[np.maximum(place, 0)] > 0), n)
                 base = np.bincount(owner, log_c, n)
-                scored = np.bincount(owner, unit_log10(p, units, at) + within, n)
-                ends = np.cumsum([0] + [len(ws) for ws in words])
-                out = [[] for _ in range(9)]
-                for k, i in enumerate(chunk):
-                    rare = Counter([words[k][j] for j in np.flatnonzero(~common[ends[k] : ends[k + 1]])])
+                scored = np.bincount(owner, unit_log10(p, units, at, known_sums) + within, n)
+                lengths = np.array([len(ws) for ws in words])
+                begin = np.cumsum(lengths) - lengths
+                rare_at = np.flatnonzero(~common)
+                inside = (rare_at - begin[owner[rare_at]]).tolist()
+                ends = np.searchsorted(rare_at, begin + lengths).tolist()
+                rare_words, times, sizes, low = [], [], [], 0
+                for i, ws, high in zip(chunk, words, ends):
+                    rare = Counter([ws[j] for j in inside[low:high]])
                     if not rare:  # a row of its own key, so that such documents spread
                         rare[b" %d" % (ids[i] or 0)] = 0
-                    m = len(rare)
-                    first = (ids[i], marks[i], None, None, len(words[k]), int(known[k]), base[k], scored[k], 1)
-                    for c, (column, x) in enumerate(zip(out, first)):
-                        if c < 2:
-                            column += [x] * m
-                        elif c == 2:
-                            column += rare.keys()
-                        elif c == 3:
-                            column += rare.values()
-                        else:
-                            column += [x] + [0] * (m - 1)
-                kinds = [pa.int64()] * 2 + [pa.binary()] + [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], [f.split()[0] for f in SCHEMA.split(", ")])
+                    rare_words += rare.keys()
+                    times += rare.values()
+                    sizes.append(len(rare))
+                    low = high
+                first, row = np.cumsum(sizes) - sizes, pa.array(np.repeat(chunk, sizes))
+                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(rare_words, pa.binary()), pa.array(times, pa.int64())]
+                for x, kind in ((lengths, np.int64), (known, np.int64), (base, float), (scored, float), (1, np.int64)):
+                    once = np.zeros(len(times), kind)
+                    once[first] = x
+                    columns.append(pa.array(once))
+                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SCHEMA.split(", ")])
 
     slim = docs.select("doc_id", F.xxhash64("text").alias("mark"), text_bytes(F.col("text")).alias("data"))
     return slim.mapInArrow(rows, SCHEMA)

@@ -241,6 +241,60 @@ def test_language_model_is_normalised():
     assert math.isclose(inside + sum(1 / (shared[u] + 1) for u in used), len(used))
 
 
+def made_parameters(units):
+    draw = np.random.default_rng(1)
+    return {k: draw.normal(0, 1, s).astype(np.float32) for k, s in language_model.Model(units).shapes.items()}
+
+
+def plain_log10(p, units, at):
+    context = [units[at - j - 1] for j in range(language_model.CONTEXT)]
+    scores = sum(p["R"][c] * p["C"][j] for j, c in enumerate(context)).astype(float) @ p["V"].T + p["b"]
+    return (scores[np.arange(len(at)), units[at]] - np.log(np.exp(scores).sum(1))) / np.log(10)
+
+
+def test_language_model_normalises_a_context_once(monkeypatch):
+    p, summed, plain = made_parameters(20), [], language_model.log_sums
+    monkeypatch.setattr(language_model, "log_sums", lambda p, h: summed.append(len(h)) or plain(p, h))
+    units, known = np.random.default_rng(2).integers(0, 4, 9000), language_model.Sums()
+    at = np.arange(3, len(units))
+    for _ in range(2):
+        assert np.allclose(language_model.unit_log10(p, units, at, known, step=500), plain_log10(p, units, at), atol=1e-5)
+    assert sum(summed) == 4**3  # of 17,994 positions
+
+
+def test_language_model_recomputes_sums_whose_slot_was_taken():
+    p, units = made_parameters(20), np.random.default_rng(2).integers(0, 20, 9000)
+    at = np.arange(3, len(units))
+    for slots in (1, 7):
+        found = language_model.unit_log10(p, units, at, language_model.Sums(slots), step=500)
+        assert np.allclose(found, plain_log10(p, units, at), atol=1e-5)
+    p["b"] += 200  # beyond e^88
+    assert np.allclose(language_model.unit_log10(p, units, at), plain_log10(p, units, at), atol=1e-4)
+
+
+def test_language_model_step_follows_the_plain_gradient():
+    """Against differences of the objective: the sum of log sigmoids of targets and noise."""
+    p, draw, log_noise = made_parameters(9), np.random.default_rng(4), np.linspace(-2, 1, 9).astype(np.float32)
+    context, target, noise = [draw.integers(0, 9, 50) for _ in range(3)], draw.integers(0, 9, 50), np.array([3, 3, 8, 0])
+
+    def objective(p):
+        h = sum(p["R"][c] * p["C"][j] for j, c in enumerate(context))
+        scores = h @ p["V"].T + p["b"] - log_noise
+        return (-np.log1p(np.exp(-scores[np.arange(50), target])).sum() - np.log1p(np.exp(scores[:, noise])).sum()) / 50
+
+    squares = {k: np.zeros_like(x) for k, x in p.items()}
+    wide = {k: x.astype(float) for k, x in p.items()}
+    language_model.nce_step({k: x.copy() for k, x in p.items()}, squares, context, target, noise, log_noise, 0.1)
+    for k, x in wide.items():
+        for i in range(0, x.size, 7):
+            moved = []
+            for by in (1e-5, -1e-5):
+                x.flat[i] += by
+                moved.append(objective(wide))
+                x.flat[i] -= by
+            assert math.isclose(((moved[0] - moved[1]) / 2e-5) ** 2, squares[k].flat[i], rel_tol=2e-3, abs_tol=1e-7)
+
+
 def test_language_model_bears_odd_rows(spark):
     docs = frame(spark, odd_rows())
     out = language_model.score(docs, training=F.col("doc_id") != 5).collect()
