@@ -27,13 +27,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dishframe.llm.common import commonest, text_bytes, written
 
-END = b"\n"  # no word holds white space
+END = b""  # no word is empty
 SHARED, CONTEXT, DIM = 128, 3, 16
-FLUSH = 300_000
+FLUSH = 1_000_000
 
 
 def shared_unit(word: bytes) -> int:
@@ -41,32 +42,52 @@ def shared_unit(word: bytes) -> int:
     return zlib.crc32(word[:2]) % SHARED
 
 
+def split_words(data: pa.Array) -> pa.ListArray:
+    """The words of each text (bytes), A-Z lower-cased, then END."""
+    text = pc.ascii_trim_whitespace(pc.ascii_lower(data.cast(pa.string(), safe=False)))
+    # Splitting leaves an empty string after a last space, and one for an empty text.
+    text = pc.binary_join_element_wise(text, pc.if_else(pc.equal(text, ""), "", " "), "")
+    return pc.ascii_split_whitespace(text).cast(pa.list_(pa.binary()))
+
+
+def chunks(data: pa.Array, words: int = 40_000) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of texts of about so many words, with the place of their first."""
+    first, room = 0, 0
+    for i, size in enumerate(pc.binary_length(data).to_pylist()):
+        room += size // 6
+        if room > words:
+            yield first, data[first : i + 1]
+            first, room = i + 1, 0
+    if first < len(data):
+        yield first, data[first:]
+
+
 def word_counts(training: DataFrame) -> DataFrame:
     """word, c over all rows of training (column data); the end of a text counts as a word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["word", "n"])
+        def out() -> list[pa.RecordBatch]:
+            summed = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
             held.clear()
-            return batch
+            return summed.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
 
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                held.update(data.lower().split())
-                held[END] += 1
-                if len(held) > FLUSH:
-                    yield out()
+            for _, data in chunks(batch.column(0), 500_000):
+                counted = split_words(data).flatten().value_counts()
+                held.append(pa.table({"word": counted.field("values"), "n": counted.field("counts")}))
+                if sum(map(len, held)) > FLUSH:
+                    yield from out()
         if held:
-            yield out()
+            yield from out()
 
     return training.select("data").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 @dataclass
 class Vocabulary:
-    """Common words with their counts, the units of the first of them, and the shared units' masses."""
+    """Common words with their counts, how many of the first are units, and the shared units' masses."""
 
     places: dict[bytes, int]
     counts: np.ndarray
@@ -76,26 +97,11 @@ class Vocabulary:
     distinct: int
 
     def __post_init__(self) -> None:
-        self.units = np.array([i if i < self.head else self.head + shared_unit(w) for w, i in self.places.items()], np.int64)
+        self.words = pa.array(list(self.places), pa.binary())
         self.unigram = np.concatenate([self.counts[: self.head] + 1.0, self.shared + 1.0])
         self.unigram /= self.unigram.sum()
 
 
-class Places(dict):
-    """Word to its place among the common words, or to -1 minus its shared unit."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__(vocabulary.places)
-        self.known = vocabulary.places
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > len(self.known) + 400_000:
-            self.clear()
-            self.update(self.known)
-        self[word] = out = -1 - shared_unit(word)
-        return out
-
-
 def vocabulary(counts: DataFrame, head: int, common_words: int) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     found = {bytes(r.word): r.c for r in counts.filter(F.col("word") == END).union(commonest(counts, "c", common_words)).collect()}
@@ -182,33 +188,18 @@ def nce_step(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], context:
         p[k] += rate * step / np.sqrt(squares[k] + 1e-10)
 
 
-def streams(texts: list[bytes], places: Places, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Of some texts: units with CONTEXT ends before each text, places, target positions, owners, words."""
-    words, found = [], []
-    for d in texts:
-        words.append(d.lower().split())
-        words[-1].append(END)
-        found.extend(map(places.__getitem__, words[-1]))
-    place = np.array(found, np.int64)
-    lengths = np.array([len(ws) for ws in words])
-    owner = np.repeat(np.arange(len(words)), lengths)
-    at = np.arange(len(place)) + CONTEXT * (owner + 1)
-    units = np.zeros(len(place) + CONTEXT * len(words), np.int64)  # unit 0 is the end
-    units[at] = np.where(place >= 0, vocab.units[np.maximum(place, 0)], vocab.head - 1 - place)
-    return units, place, at, owner, words
-
-
-def _chunks(texts: list, words: int = 40_000) -> Iterator[list[int]]:
-    """Places of texts in runs of about so many words."""
-    held, room = [], 0
-    for i, d in enumerate(texts):
-        held.append(i)
-        room += len(d) // 6
-        if room > words:
-            yield held
-            held, room = [], 0
-    if held:
-        yield held
+def streams(split: pa.ListArray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of some texts: units with CONTEXT ends before each text, positions of the words, their texts."""
+    words, lengths = split.flatten(), pc.list_value_length(split).to_numpy()
+    own = pc.index_in(words, value_set=vocab.words[: vocab.head])
+    begin = pc.binary_slice(words, 0, 2).dictionary_encode()
+    shared = np.array([vocab.head + shared_unit(w) for w in begin.dictionary.to_pylist()], np.int64)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.arange(len(words)) + CONTEXT * (owner + 1)
+    units = np.zeros(len(words) + CONTEXT * len(lengths), np.int64)  # unit 0 is the end
+    own = own.fill_null(-1).to_numpy()
+    units[at] = np.where(own >= 0, own, shared.take(begin.indices.to_numpy()))
+    return units, at, owner
 
 
 def train(training: DataFrame, vocab: Vocabulary, start: np.ndarray, batch_size: int = 4096, noise_size: int = 64, rate: float = 0.1) -> np.ndarray:
@@ -218,20 +209,18 @@ def train(training: DataFrame, vocab: Vocabulary, start: np.ndarray, batch_size:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value
-        places, p, seen, batch_at = Places(vocab), model.shaped(start.copy()), 0, 0
+        p, seen = model.shaped(start.copy()), 0
         squares = {k: np.zeros_like(x) for k, x in p.items()}
         log_noise = (np.log(vocab.unigram) + np.log(noise_size)).astype(np.float32)
         draw = np.random.default_rng(5)
         for batch in batches:
-            data = batch.column(0).to_pylist()
-            for chunk in _chunks(data):
-                units, _, at, _, _ = streams([data[i] for i in chunk], places, vocab)
+            for _, data in chunks(batch.column(0)):
+                units, at, _ = streams(split_words(data), vocab)
                 order = draw.permutation(at)
                 for low in range(0, len(order), batch_size):
                     target = order[low : low + batch_size]
                     noise = draw.choice(len(vocab.unigram), noise_size, p=vocab.unigram)
                     nce_step(p, squares, contexts(units, target), units[target], noise, log_noise, rate)
-                    batch_at += 1
                 seen += len(at)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([model.flat(p).astype(float)], pa.list_(pa.float64()))], ["n", "p"])
@@ -297,34 +286,34 @@ def partial_scores(docs: DataFrame, vocab: Vocabulary, parameters: np.ndarray) -
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value
-        places, p, known_sums = Places(vocab), model.shaped(parameters), Sums()
+        p, known_sums = model.shaped(parameters), Sums()
         logs, mass = np.log10(vocab.counts + 1), np.log10(vocab.shared + 1)
         for batch in batches:
-            ids, data = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for chunk in _chunks(data):
-                units, place, at, owner, words = streams([data[i] for i in chunk], places, vocab)
-                n = len(chunk)
+            ids = batch.column(0).to_pylist()
+            for begin, data in chunks(batch.column(2), 500_000):
+                split = split_words(data)
+                units, at, owner = streams(split, vocab)
+                words, lengths, n = split.flatten(), pc.list_value_length(split).to_numpy(), len(data)
+                place = pc.index_in(words, value_set=vocab.words).fill_null(-1).to_numpy()
                 common, of_unit = place >= 0, units[at]
                 log_c = np.where(common, logs[np.maximum(place, 0)], 0.0)
                 within = np.where(of_unit >= vocab.head, log_c - mass[np.maximum(of_unit - vocab.head, 0)], 0.0)
                 known = np.bincount(owner, common & (vocab.counts[np.maximum(place, 0)] > 0), n)
                 base = np.bincount(owner, log_c, n)
                 scored = np.bincount(owner, unit_log10(p, units, at, known_sums) + within, n)
-                lengths = np.array([len(ws) for ws in words])
-                begin = np.cumsum(lengths) - lengths
                 rare_at = np.flatnonzero(~common)
-                inside = (rare_at - begin[owner[rare_at]]).tolist()
-                ends = np.searchsorted(rare_at, begin + lengths).tolist()
+                rare_found = words.take(pa.array(rare_at)).to_pylist()
+                ends = np.searchsorted(rare_at, np.cumsum(lengths)).tolist()
                 rare_words, times, sizes, low = [], [], [], 0
-                for i, ws, high in zip(chunk, words, ends):
-                    rare = Counter([ws[j] for j in inside[low:high]])
+                for i, high in enumerate(ends, begin):
+                    rare = Counter(rare_found[low:high])
                     if not rare:  # a row of its own key, so that such documents spread
                         rare[b" %d" % (ids[i] or 0)] = 0
                     rare_words += rare.keys()
                     times += rare.values()
                     sizes.append(len(rare))
                     low = high
-                first, row = np.cumsum(sizes) - sizes, pa.array(np.repeat(chunk, sizes))
+                first, row = np.cumsum(sizes) - sizes, pa.array(np.repeat(np.arange(begin, begin + n), sizes))
                 columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(rare_words, pa.binary()), pa.array(times, pa.int64())]
                 for x, kind in ((lengths, np.int64), (known, np.int64), (base, float), (scored, float), (1, np.int64)):
                     once = np.zeros(len(times), kind)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,6 +242,25 @@ def test_language_model_is_normalised():
     assert math.isclose(inside + sum(1 / (shared[u] + 1) for u in used), len(used))
 
 
+def test_language_model_splits_bytes_as_python_does():
+    draw = np.random.default_rng(6)
+    signs = [b" ", b"\t", b"\n", b"\v", b"\f", b"\r", b"\x1c", b"\x1f", b"\0", b"\xff", b"A", b"z", "\x85\xa0\u2003\u3000\xc9\u0130".encode()]
+    made = [b"".join(signs[i] for i in draw.integers(0, len(signs), draw.integers(0, 9))) for _ in range(5000)]
+    of_text = [d.lower().split() + [language_model.END] for d in made]
+    data = pa.array([b"left out", *made], pa.binary())[1:]
+    assert language_model.split_words(data).to_pylist() == of_text
+    runs = list(language_model.chunks(data, 100))
+    assert [d for _, run in runs for d in run.to_pylist()] == made and len(runs) > 5
+    assert all(data[at].as_py() == run[0].as_py() for at, run in runs)
+    words = dict.fromkeys([language_model.END, *(w for ws in of_text for w in ws)])
+    shared = np.zeros(language_model.SHARED)
+    vocab = language_model.Vocabulary({w: i for i, w in enumerate(list(words)[:50])}, np.ones(50), 20, shared, 9, 9)
+    units, at, owner = language_model.streams(language_model.split_words(data), vocab)
+    want = [i if (i := vocab.places.get(w, 99)) < 20 else 20 + language_model.shared_unit(w) for ws in of_text for w in ws]
+    assert units[at].tolist() == want and owner.tolist() == [i for i, ws in enumerate(of_text) for _ in ws]
+    assert units.sum() == sum(want) and (np.diff(at) == np.where(np.diff(owner) > 0, 1 + language_model.CONTEXT, 1)).all()
+
+
 def made_parameters(units):
     draw = np.random.default_rng(1)
     return {k: draw.normal(0, 1, s).astype(np.float32) for k, s in language_model.Model(units).shapes.items()}
