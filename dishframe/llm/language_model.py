@@ -34,7 +34,7 @@ from dishframe.llm.common import commonest, text_bytes, written
 
 END = b""  # no word is empty
 SHARED, CONTEXT, DIM = 128, 3, 16
-FLUSH = 1_000_000
+GROUP, FLUSH = 200_000, 600_000  # words of a run that is counted or scored, counts held by a task
 
 
 def shared_unit(word: bytes) -> int:
@@ -71,10 +71,10 @@ def word_counts(training: DataFrame) -> DataFrame:
         def out() -> list[pa.RecordBatch]:
             summed = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
             held.clear()
-            return summed.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
+            return summed.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches(max_chunksize=100_000)
 
         for batch in batches:
-            for _, data in chunks(batch.column(0), 500_000):
+            for _, data in chunks(batch.column(0), GROUP):
                 counted = split_words(data).flatten().value_counts()
                 held.append(pa.table({"word": counted.field("values"), "n": counted.field("counts")}))
                 if sum(map(len, held)) > FLUSH:
@@ -290,7 +290,7 @@ def partial_scores(docs: DataFrame, vocab: Vocabulary, parameters: np.ndarray) -
         logs, mass = np.log10(vocab.counts + 1), np.log10(vocab.shared + 1)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for begin, data in chunks(batch.column(2), 500_000):
+            for begin, data in chunks(batch.column(2), GROUP):
                 split = split_words(data)
                 units, at, owner = streams(split, vocab)
                 words, lengths, n = split.flatten(), pc.list_value_length(split).to_numpy(), len(data)
