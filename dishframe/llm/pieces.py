@@ -1,7 +1,7 @@
 """Pre-tokens and ids of public tokenizer files, remembered per distinct chunk of text.
 
-A text is cut where no pre-token can span, each distinct chunk is split once, and each distinct
-pre-token is given to the tokenizer's model once per worker. Chunks of plain Latin characters are
+A text is cut where no pre-token can span, and a chunk or pre-token that is remembered is neither split
+nor given to the tokenizer's model again. Chunks of plain Latin characters are
 split by an equivalent expression here; any other chunk goes through the library's own splitter.
 Memories are emptied when they reach a fixed size, so a worker's memory is bounded.
 """
@@ -47,32 +47,39 @@ def load(path: str):
 class WordIds(dict):
     """Chunk between ASCII white space (bytes) to its ids as little-endian unsigned 32-bit bytes.
 
-    For lower-casing tokenizers with word ends, whose pre-tokens hold no white space.
+    For lower-casing tokenizers with word ends, whose pre-tokens hold no white space. A pre-token is
+    remembered as the chunk that it would be, so both share one memory of at most LIMIT entries; a
+    special string alone is another thing as a chunk, so such a pre-token is not remembered.
     """
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        self.library, self.known = load(path), {}
+        self.library = load(path)
         self.model = self.library.model
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
 
+    def _keep(self, chunk: bytes, ids: bytes) -> bytes:
+        if len(self) >= LIMIT:
+            self.clear()
+        self[chunk] = ids
+        return ids
+
     def _piece(self, piece: str) -> bytes:
-        if (ids := self.known.get(piece)) is None:
-            if len(self.known) > LIMIT:
-                self.known.clear()
-            ids = self.known[piece] = array("I", [t.id for t in self.model.tokenize(byte_letters(piece))]).tobytes()
+        chunk = piece.encode()
+        special = piece in self.special
+        if special or (ids := self.get(chunk)) is None:
+            ids = array("I", [t.id for t in self.model.tokenize(byte_letters(piece))]).tobytes()
+            if not special:
+                self._keep(chunk, ids)
         return ids
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) > LIMIT:
-            self.clear()
         text = chunk.decode()
         if _ODD.search(text) or any(s in text for s in self.special):
             ids = array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
         else:
             ids = b"".join([self._piece(p) for p in _WORD_SPLIT.findall(text.lower())])
-        self[chunk] = ids
-        return ids
+        return self._keep(chunk, ids)
 
 
 class BytePretokens(dict):

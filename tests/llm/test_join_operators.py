@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -380,6 +381,36 @@ def test_chunks_give_the_library_ids_for_any_characters():
         assert special + sum(map(byte.count, pieces)) == len(by_byte.encode(text, add_special_tokens=False).ids)
 
 
+def test_word_ids_hold_chunks_and_pretokens_in_one_bounded_memory(monkeypatch):
+    monkeypatch.setattr("dishframe.llm.pieces.LIMIT", 50)
+    word, library = WordIds(WORD_FILE), Tokenizer.from_file(WORD_FILE)
+    for i in range(200):
+        for text in (f"Kept{i},word{i}.", f"kept{i}", "again,"):
+            ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert word[text.encode()] == ids
+            assert len(word) + sum(len(held) for held in vars(word).values() if isinstance(held, dict)) <= 50
+    word.clear()
+    word.special += ("alone",)
+    assert word[b"ALONE"] and b"alone" not in word  # the special string is not the pre-token
+
+
+def test_pipeline_hands_texts_over_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows]), "size": pa.array([batch.nbytes])})
+
+    setting = corpus_pipeline.BATCH_SETTING
+    docs = frame(spark, [(i, prose(i, 60) * 100, "en") for i in range(400)]).coalesce(1)
+    try:
+        for given, least, most in (("67108864b", 0, 3 << 20), ("16m", 4 << 20, 16 << 20)):
+            spark.conf.set(setting, given)
+            corpus_pipeline.rules_stage(spark, docs, FOLDER)
+            found = docs.select("text").mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r.n for r in found) == 400 and least < max(r["size"] for r in found) < most
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_pipeline_follows_the_decisions_of_its_stages(spark):
     docs, kept = documents(spark), {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
