@@ -3,7 +3,8 @@
 A text is cut where no pre-token can span, and a chunk or pre-token that is remembered is neither split
 nor given to the tokenizer's model again. Chunks of plain Latin characters are
 split by an equivalent expression here; any other chunk goes through the library's own splitter.
-Memories are emptied when they reach a fixed size, so a worker's memory is bounded.
+Memories are emptied when they reach a fixed size, so a worker's memory is bounded. Whole columns of
+texts whose characters all have a class that no Unicode version changed are split by Arrow.
 """
 
 from __future__ import annotations
@@ -11,6 +12,11 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Letters, numbers and the rest below U+0250, where all Unicode versions agree.
 _LETTER, _NUMBER, _REST = r"[^\W\d_²³¹¼½¾]", r"[\d²³¹¼½¾]", r"(?:[^\w\s]|_)"
@@ -21,6 +27,16 @@ _BYTE_SPLIT = re.compile(rf"{_SHORT}| ?{_LETTER}+| ?{_NUMBER}+| ?{_REST}+|\s+(?!
 _UNEVEN = re.compile(r" \s|\s ")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 LIMIT = 500_000
+RUN_BYTES = 8 << 20
+
+# The same split for whole columns: white space, letters, numbers and other characters by their ranges. It knows no
+# look-ahead, so _SPACES first marks (1) where a run of white space gives its last character to what follows.
+_COLUMN_SPACE, _COLUMN_NUMBER = r"\t-\r ", "0-9²³¹¼½¾"
+_COLUMN_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-џぁ-ゖァ-ヺー一-龥가-힣"
+_COLUMN_ODD = f"[^{_COLUMN_SPACE}!-~¡-ɏ‐-‧‰-⁞₠-₵、-〃〈-】！（），：；？{_COLUMN_LETTER}]"
+_COLUMN_REST = rf"[^{_COLUMN_SPACE}{_COLUMN_LETTER}{_COLUMN_NUMBER}\x00\x01]"
+_COLUMN_SPLIT = f"{_SHORT}| ?[{_COLUMN_LETTER}]+| ?[{_COLUMN_NUMBER}]+| ?{_COLUMN_REST}+|[{_COLUMN_SPACE}]+"
+_SPACES = f"([{_COLUMN_SPACE}])([{_COLUMN_SPACE}][^{_COLUMN_SPACE}])"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -31,12 +47,37 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
+_BYTES = {ord(letter): b for b, letter in _LETTERS.items()}
 
 
 def byte_letters(piece: str) -> str:
     return piece.encode().decode("latin-1").translate(_LETTERS)
 
 
+def from_byte_letters(piece: str) -> str:
+    return piece.translate(_BYTES).encode("latin-1").decode()
+
+
+def runs(texts: pa.Array, size: int = RUN_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive texts of about `size` bytes together, and the number of texts before them."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    cuts = (np.flatnonzero(np.diff(ends // size)) + 1).tolist()
+    for start, stop in zip([0, *cuts], [*cuts, len(texts)]):
+        yield start, texts.slice(start, stop - start)
+
+
+def _column_split(texts: pa.Array) -> pa.ListArray:
+    """Pre-tokens of texts without odd characters; none of an empty text."""
+    texts = pc.if_else(pc.equal(texts, ""), None, texts)
+    marked = pc.any(pc.match_substring_regex(texts, _SPACES)).as_py()
+    if marked:
+        texts = pc.replace_substring_regex(texts, _SPACES, "\\1\x01\\2")
+    texts = pc.replace_substring_regex(texts, _COLUMN_SPLIT, "\\0\x00")
+    if marked:
+        texts = pc.replace_substring(texts, "\x01", "")
+    return pc.split_pattern(pc.utf8_rtrim(texts, "\x00"), "\x00")
+
+
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -93,6 +134,7 @@ class BytePretokens(dict):
         if any(t.lstrip or t.rstrip or t.single_word for t in added):
             raise ValueError("added tokens that strip or need word borders are not supported")
         contents = sorted((t.content for t in added), key=len, reverse=True)
+        self.contents = contents
         self.special = re.compile("|".join(map(re.escape, contents))) if contents else None
 
     def pieces(self, chunk: str) -> tuple[str, ...]:
@@ -117,6 +159,30 @@ class BytePretokens(dict):
         cut = [self._cut(s) for s in segments]
         return [c for parts in cut for c in parts[:1]], [c for parts in cut for c in parts[1:]], len(segments) - 1
 
+    def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """Pre-tokens of a column of texts, as they stand there: the text (its place) of each, the
+        pre-tokens themselves, and the number of special tokens inside every text."""
+        odd = pc.match_substring_regex(texts, _COLUMN_ODD)
+        for content in self.contents:
+            odd = pc.or_(odd, pc.match_substring(texts, content))
+        special = np.zeros(len(texts), np.int64)
+        lists = _column_split(texts.filter(pc.invert(odd)))
+        odd = odd.to_numpy(zero_copy_only=False)
+        places, lengths = [np.flatnonzero(~odd), np.flatnonzero(odd)], pc.list_value_length(lists).fill_null(0).to_numpy().tolist()
+        pieces: list[str] = []
+        for place in places[1].tolist():
+            first, rest, special[place] = self.chunks(texts[place].as_py())
+            before = len(pieces)
+            for chunk in first:
+                pieces += self.pieces(chunk)
+            for chunk in rest:
+                pieces += self[chunk]
+            lengths.append(len(pieces) - before)
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        plain = pa.array([from_byte_letters(p) for p in coded.dictionary.to_pylist()], pa.string())
+        found = pa.concat_arrays([lists.flatten(), plain.take(coded.indices)]) if pieces else lists.flatten()
+        return np.repeat(np.concatenate(places), lengths), found, special
+
     @staticmethod
     def _cut(text: str) -> list[str]:
         if not text:

@@ -4,7 +4,8 @@ document's pre-token frequencies, and summed.
 Two passes over the texts. The first counts the pre-tokens of the whole table (partial counts per
 task, then one exchange); each distinct one goes through the tokenizer's model once. In the second,
 the commonest pre-tokens (a bounded list held by every task) are summed where the document is read;
-the frequencies of all others are joined to the counted pre-tokens and summed per document.
+the frequencies of all others are joined to the counted pre-tokens and summed per document. Both
+passes split, encode and count runs of texts as Arrow columns.
 
 Defined cases: null and empty texts have 0 bytes and tokens; repeated rows give repeated results; an
 empty table gives no rows; special strings in a text count as one token each; other columns are not
@@ -13,49 +14,31 @@ read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from dishframe.llm.common import commonest, text_bytes, written
-from dishframe.llm.pieces import BytePretokens
-
-FLUSH = 300_000
+from dishframe.llm.pieces import BytePretokens, byte_letters, runs
 
 
 def vocabulary(docs: DataFrame, path: str) -> DataFrame:
     """pretoken, freq, pieces: every distinct pre-token of the table, counted once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, held = BytePretokens(path), Counter()
-
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_pydict({"pretoken": pa.array(held.keys(), pa.string()), "n": pa.array(held.values(), pa.int64())})
-            held.clear()
-            return batch
-
+        split = BytePretokens(path)
         for batch in batches:
-            chunks: Counter = Counter()
-            for data in batch.column(0).to_pylist():
-                first, rest, _ = split.chunks(data.decode())
-                chunks.update(rest)
-                for chunk in first:
-                    for p in split.pieces(chunk):
-                        held[p] += 1
-            for chunk, n in chunks.items():
-                for p in split[chunk]:
-                    held[p] += n
-            if len(held) > FLUSH:
-                yield out()
-        if held:
-            yield out()
+            for _, texts in runs(batch.column(0).cast(pa.string())):
+                _, found, _ = split.split(texts)
+                yield pa.RecordBatch.from_arrays(found.value_counts().flatten(), ["pretoken", "n"])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = BytePretokens(path)
         for batch in batches:
-            counted = pa.array([split.count(p) for p in batch.column(0).to_pylist()], pa.int64())
+            counted = pa.array([split.count(byte_letters(p)) for p in batch.column(0).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, counted], ["pretoken", "freq", "pieces"])
 
     counts = docs.select(text_bytes(F.col("text")).alias("data")).mapInArrow(count, "pretoken string, n long")
@@ -70,40 +53,34 @@ def frequencies(docs: DataFrame, path: str, common: dict[str, int]) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, common = BytePretokens(path), shared.value
-        known: dict[str, tuple[int, list[str]]] = {}
+        split = BytePretokens(path)
+        held = pa.array(shared.value.keys(), pa.string())
+        each = np.array([*shared.value.values(), 0], np.int64)
         for batch in batches:
-            ids, marks, pretokens, counts, sizes, sums, copies = ([] for _ in range(7))
-            for doc_id, mark, data in zip(*(c.to_pylist() for c in batch.columns)):
-                first, chunks, total = split.chunks(data.decode())
-                rest: dict[str, int] = {}
-                for pieces in map(split.pieces, first):
-                    total += sum(common.get(p, 0) for p in pieces)
-                    for p in pieces:
-                        if p not in common:
-                            rest[p] = rest.get(p, 0) + 1
-                for chunk, n in Counter(chunks).items():
-                    found = known.get(chunk)
-                    if found is None:
-                        if len(known) > FLUSH:
-                            known.clear()
-                        pieces = split.pieces(" " + chunk)
-                        found = known[chunk] = (sum(common.get(p, 0) for p in pieces), [p for p in pieces if p not in common])
-                    total += n * found[0]
-                    for p in found[1]:
-                        rest[p] = rest.get(p, 0) + n
-                if not rest:  # a row of its own key, so that such documents spread
-                    rest[f" {doc_id}"] = 0
-                k = len(rest)
-                ids += [doc_id] * k
-                marks += [mark] * k
-                pretokens += rest.keys()
-                counts += rest.values()
-                sizes += [len(data)] + [0] * (k - 1)
-                sums += [total] + [0] * (k - 1)
-                copies += [1] + [0] * (k - 1)
-            columns = [pa.array(c, pa.string() if c is pretokens else pa.int64()) for c in (ids, marks, pretokens, counts, sizes, sums, copies)]
-            yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SCHEMA.split(", ")])
+            for start, texts in runs(batch.column(2).cast(pa.string())):
+                ids, marks = (c.slice(start, len(texts)) for c in batch.columns[:2])
+                place, found, total = split.split(texts)
+                coded = found.dictionary_encode()
+                pretokens, at = coded.dictionary, coded.indices.to_numpy()
+                known = pc.index_in(pretokens, value_set=held).fill_null(len(held)).to_numpy()
+                total += np.bincount(place, each[known][at], len(texts)).astype(np.int64)
+                rare = (known == len(held))[at]
+                pairs, n = np.unique(place[rare] * len(pretokens) + at[rare], return_counts=True)
+                doc, pretoken = np.divmod(pairs, max(len(pretokens), 1))
+                bare = np.setdiff1d(np.arange(len(texts)), doc)
+                own = [f" {i}" for i in ids.take(pa.array(bare)).to_pylist()]  # so that such documents spread
+                first = np.concatenate([np.diff(doc, prepend=-1) > 0, np.ones(len(bare), bool)])
+                doc = np.concatenate([doc, bare])
+                sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+                columns = [
+                    ids.take(pa.array(doc)),
+                    marks.take(pa.array(doc)),
+                    pa.concat_arrays([pretokens.take(pa.array(pretoken)), pa.array(own, pa.string())]),
+                    pa.array(np.concatenate([n, np.zeros(len(bare), np.int64)])),
+                    *(pa.array(np.where(first, sums[doc], 0)) for sums in (sizes, total)),
+                    pa.array(first.astype(np.int64)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SCHEMA.split(", ")])
 
     slim = docs.select("doc_id", F.xxhash64("text").alias("mark"), text_bytes(F.col("text")).alias("data"))
     return slim.mapInArrow(rows, SCHEMA)

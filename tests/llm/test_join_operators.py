@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from dishframe.llm import common, cutting_stock, decontamination, licenses, near_duplicates, oracles, packing, plans, token_counts, url_filters
 from dishframe.llm.components import components
-from dishframe.llm.pieces import BytePretokens, WordIds
+from dishframe.llm.pieces import BytePretokens, WordIds, byte_letters, runs
 from tests.llm.helpers import FOLDER, documents, frame, odd_rows, prose, texts
 
 WORD_FILE, BYTE_FILE = str(public_tokenizers.path("word_bpe_49k.json")), str(public_tokenizers.path("byte_bpe_50k.json"))
@@ -381,6 +381,36 @@ def test_chunks_give_the_library_ids_for_any_characters():
         assert special + sum(map(byte.count, pieces)) == len(by_byte.encode(text, add_special_tokens=False).ids)
 
 
+def library_pretokens(library, text):
+    return [p for s in text.split("<|endoftext|>") for p, _ in library.pre_tokenizer.pre_tokenize_str(s)]
+
+
+def test_columns_are_split_as_by_the_library():
+    byte, library, draw = BytePretokens(BYTE_FILE), Tokenizer.from_file(BYTE_FILE), random.Random(1)
+    plain = [chr(c) for c in range(0x21, 0x250) if not 0x7F <= c <= 0xA0] + list("’—…€Ωяあア語한、，") + ["'re", " 's", "\n"] + [" ", "  ", "\n\n", "\t "] * 20
+    odd = plain + ["<|endoftext|>", "\x00", "\x01", "\x1c", "\u0301", "\u3000", "٣"] * 9
+    texts = ["", " ", "\n\n ", "<|endoftext|>"] + ["".join(draw.choice(odd if i % 3 == 0 else plain) for _ in range(draw.randint(0, 14))) for i in range(3000)]
+    place, found, special = byte.split(pa.array(texts))
+    pretokens = [[] for _ in texts]
+    for i, p in zip(place.tolist(), found.to_pylist()):
+        pretokens[i].append(byte_letters(p))
+    for text, own, n in zip(texts, pretokens, special.tolist()):
+        assert sorted(own) == sorted(library_pretokens(library, text)) and n == text.count("<|endoftext|>")
+
+
+def test_plain_texts_are_split_in_columns_only(monkeypatch):
+    """Neither text by text nor chunk by chunk, and in runs of bounded size."""
+    byte, library = BytePretokens(BYTE_FILE), Tokenizer.from_file(BYTE_FILE)
+    for name in ("chunks", "pieces", "__missing__"):
+        monkeypatch.setattr(BytePretokens, name, lambda *_: pytest.fail("a plain text was split in Python"))
+    texts = [prose(i, 40, 300) + "\n\nÉté — 12 €, “naïve”  語" for i in range(30)]
+    place, found, _ = byte.split(pa.array(texts))
+    assert np.bincount(place).tolist() == [len(library_pretokens(library, t)) for t in texts] and len(found) == len(place)
+    cut = list(runs(pa.array(texts), 1000))
+    assert [t for _, run in cut for t in run.to_pylist()] == texts and [start for start, _ in cut][0] == 0
+    assert len(cut) > 1 and all(sum(len(t.encode()) for t in run.to_pylist()[1:]) <= 1000 for _, run in cut)
+
+
 def test_word_ids_hold_chunks_and_pretokens_in_one_bounded_memory(monkeypatch):
     monkeypatch.setattr("dishframe.llm.pieces.LIMIT", 50)
     word, library = WordIds(WORD_FILE), Tokenizer.from_file(WORD_FILE)
