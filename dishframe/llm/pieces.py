@@ -4,7 +4,8 @@ A text is cut where no pre-token can span, and a chunk or pre-token that is reme
 nor given to the tokenizer's model again. Chunks of plain Latin characters are
 split by an equivalent expression here; any other chunk goes through the library's own splitter.
 Memories are emptied when they reach a fixed size, so a worker's memory is bounded. Whole columns of
-texts whose characters all have a class that no Unicode version changed are split by Arrow.
+texts whose characters all have a class that no Unicode version changed are split by Arrow, whose compute
+functions are loaded only there: workers that pack do without them (7 MB each).
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 # Letters, numbers and the rest below U+0250, where all Unicode versions agree.
 _LETTER, _NUMBER, _REST = r"[^\W\d_²³¹¼½¾]", r"[\d²³¹¼½¾]", r"(?:[^\w\s]|_)"
@@ -60,6 +60,8 @@ def from_byte_letters(piece: str) -> str:
 
 def runs(texts: pa.Array, size: int = RUN_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive texts of about `size` bytes together, and the number of texts before them."""
+    import pyarrow.compute as pc
+
     ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
     cuts = (np.flatnonzero(np.diff(ends // size)) + 1).tolist()
     for start, stop in zip([0, *cuts], [*cuts, len(texts)]):
@@ -68,6 +70,8 @@ def runs(texts: pa.Array, size: int = RUN_BYTES) -> Iterator[tuple[int, pa.Array
 
 def _column_split(texts: pa.Array) -> pa.ListArray:
     """Pre-tokens of texts without odd characters; none of an empty text."""
+    import pyarrow.compute as pc
+
     texts = pc.if_else(pc.equal(texts, ""), None, texts)
     marked = pc.any(pc.match_substring_regex(texts, _SPACES)).as_py()
     if marked:
@@ -162,6 +166,8 @@ class BytePretokens(dict):
     def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         """Pre-tokens of a column of texts, as they stand there: the text (its place) of each, the
         pre-tokens themselves, and the number of special tokens inside every text."""
+        import pyarrow.compute as pc
+
         odd = pc.match_substring_regex(texts, _COLUMN_ODD)
         for content in self.contents:
             odd = pc.or_(odd, pc.match_substring(texts, content))
