@@ -12,6 +12,10 @@ from dishframe.functions.sizes import size_order, split_size
 from dishframe.operators.skew import Heavy, salted_lookup
 
 SIMILARITY = 0.80
+# Texts of a block and the most blocks of a section, when all its pairs are looked at.
+BLOCK, BLOCKS = 4096, 32
+# Half letters in a segment of a text, segments, and 64-bit words for the letter pairs of a segment.
+SPAN, SEGMENTS, WORDS = 24, 5, 4
 
 
 def with_size(items: DataFrame, title: str = "title") -> DataFrame:
@@ -220,48 +224,97 @@ def near_misses(lone: DataFrame, section: Sequence[str], threshold: float = SIMI
     Lengths are counted in characters, and so are edits; byte_edits counts edits of UTF-8 bytes, as
     some engines do. A byte edit touches at most one character of either text, so they are never fewer.
 
-    A partner of a text of length n is at most n / t long, so at most k = (1 - t) / t * n edits lie
-    between them, and each edit touches two of the text's letter pairs. Hence a pair must share one
-    of the first 2k + 1 letter pairs of either text in a common order, rarest first: only texts that
-    meet there, and whose lengths fit, are compared, and none is lost.
+    All pairs of a section are looked at, in joins of two blocks of its texts each; no pair becomes a row of an
+    exchange. A text has at most BLOCKS + 1 copies there, so the disk grows with the texts, not with their pairs.
+
+    Edits are counted only where the letter pairs allow it. Let at most k edits lie between two texts. Each
+    takes two of a text's letter pairs away; any other is in the other text too, and as no more than k
+    insertions and deletions lie around it, its distances from the middles of the two texts differ by at
+    most k / 2. So at most 2k letter pairs of one text's segments are missing near these segments in
+    the other text, in either direction. They are compared as bits of a hash; equal bits only make
+    fewer of them missing, so no pair is lost.
     """
     if not 0.75 <= threshold <= 1:
         raise ValueError("below 0.75 short texts can be similar without a common letter pair")
-    pairs_of = _letter_pairs(F.col("residual_key"))
-    keyed = lone.filter(F.length("residual_key") >= 3).select(*section, "residual_key", "title", "pos", pairs_of.alias("_grams"))
-    weight = keyed.select(F.explode("_grams").alias("_g")).groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
+    keyed = lone.filter(F.length("residual_key") >= 3).select(*section, "residual_key", "title", "pos")
+    # All columns of the texts are named, so that the counts read the same exchange.
+    counts = keyed.groupBy(*section).agg(F.count_if(F.col("title").isNotNull() & F.col("pos").isNotNull()).alias("_n"))
+    blocks = F.least(F.ceil(F.col("_n") / BLOCK), F.lit(BLOCKS)).cast("int")
+    cut = F.broadcast(counts.filter(F.col("_n") > BLOCK).select(*section, blocks.alias("_blocks")))
+    # A little more than the least similarity allows, for the tolerance of the last filter.
+    apart = 1 - threshold + 1e-9
     size = F.length("residual_key")
-    edits = F.floor((1 - threshold) / threshold * size + F.lit(1e-9)).cast("int")
-    prefix = (
-        keyed.select(*section, "pos", size.alias("n"), (2 * edits + 1).alias("_most"), F.explode("_grams").alias("_g"))
-        .join(weight, "_g")
-        .groupBy(*section, "pos", "n", "_most")
-        .agg(F.array_sort(F.collect_list(F.struct("_df", "_g"))).alias("_grams"))
-        .select(*section, "pos", "n", F.explode(F.slice("_grams", F.lit(1), F.col("_most"))).alias("_p"))
-        .select(*section, F.struct("pos", "n").alias("x"), F.col("_p._g").alias("_g"))
+    most = F.floor(apart * size + F.lit(1e-9)).cast("int")
+    reach = F.floor(apart / (1 - apart) * size + F.lit(1e-6)).cast("int")
+    words = range(SEGMENTS * WORDS)
+    spark = lone.sparkSession
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    texts = (
+        keyed.select("*", size.alias("n"), most.alias("most"), F.inline(F.array(_segment_bits(F.col("residual_key"), size, reach))))
+        .join(cut, list(section), "left")
+        .select(*section, "residual_key", "title", "pos", "n", "most", "own", "around", F.expr("coalesce(_blocks, 1) AS _blocks"))
+        .withColumn("_block", F.expr("int(pmod(xxhash64(pos), _blocks))"))
+        # Both sides read this exchange, so the bits are made once.
+        .repartition(partitions, *section, "pos")
     )
-    a, b = prefix.withColumnRenamed("x", "a"), prefix.withColumnRenamed("x", "b")
-    longer, shorter = F.greatest("a.n", "b.n"), F.least("a.n", "b.n")
-    met = a.join(b, [*section, "_g"]).filter((F.col("a.pos") < F.col("b.pos")) & (shorter >= F.lit(threshold) * longer - F.lit(1e-9)))
-    pairs = met.select(*section, F.col("a.pos").alias("pos_a"), F.col("b.pos").alias("pos_b")).distinct()
-    side = lambda tag: keyed.select(
-        *section, F.col("pos").alias(f"pos_{tag}"), F.col("residual_key").alias(f"residual_{tag}"), F.col("title").alias(f"title_{tag}")
+    unit = [*section, "_low", "_high"]
+
+    def side(tag: str, low: str, high: str, looped: str, kept: str) -> DataFrame:
+        """Copies for all units of a text; the bits that every pair needs are columns."""
+        copies = texts.selectExpr("*", f"{low} AS _low").selectExpr("*", f"{high} AS _high")
+        return copies.select(
+            *unit, *[F.expr(f"{c} AS {c}_{tag}") for c in ("residual_key", "title", "pos", kept)],
+            *[F.expr(f"coalesce({c}, 0) AS {c}_{tag}") for c in ("n", "most")],
+            *[F.expr(f"coalesce(get({looped}, {w}), 0L) AS {looped}{w}") for w in words],
+            # By number: the work of a unit is not in proportion to its bytes, so small partitions stay apart.
+        ).repartition(partitions, *unit)
+
+    a = side("a", "_block", "explode(sequence(_block, _blocks - 1))", "own", "around")
+    b = side("b", "explode(sequence(0, least(_block, _blocks - 1)))", "_block", "around", "own")
+    few_missing = lambda one, other: F.expr(
+        " + ".join(f"bit_count({one.format(w)} & ~{other.format(w)})" for w in words) + " <= 2 * greatest(most_a, most_b)"
     )
+    once = F.expr("(_low < _high AND pos_a <> pos_b) OR pos_a < pos_b")
+    met = a.join(b.hint("merge"), unit).filter(once & few_missing("own{}", "around{}"))
+    # Behind this generator the optimizer can't move the dearer tests to the front of the join's condition.
+    texts_of = [f"{c}_{tag}" for tag in "ab" for c in ("residual_key", "title", "pos", "n")]
+    few = few_missing("get(own_b, {})", "get(around_a, {})")
+    met = met.select(*section, F.inline(F.array(F.struct(few.alias("_few"), *texts_of)))).filter("_few")
     # Latin-1 makes one character of each byte.
-    unit = lambda c: F.decode(F.encode(F.col(c), "UTF-8"), "ISO-8859-1") if byte_edits else F.col(c)
-    ratio = 1 - F.levenshtein(unit("residual_a"), unit("residual_b")) / F.greatest(F.length("residual_a"), F.length("residual_b"))
-    return (
-        pairs.join(side("a"), [*section, "pos_a"])
-        .join(side("b"), [*section, "pos_b"])
-        .select(*section, "residual_a", "residual_b", "title_a", "title_b", ratio.alias("ratio"))
-        .filter(F.col("ratio") >= threshold - 1e-9)
-    )
+    symbols = lambda c: F.decode(F.encode(F.col(c), "UTF-8"), "ISO-8859-1") if byte_edits else F.col(c)
+    ratio = 1 - F.levenshtein(symbols("residual_key_a"), symbols("residual_key_b")) / F.greatest("n_a", "n_b")
+    ordered = lambda c, one, other: F.expr(f"if(pos_a < pos_b, {c}_{one}, {c}_{other})")
+    return met.select(
+        *section,
+        ordered("residual_key", "a", "b").alias("residual_a"), ordered("residual_key", "b", "a").alias("residual_b"),
+        ordered("title", "a", "b").alias("title_a"), ordered("title", "b", "a").alias("title_b"), ratio.alias("ratio"),
+    ).filter(F.col("ratio") >= threshold - 1e-9)
 
 
-def _letter_pairs(text: Column) -> Column:
-    """The letter pairs of a text, repeats numbered."""
-    found = F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substr(text, i, F.lit(2)))
-    numbered = lambda all: F.transform(
-        all, lambda g, i: F.concat(g, F.size(F.filter(F.slice(all, F.lit(1), i), lambda o: o == g)).cast("string"))
+def _segment_bits(text: Column, size: Column, reach: Column) -> Column:
+    """Struct (own, around): bits of the letter pairs in each segment of a text, and in it and its surroundings.
+
+    Segments are laid from the middle of the text, SPAN half letters each; the outer ones go on to its ends.
+    The second equal letter pair of a segment has a bit of its own, and so on.
+    """
+    border = lambda at: F.greatest(F.lit(0), F.least(size - 1, F.shiftright(size + at - SPAN * SEGMENTS // 2 + 1, 1)))
+
+    def segments(grams: Column, reach: Column) -> Column:
+        parts = []
+        for s in range(SEGMENTS):
+            start = border(SPAN * s - reach) if s else F.lit(0)
+            end = border(SPAN * (s + 1) + reach) if s < SEGMENTS - 1 else size - 1
+            parts.append(F.slice(grams, start + 1, F.greatest(F.lit(0), end - start)))
+        return F.flatten(F.transform(F.array(*parts), lambda found: let(bits(found), lambda all: F.array(*[word(all, w) for w in range(WORDS)]))))
+
+    # Sorted, so that a letter pair's number is its distance from the first equal one.
+    bits = lambda found: let(
+        F.sort_array(found), lambda all: F.transform(all, lambda g, i: F.hash(g, i - F.array_position(all, g)).bitwiseAND(64 * WORDS - 1))
+    )
+    # A shift of 64-bit words goes by the last six bits.
+    word = lambda found, w: F.aggregate(
+        found, F.lit(0).cast("bigint"),
+        lambda all, bit: F.when(F.shiftright(bit, 6) == w, all.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))).otherwise(all),
     )
-    return let(found, numbered)
+    pairs = F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.xxhash64(F.substr(text, i, F.lit(2))))
+    return let(pairs, lambda grams: F.struct(segments(grams, F.lit(0)).alias("own"), segments(grams, reach).alias("around")))

@@ -1,6 +1,7 @@
 """Operators on small written-out menus, and properties on random ones."""
 
 import random
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -248,6 +249,35 @@ def test_near_misses_by_edits_of_bytes(spark):
     assert len(sizes.near_misses(lone, ["section"]).collect()) > 1
 
 
+def test_near_misses_of_many_blocks(spark, monkeypatch):
+    """Pairs between and inside blocks, texts of one to several segments, equal letter pairs; no pair is exchanged."""
+    monkeypatch.setattr(sizes, "BLOCK", 8, raising=False)
+    monkeypatch.setattr(sizes, "BLOCKS", 5, raising=False)
+    rng = random.Random(11)
+    parts = ["it ", "hewh", "the ", "ñü", "tion", "aa", "er ", "zq"]
+    texts = {"".join(rng.choices(parts, k=rng.choice([2, 5, 12, 20, 60]))).strip() for _ in range(22)}
+    for text in sorted(texts):
+        for edits_of in (1, len(text) // 6, len(text) // 5 + 1):
+            other = list(text)
+            for _ in range(edits_of):
+                at = rng.randrange(len(other))
+                other[at:at + 1] = rng.choice([[], ["x"], [other[at], "y"]])
+                other = other or ["x"]
+            texts.add("".join(other).strip())
+    order = sorted(t for t in texts if len(t) > 2)
+    rng.shuffle(order)
+    rows_ = [("big", t, "Large " + t, i) for i, t in enumerate(order)] + [("small", t, "Large " + t, i) for i, t in enumerate(order[:6])]
+    lone = spark.createDataFrame(rows_, "section string, residual_key string, title string, pos bigint")
+    want = {
+        (s, a, b) for s, of in (("big", order), ("small", order[:6])) for i, a in enumerate(of) for b in of[i + 1:]
+        if 1 - edits(a, b) / max(len(a), len(b)) >= 0.80 - 1e-9
+    }
+    got = sizes.near_misses(lone, ["section"])
+    pairs = [(r.section, r.residual_a, r.residual_b) for r in got.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want and len(want) > 20
+    assert not re.search(r"Exchange hashpartitioning\([^)]*pos_a", got._jdf.queryExecution().executedPlan().toString())
+
+
 # --- raters -------------------------------------------------------------------------------------
 
 
