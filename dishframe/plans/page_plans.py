@@ -580,9 +580,12 @@ def first_section(spark, sf):
 )
 def required_section(spark, sf):
     """The first wanted section of every document; a document without one would be an error."""
-    # As in the SQL: part keys from a million on reach into the next line number. Equal ones go by the supplier.
-    at = F.struct(F.col("l_linenumber").cast("bigint") * 1000000 + F.col("l_partkey"), "l_suppkey")
-    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("title"), at.alias("at"), "l_suppkey")
+    # As in the SQL: part keys from a million on reach into the next line number, lines without a key or a
+    # supplier come last and have none. Of equal keys the first line of the table counts: the SQL reads it first.
+    key = F.col("l_linenumber").cast("bigint") * 1000000 + F.col("l_partkey")
+    supplier = F.when(key.isNotNull(), F.col("l_suppkey"))
+    at = F.struct(supplier.isNull().alias("none"), key.alias("key"), "_metadata.file_path", "_metadata.row_index")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("title"), at.alias("at"), supplier.alias("l_suppkey"))
     with_one = lines.filter("title = 'R'").select("l_orderkey").distinct()
     return ordering.section_or_error(lines.join(with_one, "l_orderkey", "left_semi"), ["l_orderkey"], "title", "R", "at").select("l_orderkey", "l_suppkey")
 

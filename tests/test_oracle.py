@@ -37,3 +37,19 @@ def test_required_section_with_large_part_keys(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
     assert {tuple(r) for r in got.collect()} == set(con.execute(SQL["required_section"]).fetchall()) == {(1, 8), (2, 9)}
+
+
+def test_required_section_with_equal_keys_and_nulls(spark, tmp_path):
+    """Of equal keys the line that is read first counts, whatever its supplier; lines with nulls do not count."""
+    lines = [
+        (1, 2, 5, 1, "R"), (1, 1, 5, 9, "R"), (1, 1, 5, 3, "R"), (2, None, 1, 7, "R"), (2, 1, 9, None, "R"), (2, 2, 1, 4, "R"),
+        (3, 1, None, 5, "R"), (4, 1, 1, 2, "N"), (5, 1, 6, 2, "N"), (5, 1, 6, 8, "R"), (5, 1, 6, 4, "R"), (None, 1, 1, 1, "R"),
+    ]
+    schema = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string"
+    spark.createDataFrame(lines, schema).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = entry.queries()["required_section"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute("SET threads = 1")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    want = set(con.execute(SQL["required_section"]).fetchall())
+    assert {tuple(r) for r in got.collect()} == want == {(1, 9), (2, 4), (3, None), (5, 8)}
